@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,7 +86,7 @@ def in_slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 <<
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = np.array([x or 0 for x in pa.compute.binary_length(batch.column(column)).to_pylist()], np.int64)
+        sizes = np.array([x or 0 for x in pc.binary_length(batch.column(column)).to_pylist()], np.int64)
         ends = np.cumsum(sizes)
         at = 0
         while at < batch.num_rows:
