@@ -6,20 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import mixing, quality
+from tidelog.llm import mixing, packing, quality, tokens
 from tidelog.llm.common import documents
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.attribute(documents(spark, sf_dir))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.take(documents(spark, sf_dir), "doc_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_quality_rules, op8_source_mix)}
+    return {f.__name__: f for f in (op1_token_counts, op5_quality_rules, op6_best_fit_packing, op8_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
