@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import mixing, packing, quality, tokens
+from tidelog.llm import html_text, licenses, mixing, packing, quality, tokens
 from tidelog.llm.common import documents
 
 
@@ -14,6 +14,14 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.attribute(documents(spark, sf_dir))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents(spark, sf_dir))
 
@@ -27,7 +35,7 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op5_quality_rules, op6_best_fit_packing, op8_source_mix)}
+    return {f.__name__: f for f in (op1_token_counts, op3_license_scan, op4_html_text, op5_quality_rules, op6_best_fit_packing, op8_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
