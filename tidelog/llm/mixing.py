@@ -31,8 +31,8 @@ from tidelog.llm.common import BLANKS
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_EPOCHS = 2
-#: Key ranges a source is dealt into; a range of a source of 10^9 documents has about 15,000.
-RANGES = 1 << 16
+#: Key ranges a source is dealt into; a range of a source of 10^9 documents has about 250,000.
+RANGES = 1 << 12
 
 
 def n_words(text: Column) -> Column:

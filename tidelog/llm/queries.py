@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import html_text, licenses, mixing, packing, quality, tokens
+from tidelog.llm import fingerprints, html_text, licenses, mixing, packing, quality, tokens
 from tidelog.llm.common import documents
 
 
@@ -34,8 +34,12 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.take(documents(spark, sf_dir), "doc_id")
 
 
+def op10_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_edits(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op3_license_scan, op4_html_text, op5_quality_rules, op6_best_fit_packing, op8_source_mix)}
+    return {f.__name__: f for f in (op1_token_counts, op3_license_scan, op4_html_text, op5_quality_rules, op6_best_fit_packing, op8_source_mix, op10_syncmer_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
