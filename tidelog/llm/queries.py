@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import fingerprints, html_text, licenses, mixing, packing, quality, tokens
+from tidelog.llm import fingerprints, html_text, licenses, minhash, mixing, packing, quality, tokens
 from tidelog.llm.common import documents
 
 
@@ -30,6 +30,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op7_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(documents(spark, sf_dir))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.take(documents(spark, sf_dir), "doc_id")
 
@@ -39,7 +43,7 @@ def op10_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op3_license_scan, op4_html_text, op5_quality_rules, op6_best_fit_packing, op8_source_mix, op10_syncmer_fingerprints)}
+    return {f.__name__: f for f in (op1_token_counts, op3_license_scan, op4_html_text, op5_quality_rules, op6_best_fit_packing, op7_minmax_near_dedup, op8_source_mix, op10_syncmer_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
