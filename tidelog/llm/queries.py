@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import fingerprints, html_text, licenses, minhash, mixing, packing, quality, tokens
+from tidelog.llm import block_repeats, fingerprints, html_text, licenses, minhash, mixing, packing, quality, tokens
 from tidelog.llm.common import documents
 
 
@@ -38,12 +38,16 @@ def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.take(documents(spark, sf_dir), "doc_id")
 
 
+def op9_fixed_block_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_repeats.remove(documents(spark, sf_dir))
+
+
 def op10_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edits(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op3_license_scan, op4_html_text, op5_quality_rules, op6_best_fit_packing, op7_minmax_near_dedup, op8_source_mix, op10_syncmer_fingerprints)}
+    return {f.__name__: f for f in (op1_token_counts, op3_license_scan, op4_html_text, op5_quality_rules, op6_best_fit_packing, op7_minmax_near_dedup, op8_source_mix, op9_fixed_block_repeats, op10_syncmer_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
