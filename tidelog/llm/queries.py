@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import block_repeats, fingerprints, html_text, licenses, minhash, mixing, packing, quality, tokens
+from tidelog.llm import block_repeats, fingerprints, html_text, licenses, minhash, mixing, packing, quality, suffix_repeats, tokens
 from tidelog.llm.common import documents
 
 
@@ -14,6 +14,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.attribute(documents(spark, sf_dir))
 
 
+def op2_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.remove(documents(spark, sf_dir), keep_first=False)
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
@@ -47,7 +51,7 @@ def op10_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op3_license_scan, op4_html_text, op5_quality_rules, op6_best_fit_packing, op7_minmax_near_dedup, op8_source_mix, op9_fixed_block_repeats, op10_syncmer_fingerprints)}
+    return {f.__name__: f for f in (op1_token_counts, op2_suffix_repeats, op3_license_scan, op4_html_text, op5_quality_rules, op6_best_fit_packing, op7_minmax_near_dedup, op8_source_mix, op9_fixed_block_repeats, op10_syncmer_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -16,6 +16,12 @@ pass counts anchor hashes, a bit set of the repeated ones goes to the tasks
 
 Texts are known by a 128-bit digest, so copies of a text are one place; that a
 text has copies is counted apart and marks all of its windows.
+
+Places are in order of (doc_id, digest, start), null doc_ids last; of copies
+the smallest doc_id counts.  With ``keep_first`` a place is marked only if an
+equal window stands at an earlier one, and a copy only if it is not the first.
+Rows alike in doc_id and text are one place for ``keep_first``, and copies of
+each other otherwise.
 """
 
 from __future__ import annotations
@@ -34,11 +40,13 @@ from tidelog.llm.common import arrow_map, cut, text_key, texts_of
 #: Given texts: arrays (text number, anchor hash, context hash, lo, m) of all anchors.
 Scan = Callable[[list[str]], tuple[np.ndarray, ...]]
 
-CONTEXT = "tk binary, h bigint, c bigint, lo int, m int"
+CONTEXT = "tk binary, ord bigint, h bigint, c bigint, lo int, m int"
+LAST = (1 << 63) - 1
 
 
 def keyed(docs: DataFrame, *keep: str) -> DataFrame:
-    return docs.select(*keep, text_key(F.col("text")).alias("tk"), F.col("text").cast("string").alias("text"))
+    order = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("ord")
+    return docs.select(*keep, text_key(F.col("text")).alias("tk"), order, F.col("text").cast("string").alias("text"))
 
 
 def repeated(docs: DataFrame, hashes: Callable[[list[str]], np.ndarray]) -> BitSet:
@@ -58,24 +66,26 @@ def contexts(docs: DataFrame, scan: Scan) -> DataFrame:
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner, h, c, lo, m = scan(texts_of(batch, "text"))
         return pa.RecordBatch.from_arrays(
-            [batch.column("tk").take(pa.array(owner)), pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(lo.astype(np.int32)), pa.array(m.astype(np.int32))],
-            names=["tk", "h", "c", "lo", "m"],
+            [batch.column("tk").take(pa.array(owner)), batch.column("ord").take(pa.array(owner)), pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(lo.astype(np.int32)), pa.array(m.astype(np.int32))],
+            names=["tk", "ord", "h", "c", "lo", "m"],
         )
 
     return arrow_map(keyed(docs), over, CONTEXT, "text", 1 << 19)
 
 
-def split(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split(found: DataFrame, keep_first: bool = False) -> tuple[DataFrame, DataFrame]:
     """(whole, part) of contexts found: (tk, lo, m) whose windows all repeat; (h, c, kinds) still to be looked at.
 
     kinds is the number of distinct contexts of h.  Both come from one grouping by (h, c), combined map-side.
     """
     place = F.struct("tk", "lo")
-    by_context = cut(found.groupBy("h", "c").agg(F.min(place).alias("p0"), F.max(place).alias("p1")).select("h", "c", (F.col("p0") != F.col("p1")).alias("twice")))
+    by_context = cut(found.groupBy("h", "c").agg(F.min(place).alias("p0"), F.max(place).alias("p1"), F.min(F.struct("ord", "tk", "lo")).alias("f")).select("h", "c", (F.col("p0") != F.col("p1")).alias("twice"), F.col("f.tk").alias("ftk"), F.col("f.lo").alias("flo")))
     kinds = by_context.groupBy("h").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    whole = found.join(by_context.filter("twice").select("h", "c"), ["h", "c"], "left_semi").select("tk", "lo", "m")
+    whole = found.join(by_context.filter("twice").select("h", "c", "ftk", "flo"), ["h", "c"])
+    if keep_first:
+        whole = whole.filter("tk <> ftk or lo <> flo")
     part = by_context.join(kinds, "h").select("h", "c", "kinds")
-    return whole, part
+    return whole.select("tk", "lo", "m"), part
 
 
 def context_key():
@@ -87,37 +97,42 @@ def context_key_of(h: np.ndarray, c: np.ndarray) -> np.ndarray:
     return h ^ (c << np.uint64(1)) ^ (c >> np.uint64(17))
 
 
-def equal_windows(windows: DataFrame) -> DataFrame:
-    """(tk, lo, m=1) of windows (tk, lo, w, v) whose hashes (w, v) stand at another place too."""
+def equal_windows(windows: DataFrame, keep_first: bool = False) -> DataFrame:
+    """(tk, lo, m=1) of windows (tk, ord, lo, w, v) whose hashes (w, v) stand at another (an earlier) place too."""
     place = F.struct("tk", "lo")
-    same = windows.groupBy("w", "v").agg(F.min(place).alias("p0"), F.max(place).alias("p1")).filter("p0 <> p1").select("w", "v")
-    return windows.join(same, ["w", "v"], "left_semi").select("tk", "lo", F.lit(1).alias("m"))
+    same = windows.groupBy("w", "v").agg(F.min(place).alias("p0"), F.max(place).alias("p1"), F.min(F.struct("ord", "tk", "lo")).alias("f")).filter("p0 <> p1")
+    found = windows.join(same.select("w", "v", F.col("f.tk").alias("ftk"), F.col("f.lo").alias("flo")), ["w", "v"])
+    if keep_first:
+        found = found.filter("tk <> ftk or lo <> flo")
+    return found.select("tk", "lo", F.lit(1).alias("m"))
 
 
 def window_rows(docs: DataFrame, scan: Callable[[list[str]], tuple[np.ndarray, ...]]) -> DataFrame:
-    """(tk, lo, w, v) from scan's (text number, lo, w, v)."""
+    """(tk, ord, lo, w, v) from scan's (text number, lo, w, v)."""
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner, lo, w, v = scan(texts_of(batch, "text"))
         return pa.RecordBatch.from_arrays(
-            [batch.column("tk").take(pa.array(owner)), pa.array(lo.astype(np.int32)), pa.array(w.view(np.int64)), pa.array(v.view(np.int64))], names=["tk", "lo", "w", "v"]
+            [batch.column("tk").take(pa.array(owner)), batch.column("ord").take(pa.array(owner)), pa.array(lo.astype(np.int32)), pa.array(w.view(np.int64)), pa.array(v.view(np.int64))],
+            names=["tk", "ord", "lo", "w", "v"],
         )
 
-    return arrow_map(keyed(docs), over, "tk binary, lo int, w bigint, v bigint", "text", 1 << 19)
+    return arrow_map(keyed(docs), over, "tk binary, ord bigint, lo int, w bigint, v bigint", "text", 1 << 19)
 
 
 def marked(docs: DataFrame, *found: DataFrame) -> DataFrame:
-    """(tk, lows, counts, copied): per text the repeated windows as runs, and whether it has copies."""
-    copies = docs.select(text_key(F.col("text")).alias("tk")).groupBy("tk").agg(F.count("*").alias("n")).filter("n > 1").select("tk", F.lit(-1).alias("lo"), F.lit(0).alias("m"))
-    runs = copies
+    """(tk, lows, counts, first): per text the repeated windows as runs; if it has copies, the first one's place in order."""
+    copies = keyed(docs).select("tk", "ord").groupBy("tk").agg(F.count("*").alias("n"), F.min("ord").alias("first")).filter("n > 1")
+    runs = copies.select("tk", F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("m"), "first")
     for f in found:
-        runs = runs.unionByName(f.select("tk", "lo", "m"))
-    runs = runs.groupBy("tk").agg(F.collect_set(F.struct("lo", "m")).alias("runs"))
-    return runs.select("tk", F.transform("runs", lambda r: r["lo"]).alias("lows"), F.transform("runs", lambda r: r["m"]).alias("counts"))
+        runs = runs.unionByName(f.select("tk", "lo", "m", F.lit(None).cast("bigint").alias("first")))
+    run = F.when(F.col("lo").isNotNull(), F.struct("lo", "m"))
+    runs = runs.groupBy("tk").agg(F.collect_set(run).alias("runs"), F.max("first").alias("first"))
+    return runs.select("tk", F.transform("runs", lambda r: r["lo"]).alias("lows"), F.transform("runs", lambda r: r["m"]).alias("counts"), "first")
 
 
 def covered(n: int, width: int, lows: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Which of n units repeated windows cover; lo -1 stands for all windows."""
+    """Which of n units repeated windows cover; a run at -1 stands for all windows."""
     delta = np.zeros(n + 1, np.int64)
     if n >= width and (lows < 0).any():
         delta[0] += 1
@@ -128,7 +143,7 @@ def covered(n: int, width: int, lows: np.ndarray, counts: np.ndarray) -> np.ndar
     return np.cumsum(delta[:-1]) > 0
 
 
-def applied(docs: DataFrame, marks: DataFrame, finish: Callable[[str, np.ndarray, np.ndarray], tuple], schema: str, keep: tuple[str, ...]) -> DataFrame:
+def applied(docs: DataFrame, marks: DataFrame, finish: Callable[[str, np.ndarray, np.ndarray], tuple], schema: str, keep: tuple[str, ...], keep_first: bool = False) -> DataFrame:
     """keep... and what ``finish(text, lows, counts)`` gives, for every row of docs.
 
     Only rows whose text can have marks (by a bit set of digests) carry their
@@ -151,14 +166,14 @@ def applied(docs: DataFrame, marks: DataFrame, finish: Callable[[str, np.ndarray
         texts = texts_of(batch, "text")
         rows = [None if o else finish(t, none, none) for t, o in zip(texts, open_.tolist())]
         return pa.RecordBatch.from_arrays(
-            [*[batch.column(k) for k in keep], batch.column("tk"), pa.array([t if o else None for t, o in zip(texts, open_.tolist())], pa.string()), *arrays(rows)],
-            names=[*keep, "tk", "text", *names],
+            [*[batch.column(k) for k in keep], batch.column("tk"), batch.column("ord"), pa.array([t if o else None for t, o in zip(texts, open_.tolist())], pa.string()), *arrays(rows)],
+            names=[*keep, "tk", "__ord", "__text", *names],
         )
 
     def last(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
         before = list(zip(*[batch.column(n).to_pylist() for n in names]))
-        texts = batch.column("text").to_pylist()
+        texts, order, firsts = (batch.column(c).to_pylist() for c in ("__text", "__ord", "first"))
         lows, counts = batch.column("lows"), batch.column("counts")
         for i, text in enumerate(texts):
             if text is None:
@@ -166,12 +181,15 @@ def applied(docs: DataFrame, marks: DataFrame, finish: Callable[[str, np.ndarray
             elif lows[i].as_py() is None:
                 rows.append(finish(text, none, none))
             else:
-                rows.append(finish(text, lows[i].values.to_numpy(zero_copy_only=False).astype(np.int64), counts[i].values.to_numpy(zero_copy_only=False).astype(np.int64)))
+                low, count = (x[i].values.to_numpy(zero_copy_only=False).astype(np.int64) for x in (lows, counts))
+                if firsts[i] is not None and not (keep_first and order[i] == firsts[i]):
+                    low, count = np.append(low, -1), np.append(count, 0)
+                rows.append(finish(text, low, count))
         return pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], *arrays(rows)], names=[*keep, *names])
 
-    dealt = arrow_map(keyed(docs, *keep).withColumn("th", low64), first, f"{kept}, tk binary, text string, {schema}", "text")
-    joined = dealt.join(marks, "tk", "left").select(*keep, "text", *names, "lows", "counts")
-    return arrow_map(joined, last, f"{kept}, {schema}", "text")
+    dealt = arrow_map(keyed(docs, *keep).withColumn("th", low64), first, f"{kept}, tk binary, __ord bigint, __text string, {schema}", "text")
+    joined = dealt.join(marks, "tk", "left").select(*keep, "__text", "__ord", *names, "lows", "counts", "first")
+    return arrow_map(joined, last, f"{kept}, {schema}", "__text")
 
 
 def pa_types(schema: str) -> list[pa.DataType]:
