@@ -15,9 +15,11 @@ the smallest and the largest, so 64 evaluations make 128 values.
 4. What is left are pairs inside a bucket but in different components.  Those
    are not written out: blocks of a bucket meet in tasks that drop pairs which
    cannot be linked, by size, by the triangle inequality of the Jaccard
-   distance over the hub (exact distances), and by a signature estimate more
-   than five standard errors below the threshold.  The rest is checked on full
-   sets, and components are formed again.
+   distance over the hub (exact distances), by the shingles that a set shares
+   with any other set at hand (no pair has more in common than the poorer of
+   the two shares at all), and by a signature estimate more than five standard
+   errors below the threshold.  The rest is checked on full sets, and
+   components are formed again.
 
 No bucket is capped: a large one meets itself block by block in many tasks.
 
@@ -33,10 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import arrow_map, cut, in_slices, mix64, pair64, text_key, texts_of
+from tidelog.llm.bits import bit_set
+from tidelog.llm.common import arrow_map, cut, in_slices, mix64, pair64, row_key, text_key, texts_of
 from tidelog.llm.components import components
 from tidelog.llm.wordarrays import windows, words
 
@@ -189,23 +192,43 @@ def _pairs_of(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(i), np.concatenate(j)) if i else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+def _shared(sets: DataFrame) -> DataFrame:
+    """(node, s): how many shingles of each set stand in another set too; a few more at most, never fewer."""
+
+    def each(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(batch.column("members").to_pylist()), np.int64))], names=["h"])
+
+    twice = cut(arrow_map(sets.select("members"), each, "h bigint", "members").groupBy("h").agg(F.count("*").alias("k")).filter("k > 1").select("h"))
+    there = bit_set(twice, "h", twice.count())
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        parts = [np.frombuffer(x, np.uint64) for x in batch.column("members").to_pylist()]
+        known = np.append(0, np.cumsum(there.maybe(np.concatenate(parts))))
+        ends = np.cumsum([len(x) for x in parts])
+        return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(known[ends] - known[ends - np.array([len(x) for x in parts])], pa.int64())], names=["node", "s"])
+
+    return arrow_map(sets, count, "node binary, s bigint", "members")
+
+
 def _residual(members: DataFrame, percent: int, block: int) -> DataFrame:
-    """Distinct (a, b) that the bounds leave, from members (bucket, node, comp, n, sig, hub_similarity)."""
+    """Distinct (a, b) that the bounds leave, from members (bucket, node, comp, n, s, sig, hub_similarity)."""
     crowd = members.groupBy("bucket").agg(F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("bucket", "m")
     some = members.join(crowd, "bucket").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
     mine = F.pmod(F.hash("node"), F.col("blocks"))
     meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("mine"), o).alias("x"), F.greatest(F.col("mine"), o).alias("y")))
-    dealt = some.withColumn("mine", mine).select("bucket", "node", "comp", "n", "sig", "hub_similarity", "mine", F.explode(meet).alias("p"))
-    dealt = dealt.select("bucket", F.col("p.x").alias("x"), F.col("p.y").alias("y"), "mine", "node", "comp", "n", "sig", "hub_similarity")
+    dealt = some.withColumn("mine", mine).select("bucket", "node", "comp", "n", "s", "sig", "hub_similarity", "mine", F.explode(meet).alias("p"))
+    dealt = dealt.select("bucket", F.col("p.x").alias("x"), F.col("p.y").alias("y"), "mine", "node", "comp", "n", "s", "sig", "hub_similarity")
     dealt = dealt.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
     least, apart = _least_estimate(percent), 1 - percent / 100 + 1e-9
 
     def test(b: pa.RecordBatch | pa.Table, sizes: np.ndarray, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
         comp = np.unique(np.array(b.column("comp").to_pylist(), object), return_inverse=True)[1]
-        n, hub = b.column("n").to_numpy(), b.column("hub_similarity").to_numpy(zero_copy_only=False)
+        n, s, hub = b.column("n").to_numpy(), b.column("s").to_numpy(), b.column("hub_similarity").to_numpy(zero_copy_only=False)
         mine, x, y = (b.column(k).to_numpy() for k in ("mine", "x", "y"))
         sig = _bytes(b.column("sig").combine_chunks() if isinstance(b, pa.Table) else b.column("sig"))
         ok = (comp[i] != comp[j]) & (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j]))
+        most = np.minimum(s[i], s[j])
+        ok &= 100 * most >= percent * (n[i] + n[j] - most)
         ok &= (mine[i] != mine[j]) | (x[i] == y[i])  # two blocks: only across; one block with itself: all
         with np.errstate(invalid="ignore"):
             ok &= ~(np.abs(hub[i] - hub[j]) > apart)
@@ -250,10 +273,10 @@ def _ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None
 
 
 def near_duplicates(docs: DataFrame, *keep: str, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """(keep..., n_shingles, node, component_id) of every row of docs; doc_id is among keep.
+    """(keep..., n_shingles, comp, component_id) of every row of docs; doc_id is among keep.
 
-    component_id is the smallest doc_id that links reach; node is the digest of
-    the row's set (null for none).
+    component_id is the smallest doc_id that links reach; comp stands for the
+    component and is null for a row without a set.
     """
     keep = keep or ("doc_id",)
     rows = cut(_describe(docs, keep))
@@ -276,14 +299,16 @@ def near_duplicates(docs: DataFrame, *keep: str, percent: int = PERCENT, block:
     known = first.select(F.col("a").alias("node"), F.col("b").alias("hub"), F.col("similarity").alias("hub_similarity"))
     placed = members.join(label, "node", "left").withColumn("comp", F.coalesce("label", "node")).join(nodes.select("node", "n", "sig"), "node")
     placed = placed.join(known, ["node", "hub"], "left").withColumn("hub_similarity", F.when(F.col("node") == F.col("hub"), 1.0).otherwise(F.col("hub_similarity")))
-    rest = cut(_residual(placed.select("bucket", "node", "comp", "n", "sig", F.coalesce("hub_similarity", F.lit(float("nan"))).alias("hub_similarity")), percent, block))
+    # a set that shares too little with all others has no link at all
+    placed = placed.join(cut(_shared(sets)), "node").filter(100 * F.col("s") >= percent * F.col("n"))
+    rest = cut(_residual(placed.select("bucket", "node", "comp", "n", "s", "sig", F.coalesce("hub_similarity", F.lit(float("nan"))).alias("hub_similarity")), percent, block))
     second = _checked(rest, sets, percent)
     label = components(first.unionByName(second).filter("linked").select("a", "b"))
     least = full.groupBy("node").agg(F.min("doc_id").alias("least")).join(label, "node", "left").withColumn("comp", F.coalesce("label", "node"))
     named = least.groupBy("comp").agg(F.min("least").alias("component_id"))
-    named = least.select("node", "comp").join(named, "comp").select("node", "component_id")
-    found = full.select(*keep, "n", "node").join(named, "node").select(*keep, F.col("n").alias("n_shingles"), "node", "component_id")
-    alone = rows.filter(F.col("node").isNull()).select(*keep, F.col("n").alias("n_shingles"), "node", F.col("doc_id").alias("component_id"))
+    named = least.select("node", "comp").join(named, "comp").select("node", "comp", "component_id")
+    found = full.select(*keep, "n", "node").join(named, "node").select(*keep, F.col("n").alias("n_shingles"), "comp", "component_id")
+    alone = rows.filter(F.col("node").isNull()).select(*keep, F.col("n").alias("n_shingles"), F.col("node").alias("comp"), F.col("doc_id").alias("component_id"))
     return found.unionByName(alone)
 
 
@@ -291,3 +316,17 @@ def classes(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
     found = near_duplicates(docs, "doc_id")
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """Rows of docs, all their columns: one of each component, of the smallest doc_id; rows without a set all stay."""
+    key = row_key(F.col("doc_id"), F.col("text"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    found = cut(near_duplicates(docs.select("doc_id", "text", key.alias("__key")), "doc_id", "__key"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__key"))
+    stay = found.filter(F.col("comp").isNotNull()).groupBy("comp").agg(first.alias("f")).select(F.col("f.__key").alias("__key"), F.lit(True).alias("__one"))
+    stay = stay.unionByName(found.filter(F.col("comp").isNull()).select("__key", F.lit(False).alias("__one")).distinct())
+    kept = docs.withColumn("__key", key).join(stay, "__key")
+    # rows alike in doc_id and text share the key; of those that have a set one stays
+    number = F.row_number().over(Window.partitionBy("__key").orderBy("__key"))
+    return kept.withColumn("__number", number).filter("not __one or __number = 1").select(*columns)

@@ -310,3 +310,24 @@ def remove(docs: DataFrame, *keep: str, width: int = WIDTH, k: int = K, keep_fir
 
     schema = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * with_text
     return repeats.applied(docs, repeats.marked(docs, *_runs(docs, width, k, keep_first, hot)), finish, schema, keep, keep_first)
+
+
+def keep_first(docs: DataFrame) -> DataFrame:
+    """Rows of docs, all their columns, with later copies cut out of text (and n_chars set anew, if there is one).
+
+    A text of which nothing is left goes; an input text that is null or empty stays as it is.
+    """
+    columns = docs.columns
+    held = docs.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)], "doc_id", "text")
+    left = remove(held, *[f"__c{i}" for i in range(len(columns))], with_text=True)
+    left = left.filter("n_bytes = 0 or kept_text <> ''")
+    out = []
+    for i, c in enumerate(columns):
+        kept = F.when(F.col("n_removed") == 0, F.col(f"__c{i}"))
+        if c == "text":
+            out.append(kept.otherwise(F.col("kept_text")).alias(c))
+        elif c == "n_chars":
+            out.append(kept.otherwise(F.length("kept_text").cast(docs.schema[c].dataType)).alias(c))
+        else:
+            out.append(F.col(f"__c{i}").alias(c))
+    return left.select(*out)
