@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import re
 import tempfile
 import uuid
@@ -52,8 +53,23 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/tidelog-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _release(spark)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    made = spark.read.schema(df.schema).parquet(path)
+    made._tidelog_path = path
+    return made
+
+
+def discard(*made: DataFrame) -> None:
+    """Deletes tables of ``cut`` that nothing reads any more."""
+    for df in made:
+        _remove(df.sparkSession, df._tidelog_path)
+
+
+def _release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner find the shuffle files of steps that are over, else they stay until the driver's heap fills."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def _remove(spark: SparkSession, path: str) -> None:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.bits import BitSet, bit_set
-from tidelog.llm.common import arrow_map, cut, text_key, texts_of
+from tidelog.llm.common import arrow_map, cut, discard, text_key, texts_of
 
 #: Given texts: arrays (text number, anchor hash, context hash, lo, m) of all anchors.
 Scan = Callable[[list[str]], tuple[np.ndarray, ...]]
@@ -73,19 +73,30 @@ def contexts(docs: DataFrame, scan: Scan) -> DataFrame:
     return arrow_map(keyed(docs), over, CONTEXT, "text", 1 << 19)
 
 
+def _places(keep_first: bool) -> list:
+    """Whether a group has two places, by the extremes of a 64-bit hash of them; its first place if asked for."""
+    place = F.xxhash64("tk", "lo")
+    return [F.min(place).alias("p0"), F.max(place).alias("p1")] + ([F.min(F.struct("ord", "tk", "lo")).alias("f")] if keep_first else [])
+
+
+def _first(keep_first: bool) -> list:
+    return [F.col("f.tk").alias("ftk"), F.col("f.lo").alias("flo")] if keep_first else []
+
+
 def split(found: DataFrame, keep_first: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(whole, part) of contexts found: (tk, lo, m) whose windows all repeat; (h, c, kinds) still to be looked at.
+    """(whole, part) of contexts found (a table of ``cut``, used up): (tk, lo, m) whose windows all repeat; (h, c, kinds) still to be looked at.
 
     kinds is the number of distinct contexts of h.  Both come from one grouping by (h, c), combined map-side.
     """
-    place = F.struct("tk", "lo")
-    by_context = cut(found.groupBy("h", "c").agg(F.min(place).alias("p0"), F.max(place).alias("p1"), F.min(F.struct("ord", "tk", "lo")).alias("f")).select("h", "c", (F.col("p0") != F.col("p1")).alias("twice"), F.col("f.tk").alias("ftk"), F.col("f.lo").alias("flo")))
+    by_context = cut(found.groupBy("h", "c").agg(*_places(keep_first)).select("h", "c", (F.col("p0") != F.col("p1")).alias("twice"), *_first(keep_first)))
     kinds = by_context.groupBy("h").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    whole = found.join(by_context.filter("twice").select("h", "c", "ftk", "flo"), ["h", "c"])
+    whole = found.join(by_context.filter("twice").drop("twice"), ["h", "c"])
     if keep_first:
         whole = whole.filter("tk <> ftk or lo <> flo")
-    part = by_context.join(kinds, "h").select("h", "c", "kinds")
-    return whole.select("tk", "lo", "m"), part
+    whole = cut(whole.select("tk", "lo", "m"))
+    part = cut(by_context.join(kinds, "h").select("h", "c", "kinds"))
+    discard(found, by_context)
+    return whole, part
 
 
 def context_key():
@@ -98,13 +109,14 @@ def context_key_of(h: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def equal_windows(windows: DataFrame, keep_first: bool = False) -> DataFrame:
-    """(tk, lo, m=1) of windows (tk, ord, lo, w, v) whose hashes (w, v) stand at another (an earlier) place too."""
-    place = F.struct("tk", "lo")
-    same = windows.groupBy("w", "v").agg(F.min(place).alias("p0"), F.max(place).alias("p1"), F.min(F.struct("ord", "tk", "lo")).alias("f")).filter("p0 <> p1")
-    found = windows.join(same.select("w", "v", F.col("f.tk").alias("ftk"), F.col("f.lo").alias("flo")), ["w", "v"])
+    """(tk, lo, m=1) of windows (tk, ord, lo, w, v; a table of ``cut``, used up) whose hashes (w, v) stand at another (an earlier) place too."""
+    same = windows.groupBy("w", "v").agg(*_places(keep_first)).filter("p0 <> p1").select("w", "v", *_first(keep_first))
+    found = windows.select("tk", "lo", "w", "v").join(same, ["w", "v"])
     if keep_first:
         found = found.filter("tk <> ftk or lo <> flo")
-    return found.select("tk", "lo", F.lit(1).alias("m"))
+    found = cut(found.select("tk", "lo", F.lit(1).alias("m")))
+    discard(windows)
+    return found
 
 
 def window_rows(docs: DataFrame, scan: Callable[[list[str]], tuple[np.ndarray, ...]]) -> DataFrame:

@@ -251,7 +251,6 @@ def _runs(docs: DataFrame, width: int, k: int, keep_first: bool, hot: int) -> li
         return owner, h, c, lo - b.begins[owner], m
 
     whole, part = repeats.split(cut(repeats.contexts(docs, scan)), keep_first)
-    part = cut(part)
     few, many = part.filter(F.col("kinds") <= hot), part.filter(F.col("kinds") > hot)
     key = repeats.context_key().alias("k")
     out = [whole]
