@@ -82,15 +82,21 @@ def _filled(kept: Column, other: Column) -> Column:
 
 
 def media_fold(items: Column) -> Column:
-    """(source, rank, media) after all of items, an array of (seq, rank, source, media) in order."""
+    """(source, rank, media, lost) after all of items, an array of (seq, rank, source, media) in order.
+
+    lost has the items that differ from a list which stood against them.
+    """
     empty = F.array().cast(f"array<{MEDIA_ITEM.simpleString()}>")
 
     def step(acc: Column, x: Column) -> Column:
         over = (F.size(acc["media"]) == 0) | (x["rank"] >= acc["rank"])
         media = F.when(over, _filled(x["media"], acc["media"])).otherwise(_filled(acc["media"], x["media"]))
-        return F.struct(F.when(over, x["source"]).otherwise(acc["source"]).alias("source"), F.when(over, x["rank"]).otherwise(acc["rank"]).alias("rank"), media.alias("media"))
+        note = F.struct(x["seq"].alias("seq"), acc["source"].alias("old_source"), F.to_json(acc["media"]).alias("old_value"), x["source"].alias("new_source"), F.to_json(x["media"]).alias("new_value"))
+        lost = F.when(~over & (x["media"] != acc["media"]), F.array_append(acc["lost"], note)).otherwise(acc["lost"])
+        return F.struct(F.when(over, x["source"]).otherwise(acc["source"]).alias("source"), F.when(over, x["rank"]).otherwise(acc["rank"]).alias("rank"), media.alias("media"), lost.alias("lost"))
 
-    start = F.struct(F.lit(None).cast("string").alias("source"), F.lit(0).alias("rank"), empty.alias("media"))
+    no_notes = F.array().cast("array<struct<seq:bigint,old_source:string,old_value:string,new_source:string,new_value:string>>")
+    start = F.struct(F.lit(None).cast("string").alias("source"), F.lit(0).alias("rank"), empty.alias("media"), no_notes.alias("lost"))
     return F.aggregate(items, start, step)
 
 
@@ -153,8 +159,10 @@ def merge(current: DataFrame, observations: DataFrame, logged: DataFrame | None
     })
 
     def won(field: str, ranks: dict[str, int] = SOURCE_RANK) -> list[Column]:
+        # a default without provenance has the lowest rank and stays without
         src, present = source_of(field), non_empty(F.col(field), kinds[field])
-        best = F.max(F.when(present, F.struct(rank_of(src, ranks).alias("r"), F.col("seq").alias("q"), src.alias("s"))))
+        named = F.when(is_state, F.col("was.field_sources")[field]).otherwise(F.col("source"))
+        best = F.max(F.when(present, F.struct(rank_of(src, ranks).alias("r"), F.col("seq").alias("q"), named.alias("s"))))
         return [winner(F.col(field), rank_of(src, ranks), F.col("seq"), present).alias(field), best.getField("s").alias(f"__s_{field}")]
 
     def latest(c: Column) -> Column:
@@ -223,13 +231,17 @@ def merge(current: DataFrame, observations: DataFrame, logged: DataFrame | None
     ).select(*DELETION.fieldNames())
 
     anomalies = None
-    for f in (*SCALARS, "content_html", "created_at_utc", "media"):
+    for f in (*SCALARS, "content_html", "created_at_utc"):
         ranks = CREATED_RANK if f == "created_at_utc" else SOURCE_RANK
         some = rows.withColumns({"__src": source_of(f), "__rank": rank_of(source_of(f), ranks)})
         lost = disagreements(some, ["ts_id"], f, "__src", "__rank", "seq", tolerance_s=2.0 if f == "created_at_utc" else None)
         note = F.concat(F.lit(f"{f}_disagreement:"), "ts_id", F.lit(":"), "old_source", F.lit("="), "old_value", F.lit(","), "new_source", F.lit("="), "new_value")
         lost = lost.select("ts_id", "seq", F.lit(f"{f}_disagreement").alias("code"), note.alias("detail"))
         anomalies = lost if anomalies is None else anomalies.unionByName(lost)
+    cut_to = lambda c: F.substring(c, 1, 60)
+    media = folded.select("ts_id", F.explode("__m.lost").alias("x"))
+    note = F.concat(F.lit("media_disagreement:"), "ts_id", F.lit(":"), "x.old_source", F.lit("="), cut_to("x.old_value"), F.lit(","), "x.new_source", F.lit("="), cut_to("x.new_value"))
+    anomalies = anomalies.unionByName(media.select("ts_id", F.col("x.seq").alias("seq"), F.lit("media_disagreement").alias("code"), note.alias("detail")))
     inverted = rows.filter(F.col("signal") & (F.col("__low_so_far") > F.col("__up_so_far"))).select("ts_id", "seq", F.lit("inverted_bounds").alias("code"), F.concat(F.lit("inverted_bounds:"), "ts_id").alias("detail"))
     back = rows.filter(~F.col("signal") & (F.col("source") == "primary") & (F.col("__status_before") == "deleted")).select("ts_id", "seq", F.lit("resurrected").alias("code"), F.concat(F.lit("resurrected:"), "ts_id").alias("detail"))
     return Merged(posts, events, anomalies.unionByName(inverted).unionByName(back))
