@@ -112,11 +112,11 @@ def attribute(docs: DataFrame, sections: Column | None = None, vocabulary: str |
     """(doc_id, section, start, end, n_tokens, n_crossing): a row for every section of every row of docs."""
     vocabulary = vocabulary or default_vocabulary()
     some = docs.select("doc_id", F.col("text").cast("string").alias("text"), *([] if sections is None else [sections.alias("sections")]))
-    kind = dict(some.dtypes)["doc_id"]
+    kind, named = dict(some.dtypes)["doc_id"], sections is not None
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         code = encoder(vocabulary)
-        given = batch.column("sections").to_pylist() if sections is not None else None
+        given = batch.column("sections").to_pylist() if named else None
         rows, parts = [], []
         for i, text in enumerate(texts_of(batch, "text")):
             if given is None:
