@@ -3,7 +3,7 @@
 Sets: distinct 5-word shingles (A-Z lower-cased) of whole texts; fewer words
 make one shingle of all; no words, no set.  Each of ``PERMUTATIONS`` hash
 functions is evaluated once per shingle and gives two values of the signature,
-the smallest and the largest, so 64 evaluations make 128 values.
+the smallest and the largest, so 128 evaluations make 256 values.
 
 1. Texts of equal sets are one node (a 128-bit digest of the set).
 2. ``BANDS`` bands of ``ROWS`` values each: nodes that share a band are in a
@@ -15,11 +15,13 @@ the smallest and the largest, so 64 evaluations make 128 values.
 4. What is left are pairs inside a bucket but in different components.  Those
    are not written out: blocks of a bucket meet in tasks that drop pairs which
    cannot be linked, by size, by the triangle inequality of the Jaccard
-   distance over the hub (exact distances), by the shingles that a set shares
+   distance over the hub (exact distances), by having met in an earlier band, by the shingles that a set shares
    with any other set at hand (no pair has more in common than the poorer of
    the two shares at all), and by a signature estimate more than five standard
-   errors below the threshold.  The rest is checked on full sets, and
-   components are formed again.
+   errors below the threshold.  Of what is left, the ``TRIALS`` most promising
+   pairs of two components in a task are checked on full sets first and
+   components formed again, for one link of two large components saves all
+   their other pairs; then all remaining pairs are checked.
 
 No bucket is capped: a large one meets itself block by block in many tasks.
 
@@ -39,16 +41,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.bits import bit_set
-from tidelog.llm.common import arrow_map, cut, in_slices, mix64, pair64, row_key, text_key, texts_of
+from tidelog.llm.common import arrow_map, cut, discard, mix64, pair64, row_key, text_key, texts_of
 from tidelog.llm.components import components
 from tidelog.llm.wordarrays import windows, words
 
 SHINGLE = 5
-PERMUTATIONS, BANDS, ROWS = 64, 16, 4
+PERMUTATIONS, BANDS, ROWS = 128, 16, 4
 PERCENT = 85
 #: Standard errors between the threshold and an estimate that rules a pair out.
 ERRORS = 5.0
 BLOCK = 1024
+TRIALS = 3
 
 _A = mix64(np.arange(PERMUTATIONS, dtype=np.uint64) + np.uint64(11)) | np.uint64(1)
 _B = mix64(np.arange(PERMUTATIONS, dtype=np.uint64) + np.uint64(1011))
@@ -157,9 +160,9 @@ def _checked(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return arrow_map(both, over, "a binary, b binary, similarity double, linked boolean", "ma", 8 << 20)
 
 
-def _least_estimate(percent: int) -> float:
+def _least_estimate(percent: int, values: int = 2 * PERMUTATIONS) -> float:
     j = percent / 100
-    return j - ERRORS * (j * (1 - j) / (2 * PERMUTATIONS)) ** 0.5
+    return j - ERRORS * (j * (1 - j) / values) ** 0.5
 
 
 def _bytes(column: pa.Array) -> np.ndarray:
@@ -167,11 +170,12 @@ def _bytes(column: pa.Array) -> np.ndarray:
 
 
 def _promising(edges: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Edges whose sizes and signatures leave a link possible."""
-    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
-    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
+    """Edges whose sizes and half signatures leave a link possible."""
+    half = F.substring("sig", 1, PERMUTATIONS)
+    a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), half.alias("sa"))
+    b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), half.alias("sb"))
     both = edges.join(a, "a").join(b, "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b", "sa", "sb")
-    least = _least_estimate(percent)
+    least = _least_estimate(percent, PERMUTATIONS)
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
         same = (_bytes(batch.column("sa")) == _bytes(batch.column("sb"))).mean(1)
@@ -210,14 +214,19 @@ def _shared(sets: DataFrame) -> DataFrame:
     return arrow_map(sets, count, "node binary, s bigint", "members")
 
 
-def _residual(members: DataFrame, percent: int, block: int) -> DataFrame:
-    """Distinct (a, b) that the bounds leave, from members (bucket, node, comp, n, s, sig, hub_similarity)."""
-    crowd = members.groupBy("bucket").agg(F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("bucket", "m")
-    some = members.join(crowd, "bucket").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
+def _residual(members: DataFrame, nodes: DataFrame, label: DataFrame, percent: int, block: int, trials: int | None) -> DataFrame:
+    """Distinct (a, b) that the bounds leave, from members (bucket, node, hub_similarity) and nodes (node, n, s, sig, bands).
+
+    With trials, so many for each two components in a task, those of the best
+    estimate.  Signatures are joined last, to members of buckets of several components.
+    """
+    placed = members.join(label, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
+    crowd = placed.groupBy("bucket").agg(F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("bucket", "m")
+    some = placed.join(crowd, "bucket").join(nodes, "node").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
     mine = F.pmod(F.hash("node"), F.col("blocks"))
     meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("mine"), o).alias("x"), F.greatest(F.col("mine"), o).alias("y")))
-    dealt = some.withColumn("mine", mine).select("bucket", "node", "comp", "n", "s", "sig", "hub_similarity", "mine", F.explode(meet).alias("p"))
-    dealt = dealt.select("bucket", F.col("p.x").alias("x"), F.col("p.y").alias("y"), "mine", "node", "comp", "n", "s", "sig", "hub_similarity")
+    dealt = some.withColumn("mine", mine).select("bucket", "node", "comp", "n", "s", "sig", "bands", "hub_similarity", "mine", F.explode(meet).alias("p"))
+    dealt = dealt.select("bucket", F.col("p.x").alias("x"), F.col("p.y").alias("y"), "mine", "node", "comp", "n", "s", "sig", "bands", "hub_similarity")
     dealt = dealt.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
     least, apart = _least_estimate(percent), 1 - percent / 100 + 1e-9
 
@@ -233,8 +242,20 @@ def _residual(members: DataFrame, percent: int, block: int) -> DataFrame:
         with np.errstate(invalid="ignore"):
             ok &= ~(np.abs(hub[i] - hub[j]) > apart)
         i, j = i[ok], j[ok]
-        kept = [np.flatnonzero((sig[i[k : k + 65536]] == sig[j[k : k + 65536]]).mean(1) >= least) + k for k in range(0, len(i), 65536)]
-        kept = np.concatenate(kept) if kept else np.zeros(0, np.int64)
+        lists = b.column("bands").combine_chunks() if isinstance(b, pa.Table) else b.column("bands")
+        bands, bucket = lists.flatten().to_numpy().reshape(len(lists), -1), b.column("bucket").to_numpy()
+        once = [bands[p, (bands[p] == bands[q]).argmax(1)] == bucket[p] for p, q in ((i[k : k + 65536], j[k : k + 65536]) for k in range(0, len(i), 65536))]
+        once = np.concatenate(once) if once else np.zeros(0, bool)
+        i, j = i[once], j[once]
+        near = np.concatenate([(sig[i[k : k + 65536]] == sig[j[k : k + 65536]]).mean(1) for k in range(0, len(i), 65536)]) if len(i) else np.zeros(0)
+        kept = np.flatnonzero(near >= least)
+        if trials is not None and len(kept):
+            x, y = comp[i[kept]], comp[j[kept]]
+            both = np.minimum(x, y) * (comp.max() + 1) + np.maximum(x, y)
+            order = np.lexsort((-near[kept], both))
+            new = np.append(True, both[order][1:] != both[order][:-1])
+            place = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+            kept = kept[order[place < trials]]
         nodes = b.column("node").to_pylist()
         pairs = {tuple(sorted((nodes[p], nodes[q]))) for p, q in zip(i[kept].tolist(), j[kept].tolist())}
         return pa.RecordBatch.from_arrays([pa.array([p for p, _ in pairs], pa.binary()), pa.array([q for _, q in pairs], pa.binary())], names=["a", "b"])
@@ -283,13 +304,14 @@ def near_duplicates(docs: DataFrame, *keep: str, percent: int = PERCENT, block:
     full = rows.filter(F.col("node").isNotNull())
     banded = full.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("bucket")
-    members = cut(banded.join(shared, "bucket").distinct())
-    sized = members.join(members.groupBy("bucket").agg(F.count("*").alias("m")), "bucket")
+    pairs = cut(banded.join(shared, "bucket").distinct())
+    sized = pairs.join(pairs.groupBy("bucket").agg(F.count("*").alias("m")), "bucket")
     weight = sized.groupBy("node").agg(F.sum("m").alias("w"))
-    hubs = members.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("w", "node")).alias("h")).select("bucket", F.col("h.node").alias("hub"))
-    members = cut(members.join(hubs, "bucket"))
+    hubs = pairs.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("w", "node")).alias("h")).select("bucket", F.col("h.node").alias("hub"))
+    members = cut(pairs.join(hubs, "bucket"))
+    discard(pairs)
     involved = members.select("node").distinct()
-    nodes = cut(full.join(involved, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.min("tk").alias("tk")))
+    nodes = cut(full.join(involved, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.min("tk").alias("tk")))
     stars = members.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     stars = cut(_promising(stars, nodes, percent))
     # a node without a promising edge cannot be linked by its hub, but may be by others: sets are kept for all involved
@@ -297,13 +319,22 @@ def near_duplicates(docs: DataFrame, *keep: str, percent: int = PERCENT, block:
     first = cut(_checked(stars, sets, percent))
     label = components(first.filter("linked").select("a", "b"))
     known = first.select(F.col("a").alias("node"), F.col("b").alias("hub"), F.col("similarity").alias("hub_similarity"))
-    placed = members.join(label, "node", "left").withColumn("comp", F.coalesce("label", "node")).join(nodes.select("node", "n", "sig"), "node")
-    placed = placed.join(known, ["node", "hub"], "left").withColumn("hub_similarity", F.when(F.col("node") == F.col("hub"), 1.0).otherwise(F.col("hub_similarity")))
     # a set that shares too little with all others has no link at all
-    placed = placed.join(cut(_shared(sets)), "node").filter(100 * F.col("s") >= percent * F.col("n"))
-    rest = cut(_residual(placed.select("bucket", "node", "comp", "n", "s", "sig", F.coalesce("hub_similarity", F.lit(float("nan"))).alias("hub_similarity")), percent, block))
-    second = _checked(rest, sets, percent)
-    label = components(first.unionByName(second).filter("linked").select("a", "b"))
+    fit = cut(nodes.select("node", "n", "sig", "bands").join(_shared(sets), "node").filter(100 * F.col("s") >= percent * F.col("n")))
+    sure = F.when(F.col("node") == F.col("hub"), 1.0).otherwise(F.coalesce("hub_similarity", F.lit(float("nan"))))
+    open_ = cut(members.join(fit.select("node"), "node", "left_semi").join(known, ["node", "hub"], "left").select("bucket", "node", sure.alias("hub_similarity")))
+    discard(members, stars)
+    linked = first.filter("linked").select("a", "b")
+    for trials in (TRIALS, None):
+        rest = cut(_residual(open_, fit, label, percent, block, trials))
+        if rest.isEmpty():
+            break
+        more = cut(_checked(rest, sets, percent).filter("linked").select("a", "b"))
+        discard(rest)
+        if not more.isEmpty():
+            linked = linked.unionByName(more)
+            label = components(linked)
+    discard(sets, open_, fit)
     least = full.groupBy("node").agg(F.min("doc_id").alias("least")).join(label, "node", "left").withColumn("comp", F.coalesce("label", "node"))
     named = least.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = least.select("node", "comp").join(named, "comp").select("node", "comp", "component_id")
