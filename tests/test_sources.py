@@ -41,7 +41,7 @@ def test_bulk_archive(spark, tmp_path):
 
 def card(number, handle="own", time="2026-07-01T00:00:00Z", body="<p>hi <b>there</b></p>", inner="", more=""):
     return (
-        f'<div class="status" data-status-url="https://www.trumpstruth.org/statuses/{number}"><a href="#" class="status-info__meta-item">@{handle}</a><time datetime="{time}">x</time>'
+        f'<div class="status" data-status-url="https://tracker.example/statuses/{number}"><a href="#" class="status-info__meta-item">@{handle}</a><time datetime="{time}">x</time>'
         f'<a href="https://truthsocial.com/@{handle}/11000000000000{number:04d}" class="status__external-link">o</a><div class="status__content">{body}</div>{more}{inner}</div>'
     )
 
@@ -63,7 +63,7 @@ def test_listing(spark):
 def test_status_page(spark):
     def page(rows, before=""):
         cells = "".join(f'<tr><td class="status-details-table__key"> {k} </td><td class="status-details-table__value"> {v} </td></tr>' for k, v in rows)
-        return f'<meta property="og:url" content="https://www.trumpstruth.org/statuses/77">{before}{card(5, "other")}<table>{cells}</table>'
+        return f'<meta property="og:url" content="https://tracker.example/statuses/77">{before}{card(5, "other")}<table>{cells}</table>'
 
     rows = [("TRUTH Social status ID", "<code>123</code>"), ("Original Post Date", "September 8, 2026, 9:10 PM EDT"), ("Capture Date", '<time datetime="2026-09-09T02:20:31Z">x</time>'), ("Removed from platform", "Yes, removed Sep 8, 2026, 10:20 PM EDT")]
     pages = spark.createDataFrame([("a", page(rows, '<div class="status__reblog-indicator">x</div>')), ("b", page([])), ("c", "x")], "url string, html string")
@@ -75,7 +75,7 @@ def test_status_page(spark):
 
 
 def test_search_feed_and_stats(spark, tmp_path):
-    hit = '<div class="search-result" data-status-url="https://www.trumpstruth.org/statuses/{n}"><a class="status-info__meta-item">@own</a>{badge}<time datetime="2026-07-01T00:00:00Z"></time><div class="snippet-clean-content">{s}</div></div>'
+    hit = '<div class="search-result" data-status-url="https://tracker.example/statuses/{n}"><a class="status-info__meta-item">@own</a>{badge}<time datetime="2026-07-01T00:00:00Z"></time><div class="snippet-clean-content">{s}</div></div>'
     html = '1,234 results<div class="search-page__results">' + hit.format(n=1, badge='<i class="status__deleted-badge"></i>', s="RT: https://truthsocial.com/users/bob/statuses/55 x") + hit.format(n=2, badge="", s="RT @ownX") + '</div><a href="/search?a=1&amp;cursor=abc">Next Page</a>'
     pages = spark.createDataFrame([("a", html), ("b", '<p class="search-page__heading-meta">4 results</p>'), ("c", "x")], "url string, html string")
     found = tracker_html.search_results(pages, "own").collect()

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.functions.texts import html_to_text, page_parameter, snippet_repost
+from tidelog.functions.texts import PLATFORM, html_to_text, page_parameter, snippet_repost
 from tidelog.functions.times import parse_eastern_text, parse_instant
 from tidelog.schema import MEDIA_ITEM
 
@@ -91,7 +91,7 @@ def _media(card: Node, inside) -> list[dict]:
         if n.has("status-attachment--image"):
             link, image = n.find(lambda x: x.tag == "a"), n.find(lambda x: x.tag == "img")
             source = image.attrs.get("src") if image else None
-            own = bool(source and "truthsocial.com" in source)
+            own = bool(source and re.search(PLATFORM, source))
             item |= {"type": "image", "url": source if own else None, "preview_url": None if own else source, "mirror_url": (link.attrs.get("href") or None) if link else None}
         elif n.has("status-attachment--video") and (video := n.find(lambda x: x.tag == "video")):
             item |= {"type": "video", "url": video.attrs.get("src") or None, "mirror_url": video.attrs.get("poster") or None}
@@ -111,7 +111,7 @@ def _card(tree: _Tree, card: Node, deep: bool = True) -> dict:
     handle = card.find(lambda n: n.has("status-info__meta-item") and tree.inner(n).startswith("@"), own)
     time = card.find(lambda n: n.tag == "time" and n.attrs.get("datetime"), own)
     link = card.find(lambda n: n.has("status__external-link"), own)
-    ids = re.search(r"truthsocial\.com/@([A-Za-z0-9_]+)/(\d+)", (link.attrs.get("href") or "") if link else "")
+    ids = re.search(PLATFORM + r"/@([A-Za-z0-9_]+)/(\d+)", (link.attrs.get("href") or "") if link else "")
     nested = card.find(_is_status, own) if deep else None
     return {
         "account": tree.inner(handle)[1:] if handle else None, "ts_id": ids[2] if ids else None, "created": time.attrs["datetime"] if time else None,
