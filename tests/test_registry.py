@@ -23,7 +23,7 @@ def duck():
 
 
 def cell(x):
-    if x is None or (isinstance(x, float) and math.isnan(x)) or x is pd.NaT:
+    if x is None or x is pd.NaT or x is pd.NA or (isinstance(x, float) and math.isnan(x)):
         return None
     if isinstance(x, float):
         return round(x, 6)
