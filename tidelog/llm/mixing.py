@@ -31,8 +31,8 @@ from tidelog.llm.common import BLANKS
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_EPOCHS = 2
-#: Key ranges a source is dealt into; a range of a source of 10^9 documents has about 250,000.
-RANGES = 1 << 12
+#: Hexadecimal digits of the key that name a range: 4,096 ranges, about 250,000 documents each of a source of 10^9.
+DIGITS = 3
 
 
 def n_words(text: Column) -> Column:
@@ -63,15 +63,15 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return found.select("source", "source_size", F.when(F.col("__level").isNull(), cap.cast("double")).otherwise(F.least(F.col("__water") * F.col("__w"), cap.cast("double"))).alias("target"))
 
 
-def take(docs: DataFrame, *keep: str, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_EPOCHS, seed: int = 0, ranges: int = RANGES) -> DataFrame:
+def take(docs: DataFrame, *keep: str, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST_EPOCHS, seed: int = 0) -> DataFrame:
     """Per row: keep..., size, source_size, target, taken (words, repeats counted)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     sized = docs.select(
         *keep,
         F.col("source").alias("__source"),
         n_words(F.col("text")).alias("size"),
-        F.xxhash64(F.lit(seed), F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), text))).alias("__key"),
-    ).withColumn("__range", F.pmod(F.shiftrightunsigned("__key", 40), F.lit(ranges)).cast("int"))
+        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), text)).alias("__key"),
+    ).withColumn("__range", F.conv(F.substring("__key", 1, DIGITS), 16, 10).cast("int"))
     by_range = sized.groupBy("__source", "__range").agg(F.sum("size").alias("__in"))
     per_source = by_range.groupBy("__source").agg(F.sum("__in").alias("source_size")).withColumnRenamed("__source", "source")
     goal = targets(per_source, weights, share, most).withColumnRenamed("source", "__s")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import block_repeats, fingerprints, html_text, licenses, minhash, mixing, packing, quality, suffix_repeats, tokens
+from tidelog.llm import block_repeats, fingerprints, html_text, licenses, minhash, mixing, oracles, packing, quality, suffix_repeats, tokens
 from tidelog.llm.common import documents
 
 
@@ -55,4 +55,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
