@@ -113,6 +113,17 @@ def test_html(spark):
     assert found[7]["text"] == "deep" and all(r["n_chars"] == len(r["text"]) for r in found.values())
 
 
+@pytest.mark.parametrize("page, text", [
+    ('<body><div class="content has-sidebar"><p>All of the text there is.</p></div>', "All of the text there is."),
+    ('<body><div class="sidebar"><p>All of the text there is.</p></div>', "All of the text there is."),
+    ('<article><header class="entry-header"><h1>Title</h1></header><p>Body text of it.</p><footer>tags</footer></article>', "Title\nBody text of it."),
+    ('<body><header><p>Site name</p></header><div class="page-header">Slogan</div><main><p>Body text of it.</p></main>', "Body text of it."),
+    ('<body><article><p>One, a first part.</p><div role=alert>note</div><p>Two, a second&nbsp; part.</p></article><article class="comment"><p>me too</p></article>', "One, a first part.\nTwo, a second part."),
+])
+def test_html_blocks(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_quality(docs, rows):
     found = quality.score(docs)
     want = []

@@ -65,10 +65,13 @@ CUT_TAGS = frozenset("nav footer aside form button select input label fieldset s
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist".split())
 CUT_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adbox|adslot|banner\w*|sponsor\w*|promo\w*|navs?|navbar|navigation|menus?|breadcrumbs?|topbar|masthead|"
-    r"headers?|footers?|sidebars?|side|widgets?|comments?|commentlist|respond|disqus\w*|replies|share|sharing|social\w*|related\w*|recommend\w*|"
+    r"footers?|sidebars?|side|comments?|commentlist|respond|disqus\w*|replies|share|sharing|social\w*|related\w*|recommend\w*|"
     r"newsletter\w*|subscribe\w*|subscription|signup|login|cookies?|consent|gdpr|notices?|notifications?|alerts?|popups?|modals?|overlay|toolbar|pagination|pager|"
     r"skip|copyright|legal|disclaimer|outbrain|taboola)(?=$|[\s_-])"
 )
+HEADER_NAMES = re.compile(r"(?:^|[\s_-])headers?(?=$|[\s_-])|(?:^|\s)widgets?(?=$|\s)")
+#: Names that say what a block has or lacks, not what it is.
+STATES = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without|show|hide|is|js)[-_][\w-]+")
 KEEP_TAGS = frozenset(["article", "main", "body", "html"])
 
 _TAG = re.compile(r"""<(?:(?P<c>!--)|(?P<d>[!?][^>]*>?)|(?P<e>/?)(?P<n>[a-zA-Z][^\s/>]*)(?P<a>(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*(?:>|\Z)))""")
@@ -76,8 +79,8 @@ _ATTR = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden|aria-hidden|style|item
 _RAW_END = {n: re.compile(rf"</{n}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for n in RAW}
 
 
-def _is_cut(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
-    """(no main text, marks main text)."""
+def _is_cut(name: str, attributes: str, in_article: bool, by_name: bool) -> tuple[bool, bool]:
+    """(no main text, marks main text).  A header inside an article is the article's own."""
     if name in CUT_TAGS:
         return True, False
     role = names = ""
@@ -100,13 +103,17 @@ def _is_cut(name: str, attributes: str, in_article: bool) -> tuple[bool, bool]:
     if name == "header" and not in_article:
         return True, False
     main |= role in ("main", "article")
-    return name not in KEEP_TAGS and bool(names and CUT_NAMES.search(names)), main
+    if not by_name or not names or name in KEEP_TAGS:
+        return False, main
+    names = STATES.sub("", names)
+    return bool(CUT_NAMES.search(names) or not in_article and HEADER_NAMES.search(names)), main
 
 
 class _Page:
     """The DOM as parallel lists: a node's parent stands before it."""
 
-    def __init__(self, source: str) -> None:
+    def __init__(self, source: str, by_name: bool = True) -> None:
+        self.by_name = by_name
         self.name, self.parent, self.main, self.link = ["#root"], [-1], [False], [False]
         self.chars: list[int] = [0]
         #: (node, text) and (node, None) where a block begins or ends
@@ -153,7 +160,7 @@ class _Page:
                 self._close(stack, *ENDS[name])
             if cut_at and len(stack) < cut_at:
                 cut_at = 0
-            cut, main = (True, False) if cut_at else _is_cut(name, m["a"], in_article > 0)
+            cut, main = (True, False) if cut_at else _is_cut(name, m["a"], in_article > 0, self.by_name)
             if name in VOID:
                 if not cut and name == "hr":
                     self.flow.append((stack[-1], None))
@@ -249,8 +256,8 @@ class _Page:
 
 
 def main_text(source: str | None) -> str:
-    """The main text of one page."""
-    return _Page(source).main_text() if source else ""
+    """The main text of one page.  Where names of blocks leave no text, they are not believed."""
+    return _Page(source).main_text() or _Page(source, False).main_text() if source else ""
 
 
 def extract(pages: DataFrame) -> DataFrame:
