@@ -91,11 +91,11 @@ def remove(docs: DataFrame, *keep: str, width: int = WIDTH, block: int = BLOCK)
     part = repeats.cut(part.select(repeats.context_key().alias("k")))
     open_ = bit_set(part, "k", part.count())
 
-    def each(texts: list[str]) -> tuple[np.ndarray, ...]:
+    def each(texts: list[str], tk: pa.Array) -> tuple[np.ndarray, ...]:
         w, h, at = _blocks(texts, block)
         ok = twice.maybe(h)
         owner, h, c, lo, m = _contexts(w, at[ok], h[ok], width, block)
-        some = open_.maybe(repeats.context_key_of(h, c))
+        some = open_.maybe(repeats.context_key_of(h, c, repeats.places(tk, owner, lo)))
         run = windows(w.hash, width)
         flag = np.zeros(len(run) + 1, np.int64)
         start = lo[some] + w.first[owner[some]]

@@ -7,8 +7,8 @@ equal places, so a repeated window shows as
 
 * two places of one (h, c): the whole contexts are equal, all their windows
   repeat ("whole"), or
-* several c under one h: the contexts differ somewhere; one place of each is
-  looked at window by window ("part").
+* several c under one h: the contexts differ somewhere; one place of each, its
+  representative, is looked at window by window ("part").
 
 Anchors seen once are nearly all of them.  They are never shuffled: a first
 pass counts anchor hashes, a bit set of the repeated ones goes to the tasks
@@ -35,15 +35,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.bits import BitSet, bit_set
-from tidelog.llm.common import arrow_map, cut, discard, text_key, texts_of
+from tidelog.llm.common import arrow_map, cut, discard, mix64, text_key, texts_of
 
 #: Given texts: arrays (text number, anchor hash, context hash, lo, m) of all anchors.
 Scan = Callable[[list[str]], tuple[np.ndarray, ...]]
 
-CONTEXT = "tk binary, ord bigint, h bigint, c bigint, lo int, m int"
+CONTEXT = "tk binary, ord bigint, h bigint, c bigint, lo int, m int, p bigint"
 LAST = (1 << 63) - 1
 
 
+def places(tk: pa.Array, owner: np.ndarray, lo: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of (text, start)."""
+    head = np.frombuffer(b"".join(tk.to_pylist()), np.uint64)[::2] if len(tk) else np.zeros(0, np.uint64)
+    return mix64(head[owner] + mix64(lo.astype(np.uint64) + np.uint64(1)))
+
+
 def keyed(docs: DataFrame, *keep: str) -> DataFrame:
     order = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("ord")
     return docs.select(*keep, text_key(F.col("text")).alias("tk"), order, F.col("text").cast("string").alias("text"))
@@ -66,51 +72,49 @@ def contexts(docs: DataFrame, scan: Scan) -> DataFrame:
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner, h, c, lo, m = scan(texts_of(batch, "text"))
         return pa.RecordBatch.from_arrays(
-            [batch.column("tk").take(pa.array(owner)), batch.column("ord").take(pa.array(owner)), pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(lo.astype(np.int32)), pa.array(m.astype(np.int32))],
-            names=["tk", "ord", "h", "c", "lo", "m"],
+            [batch.column("tk").take(pa.array(owner)), batch.column("ord").take(pa.array(owner)), pa.array(h.view(np.int64)), pa.array(c.view(np.int64)), pa.array(lo.astype(np.int32)), pa.array(m.astype(np.int32)), pa.array(places(batch.column("tk"), owner, lo).view(np.int64))],
+            names=["tk", "ord", "h", "c", "lo", "m", "p"],
         )
 
     return arrow_map(keyed(docs), over, CONTEXT, "text", 1 << 19)
 
 
-def _places(keep_first: bool) -> list:
-    """Whether a group has two places, by the extremes of a 64-bit hash of them; its first place if asked for."""
-    place = F.xxhash64("tk", "lo")
-    return [F.min(place).alias("p0"), F.max(place).alias("p1")] + ([F.min(F.struct("ord", "tk", "lo")).alias("f")] if keep_first else [])
-
-
-def _first(keep_first: bool) -> list:
-    return [F.col("f.tk").alias("ftk"), F.col("f.lo").alias("flo")] if keep_first else []
-
-
 def split(found: DataFrame, keep_first: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(whole, part) of contexts found (a table of ``cut``, used up): (tk, lo, m) whose windows all repeat; (h, c, kinds) still to be looked at.
+    """(whole, part) of contexts found (a table of ``cut``, used up): (tk, lo, m) whose windows all repeat; (h, c, rep, kinds) still to be looked at.
 
-    kinds is the number of distinct contexts of h.  Both come from one grouping by (h, c), combined map-side.
+    rep is the place hash of the representative (the first place, if asked
+    for), kinds the number of distinct contexts of h.  Both come from one grouping by (h, c), combined map-side.
     """
-    by_context = cut(found.groupBy("h", "c").agg(*_places(keep_first)).select("h", "c", (F.col("p0") != F.col("p1")).alias("twice"), *_first(keep_first)))
+    first = F.struct("ord", "tk", "lo")
+    rep = [F.min_by("p", first).alias("rep"), F.min(first).alias("f")] if keep_first else [F.min("p").alias("rep")]
+    more = [F.col("f.tk").alias("ftk"), F.col("f.lo").alias("flo")] if keep_first else []
+    by_context = cut(found.groupBy("h", "c").agg(F.min("p").alias("p0"), F.max("p").alias("p1"), *rep).select("h", "c", "rep", (F.col("p0") != F.col("p1")).alias("twice"), *more))
     kinds = by_context.groupBy("h").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    whole = found.join(by_context.filter("twice").drop("twice"), ["h", "c"])
+    whole = found.join(by_context.filter("twice").drop("twice", "rep"), ["h", "c"])
     if keep_first:
         whole = whole.filter("tk <> ftk or lo <> flo")
     whole = cut(whole.select("tk", "lo", "m"))
-    part = cut(by_context.join(kinds, "h").select("h", "c", "kinds"))
+    part = cut(by_context.join(kinds, "h").select("h", "c", "rep", "kinds"))
     discard(found, by_context)
     return whole, part
 
 
 def context_key():
-    """One 64-bit hash of (h, c), the same in Spark and in numpy."""
-    return F.col("h").bitwiseXOR(F.call_function("shiftleft", F.col("c"), F.lit(1))).bitwiseXOR(F.call_function("shiftrightunsigned", F.col("c"), F.lit(17)))
+    """One 64-bit hash of (h, c, rep), the same in Spark and in numpy."""
+    c = F.col("c")
+    return F.col("h").bitwiseXOR(F.call_function("shiftleft", c, F.lit(1))).bitwiseXOR(F.call_function("shiftrightunsigned", c, F.lit(17))).bitwiseXOR(F.col("rep"))
 
 
-def context_key_of(h: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return h ^ (c << np.uint64(1)) ^ (c >> np.uint64(17))
+def context_key_of(h: np.ndarray, c: np.ndarray, p: np.ndarray) -> np.ndarray:
+    return h ^ (c << np.uint64(1)) ^ (c >> np.uint64(17)) ^ p
 
 
 def equal_windows(windows: DataFrame, keep_first: bool = False) -> DataFrame:
     """(tk, lo, m=1) of windows (tk, ord, lo, w, v; a table of ``cut``, used up) whose hashes (w, v) stand at another (an earlier) place too."""
-    same = windows.groupBy("w", "v").agg(*_places(keep_first)).filter("p0 <> p1").select("w", "v", *_first(keep_first))
+    place = F.xxhash64("tk", "lo")
+    first = [F.min(F.struct("ord", "tk", "lo")).alias("f")] if keep_first else []
+    more = [F.col("f.tk").alias("ftk"), F.col("f.lo").alias("flo")] if keep_first else []
+    same = windows.groupBy("w", "v").agg(F.min(place).alias("p0"), F.max(place).alias("p1"), *first).filter("p0 <> p1").select("w", "v", *more)
     found = windows.select("tk", "lo", "w", "v").join(same, ["w", "v"])
     if keep_first:
         found = found.filter("tk <> ftk or lo <> flo")
@@ -119,11 +123,11 @@ def equal_windows(windows: DataFrame, keep_first: bool = False) -> DataFrame:
     return found
 
 
-def window_rows(docs: DataFrame, scan: Callable[[list[str]], tuple[np.ndarray, ...]]) -> DataFrame:
-    """(tk, ord, lo, w, v) from scan's (text number, lo, w, v)."""
+def window_rows(docs: DataFrame, scan: Callable[[list[str], pa.Array], tuple[np.ndarray, ...]]) -> DataFrame:
+    """(tk, ord, lo, w, v) from scan's (text number, lo, w, v); scan gets texts and digests."""
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owner, lo, w, v = scan(texts_of(batch, "text"))
+        owner, lo, w, v = scan(texts_of(batch, "text"), batch.column("tk"))
         return pa.RecordBatch.from_arrays(
             [batch.column("tk").take(pa.array(owner)), batch.column("ord").take(pa.array(owner)), pa.array(lo.astype(np.int32)), pa.array(w.view(np.int64)), pa.array(v.view(np.int64))],
             names=["tk", "ord", "lo", "w", "v"],

@@ -260,7 +260,7 @@ def _runs(docs: DataFrame, width: int, k: int, keep_first: bool, hot: int) -> li
 
         def write(batch: pa.RecordBatch) -> pa.RecordBatch:
             b, (owner, h, _, lo, m), c = some(texts_of(batch, "text"))
-            ok = open_.maybe(repeats.context_key_of(h, c))
+            ok = open_.maybe(repeats.context_key_of(h, c, repeats.places(batch.column("tk"), owner, lo - b.begins[owner])))
             owner, h, c, lo, m = owner[ok], h[ok], c[ok], lo[ok], m[ok]
             raw = b.data.tobytes()
             return pa.RecordBatch.from_arrays(
@@ -278,9 +278,9 @@ def _runs(docs: DataFrame, width: int, k: int, keep_first: bool, hot: int) -> li
     if n_many:
         crowd = bit_set(many.select(key), "k", n_many)
 
-        def each(texts: list[str]) -> tuple[np.ndarray, ...]:
+        def each(texts: list[str], tk: pa.Array) -> tuple[np.ndarray, ...]:
             b, (owner, h, _, lo, m), c = some(texts)
-            ok = crowd.maybe(repeats.context_key_of(h, c))
+            ok = crowd.maybe(repeats.context_key_of(h, c, repeats.places(tk, owner, lo - b.begins[owner])))
             owner, lo, m = owner[ok], lo[ok], m[ok]
             at = np.repeat(lo, m) + np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
             owner = np.repeat(owner, m)
