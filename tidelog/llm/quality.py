@@ -31,6 +31,8 @@ MIN_ROWS = 30
 SPREADS = 3.0
 #: Items that a sketch holds: groups below it have exact quantiles.
 SKETCH_K = 4096
+#: Parts that the rows of one (lang, source) are dealt into where they meet their fences.
+SALTS = 32
 #: The least distance of a fence from q75, by rate.
 LEAST = {"symbol_rate": 0.04, "dup_line_rate": 0.4, "repeat_rate": 0.35, "word_length": 2.0}
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -135,7 +137,10 @@ def fences(counted: DataFrame, min_rows: int = MIN_ROWS, k: int = SKETCH_K) -> D
 
 def _judged(counted: DataFrame, min_rows: int) -> DataFrame:
     limits = fences(counted.select("lang", "source", *COUNTS, "n_lines"), min_rows).withColumnsRenamed({"lang": "__lang", "source": "__source"})
-    both = counted.join(limits, counted["lang"].eqNullSafe(limits["__lang"]) & counted["source"].eqNullSafe(limits["__source"]), "left")
+    # a row for each group and salt, so that a source with a third of all rows is no one task's
+    limits = limits.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = counted.withColumn("__salt", F.pmod(F.xxhash64(*counted.columns), F.lit(SALTS)).cast("int"))
+    both = dealt.join(limits, (dealt["__salt"] == limits["__part"]) & dealt["lang"].eqNullSafe(limits["__lang"]) & dealt["source"].eqNullSafe(limits["__source"]), "left")
     within = F.lit(True)
     for n, rate in _rates().items():
         within = within & F.coalesce(rate <= F.col(f"f_{n}"), F.lit(True))
