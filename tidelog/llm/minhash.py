@@ -311,7 +311,9 @@ def near_duplicates(docs: DataFrame, *keep: str, percent: int = PERCENT, block:
     members = cut(pairs.join(hubs, "bucket"))
     discard(pairs)
     involved = members.select("node").distinct()
-    nodes = cut(full.join(involved, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.min("tk").alias("tk")))
+    # copies of a set are combined map-side before they meet
+    once = full.groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.min("tk").alias("tk"))
+    nodes = cut(once.join(involved, "node", "left_semi"))
     stars = members.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     stars = cut(_promising(stars, nodes, percent))
     # a node without a promising edge cannot be linked by its hub, but may be by others: sets are kept for all involved
