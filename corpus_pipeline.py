@@ -5,7 +5,8 @@ kept; its output is written as Parquet and read again.  All stages but the last
 return the columns of documents:
 
 1. quality_rules: rejected documents go.
-2. near_dedup: one document of each near-duplicate group stays.
+2. near_dedup: one document of each near-duplicate group stays; sets of 5-word
+   shingles at a similarity of 0.80 or more are linked.
 3. suffix_dedup: later copies of 200-byte strings are cut out of the texts, the
    first copy stays; a text of which nothing is left goes.
 4. source_mix: documents appear as often as the mix takes them, 0 to 2 times.
@@ -20,12 +21,15 @@ from tidelog.llm import minhash, mixing, packing, quality, suffix_repeats
 from tidelog.llm.common import cut, documents
 
 
+NEAR_PERCENT = 80
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.keep_one(docs)
+    return minhash.keep_one(docs, NEAR_PERCENT)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 from tests.llm import brute
+from tidelog.llm import minhash
 
 
 def test_stages(spark, docs, rows):
@@ -26,3 +27,21 @@ def test_stages(spark, docs, rows):
 def test_run(spark, tmp_path):
     spark.createDataFrame([(1, "a b c " * 40, "en", "s", 240)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).columns[0] == "doc_id"
+
+
+def test_near_dedup_threshold(spark):
+    """Copies on both sides of 0.80: the stage keeps as many rows as brute force at 80 has groups; op7 stays at 85."""
+    rows = []
+    for k in range(30):
+        base = [f"w{k}x{i}" for i in range(100)]
+        rows.append((2 * k, " ".join(base)))
+        changed = [5, 50][: 1 + k % 2] if k % 3 else [10 * i for i in range(1, 4)]
+        rows.append((2 * k + 1, " ".join("new" if i in changed else w for i, w in enumerate(base))))
+    sets = [brute.shingles(t) for _, t in rows]
+    share = [len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, len(rows), 2)]
+    near = {p: sum(100 * x >= p for x in share) for p in (80, 85)}
+    assert 0 < near[85] < near[80] < len(share)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert corpus_pipeline.near_dedup(spark, df, "").count() == len(rows) - near[80]
+    assert minhash.keep_one(df).count() == len(rows) - near[85]
+    assert (1 - 0.80**minhash.ROWS) ** minhash.bands_for(80) < minhash.MISS and minhash.bands_for(85) == minhash.BANDS

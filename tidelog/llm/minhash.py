@@ -8,7 +8,8 @@ the smallest and the largest, so 128 evaluations make 256 values.
 1. Texts of equal sets are one node (a 128-bit digest of the set).
 2. ``BANDS`` bands of ``ROWS`` values each: nodes that share a band are in a
    bucket.  At a similarity of 0.85 a pair misses all buckets with probability
-   (1 - 0.85^4)^16, under 10^-5.
+   (1 - 0.85^4)^16, under 10^-5.  A lower threshold takes as many bands as keep
+   its pairs under that too (22 at 0.80), from the same signature.
 3. Every bucket's hub is its member with the most company over all bands, as
    an original is among its copies.  Members are linked to their hub where the
    exact check on full sets says so, and linked nodes form components.
@@ -33,6 +34,7 @@ result.  An empty table gives an empty result.  Other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +50,8 @@ from tidelog.llm.wordarrays import windows, words
 SHINGLE = 5
 PERMUTATIONS, BANDS, ROWS = 128, 16, 4
 PERCENT = 85
+#: Probability at most that a pair at the threshold shares no bucket.
+MISS = 1e-5
 #: Standard errors between the threshold and an estimate that rules a pair out.
 ERRORS = 5.0
 BLOCK = 1024
@@ -101,7 +105,12 @@ def _digest(value: np.ndarray, starts: np.ndarray) -> list[bytes]:
     return [x.tobytes() for x in both]
 
 
-def _describe(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+def bands_for(percent: int) -> int:
+    """Bands, ``BANDS`` at least, by which a pair at the threshold misses all buckets with a probability under ``MISS``, as far as the signature goes."""
+    return min(max(BANDS, math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** ROWS)))), 2 * PERMUTATIONS // ROWS)
+
+
+def _describe(docs: DataFrame, keep: tuple[str, ...], n_bands: int = BANDS) -> DataFrame:
     """(keep..., tk, n, node, sig, bands) of every row; node, sig and bands null for an empty set."""
     some = docs.select(*keep, text_key(F.col("text")).alias("tk"), F.col("text").cast("string").alias("text"))
 
@@ -110,11 +119,11 @@ def _describe(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
         sizes = np.diff(first)
         full = np.flatnonzero(sizes > 0)
         sig = signatures(value, first)
-        bands = [mix64(windows(sig[:, b * ROWS : (b + 1) * ROWS].reshape(-1), ROWS)[::ROWS] + np.uint64(b)) for b in range(BANDS)] if len(full) else []
-        bands = np.stack(bands, 1).view(np.int64) if len(full) else np.zeros((0, BANDS), np.int64)
+        bands = [mix64(windows(sig[:, b * ROWS : (b + 1) * ROWS].reshape(-1), ROWS)[::ROWS] + np.uint64(b)) for b in range(n_bands)] if len(full) else []
+        bands = np.stack(bands, 1).view(np.int64) if len(full) else np.zeros((0, n_bands), np.int64)
         where = pa.array(np.where(sizes > 0, np.cumsum(sizes > 0) - 1, 0), mask=sizes == 0)
         short = (sig >> np.uint64(17)).astype(np.uint8)
-        made = [pa.array(_digest(value, first[:-1][full]), pa.binary()), pa.array([x.tobytes() for x in short], pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1) * BANDS, pa.int32()), pa.array(bands.reshape(-1)))]
+        made = [pa.array(_digest(value, first[:-1][full]), pa.binary()), pa.array([x.tobytes() for x in short], pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1) * n_bands, pa.int32()), pa.array(bands.reshape(-1)))]
         return pa.RecordBatch.from_arrays(
             [*[batch.column(k) for k in keep], batch.column("tk"), pa.array(sizes.astype(np.int64)), *[x.take(where) for x in made]],
             names=[*keep, "tk", "n", "node", "sig", "bands"],
@@ -300,7 +309,7 @@ def near_duplicates(docs: DataFrame, *keep: str, percent: int = PERCENT, block:
     component and is null for a row without a set.
     """
     keep = keep or ("doc_id",)
-    rows = cut(_describe(docs, keep))
+    rows = cut(_describe(docs, keep, bands_for(percent)))
     full = rows.filter(F.col("node").isNotNull())
     banded = full.select("node", F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("bucket")
@@ -351,11 +360,11 @@ def classes(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of docs, all their columns: one of each component, of the smallest doc_id; rows without a set all stay."""
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Rows of docs, all their columns: one of each component at percent, of the smallest doc_id; rows without a set all stay."""
     key = row_key(F.col("doc_id"), F.col("text"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    found = cut(near_duplicates(docs.select("doc_id", "text", key.alias("__key")), "doc_id", "__key"))
+    found = cut(near_duplicates(docs.select("doc_id", "text", key.alias("__key")), "doc_id", "__key", percent=percent))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__key"))
     stay = found.filter(F.col("comp").isNotNull()).groupBy("comp").agg(first.alias("f")).select(F.col("f.__key").alias("__key"), F.lit(True).alias("__one"))
     stay = stay.unionByName(found.filter(F.col("comp").isNull()).select("__key", F.lit(False).alias("__one")).distinct())
