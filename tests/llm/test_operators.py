@@ -1,6 +1,7 @@
 """Each operator against a plain version, over a table that holds every odd case, and over an empty one."""
 
 import collections
+import random
 import zlib
 
 import numpy as np
@@ -301,6 +302,18 @@ def test_likeness():
     assert np.array_equal(back[0], one[0]) and np.array_equal(back[1], one[1])
 
 
+def test_likeness_of_long_texts(spark):
+    """Two texts of 20 KB that share 300 bytes: all anchors are compared, the stored fingerprints stay short."""
+    r = random.Random(3)
+    letters = lambda n: "".join(r.choice("abcdefghij klmnop") for _ in range(n))
+    shared = letters(300)
+    a, b = (letters(10000) + shared + letters(10000) for _ in range(2))
+    found = {x["doc_id"]: x for x in fingerprints.with_edits(spark.createDataFrame([(2, a), (1, b)], "doc_id long, text string")).collect()}
+    assert 0.008 < found[2]["near_next"] < 0.022
+    assert abs(found[2]["near_edited"] - 2 / 3) < 0.02 and abs(found[1]["near_edited"] - 2 / 3) < 0.02
+    assert found[2]["fingerprint"] == fingerprints.to_text(fingerprints.sketches([a])[0]) and len(found[2]["fingerprint"].split()) == 2 * fingerprints.SIZE
+
+
 def test_empty_tables(nothing):
     frames = [
         tokens.attribute(nothing), suffix_repeats.remove(nothing), licenses.scan(nothing), quality.score(nothing), packing.pack(nothing), minhash.classes(nothing), mixing.take(nothing, "doc_id"),

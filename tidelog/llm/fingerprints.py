@@ -8,10 +8,11 @@ keeps the ``SIZE`` anchors of the smallest hashes, each with its (first) place:
 an anchor, or shorter than k, has one anchor for the whole of it; an empty text
 has the empty fingerprint.
 
-Likeness: of the SIZE smallest anchors of both together, those in both and in
-the same order in both (the longest increasing run of places) are common; with
-J their share, likeness is 2J / (1 + J), which is near the share of text in
-common.  Two empty fingerprints are alike (1), an empty and another are not (0).
+Likeness: of the anchors of both together, those in both and in the same order
+in both (the longest increasing run of places) are common; with J their share,
+likeness is 2J / (1 + J), which is near the share of text in common.  Of two
+fingerprints it sees the SIZE smallest of both; ``with_edits`` has the texts at
+hand and takes all their anchors.  Two empty fingerprints are alike (1), an empty and another are not (0).
 
 ``fingerprint`` works row by row.  ``with_edits`` also looks at the next
 document in descending doc_id (null last, ties by the text's digest; after the
@@ -62,8 +63,8 @@ def byte_hashes(data: np.ndarray, *widths: int) -> list[np.ndarray]:
     return out
 
 
-def sketches(texts: list[str], k: int = K, s: int = S, size: int = SIZE) -> list[Sketch]:
-    """The ``size`` smallest anchors of each text."""
+def sketches(texts: list[str], k: int = K, s: int = S, size: int | None = SIZE) -> list[Sketch]:
+    """The ``size`` smallest anchors of each text; all without a size."""
     parts = [t.encode() for t in texts]
     data = np.frombuffer(b"".join(parts), np.uint8)
     lengths = np.array([len(p) for p in parts], np.int64)
@@ -87,7 +88,7 @@ def sketches(texts: list[str], k: int = K, s: int = S, size: int = SIZE) -> list
         at, owner, value = at[fresh], owner[fresh], value[fresh]
         bounds = np.searchsorted(owner, np.arange(len(parts) + 1))
         for i in np.nonzero(np.diff(bounds))[0].tolist():
-            a, b = bounds[i], min(bounds[i + 1], bounds[i] + size)
+            a, b = bounds[i], bounds[i + 1] if size is None else min(bounds[i + 1], bounds[i] + size)
             found[i] = value[a:b], at[a:b] - (ends[i] - lengths[i])
     for i, p in enumerate(parts):
         if p and not len(found[i][0]):
@@ -96,6 +97,7 @@ def sketches(texts: list[str], k: int = K, s: int = S, size: int = SIZE) -> list
 
 
 def to_text(sketch: Sketch) -> str:
+    sketch = sketch[0][:SIZE], sketch[1][:SIZE]
     order = np.argsort(sketch[1], kind="stable")
     return " ".join([f"{h:08x} {p:x}" for h, p in zip(sketch[0][order].tolist(), sketch[1][order].tolist())])
 
@@ -107,17 +109,19 @@ def from_text(fingerprint: str) -> Sketch:
     return h[order], p[order]
 
 
-def likeness(a: Sketch, b: Sketch, size: int = SIZE) -> float:
+def likeness(a: Sketch, b: Sketch, size: int | None = SIZE) -> float:
     if not len(a[0]) or not len(b[0]):
         return float(len(a[0]) == len(b[0]))
-    left, right = dict(zip(a[0].tolist(), a[1].tolist())), dict(zip(b[0].tolist(), b[1].tolist()))
-    least = sorted(left.keys() | right.keys())[:size]
-    pairs = sorted((left[h], right[h]) for h in least if h in left and h in right)
+    common, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    total = len(a[0]) + len(b[0]) - len(common)
+    if size is not None and total > size:
+        n = np.searchsorted(common, np.union1d(a[0], b[0])[size - 1], "right")
+        i, j, total = i[:n], j[:n], size
     tails: list[int] = []
-    for _, p in pairs:
-        i = bisect_left(tails, p)
-        tails[i : i + 1] = [p]
-    share = len(tails) / len(least)
+    for p in b[1][j][np.argsort(a[1][i])].tolist():
+        at = bisect_left(tails, p)
+        tails[at : at + 1] = [p]
+    share = len(tails) / total
     return 2 * share / (1 + share)
 
 
@@ -182,13 +186,13 @@ def with_edits(docs: DataFrame) -> DataFrame:
         last = None  # (doc_id, text, range, extra, sketch) of the row before
         for batch in in_slices(batches, "text"):
             texts = texts_of(batch, "text")
-            rows = list(zip(batch.column("doc_id").to_pylist(), texts, batch.column("range").to_pylist(), batch.column("extra").to_pylist(), sketches(texts)))
+            rows = list(zip(batch.column("doc_id").to_pylist(), texts, batch.column("range").to_pylist(), batch.column("extra").to_pylist(), sketches(texts, size=None)))
             pairs = [(a, b) for a, b in zip(([last] if last else []) + rows, rows if last else rows[1:]) if a[2] == b[2] and not a[3]]
             last = rows[-1]
             if not pairs:
                 continue
             edited = [a[1][: len(a[1]) - len(a[1]) // 3] + b[1][: len(a[1]) // 3] for a, b in pairs]
-            after = sketches(edited)
+            after = sketches(edited, size=None)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([a[0] for a, _ in pairs], batch.schema.field("doc_id").type),
@@ -196,8 +200,8 @@ def with_edits(docs: DataFrame) -> DataFrame:
                     pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited], pa.string()),
                     pa.array([to_text(a[4]) for a, _ in pairs], pa.string()),
                     pa.array([to_text(e) for e in after], pa.string()),
-                    pa.array([likeness(a[4], e) for (a, _), e in zip(pairs, after)], pa.float64()),
-                    pa.array([likeness(a[4], b[4]) for a, b in pairs], pa.float64()),
+                    pa.array([likeness(a[4], e, None) for (a, _), e in zip(pairs, after)], pa.float64()),
+                    pa.array([likeness(a[4], b[4], None) for a, b in pairs], pa.float64()),
                 ],
                 names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
             )
