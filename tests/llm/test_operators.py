@@ -125,6 +125,14 @@ def test_html_blocks(page, text):
     assert html_text.main_text(page) == text
 
 
+def test_html_siblings_under_body():
+    """Text in two blocks directly under body: both stay; a list of links beside them goes."""
+    part = lambda k: "<div>" + "".join(f"<p>Paragraph {k}{i} says enough in plain words to be taken for content, as its neighbours do.</p>" for i in range(5)) + "</div>"
+    links = "<div>" + "".join(f"<a href='{i}'>Another page {i}</a> " for i in range(6)) + "</div>"
+    text = html_text.main_text(f"<html><body>{part(1)}{part(2)}{links}</body></html>")
+    assert text.count("Paragraph 1") == 5 and text.count("Paragraph 2") == 5 and "Another" not in text
+
+
 def test_quality(docs, rows):
     found = quality.score(docs)
     want = []

@@ -12,7 +12,8 @@ LB/CB the page's own share of link characters.  The density sum of a node adds
 the densities of its children; the node of the largest sum is the core.  From
 it the path to the body is climbed: to an enclosing article or main element,
 or else as long as the parent's density stays above a threshold, ``HOLD`` of
-the largest density on the path so far.  Inside the chosen subtree, runs of
+the largest density on the path so far.  Where the climb ends directly below
+body, its neighbours there above the same threshold stay too.  Inside the chosen subtree, runs of
 links (most characters in three or more links) go; all else is kept.
 
 Text: character references are decoded, white space inside a block becomes one
@@ -232,17 +233,21 @@ class _Page:
             at = self.parent[at]
             path.append(at)
         chosen = next((i for i in path if self.main[i]), None)
+        beside: list[int] = []
         if chosen is None:
             chosen, most = core, dense[core]
             for above in path[1:]:
                 if self.name[above] in ("body", "html") or dense[above] < HOLD * most:
                     break
                 chosen, most = above, max(most, dense[above])
+            if self.name[self.parent[chosen]] == "body":
+                beside = [i for i in range(1, n) if self.parent[i] == self.parent[chosen] and dense[i] >= HOLD * most]
         inside = [False] * n
-        inside[chosen] = True
-        for i in range(chosen + 1, n):
+        for i in [chosen, *beside]:
+            inside[i] = True
+        for i in range(min([chosen, *beside]) + 1, n):
             links = self.name[i] in BLOCK and lt[i] >= 3 and lc[i] > 0.5 * c[i]
-            inside[i] = inside[self.parent[i]] and not links
+            inside[i] = (inside[i] or inside[self.parent[i]]) and (i == chosen or not links)
         blocks, run = [], []
         for node, text in self.flow:
             if text is None:
