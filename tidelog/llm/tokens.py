@@ -9,17 +9,19 @@ only if it counts something.  Characters split over several tokens count as
 one character for each of them.
 
 Sections default to the lines of the text, each with its line feed; any other
-array of (start, end) can be named.  They must be in order and not overlap;
-empty ones get 0 tokens.
+array of (start, end) can be named.  They are numbered in order of (start,
+end); what two of them share belongs to the earlier one alone; empty ones get
+0 tokens.
 
-Nulls: a null text is empty and has one empty section 0; null sections count
-as none.  Repeated rows are counted row by row.  An empty table gives an empty
+Nulls: a null text is empty and has one empty section 0; null sections, and
+sections of a null start or end, count as none.  Repeated rows are counted row by row.  An empty table gives an empty
 result.  Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import public_tokenizers
@@ -42,6 +44,10 @@ def _byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+#: Runs of white space (Unicode's) that are too long for the pattern's lookahead, which is tried at each of their places.
+LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+
+
 class Encoder:
     """The ids of a byte-level BPE vocabulary in tokenizers' JSON form; special tokens' strings are ordinary text.
 
@@ -63,6 +69,21 @@ class Encoder:
             self.inside[i] = t[0] & 0xC0 == 0x80
 
     def ids(self, text: str) -> np.ndarray:
+        """Ids of the whole text.
+
+        The pattern takes a run of white space as one part: all of it at the
+        text's end, else all but its last character, which goes with what
+        follows.  Long runs are cut out by that rule and merged on their own.
+        """
+        parts, at = [], 0
+        for run in LONG_BLANKS.finditer(text):
+            stop = run.end() - (run.end() < len(text))
+            parts += [self._ids(text[at : run.start()]), np.array(self.bpe._encode_single_piece(text[run.start() : stop]), np.uint32)]
+            at = stop
+        parts.append(self._ids(text[at:] if at else text))
+        return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+    def _ids(self, text: str) -> np.ndarray:
         return self.bpe.encode_to_numpy(text, disallowed_special=()) if text else np.zeros(0, np.uint32)
 
     def spans(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +112,7 @@ def _lines(text: str) -> tuple[np.ndarray, np.ndarray]:
 def allocate(first: np.ndarray, last: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(section of each token or -1, whether it crosses a section's boundary).
 
-    Sections are disjoint and ordered, so a token meets a contiguous run of
+    Sections are disjoint, their starts and ends ascend, so a token meets a contiguous run of
     them: two binary searches give the run.  Nearly every run is one section;
     of a longer one all parts are compared.
     """
@@ -122,9 +143,11 @@ def attribute(docs: DataFrame, sections: Column | None = None, vocabulary: str |
             if given is None:
                 start, end = _lines(text)
             else:
-                pairs = sorted((x["start"], x["end"]) for x in given[i] or [] if x is not None)
+                pairs = sorted((x["start"], x["end"]) for x in given[i] or [] if x is not None and None not in (x["start"], x["end"]))
                 start, end = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
-            where, crosses = allocate(*code.spans(code.ids(text)), start, end)
+            reach = np.maximum.accumulate(end)
+            own = np.maximum(start, np.append(start[:1], reach[:-1]))  # without what an earlier section holds
+            where, crosses = allocate(*code.spans(code.ids(text)), own, np.maximum(own, reach))
             tokens = np.bincount(where + 1, minlength=len(start) + 1)
             across = np.bincount(where[crosses] + 1, minlength=len(start) + 1)
             lost = int(tokens[0] > 0)
