@@ -9,10 +9,13 @@ lowest set bit at or above the piece's size, found by two machine-word tricks
 on one integer.  If no open bin takes it a bin opens, and where that would be
 one too many, the fullest closes first.
 
-Each task packs what it reads, so there is no shuffle; the pieces of a batch
-(``AHEAD`` bytes of text) are dealt largest first, a bounded look-ahead that
-helps an online packer a good deal.  What is open at a task's end closes.  A
-task that is run again reads the same rows and numbers its sequences alike.
+Pieces come in the order of the rows, ``ahead`` of them at a time (rounded up
+to whole slices of rows), the largest of those first: a look-ahead of fixed
+size, which an ``ahead`` of 1 turns off.  Each task packs what it reads, so
+there is no shuffle.  What is open at a task's end closes.  Sequences are
+numbered by task and no task shares one with another, so a task that is run
+again replaces all of its own; the same rows in the same order give the same
+numbers.
 
 Nulls: a null text is empty and packs as its end id alone; a null doc_id stays
 null.  Repeated rows are packed row by row.  An empty table gives an empty
@@ -34,10 +37,9 @@ from tidelog.llm.common import in_slices, texts_of
 from tidelog.llm.tokens import default_vocabulary, encoder
 
 LENGTH = 2048
-AHEAD = 16 << 20
 END_ID = 0
-#: Above the bins that one look-ahead batch can open, so that its small pieces still meet them.
-OPEN_BINS = 4096
+#: Pieces looked at together, and bins open at a time: fewer than those pieces fill, so that bins close on the way.
+AHEAD, OPEN_BINS = 1024, 256
 SCHEMA = "piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 
 
@@ -79,29 +81,42 @@ class Packer:
         return number, self.length - free
 
 
-def pack(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, open_bins: int = OPEN_BINS) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, open_bins: int = OPEN_BINS, ahead: int = AHEAD) -> DataFrame:
     """A row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     vocabulary = vocabulary or default_vocabulary()
     some = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = dict(some.dtypes)["doc_id"]
 
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pieces(batch: pa.RecordBatch) -> pa.RecordBatch:
         code = encoder(vocabulary)
-        packer = Packer(length, open_bins, TaskContext.get().partitionId() << 40)
-        for batch in in_slices(batches, "text", AHEAD):
-            row, piece, start, size, crc = [], [], [], [], []
-            for i, text in enumerate(texts_of(batch, "text")):
-                ids = np.append(code.ids(text), np.uint32(END_ID)).astype("<u4")
-                cuts = [0, *range(len(ids) % length or length, len(ids) + 1, length)]
-                for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    row.append(i), piece.append(p), start.append(a), size.append(b - a)
-                    crc.append(zlib.crc32(ids[a:b].tobytes()))
+        row, piece, start, size, crc = [], [], [], [], []
+        for i, text in enumerate(texts_of(batch, "text")):
+            ids = np.append(code.ids(text), np.uint32(END_ID)).astype("<u4")
+            cuts = [0, *range(len(ids) % length or length, len(ids) + 1, length)]
+            for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                row.append(i), piece.append(p), start.append(a), size.append(b - a)
+                crc.append(zlib.crc32(ids[a:b].tobytes()))
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, size, crc)]],
+            names=["doc_id", "piece", "start", "length", "ids_crc32"],
+        )
+
+    def placed(held: list[pa.RecordBatch], packer: Packer) -> Iterator[pa.RecordBatch]:
+        for batch in pa.Table.from_batches(held).combine_chunks().to_batches():
+            size = batch.column("length").to_numpy()
             number, offset = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
-            for k in np.argsort(-np.array(size), kind="stable").tolist():
-                number[k], offset[k] = packer.place(size[k])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, size, crc, number, offset)]],
-                names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
-            )
+            for k in np.argsort(-size, kind="stable").tolist() if ahead > 1 else range(len(size)):
+                number[k], offset[k] = packer.place(int(size[k]))
+            yield batch.append_column("sequence_id", pa.array(number)).append_column("offset", pa.array(offset))
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer, held = Packer(length, open_bins, TaskContext.get().partitionId() << 40), []
+        for batch in in_slices(batches, "text"):
+            held.append(pieces(batch))
+            if sum(x.num_rows for x in held) >= ahead:
+                yield from placed(held, packer)
+                held = []
+        if held:
+            yield from placed(held, packer)
 
     return some.mapInArrow(over, f"doc_id {kind}, {SCHEMA}")
