@@ -1,28 +1,35 @@
-"""License scans by diagonal voting (DataFrame functions only).
+"""License scans by diagonal voting.
 
 Every rolling word pair of the corpus, hashed, is joined to the positions of
 the same pair in the license templates; the templates are a few hundred rows
-(checked), so that side is broadcast.  A hit votes for its diagonal, the word
-position less the template position.  Votes are counted by (document,
-template, diagonal); neighbouring diagonals of one template, which insertions
-and deletions leave, merge into one span; a span's score is the share of the
-template's pairs that it holds.  Spans are verified on the words themselves:
-the join compares both words of a pair, not only their hash.
+(checked), so that side is broadcast, and the join compares both words, not
+only their hash.  A hit votes for its diagonal, the word position less the
+template position; votes are counted by (document, template, diagonal).
 
-A base phrase is found where all its pairs stand on one diagonal.  A notice
-template gives its own label at a score of ``ACCEPT`` or more; one of fewer
-than ``LONG`` pairs, where a version is a word or two, only whole.
+A base phrase is found where all its pairs stand on one diagonal.
+
+A notice is found where its pairs stand in their order, from one to the next
+at most ``DRIFT`` words put in or left out.  Its score is the share of the
+template's pairs in the longest such run; one of ``ACCEPT`` or more gives the
+notice's own label, of a notice of fewer than ``LONG`` pairs, where a version
+is a word or two, only 1.  A run changes its diagonal by at most DRIFT at a
+step, so it stays inside one span of neighbouring diagonals: those no more than
+DRIFT apart are merged, spans that hold too few *different* template positions
+go, and the few that are left are verified word by word for the longest run.
 
 Nulls: a null text has no words and no labels (empty strings, score 0, first
 and last null); a null doc_id stays.  Rows alike in doc_id and text share
 their hits and each have a row.  An empty table gives an empty result.  Other
-columns are ignored.
+columns are ignored.  A span's hits are one array, bounded by the words of one
+text.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,8 +69,8 @@ NOTICES = [
     ("this is free and unencumbered software released into the public domain", "unlicense"),
 ]
 ACCEPT, LONG = 0.8, 12
-#: Diagonals this near, with at most GAP words between their hits, are one span.
-DRIFT, GAP = 3, 8
+#: Words put in or left out between two pairs, at most.
+DRIFT = 3
 #: Templates' words in all; what is broadcast is no larger.
 MOST_TEMPLATE_WORDS = 20_000
 
@@ -90,10 +97,45 @@ def _template_pairs(docs: DataFrame, base: list[tuple[str, str]], notices: list[
     return made.withColumn("th", _pair_hash(F.col("ta"), F.col("tb")))
 
 
+def longest_run(at: list[int], pos: list[int], drift: int = DRIFT) -> tuple[int, int, int]:
+    """(pairs, first word, word after the last) of the longest run of hits (at, pos): both ascend, and by nearly as much."""
+    hits = sorted(zip(pos, at))
+    reach = max(at) - min(at) + drift  # no step is longer
+    best, length, begin, low = (0, 0, 0), [], [], 0
+    for i, (p, a) in enumerate(hits):
+        while p - hits[low][0] > reach:
+            low += 1
+        n, start = 1, p
+        for j in range(low, i):
+            q, b = hits[j]
+            if q < p and b < a and abs(p - q - a + b) <= drift and length[j] >= n:
+                n, start = length[j] + 1, begin[j]
+        length.append(n), begin.append(start)
+        best = max(best, (n, -start, p + 2))
+    return best[0], -best[1], best[2]
+
+
+def _verified(found: DataFrame) -> DataFrame:
+    """(key, template, label, is_base, start, end, score) of candidate spans (key, template, label, n_pairs, need, hits)."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits, of, need = (batch.column(c).to_pylist() for c in ("hits", "n_pairs", "need"))
+            runs = [longest_run([h["at"] for h in x], [h["pos"] for h in x]) for x in hits]
+            ok = [i for i, r in enumerate(runs) if r[0] >= need[i]]
+            some = batch.take(pa.array(ok, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [some.column("key"), some.column("template"), some.column("label"), pa.array([False] * len(ok), pa.bool_()), pa.array([runs[i][1] for i in ok], pa.int32()), pa.array([runs[i][2] for i in ok], pa.int32()), pa.array([runs[i][0] / of[i] for i in ok], pa.float64())],
+                names=["key", "template", "label", "is_base", "start", "end", "score"],
+            )
+
+    return found.mapInArrow(over, "key binary, template int, label string, is_base boolean, start int, end int, score double")
+
+
 def spans(docs: DataFrame, base: list[tuple[str, str]] = BASE, notices: list[tuple[str, str]] = NOTICES) -> DataFrame:
     """(key, template, label, is_base, start, end, score): verified spans, words from ``start`` up to ``end``.
 
-    key is row_key(doc_id, text).
+    key is row_key(doc_id, text).  Of a notice the longest run of each span is given.
     """
     pairs = _template_pairs(docs, base, notices)
     rolling = docs.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), words(F.col("text")).alias("ws"))
@@ -103,18 +145,18 @@ def spans(docs: DataFrame, base: list[tuple[str, str]] = BASE, notices: list[tup
     )))
     hits = rolling.join(F.broadcast(pairs), (_pair_hash(F.col("a"), F.col("b")) == F.col("th")) & (F.col("a") == F.col("ta")) & (F.col("b") == F.col("tb")))
     by = ["key", "template", "label", "is_base", "n_pairs"]
-    # rows alike in doc_id and text give the same hits; the first grouping makes them one
-    diagonals = hits.groupBy(*by, (F.col("pos") - F.col("at")).alias("diagonal"), "at").agg(F.min("pos").alias("pos"))
-    diagonals = diagonals.groupBy(*by, "diagonal").agg(F.count("*").alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
-    exact = diagonals.filter("is_base and votes = n_pairs").select("key", "template", "label", "is_base", F.col("diagonal").alias("start"), (F.col("diagonal") + F.col("n_pairs") + 1).alias("end"), F.lit(1.0).alias("score"))
-    order = Window.partitionBy("key", "template").orderBy("lo", "diagonal")
-    near = (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) <= DRIFT) & (F.col("lo") - F.lag("hi").over(order) <= GAP)
-    merged = diagonals.filter("not is_base").withColumn("new", F.when(F.coalesce(near, F.lit(False)), 0).otherwise(1))
-    merged = merged.withColumn("span", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = merged.groupBy(*by, "span").agg(F.sum("votes").alias("votes"), F.min("lo").cast("int").alias("start"), (F.max("hi") + 2).cast("int").alias("end"))
-    score = F.least(F.lit(1.0), F.col("votes") / F.col("n_pairs"))
-    found = merged.filter(score >= F.when(F.col("n_pairs") < LONG, 1.0).otherwise(ACCEPT)).select("key", "template", "label", "is_base", "start", "end", score.alias("score"))
-    return exact.unionByName(found)
+    # a set: rows alike in doc_id and text give the same hits
+    diagonals = hits.groupBy(*by, (F.col("pos") - F.col("at")).alias("diagonal")).agg(F.collect_set("at").alias("ats"))
+    exact = diagonals.filter("is_base and size(ats) = n_pairs").select("key", "template", "label", "is_base", F.col("diagonal").alias("start"), (F.col("diagonal") + F.col("n_pairs") + 1).alias("end"), F.lit(1.0).alias("score"))
+    order = Window.partitionBy("key", "template").orderBy("diagonal")
+    apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > DRIFT, F.lit(True))
+    merged = diagonals.filter("not is_base").withColumn("span", F.when(apart, F.col("diagonal")))
+    merged = merged.withColumn("span", F.last("span", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    votes = F.collect_list(F.transform("ats", lambda a: F.struct(a.alias("at"), (F.col("diagonal") + a).alias("pos"))))
+    whole = merged.groupBy("key", "template", "label", "n_pairs", "span").agg(F.flatten(votes).alias("hits"))
+    need = F.when(F.col("n_pairs") < LONG, F.col("n_pairs")).otherwise(F.ceil(F.lit(ACCEPT) * F.col("n_pairs"))).cast("int")
+    some = whole.withColumn("need", need).filter(F.size(F.array_distinct(F.transform("hits", lambda h: h["at"]))) >= F.col("need"))
+    return exact.unionByName(_verified(some.select("key", "template", "label", "n_pairs", "need", "hits")))
 
 
 def scan(docs: DataFrame, base: list[tuple[str, str]] = BASE, notices: list[tuple[str, str]] = NOTICES) -> DataFrame:
