@@ -1,9 +1,13 @@
 """Main text of web pages by composite text density.
 
 A page is read into a small DOM (implied end tags, void and raw-text elements,
-broken markup).  Scripts, styles, forms, navigation, page headers and footers,
-asides and what is named or marked as such (class, id, role, hidden) are cut
-off first.  Every other node gets its link-adjusted characters per tag
+broken markup).  Scripts, styles, navigation, page footers, asides, form
+controls and what is hidden are cut off first.  Forms, page headers and blocks
+whose class or id names them as something else (an advert, a notice, a share
+bar) are cut off too, unless they hold more than half of the page's text: then
+the name says what the text is about, or the form wraps the page.  Names that
+mean one thing (comments, sidebar, cookies) need an article or main element
+inside as well.  Every other node gets its link-adjusted characters per tag
 
     C/T * log(C*T / (LC*LT)) / log(log(C/NC*LC + LB/CB*C + e) + e - 1)
 
@@ -13,8 +17,9 @@ the densities of its children; the node of the largest sum is the core.  From
 it the path to the body is climbed: to an enclosing article or main element,
 or else as long as the parent's density stays above a threshold, ``HOLD`` of
 the largest density on the path so far.  Where the climb ends directly below
-body, its neighbours there above the same threshold stay too.  Inside the chosen subtree, runs of
-links (most characters in three or more links) go; all else is kept.
+body, its neighbours there above the same threshold stay too.  Of an article
+or main element all is kept; elsewhere blocks inside the chosen subtree that
+are nothing but three links or more, of density 0, go as menus.
 
 Text: character references are decoded, white space inside a block becomes one
 blank (a line break counts as white space), blocks are trimmed, empty ones go,
@@ -61,16 +66,22 @@ ENDS = {
 }
 SCOPE = frozenset("table td th caption html body button object".split())
 
-# What is no main text: by element, role and name.
-CUT_TAGS = frozenset("nav footer aside form button select input label fieldset svg canvas audio video object embed dialog menu map head".split())
-CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist".split())
-CUT_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adbox|adslot|banner\w*|sponsor\w*|promo\w*|navs?|navbar|navigation|menus?|breadcrumbs?|topbar|masthead|"
-    r"footers?|sidebars?|side|comments?|commentlist|respond|disqus\w*|replies|share|sharing|social\w*|related\w*|recommend\w*|"
-    r"newsletter\w*|subscribe\w*|subscription|signup|login|cookies?|consent|gdpr|notices?|notifications?|alerts?|popups?|modals?|overlay|toolbar|pagination|pager|"
-    r"skip|copyright|legal|disclaimer|outbrain|taboola)(?=$|[\s_-])"
-)
-HEADER_NAMES = re.compile(r"(?:^|[\s_-])headers?(?=$|[\s_-])|(?:^|\s)widgets?(?=$|\s)")
+# What is no main text: by element, role and name.  Forms and page headers are judged by their share of the text.
+CUT_TAGS = frozenset("nav footer aside button select input label fieldset svg canvas audio video object embed dialog menu map head".split())
+CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar tablist".split())
+_NAMED = r"(?:^|[\s_-])(?:{})(?=$|[\s_-])"
+#: Names of one meaning, and names that can also be a topic.
+SURE_NAMES = re.compile(_NAMED.format(
+    r"ads?|advert\w*|adsense|adbox|adslot|navs?|navbar|navigation|menus?|breadcrumbs?|topbar|masthead|footers?|sidebars?|comments?|commentlist|respond|disqus\w*|replies|"
+    r"signup|login|cookies?|consent|gdpr|popups?|modals?|overlay|toolbar|pagination|pager|outbrain|taboola"
+))
+OTHER_NAMES = re.compile(_NAMED.format(
+    r"banner\w*|sponsor\w*|promo\w*|side|share|sharing|social\w*|related\w*|recommend\w*|newsletter\w*|subscribe\w*|subscription|notices?|notifications?|alerts?|"
+    r"skip|copyright|legal|disclaimer"
+))
+HEADER_NAMES = re.compile(_NAMED.format("headers?") + r"|(?:^|\s)widgets?(?=$|\s)")
+#: Names of an article element that is a reader's.
+READERS = re.compile(r"(?:^|\s)(?:comment|reply)(?:[_-](?:body|item|content|entry))?(?=$|\s)")
 #: Names that say what a block has or lacks, not what it is.
 STATES = re.compile(r"(?:^|(?<=\s))(?:has|no|with|without|show|hide|is|js)[-_][\w-]+")
 KEEP_TAGS = frozenset(["article", "main", "body", "html"])
@@ -80,10 +91,14 @@ _ATTR = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden|aria-hidden|style|item
 _RAW_END = {n: re.compile(rf"</{n}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for n in RAW}
 
 
-def _is_cut(name: str, attributes: str, in_article: bool, by_name: bool) -> tuple[bool, bool]:
-    """(no main text, marks main text).  A header inside an article is the article's own."""
+#: What a node's markup says of it: main text or anything; no main text unless it holds most, unless that with an article inside, at all.
+OPEN, OTHER, SURE, CUT = range(4)
+
+
+def _marked(name: str, attributes: str, in_article: bool) -> tuple[int, bool]:
+    """(how sure it is no main text, whether it is marked as main text).  A header inside an article is the article's own."""
     if name in CUT_TAGS:
-        return True, False
+        return CUT, False
     role = names = ""
     main = name in ("article", "main")
     for m in _ATTR.finditer(attributes) if len(attributes) > 3 else ():
@@ -91,31 +106,32 @@ def _is_cut(name: str, attributes: str, in_article: bool, by_name: bool) -> tupl
         if key == "role":
             role = value.strip()
         elif key == "hidden" or key == "aria-hidden" and value.strip() == "true":
-            return True, False
+            return CUT, False
         elif key == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return True, False
+                return CUT, False
         elif key == "itemprop":
             main |= value.strip() == "articlebody"
         else:
             names += " " + value
     if role in CUT_ROLES:
-        return True, False
-    if name == "header" and not in_article:
-        return True, False
+        return CUT, False
     main |= role in ("main", "article")
-    if not by_name or not names or name in KEEP_TAGS:
-        return False, main
     names = STATES.sub("", names)
-    return bool(CUT_NAMES.search(names) or not in_article and HEADER_NAMES.search(names)), main
+    if name in KEEP_TAGS:
+        reader = name == "article" and READERS.search(names) is not None
+        return (SURE, False) if reader else (OPEN, main)
+    if SURE_NAMES.search(names):
+        return SURE, main
+    other = name == "form" or role == "form" or not in_article and (name == "header" or HEADER_NAMES.search(names)) or OTHER_NAMES.search(names)
+    return (OTHER if other else OPEN), main
 
 
 class _Page:
     """The DOM as parallel lists: a node's parent stands before it."""
 
-    def __init__(self, source: str, by_name: bool = True) -> None:
-        self.by_name = by_name
-        self.name, self.parent, self.main, self.link = ["#root"], [-1], [False], [False]
+    def __init__(self, source: str) -> None:
+        self.name, self.parent, self.main, self.link, self.mark = ["#root"], [-1], [False], [False], [OPEN]
         self.chars: list[int] = [0]
         #: (node, text) and (node, None) where a block begins or ends
         self.flow: list[tuple[int, str | None]] = []
@@ -161,19 +177,19 @@ class _Page:
                 self._close(stack, *ENDS[name])
             if cut_at and len(stack) < cut_at:
                 cut_at = 0
-            cut, main = (True, False) if cut_at else _is_cut(name, m["a"], in_article > 0, self.by_name)
+            mark, main = (CUT, False) if cut_at else _marked(name, m["a"], in_article > 0)
             if name in VOID:
-                if not cut and name == "hr":
+                if mark < CUT and name == "hr":
                     self.flow.append((stack[-1], None))
                 continue
             node = len(names)
-            names.append(name), self.parent.append(stack[-1]), self.main.append(main), self.chars.append(0)
+            names.append(name), self.parent.append(stack[-1]), self.main.append(main), self.chars.append(0), self.mark.append(mark)
             self.link.append(self.link[stack[-1]] or name == "a")
             if name in BLOCK and not cut_at:
                 self.flow.append((stack[-1], None))
             stack.append(node)
             in_article += name in ("article", "main")
-            if cut and not cut_at:
+            if mark == CUT and not cut_at:
                 cut_at = len(stack)
 
     def _opened(self, stack: list[int], name: str) -> int:
@@ -201,10 +217,26 @@ class _Page:
             self.chars[node] += len("".join(text.split()))
             self.flow.append((node, text))
 
-    def main_text(self) -> str:
+    def cut_off(self, by_name: bool) -> list[bool]:
+        """Which nodes are no main text; without by_name names, forms and headers count for nothing."""
+        n = len(self.name)
+        c, holds = self.chars[:], self.main[:]
+        for i in range(n - 1, 0, -1):
+            c[self.parent[i]] += c[i]
+            holds[self.parent[i]] |= holds[i]
+        off = [False] * n
+        for i in range(1, n):
+            few = 2 * c[i] <= c[0]
+            off[i] = off[self.parent[i]] or self.mark[i] == CUT or by_name and (self.mark[i] == OTHER and few or self.mark[i] == SURE and (few or not holds[i]))
+        return off
+
+    def densities(self, off: list[bool]) -> tuple[list[float], list[float], list[tuple[int, int, int]]]:
+        """(composite density, density sum, (characters, link characters, link tags)) of every node; 0 where cut off."""
         n = len(self.name)
-        c, t, lc, lt = self.chars[:], [0] * n, [0] * n, [0] * n
+        c, t, lc, lt = [0 if o else x for x, o in zip(self.chars, off)], [0] * n, [0] * n, [0] * n
         for i in range(n - 1, 0, -1):
+            if off[i]:
+                continue
             p = self.parent[i]
             if self.link[i] and not self.link[p]:
                 lc[i], lt[i] = c[i], 1
@@ -212,9 +244,7 @@ class _Page:
             t[p] += t[i] + 1
             lc[p] += lc[i]
             lt[p] += lt[i]
-        if not c[0]:
-            return ""
-        share = lc[0] / c[0]
+        share = lc[0] / max(c[0], 1)
 
         def density(chars: int, tags: int, link_chars: int, link_tags: int) -> float:
             if not chars:
@@ -224,32 +254,50 @@ class _Page:
             return chars / tags * over / math.log(math.log(chars / max(chars - link_chars, 1) * link_chars + share * chars + math.e) + math.e - 1)
 
         dense = [density(c[i], t[i], lc[i], lt[i]) for i in range(n)]
-        sums = [density(self.chars[i], 1, self.chars[i] if self.link[i] else 0, 0) for i in range(n)]
+        # a node's own text counts as a child without tags
+        sums = [0.0 if off[i] else density(self.chars[i], 1, self.chars[i] if self.link[i] else 0, 0) for i in range(n)]
         for i in range(1, n):
             sums[self.parent[i]] += dense[i]
+        return dense, sums, list(zip(c, lc, lt))
+
+    def chosen(self, dense: list[float], sums: list[float]) -> tuple[list[int], bool]:
+        """(the subtrees that are main text, whether markup says so)."""
+        n = len(self.name)
         core = max(range(n), key=lambda i: (sums[i], -i))
         path, at = [core], core
         while self.parent[at] > 0:
             at = self.parent[at]
             path.append(at)
-        chosen = next((i for i in path if self.main[i]), None)
-        beside: list[int] = []
-        if chosen is None:
-            chosen, most = core, dense[core]
-            for above in path[1:]:
-                if self.name[above] in ("body", "html") or dense[above] < HOLD * most:
-                    break
-                chosen, most = above, max(most, dense[above])
-            if self.name[self.parent[chosen]] == "body":
-                beside = [i for i in range(1, n) if self.parent[i] == self.parent[chosen] and dense[i] >= HOLD * most]
+        marked = next((i for i in path if self.main[i]), None)
+        if marked is not None:
+            return [marked], True
+        top, most = core, dense[core]
+        for above in path[1:]:
+            if self.name[above] in ("body", "html") or dense[above] < HOLD * most:
+                break
+            top, most = above, max(most, dense[above])
+        if self.name[self.parent[top]] == "body":
+            return [i for i in range(1, n) if i == top or self.parent[i] == self.parent[top] and dense[i] >= HOLD * most], False
+        return [top], False
+
+    def main_text(self, by_name: bool = True) -> str:
+        off = self.cut_off(by_name)
+        dense, sums, counts = self.densities(off)
+        if not counts[0][0]:
+            return ""
+        tops, marked = self.chosen(dense, sums)
+        n = len(self.name)
         inside = [False] * n
-        for i in [chosen, *beside]:
+        for i in tops:
             inside[i] = True
-        for i in range(min([chosen, *beside]) + 1, n):
-            links = self.name[i] in BLOCK and lt[i] >= 3 and lc[i] > 0.5 * c[i]
-            inside[i] = (inside[i] or inside[self.parent[i]]) and (i == chosen or not links)
+        for i in range(min(tops) + 1, n):
+            chars, link_chars, links = counts[i]
+            menu = not marked and self.name[i] in BLOCK and links >= 3 and link_chars == chars and i not in tops
+            inside[i] = (inside[i] or inside[self.parent[i]]) and not off[i] and not menu
         blocks, run = [], []
         for node, text in self.flow:
+            if off[node]:
+                continue
             if text is None:
                 if run:
                     blocks.append(" ".join("".join(run).split()))
@@ -262,7 +310,10 @@ class _Page:
 
 def main_text(source: str | None) -> str:
     """The main text of one page.  Where names of blocks leave no text, they are not believed."""
-    return _Page(source).main_text() or _Page(source, False).main_text() if source else ""
+    if not source:
+        return ""
+    page = _Page(source)
+    return page.main_text() or page.main_text(False)
 
 
 def extract(pages: DataFrame) -> DataFrame:
