@@ -1,16 +1,23 @@
 """Quality rules with adaptive thresholds (DataFrame functions only).
 
 Each document gets word, symbol, line and repetition counts.  Instead of fixed
-cutoffs, the verdict compares four rates with fences read from mergeable KLL
-quantile sketches: one sketch for each (lang, source), merged upwards into one
-for each language and one for the corpus.  The fence of a rate is
+cutoffs, the verdict compares four rates with fences read from mergeable
+quantile sketches: one for each (lang, source), added up to one for each
+language and one for the corpus.  A sketch is a histogram of fixed resolution,
+counts of a rate rounded down to whole ``STEPS`` of it: it merges by addition,
+in any order, to the same counts, so reruns agree and a task that is run again
+changes nothing; ranks are exact and values are off by less than a step.  A
+share has 10,001 counters at most; mean word lengths count as ``LONGEST`` at
+most, which makes 10^6 counters.  The fence of a rate is
 
     q75 + max(SPREADS * (q75 - q25), least distance of that rate)
 
 over the documents that pass the base rules, so that a rate is odd only by its
-own language and source.  A group of fewer than ``min_rows`` documents, or one
-whose own fence is looser than its language's (a source full of junk must not
-excuse its junk), takes the language's; small languages take the corpus's.
+own language and source.  A group of ``min_rows`` documents or more uses its
+own fence, but none looser than its language's by more than the least distance
+(a source full of junk must not excuse its junk; one of tables or listings may
+stand somewhat above its language); smaller groups take the language's fence,
+small languages the corpus's.
 
 Nulls: a null text has no words (all counts 0, rejected by the base rule); a
 null lang or source is a group of its own.  Repeated rows are judged alike and
@@ -20,7 +27,7 @@ doc_id, text, lang and source are ignored by ``score`` and kept by ``keep``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import BLANKS, cut, row_key
@@ -29,8 +36,8 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MIN_ROWS = 30
 SPREADS = 3.0
-#: Items that a sketch holds: groups below it have exact quantiles.
-SKETCH_K = 4096
+#: Steps of a sketch in a unit of its rate, and the mean word length that longer ones count as.
+STEPS, LONGEST = {"symbol_rate": 10_000, "dup_line_rate": 10_000, "repeat_rate": 10_000, "word_length": 100}, 10_000
 #: Parts that the rows of one (lang, source) are dealt into where they meet their fences.
 SALTS = 32
 #: The least distance of a fence from q75, by rate.
@@ -42,29 +49,35 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def _dup_lines(text: Column) -> Column:
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
-    return F.size(lines) - F.size(F.array_distinct(lines))
+def _same_as_neighbour(ordered: Column, same) -> Column:
+    """Items of an ordered array that ``same`` finds equal to the one before or after."""
+    kept = F.transform(ordered, lambda x, i: F.when(same(x, F.get(ordered, i - 1)) | same(x, F.get(ordered, i + 1)), x))
+    return F.filter(kept, lambda x: x.isNotNull())
+
+
+def _once(value: Column, then) -> Column:
+    """then(value), with value evaluated once."""
+    return F.get(F.transform(F.array(value), then), 0)
 
 
 def _repeat_words(words: Column, n: Column) -> Column:
     """Words inside 3-word windows that occur twice or more in the text.
 
     A window becomes one long: a hash above, its place in the low bits that n
-    needs.  Sorted as primitives, equal windows are neighbours; the places of
-    those, sorted again, cover min(3, gap to the place before) words each.
+    needs.  Sorted as primitives, windows of equal hashes are neighbours.  Only
+    those, the candidates, are then compared as words, in order of the words;
+    the places of equal ones, sorted again, cover min(3, gap to the place
+    before) words each.
     """
     bits = F.ceil(F.log2(n + F.lit(2))).cast("int")
-    low = F.expr("cast(1 as bigint)")
-    place = lambda i, b: F.call_function("shiftleft", F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), b).bitwiseOR(i.cast("bigint"))
-    windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: place(i, bits))).otherwise(F.array().cast("array<bigint>"))
-    same = lambda a, b: F.coalesce(F.call_function("shiftright", a, bits) == F.call_function("shiftright", b, bits), F.lit(False))
-    ordered = F.sort_array(windows)
-    one = F.transform(F.array(ordered), lambda s: F.transform(
-        F.filter(F.transform(s, lambda x, i: F.when(same(x, F.get(s, i - 1)) | same(x, F.get(s, i + 1)), x)), lambda x: x.isNotNull()),
-        lambda x: x.bitwiseAND(F.call_function("shiftleft", low, bits) - 1),
-    ))
-    twice = F.sort_array(F.get(one, 0))
+    low = F.call_function("shiftleft", F.expr("cast(1 as bigint)"), bits) - 1
+    place = lambda i: F.call_function("shiftleft", F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), bits).bitwiseOR(i.cast("bigint"))
+    windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), place)).otherwise(F.array().cast("array<bigint>"))
+    near = lambda a, b: F.coalesce(F.call_function("shiftright", a, bits) == F.call_function("shiftright", b, bits), F.lit(False))
+    candidates = _once(F.sort_array(windows), lambda s: F.transform(_same_as_neighbour(s, near), lambda x: x.bitwiseAND(low).cast("int")))
+    spelled = F.transform(candidates, lambda i: F.struct(F.concat_ws(" ", F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("w"), i.cast("bigint").alias("i")))
+    equal = lambda a, b: F.coalesce(a["w"] == b["w"], F.lit(False))
+    twice = _once(F.array_sort(spelled), lambda s: F.array_sort(F.transform(_same_as_neighbour(s, equal), lambda x: x["i"])))
     return F.aggregate(
         twice,
         F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-3).cast("bigint").alias("p")),
@@ -77,61 +90,79 @@ def counts(docs: DataFrame, *keep: str) -> DataFrame:
     """The base counts of every row, one pass without a shuffle, beside the columns named in keep."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     one = docs.select(*keep, text.alias("__text"))
-    one = one.withColumn("__words", _words(F.col("__text"))).withColumn("__n", F.size("__words"))
+    one = one.withColumns({"__words": _words(F.col("__text")), "__lines": F.filter(F.split("__text", "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)})
+    one = one.withColumn("__n", F.size("__words"))
     bare = F.translate("__text", BLANKS, "")
     return one.select(
         *keep,
         F.col("__n").cast("bigint").alias("n_words"),
         F.length(bare).cast("bigint").alias("word_chars"),
         (F.length("__text") - F.length(F.translate("__text", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
-        _dup_lines(F.col("__text")).cast("bigint").alias("n_dup_lines"),
-        F.size(F.filter(F.split("__text", "\n"), lambda x: F.length(F.translate(x, BLANKS, "")) > 0)).cast("bigint").alias("n_lines"),
+        (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("bigint").alias("n_dup_lines"),
+        F.size("__lines").cast("bigint").alias("n_lines"),
         F.coalesce(_repeat_words(F.col("__words"), F.col("__n")), F.lit(0)).cast("bigint").alias("n_repeat_words"),
     )
 
 
-def _rates() -> dict[str, Column]:
-    over = lambda a, b: F.coalesce(F.try_divide(F.col(a), F.col(b)), F.lit(0.0))
-    return {"symbol_rate": over("n_symbols", "word_chars"), "dup_line_rate": over("n_dup_lines", "n_lines"), "repeat_rate": over("n_repeat_words", "n_words"), "word_length": over("word_chars", "n_words")}
+#: A rate's counts: (above, below).
+RATES = {"symbol_rate": ("n_symbols", "word_chars"), "dup_line_rate": ("n_dup_lines", "n_lines"), "repeat_rate": ("n_repeat_words", "n_words"), "word_length": ("word_chars", "n_words")}
+
+
+def _steps(name: str) -> Column:
+    """A rate in whole steps, rounded down; 0 without a count below."""
+    above, below = RATES[name]
+    steps = F.when(F.col(below) > 0, F.expr(f"{STEPS[name]} * {above} div {below}")).otherwise(0)
+    return F.least(steps, F.lit(LONGEST * STEPS[name])).cast("bigint")
+
+
+def _least(name: str) -> int:
+    return round(LEAST[name] * STEPS[name])
 
 
 def _base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def _fence(name: str) -> Column:
-    q = lambda p: F.kll_sketch_get_quantile_double(F.col(f"s_{name}"), F.lit(p))
-    return q(0.75) + F.greatest(SPREADS * (q(0.75) - q(0.25)), F.lit(LEAST[name]))
+def sketches(counted: DataFrame) -> DataFrame:
+    """(level, lang, source, rate, step, n): the histograms of documents that pass the base rules.
 
+    level is 0 for a (lang, source), 1 for a language and 3 for the corpus.
+    Counted map-side and then merged upwards, small tables both times.
+    """
+    each = F.array(*[F.struct(F.lit(name).alias("rate"), _steps(name).alias("step")) for name in RATES])
+    own = counted.filter(~_base_failed()).select("lang", "source", F.inline(each)).groupBy("lang", "source", "rate", "step").agg(F.count("*").alias("k"))
+    sets = [["lang", "source", "rate", "step"], ["lang", "rate", "step"], ["rate", "step"]]
+    merged = own.groupingSets([[F.col(c) for c in s] for s in sets], "lang", "source", "rate", "step").agg(F.grouping_id("lang", "source", "rate", "step").alias("g"), F.sum("k").alias("n"))
+    return merged.select((F.col("g") / 4).cast("int").alias("level"), "lang", "source", "rate", "step", "n")
+
+
+def _levels(counted: DataFrame) -> DataFrame:
+    """(level, lang, source, n, f_<rate>...): the fence, in steps, of every sketch, by nearest ranks."""
+    by = ["level", "lang", "source", "rate"]
+    whole, upto = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = sketches(counted).withColumns({"__all": F.sum("n").over(whole), "__upto": F.sum("n").over(upto)})
+    quantile = lambda k: F.min(F.when(4 * F.col("__upto") >= k * F.col("__all"), F.col("step")))
+    least = F.create_map(*[F.lit(x) for name in LEAST for x in (name, _least(name))])[F.col("rate")]
+    spread = ranked.groupBy(*by).agg(F.first("__all").alias("n"), quantile(1).alias("q1"), quantile(3).alias("q3"))
+    fence = F.col("q3") + F.greatest(F.lit(SPREADS) * (F.col("q3") - F.col("q1")), least)
+    return spread.withColumn("f", fence).groupBy("level", "lang", "source").agg(F.first("n").alias("n"), *[F.max(F.when(F.col("rate") == name, F.col("f"))).alias(f"f_{name}") for name in LEAST])
 
-def fences(counted: DataFrame, min_rows: int = MIN_ROWS, k: int = SKETCH_K) -> DataFrame:
-    """(lang, source, f_<rate>...): the fences for every (lang, source) of counted.
 
-    Sketches are built map-side over all documents that pass the base rules and
-    merged: (lang, source), then lang, then the corpus.  Groups without such a
-    document still get a row, from the level above.
+def fences(counted: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
+    """(lang, source, f_<rate>...): the fences, in steps, for every (lang, source) of counted.
+
+    Groups without a document that passes the base rules still get a row, from the level above.
     """
-    names = list(LEAST)
-    sound = counted.select("lang", "source", _base_failed().alias("__failed"), *[r.alias(n) for n, r in _rates().items()])
-    by_group = sound.groupBy("lang", "source").agg(
-        F.count_if(~F.col("__failed")).alias("n"),
-        *[F.kll_sketch_agg_double(F.when(~F.col("__failed"), F.col(n)), F.lit(k)).alias(f"s_{n}") for n in names],
-    )
-    merge = [F.kll_merge_agg_double(f"s_{n}", F.lit(k)).alias(f"s_{n}") for n in names]
-    filled = by_group.filter("n > 0")
-    level = lambda df, tag: df.filter(F.col("n") > 0).select(*[c for c in ("lang", "source") if c in df.columns], F.col("n").alias(f"n_{tag}"), *[_fence(n).alias(f"{tag}_{n}") for n in names])
-    own = level(filled, "g")
-    lang = level(filled.groupBy("lang").agg(F.sum("n").alias("n"), *merge), "l").withColumnRenamed("lang", "__lang")
-    corpus = level(filled.agg(F.sum("n").alias("n"), *merge), "c")
-    groups = by_group.select("lang", "source")
-    own = own.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), "n_g", *[f"g_{n}" for n in names])
-    found = groups.join(own, groups["lang"].eqNullSafe(own["__lang"]) & groups["source"].eqNullSafe(own["__source"]), "left").drop("__lang", "__source")
-    found = found.join(lang, found["lang"].eqNullSafe(lang["__lang"]), "left").drop("__lang")
+    known = cut(_levels(counted))
+    level = lambda k, tag: known.filter(F.col("level") == k).select(F.col("lang").alias(f"__lang_{tag}"), F.col("source").alias(f"__source_{tag}"), F.col("n").alias(f"n_{tag}"), *[F.col(f"f_{n}").alias(f"{tag}_{n}") for n in LEAST])
+    own, lang, corpus = level(0, "g"), level(1, "l"), level(3, "c")
+    found = counted.select("lang", "source").distinct()
+    found = found.join(own, F.col("lang").eqNullSafe(F.col("__lang_g")) & F.col("source").eqNullSafe(F.col("__source_g")), "left").join(lang, F.col("lang").eqNullSafe(F.col("__lang_l")), "left")
     found = found.join(F.broadcast(corpus), F.lit(True), "left")  # one row
     out = ["lang", "source"]
-    for n in names:
-        above = F.when(F.col("n_l") >= min_rows, F.least(f"l_{n}", F.greatest(f"c_{n}", F.col(f"l_{n}")))).otherwise(F.col(f"c_{n}"))
-        out.append(F.coalesce(F.when(F.col("n_g") >= min_rows, F.least(f"g_{n}", above)), above).alias(f"f_{n}"))
+    for n in LEAST:
+        above = F.when(F.col("n_l") >= min_rows, F.col(f"l_{n}")).otherwise(F.col(f"c_{n}"))
+        out.append(F.when(F.col("n_g") >= min_rows, F.least(f"g_{n}", above + _least(n))).otherwise(above).alias(f"f_{n}"))
     return found.select(*out)
 
 
@@ -142,8 +173,8 @@ def _judged(counted: DataFrame, min_rows: int) -> DataFrame:
     dealt = counted.withColumn("__salt", F.pmod(F.xxhash64(*counted.columns), F.lit(SALTS)).cast("int"))
     both = dealt.join(limits, (dealt["__salt"] == limits["__part"]) & dealt["lang"].eqNullSafe(limits["__lang"]) & dealt["source"].eqNullSafe(limits["__source"]), "left")
     within = F.lit(True)
-    for n, rate in _rates().items():
-        within = within & F.coalesce(rate <= F.col(f"f_{n}"), F.lit(True))
+    for n in RATES:
+        within = within & F.coalesce(_steps(n) <= F.col(f"f_{n}"), F.lit(True))
     return both.withColumn("base_failed", _base_failed()).withColumn("kept", ~F.col("base_failed") & within)
 
 
