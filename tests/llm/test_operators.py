@@ -89,6 +89,49 @@ def test_licenses(docs, rows):
     assert {"", "mit,mit-notice", "apache,apache-2.0,gpl"} <= labels and all(0 <= r["score"] <= 1 for r in found.collect())
 
 
+def longest_path(words, template):
+    """Share of the template's pairs in the longest run of hits, by trying all steps."""
+    t = list(zip(template, template[1:]))
+    hits = [(i, k) for i, p in enumerate(zip(words, words[1:])) for k, q in enumerate(t) if p == q]
+    best = {}
+    for i, k in hits:
+        best[i, k] = 1 + max((n for (j, m), n in best.items() if j < i and m < k and abs(i - j - k + m) <= licenses.DRIFT), default=0)
+    return max(best.values(), default=0) / len(t)
+
+
+def test_license_labels_equal_longest_paths(spark):
+    """Texts of shuffled, repeated, dropped and inserted template words."""
+    r, rows, want = random.Random(8), [], {}
+    for i in range(120):
+        template = r.choice(licenses.NOTICES)[0].split()
+        ws = [r.choice(["a", "of", "the", "free"]) for _ in range(r.randint(0, 6))]
+        for w in template * r.randint(1, 2):
+            x = r.random()
+            ws += [] if x < 0.03 else [w, r.choice(["very", "of", "the"])] if x < 0.06 else [w]
+        if r.random() < 0.2:
+            r.shuffle(ws)
+        if r.random() < 0.3:
+            ws *= 3
+        rows.append((i, " ".join(ws)))
+        found = {}
+        for phrase, label in licenses.NOTICES:
+            t = phrase.split()
+            score = longest_path(ws, t)
+            if score >= (1 if len(t) - 1 < licenses.LONG else licenses.ACCEPT):
+                found[label] = max(score, found.get(label, 0))
+        base = {label for p, label in licenses.BASE for k in range(len(ws)) if ws[k : k + len(p.split())] == p.split()}
+        want[i] = (",".join(sorted({*found, *base})), 1.0 if base else max(found.values(), default=0.0))
+    assert 20 < sum(bool(x) for x, _ in want.values()) < 120
+    got_ = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got_.keys() == want.keys() and all(got_[i][0] == want[i][0] and got_[i][1] == pytest.approx(want[i][1]) for i in want)
+
+
+def test_repeated_phrases_are_no_license(spark):
+    texts = ["parking is free " + "of charge " * 16, "to any to any " * 20, "free of charge to any person " * 40, "copies of the terms under the license of the software " * 50]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r["labels"], r["score"]) for r in licenses.scan(df).collect()} == {("", 0.0)}
+
+
 def test_license_with_inserted_words(spark):
     text = "Permission is hereby granted, free of charge, to any lucky person obtaining a copy of this fine software and associated documentation files"
     df = spark.createDataFrame([(1, text), (2, "permission is granted")], "doc_id long, text string")
@@ -155,6 +198,53 @@ def test_quality_fences_are_native_and_adapt(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def test_quality_fences_equal_plain_quantiles(spark):
+    """Whole verdicts against exact quantiles of the same steps, for groups above and below min_rows."""
+    r, rows = random.Random(6), []
+    for i in range(900):
+        lang, source = r.choice([("en", "a"), ("en", "b"), ("en", None), ("fr", "a"), ("de", "z")][: 4 + (i % 300 == 0)])
+        odd = r.random() < 0.08
+        ws = [f"w{r.randint(0, 99 if odd else 10**6)}" + ("%#" if odd and r.random() < 0.5 or source == "b" and k % 9 == 0 else "") for k in range(r.randint(40, 120))]
+        rows.append((i, "\n".join(" ".join(ws[k : k + 10]) for k in range(0, len(ws), 10)), lang, source))
+    steps = {}
+    for i, text, lang, source in rows:
+        n, chars, symbols, dup, repeat = brute.quality(text)
+        lines = len([x for x in text.split("\n") if x.strip()])
+        if n >= 50 and 100 * repeat <= 50 * n:
+            steps[i] = {"symbol_rate": symbols * 10_000 // chars, "dup_line_rate": dup * 10_000 // lines, "repeat_rate": repeat * 10_000 // n, "word_length": chars * 100 // n}
+
+    def fence(name, ids):
+        xs = sorted(steps[i][name] for i in ids)
+        q1, q3 = xs[-(-len(xs) // 4) - 1], xs[-(-3 * len(xs) // 4) - 1]
+        return q3 + max(quality.SPREADS * (q3 - q1), round(quality.LEAST[name] * quality.STEPS[name]))
+
+    good = set()
+    for i, _, lang, source in rows:
+        if i not in steps:
+            continue
+        own, same = [k for k in steps if rows[k][2:] == (lang, source)], [k for k in steps if rows[k][2] == lang]
+        ok = True
+        for name in quality.LEAST:
+            above = fence(name, same if len(same) >= quality.MIN_ROWS else steps)
+            mine = min(fence(name, own), above + round(quality.LEAST[name] * quality.STEPS[name])) if len(own) >= quality.MIN_ROWS else above
+            ok &= steps[i][name] <= mine
+        if ok:
+            good.add(i)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert {r["doc_id"] for r in quality.score(df).filter("kept").collect()} == good and 0 < len(steps) - len(good) < 200
+
+
+def test_quality_reruns_agree(spark):
+    """100,000 rows of one source, read in two orders: one verdict."""
+    from pyspark.sql import functions as F
+
+    n = F.col("id") % 57
+    rows = spark.range(100_000).select(F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda k: F.concat(F.lit("w"), F.xxhash64("id", k).cast("string"), F.repeat(F.lit("%"), F.when(k < n, 2).otherwise(0)))), " ").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    one = quality.score(rows).filter("kept").agg(F.count("*"), F.sum("doc_id")).first()
+    two = quality.score(rows.repartition(7, F.xxhash64("doc_id"))).filter("kept").agg(F.count("*"), F.sum("doc_id")).first()
+    assert one == two and 0 < one[0] <= 100_000
+
+
 def test_packing(docs, rows):
     from tokenizers import Tokenizer
 
@@ -178,6 +268,78 @@ def test_packing(docs, rows):
         assert at <= 2048
 
 
+@pytest.mark.parametrize("ahead, open_bins", [(1, 4), (16, 4), (1024, 256)])
+def test_packing_is_best_fit(spark, ahead, open_bins):
+    """Bins and offsets against a list of open bins searched one by one."""
+    r = random.Random(12)
+    rows = [(i, "word " * r.randint(0, 150)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = packing.pack(df, length=128, open_bins=open_bins, ahead=ahead).collect()
+    size = lambda k: found[k]["length"]
+    open_, made, bins, step = [], 0, {}, 0
+    order = range(len(found))
+    if ahead > 1:  # 400 short texts are one slice: the largest first
+        order = sorted(order, key=lambda k: (-size(k), k))
+    for k in order:
+        fits = [b for b in open_ if b[0] >= size(k)]
+        if fits:
+            b = min(fits, key=lambda b: (b[0], -b[2]))
+        else:
+            if len(open_) >= open_bins:
+                fullest = min(open_, key=lambda b: (b[0], -b[2]))
+                open_.remove(fullest)
+            b = [128, made, 0]
+            made += 1
+            open_.append(b)
+        bins[k] = (b[1], 128 - b[0])
+        b[0] -= size(k)
+        step += 1
+        b[2] = step
+        if not b[0]:
+            open_.remove(b)
+    assert [(x["sequence_id"], x["offset"]) for x in found] == [bins[k] for k in range(len(found))]
+
+
+def test_packing_is_near_the_bound(spark):
+    r = random.Random(13)
+    df = spark.createDataFrame([(i, "word " * int(r.lognormvariate(6, 1))) for i in range(3000)], "doc_id long, text string").coalesce(1)
+    found = packing.pack(df).collect()
+    assert len({x["sequence_id"] for x in found}) <= 1.01 * -(-sum(x["length"] for x in found) // packing.LENGTH)
+
+
+def test_very_long_blanks(spark):
+    """Runs of millions of blanks or line feeds, alone and inside a text: ids as the plain tokenizer gives them, through both operators."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.default_vocabulary())
+    plain.encode_special_tokens = True
+    texts = [" " * 3_000_000, "\n" * 3_000_000, "a b" + " " * 1_500_000 + "don't stop\n", "x" + "\n" * 1_200_000 + " y\u3000", "\t\u2003" * 5000 + "z" + " " * 4096 + "\nq"]
+    code = tokens.encoder(tokens.default_vocabulary())
+    for text in texts:
+        e = plain.encode(text, add_special_tokens=False)
+        ids = code.ids(text)
+        assert np.array_equal(ids, np.array(e.ids, np.uint32))
+        first, last = code.spans(ids)
+        assert np.array_equal(np.stack([first, last], 1), np.array(e.offsets))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    sizes = {i: len(plain.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+    packed = collections.Counter()
+    for x in packing.pack(df).collect():
+        packed[x["doc_id"]] += x["length"]
+    assert packed == {i: n + 1 for i, n in sizes.items()}
+    counted = tokens.attribute(df).groupBy("doc_id").agg({"n_tokens": "sum"}).collect()
+    assert {x[0]: x[1] for x in counted} == sizes
+
+
+def test_sections_that_overlap(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(1, "one two three four", [(8, 13), (0, 7), (4, 10), (5, 6), (None, 3), None])], "doc_id long, text string, s array<struct<start:long,end:long>>")
+    found = [(r["section"], r["start"], r["end"], r["n_tokens"]) for r in tokens.attribute(df, F.col("s")).orderBy("section").collect()]
+    # (4, 10) has 7 to 10 of its own, (8, 13) then 10 to 13; " three", 7 to 13, is a tie of the two
+    assert found == [(-1, None, None, 1), (0, 0, 7, 2), (1, 4, 10, 1), (2, 5, 6, 0), (3, 8, 13, 0)]
+
+
 def test_packer_closes_the_fullest():
     p = packing.Packer(10, 2, 0)
     assert [p.place(s) for s in (8, 5, 5, 9, 6, 2, 4)] == [(0, 0), (1, 0), (1, 5), (2, 0), (3, 0), (0, 8), (3, 6)]

@@ -1,7 +1,8 @@
 """DuckDB SQL for the operators that SQL can express, over the same tables.
 
 Each says the contract in its own terms (windows as joined words, links as a
-self join of shingles, tapes as one running sum), not the operator's plan.
+self join of shingles, tapes as one running sum, runs of a notice as paths,
+fences as quantiles of all values), not the operator's plan.
 """
 
 from __future__ import annotations
@@ -15,41 +16,50 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _FOLDED = f"regexp_extract_all(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), '[^\\x20\\x09-\\x0D]+')"
 
 
-def _templates() -> str:
-    rows = []
-    for number, (phrase, label) in enumerate(licenses.BASE + licenses.NOTICES):
-        ws = [w for w in re.split(licenses.SEPARATORS, phrase.translate(ASCII_FOLD)) if w]
-        rows += [f"({number}, '{label}', {number < len(licenses.BASE)}, {len(ws) - 1}, {i}, '{a}', '{b}')" for i, (a, b) in enumerate(zip(ws, ws[1:]))]
-    return ", ".join(rows)
+def _split(phrase: str) -> list[str]:
+    return [w for w in re.split(licenses.SEPARATORS, phrase.translate(ASCII_FOLD)) if w]
 
 
-LICENSES = rf"""WITH t(template, label, is_base, n_pairs, tpos, a, b) AS (VALUES {_templates()}),
+def _notices() -> str:
+    """(template, label, n_pairs, at, a, b): a row for each pair of words of each notice."""
+    each = [(number, label, _split(phrase)) for number, (phrase, label) in enumerate(licenses.NOTICES)]
+    return ", ".join(f"({number}, '{label}', {len(ws) - 1}, {i}, '{a}', '{b}')" for number, label, ws in each for i, (a, b) in enumerate(zip(ws, ws[1:])))
+
+
+def _phrases() -> str:
+    """(phrase, label, size) of the base phrases."""
+    return ", ".join(f"('{' '.join(_split(phrase))}', '{label}', {len(_split(phrase))})" for phrase, label in licenses.BASE)
+
+
+#: Base phrases as runs of words; a notice's run as a path over its hits, longer by one hit at every step.
+LICENSES = rf"""WITH RECURSIVE t(template, label, n_pairs, tpos, a, b) AS (VALUES {_notices()}), q(phrase, label, size) AS (VALUES {_phrases()}),
 w AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), '{licenses.SEPARATORS}'), lambda x: x <> '') AS ws FROM documents),
-p AS (SELECT doc_id, i - 1 AS pos, ws[i] AS a, ws[i + 1] AS b FROM (SELECT doc_id, ws, unnest(range(1, len(ws))) AS i FROM w)),
-d AS (SELECT doc_id, template, label, is_base, n_pairs, pos - tpos AS diagonal, count(*) AS votes, min(pos) AS lo, max(pos) AS hi FROM p JOIN t USING (a, b) GROUP BY ALL),
-m AS (SELECT *, CASE WHEN abs(diagonal - lag(diagonal) OVER o) <= {licenses.DRIFT} AND lo - lag(hi) OVER o <= {licenses.GAP} THEN 0 ELSE 1 END AS new FROM d WHERE NOT is_base WINDOW o AS (PARTITION BY doc_id, template ORDER BY lo, diagonal)),
-k AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY lo, diagonal ROWS UNBOUNDED PRECEDING) AS span FROM m),
-f AS (SELECT doc_id, label, false AS is_base, 0 AS start, least(1.0, sum(votes) / n_pairs) AS score FROM k GROUP BY doc_id, template, label, n_pairs, span
-  HAVING least(1.0, sum(votes) / n_pairs) >= CASE WHEN n_pairs < {licenses.LONG} THEN 1.0 ELSE {licenses.ACCEPT} END
-  UNION ALL SELECT doc_id, label, true, diagonal, 1.0 FROM d WHERE is_base AND votes = n_pairs),
-r AS (SELECT doc_id, count(*) FILTER (is_base) AS n_base, min(start) FILTER (is_base) AS first_word, max(start) FILTER (is_base) AS last_word,
-  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (is_base), '') AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score FROM f GROUP BY doc_id)
+p AS (SELECT doc_id, i - 1 AS pos, ws[i] AS a, ws[i + 1] AS b, array_to_string(ws[i:i + 3], ' ') || ' ' AS ahead FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)),
+base AS (SELECT doc_id, pos, label FROM p JOIN q ON starts_with(ahead, phrase || ' ')),
+h AS (SELECT DISTINCT doc_id, template, pos, tpos FROM p JOIN t USING (a, b)),
+r AS (SELECT doc_id, template, pos, tpos, 1 AS n FROM h UNION SELECT h.doc_id, h.template, h.pos, h.tpos, r.n + 1 FROM r JOIN h ON r.doc_id = h.doc_id AND r.template = h.template AND h.tpos > r.tpos AND h.pos > r.pos AND abs((h.pos - r.pos) - (h.tpos - r.tpos)) <= {licenses.DRIFT}),
+n AS (SELECT doc_id, label, max(n) / n_pairs AS score FROM r JOIN (SELECT DISTINCT template, label, n_pairs FROM t) USING (template) GROUP BY doc_id, template, label, n_pairs HAVING max(n) >= CASE WHEN n_pairs < {licenses.LONG} THEN n_pairs ELSE {licenses.ACCEPT} * n_pairs END),
+f AS (SELECT doc_id, label, pos, 1.0 AS score FROM base UNION ALL SELECT doc_id, label, NULL, score FROM n),
+g AS (SELECT doc_id, count(pos) AS n_base, min(pos) AS first_word, max(pos) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (pos IS NOT NULL), '') AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score FROM f GROUP BY doc_id)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
-  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score FROM w LEFT JOIN r USING (doc_id)"""
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score FROM w LEFT JOIN g USING (doc_id)"""
+
 
-_RATES = {"symbol_rate": "n_symbols / nullif(word_chars, 0)", "dup_line_rate": "n_dup_lines / nullif(n_lines, 0)", "repeat_rate": "n_repeat_words / nullif(n_words, 0)", "word_length": "word_chars / nullif(n_words, 0)"}
+def _rate(name: str) -> str:
+    above, below = quality.RATES[name]
+    return f"least({quality.LONGEST * quality.STEPS[name]}, coalesce({quality.STEPS[name]} * {above} // nullif({below}, 0), 0)) AS {name}"
 
 
 def _fences(tag: str) -> str:
     q = lambda name, p: f"quantile_disc({name}, {p})"
-    return ", ".join(f"{q(n, 0.75)} + greatest({quality.SPREADS} * ({q(n, 0.75)} - {q(n, 0.25)}), {least}) AS {tag}_{n}" for n, least in quality.LEAST.items())
+    return ", ".join(f"{q(n, 0.75)} + greatest({quality.SPREADS} * ({q(n, 0.75)} - {q(n, 0.25)}), {round(least * quality.STEPS[n])}) AS {tag}_{n}" for n, least in quality.LEAST.items())
 
 
 def _within() -> str:
     own, low = [], quality.MIN_ROWS
-    for n in quality.LEAST:
+    for n, least in quality.LEAST.items():
         above = f"CASE WHEN n_l >= {low} THEN l_{n} ELSE c_{n} END"
-        own.append(f"coalesce({n} <= CASE WHEN n_g >= {low} THEN least(g_{n}, {above}) ELSE {above} END, true)")
+        own.append(f"coalesce({n} <= CASE WHEN n_g >= {low} THEN least(g_{n}, {above} + {round(least * quality.STEPS[n])}) ELSE {above} END, true)")
     return " AND ".join(own)
 
 
@@ -59,7 +69,7 @@ r AS (SELECT doc_id, i FROM g QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1
 v AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM r, range(3) x(j) GROUP BY 1),
 b AS (SELECT doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
   CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_lines, coalesce(n, 0) AS n_repeat_words FROM w LEFT JOIN v USING (doc_id)),
-f AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, {", ".join(f"coalesce({e}, 0) AS {n}" for n, e in _RATES.items())} FROM b),
+f AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed, {", ".join(_rate(n) for n in quality.LEAST)} FROM b),
 s AS (SELECT * FROM f WHERE NOT base_failed),
 x AS (SELECT lang, source, count(*) AS n_g, {_fences("g")} FROM s GROUP BY 1, 2), y AS (SELECT lang, count(*) AS n_l, {_fences("l")} FROM s GROUP BY 1), z AS (SELECT {_fences("c")} FROM s)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {_within()} AS kept
