@@ -12,7 +12,8 @@ key order form an endless tape; a whole epoch takes every document once and
 the rest of the budget is cut from the tape's start at the exact word.  Places
 on the tape come from a two-level prefix sum: sums by (source, key range),
 prefix sums over ranges, and a window inside each range only, so no task holds
-a whole source.
+a whole source.  Only the targets, three numbers a source, meet in one task,
+for the level is one number of all sources; it sorts and spills like any other.
 
 Nulls: a null text has size 0 and takes 0; a null source is a source of its
 own; a null doc_id is a value like others.  Repeated rows share a key and are
@@ -92,11 +93,16 @@ def mix(docs: DataFrame, seed: int = 0) -> DataFrame:
     """Rows of docs, all their columns, as often as the mix takes them.
 
     A document is laid out once for each whole time it is taken and once more
-    for a begun one, so that no text is cut; of a text without words nothing is taken.
+    for a begun one, so that no text is cut; of a text without words nothing is
+    taken.  First copies and second ones are parts of a union, so that no two
+    copies of a document are neighbours.
     """
     columns = docs.columns
     held = [f"`{c}`" for c in columns]
     taken = take(docs.select(*[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(columns)], F.col("doc_id"), F.col("text"), F.col("source")), *[f"__c{i}" for i in range(len(columns))], seed=seed)
-    times = F.ceil(F.col("taken") / F.col("size")).cast("int")
-    some = taken.filter("taken > 0").withColumn("__time", F.explode(F.sequence(F.lit(1), times)))
-    return some.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(columns)]).select(*held)
+    times = F.ceil(F.col("taken") / F.col("size"))
+    whole = None
+    for k in range(MOST_EPOCHS):
+        layer = taken.filter((F.col("taken") > 0) & (times > k))
+        whole = layer if whole is None else whole.unionByName(layer)
+    return whole.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(columns)]).select(*held)
