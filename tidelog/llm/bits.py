@@ -28,6 +28,10 @@ class BitSet:
             out = there if out is None else out & there
         return out
 
+    def free(self) -> None:
+        """Takes the array from driver and tasks; for a set that no unfinished plan asks."""
+        self.handle.destroy()
+
 
 def bit_set(members: DataFrame, column: str, count: int, probes: int = 2) -> BitSet:
     """The bit set of a column of 64-bit hashes; count is about how many members there are.

@@ -1,7 +1,8 @@
 """Substring dedup on words, by fixed-block anchors.
 
 Index: the non-overlapping blocks of ``BLOCK`` words of every text (words 0-17,
-18-35, ...), as a bit set.  Any window of ``WIDTH`` = 2 * BLOCK - 1 words or
+18-35, ...), as a bit set, and then exactly: only a hash with an indexed place
+counts as an anchor.  Any window of ``WIDTH`` = 2 * BLOCK - 1 words or
 more holds a whole block, so if it also starts elsewhere, the other place has
 that block at the same inner place.  Every rolling block-long window of every
 text probes the index; those that hit are anchors.  Around an anchor that
@@ -74,16 +75,17 @@ def remove(docs: DataFrame, *keep: str, width: int = WIDTH, block: int = BLOCK)
     keep = keep or ("doc_id",)
     index = _index(docs, block)
 
-    def hashes(texts: list[str]) -> np.ndarray:
-        _, h, _ = _blocks(texts, block)
-        return h[index.maybe(h)]
+    def hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        w, h, at = _blocks(texts, block)
+        ok = index.maybe(h)
+        return h[ok], ((at - w.first[w.owner[at]]) % block == 0)[ok]
 
-    twice = repeats.repeated(docs, hashes)
+    twice = repeats.repeated(docs, hashes)  # exact: a hash with a place that is a block of the index
+    index.free()
 
     def scan(texts: list[str]) -> tuple[np.ndarray, ...]:
         w, h, at = _blocks(texts, block)
         ok = twice.maybe(h)
-        ok[ok] = index.maybe(h[ok])
         return _contexts(w, at[ok], h[ok], width, block)
 
     found = repeats.cut(repeats.contexts(docs, scan))
@@ -105,6 +107,7 @@ def remove(docs: DataFrame, *keep: str, width: int = WIDTH, block: int = BLOCK)
         return w.owner[s], s - w.first[w.owner[s]], run[s], mix64(w.hash[s] ^ (w.hash[s + width - 1] << np.uint64(1)))
 
     single = repeats.equal_windows(repeats.cut(repeats.window_rows(docs, each)))
+    twice.free(), open_.free()
 
     def finish(text: str, lows: np.ndarray, counts: np.ndarray) -> tuple[int, int, str]:
         ws = WORD.findall(text)

@@ -10,15 +10,15 @@ equal places, so a repeated window shows as
 * several c under one h: the contexts differ somewhere; one place of each, its
   representative, is looked at window by window ("part").
 
-Anchors seen once are nearly all of them.  They are never shuffled: a first
-pass counts anchor hashes, a bit set of the repeated ones goes to the tasks
-(bounded, see bits.py), and a second pass gives only contexts of those.
+Anchors seen once are nearly all of them.  Their contexts are not shuffled: a
+first pass counts anchor hashes, a bit set of the repeated ones goes to the
+tasks (bounded, see bits.py), and a second pass gives only contexts of those.
 
 Texts are known by a 128-bit digest, so copies of a text are one place; that a
 text has copies is counted apart and marks all of its windows.
 
-Places are in order of (doc_id, digest, start), null doc_ids last; of copies
-the smallest doc_id counts.  With ``keep_first`` a place is marked only if an
+Places are in order of (doc_id, digest, start), doc_ids that are null or no
+integers last; of copies the smallest doc_id counts.  With ``keep_first`` a place is marked only if an
 equal window stands at an earlier one, and a copy only if it is not the first.
 Rows alike in doc_id and text are one place for ``keep_first``, and copies of
 each other otherwise.
@@ -51,19 +51,25 @@ def places(tk: pa.Array, owner: np.ndarray, lo: np.ndarray) -> np.ndarray:
 
 
 def keyed(docs: DataFrame, *keep: str) -> DataFrame:
-    order = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("ord")
+    order = F.coalesce(F.col("doc_id").try_cast("bigint"), F.lit(LAST)).alias("ord")
     return docs.select(*keep, text_key(F.col("text")).alias("tk"), order, F.col("text").cast("string").alias("text"))
 
 
-def repeated(docs: DataFrame, hashes: Callable[[list[str]], np.ndarray]) -> BitSet:
-    """Bit set of the anchor hashes that stand at two places or more (copies of a text count)."""
+def repeated(docs: DataFrame, hashes: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> BitSet:
+    """Bit set of the anchor hashes that stand at two places or more (copies of a text count), one of them marked.
+
+    hashes gives the hashes and marks of some texts; a hash and a mark are all that is shuffled of a place.
+    """
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(hashes(texts_of(batch, "text")).view(np.int64))], names=["h"])
+        h, mark = hashes(texts_of(batch, "text"))
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(mark)], names=["h", "mark"])
 
-    light = arrow_map(docs.select(F.col("text").cast("string").alias("text")), over, "h bigint", "text", 1 << 19)
-    twice = cut(light.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"))
-    return bit_set(twice, "h", twice.count())
+    light = arrow_map(docs.select(F.col("text").cast("string").alias("text")), over, "h bigint, mark boolean", "text", 1 << 19)
+    twice = cut(light.groupBy("h").agg(F.count("*").alias("n"), F.bool_or("mark").alias("mark")).filter("n > 1 and mark").select("h"))
+    found = bit_set(twice, "h", twice.count())
+    discard(twice)
+    return found
 
 
 def contexts(docs: DataFrame, scan: Scan) -> DataFrame:

@@ -234,8 +234,9 @@ def _sorted_parts(pieces: DataFrame, width: int, keep_first: bool) -> DataFrame:
 
 
 def _runs(docs: DataFrame, width: int, k: int, keep_first: bool, hot: int) -> list[DataFrame]:
-    def hashes(texts: list[str]) -> np.ndarray:
-        return anchors(Bytes(texts), width, k)[1]
+    def hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        h = anchors(Bytes(texts), width, k)[1]
+        return h, np.ones(len(h), bool)
 
     twice = repeats.repeated(docs, hashes)
 
@@ -275,6 +276,7 @@ def _runs(docs: DataFrame, width: int, k: int, keep_first: bool, hot: int) -> li
         # of equal contexts the first place stands for all; copies of a text are equal contexts
         pieces = pieces.groupBy("h", "c").agg(F.min(F.struct("ord", "tk", "lo", "m", "piece")).alias("p")).select("h", "p.*")
         out.append(cut(_sorted_parts(pieces, width, keep_first)))
+        open_.free()
     if n_many:
         crowd = bit_set(many.select(key), "k", n_many)
 
@@ -288,6 +290,8 @@ def _runs(docs: DataFrame, width: int, k: int, keep_first: bool, hot: int) -> li
             return owner, at - b.begins[owner], b.hash(at, width), pair64(b.hash(at, half), b.hash(at + half, width - half))
 
         out.append(repeats.equal_windows(cut(repeats.window_rows(docs, each)), keep_first))
+        crowd.free()
+    twice.free()
     return out
 
 
