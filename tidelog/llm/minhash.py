@@ -14,12 +14,13 @@ the smallest and the largest, so 128 evaluations make 256 values.
    an original is among its copies.  Members are linked to their hub where the
    exact check on full sets says so, and linked nodes form components.
 4. What is left are pairs inside a bucket but in different components.  Those
-   are not written out: blocks of a bucket meet in tasks that drop pairs which
-   cannot be linked, by size, by the triangle inequality of the Jaccard
+   are not written out: blocks of a bucket meet in tasks, save two blocks of
+   one component, and drop pairs which cannot be linked, by size, by the triangle inequality of the Jaccard
    distance over the hub (exact distances), by having met in an earlier band, by the shingles that a set shares
    with any other set at hand (no pair has more in common than the poorer of
-   the two shares at all), and by a signature estimate more than five standard
-   errors below the threshold.  Of what is left, the ``TRIALS`` most promising
+   the two shares at all), and by a signature estimate (unbiased: what short
+   values share by chance is taken off) more than five standard errors below the
+   threshold.  Of what is left, the ``TRIALS`` most promising
    pairs of two components in a task are checked on full sets first and
    components formed again, for one link of two large components saves all
    their other pairs; then all remaining pairs are checked.
@@ -56,6 +57,8 @@ MISS = 1e-5
 ERRORS = 5.0
 BLOCK = 1024
 TRIALS = 3
+#: Pairs of one node that meet its set in one task.
+MEET = 1024
 
 _A = mix64(np.arange(PERMUTATIONS, dtype=np.uint64) + np.uint64(11)) | np.uint64(1)
 _B = mix64(np.arange(PERMUTATIONS, dtype=np.uint64) + np.uint64(1011))
@@ -148,11 +151,20 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.groupBy("node").agg(F.first("members").alias("members"))
 
 
+def _meeting(edges: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
+    """edges (a, b) with the columns of left (by a) and right (by b); a hub's many pairs are dealt into parts, and its row goes to each part."""
+    edges = edges.select("a", "b")
+    parts = edges.groupBy("b").agg(F.ceil(F.count("*") / MEET).cast("int").alias("parts"))
+    dealt = edges.join(parts, "b").select("a", "b", F.pmod(F.hash("a"), F.col("parts")).alias("part"))
+    spread = right.join(parts.select("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")), "b")
+    return dealt.join(left, "a").join(spread, ["b", "part"])
+
+
 def _checked(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, similarity, linked) of edges (a, b), on full sets."""
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("ma"))
     right = sets.select(F.col("node").alias("b"), F.col("members").alias("mb"))
-    both = edges.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "ma", "mb")
+    both = _meeting(edges, left, right).select("a", "b", "ma", "mb")
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
         share, linked = [], []
@@ -170,8 +182,13 @@ def _checked(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _least_estimate(percent: int, values: int = 2 * PERMUTATIONS) -> float:
+    """The share of equal signature bytes, ERRORS standard errors below what a pair at the threshold is expected to have.
+
+    Bytes of different values are equal by chance once in 256.
+    """
     j = percent / 100
-    return j - ERRORS * (j * (1 - j) / values) ** 0.5
+    equal = j + (1 - j) / 256
+    return equal - ERRORS * (equal * (1 - equal) / values) ** 0.5
 
 
 def _bytes(column: pa.Array) -> np.ndarray:
@@ -183,7 +200,7 @@ def _promising(edges: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     half = F.substring("sig", 1, PERMUTATIONS)
     a = nodes.select(F.col("node").alias("a"), F.col("n").alias("na"), half.alias("sa"))
     b = nodes.select(F.col("node").alias("b"), F.col("n").alias("nb"), half.alias("sb"))
-    both = edges.join(a, "a").join(b, "b").filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b", "sa", "sb")
+    both = _meeting(edges, a, b).filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b", "sa", "sb")
     least = _least_estimate(percent, PERMUTATIONS)
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -230,10 +247,18 @@ def _residual(members: DataFrame, nodes: DataFrame, label: DataFrame, percent: i
     estimate.  Signatures are joined last, to members of buckets of several components.
     """
     placed = members.join(label, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
-    crowd = placed.groupBy("bucket").agg(F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("bucket", "m")
-    some = placed.join(crowd, "bucket").join(nodes, "node").withColumn("blocks", F.ceil(F.col("m") / block).cast("int"))
-    mine = F.pmod(F.hash("node"), F.col("blocks"))
-    meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("mine"), o).alias("x"), F.greatest(F.col("mine"), o).alias("y")))
+    sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
+    # components beyond a block have blocks of their own, which come first; the others share the rest
+    alone = F.when(F.col("k") > block, F.ceil(F.col("k") / block)).otherwise(0)
+    crowd = sizes.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.sum(alone).alias("big"), F.ceil(F.sum(F.when(F.col("k") <= block, F.col("k")).otherwise(0)) / block).alias("mixed"))
+    crowd = crowd.filter("c0 <> c1").select("bucket", F.col("big").cast("int").alias("big"), F.col("mixed").cast("int").alias("mixed"))
+    upto = F.sum("own").over(Window.partitionBy("bucket").orderBy("comp").rowsBetween(Window.unboundedPreceding, 0))
+    large = sizes.filter(F.col("k") > block).select("bucket", "comp", F.ceil(F.col("k") / block).cast("int").alias("own")).withColumn("first", (upto - F.col("own")).cast("int"))
+    some = placed.join(crowd, "bucket").join(large, ["bucket", "comp"], "left").join(nodes, "node")
+    is_large, every = F.col("own").isNotNull(), F.sequence(F.lit(0), F.col("big") + F.col("mixed") - 1)
+    mine = F.when(is_large, F.col("first") + F.pmod(F.hash("node"), F.col("own"))).otherwise(F.col("big") + F.pmod(F.hash("node"), F.greatest("mixed", F.lit(1))))
+    others = F.filter(every, lambda o: ~is_large | (o < F.col("first")) | (o >= F.col("first") + F.col("own")))
+    meet = F.transform(others, lambda o: F.struct(F.least(F.col("mine"), o).alias("x"), F.greatest(F.col("mine"), o).alias("y")))
     dealt = some.withColumn("mine", mine).select("bucket", "node", "comp", "n", "s", "sig", "bands", "hub_similarity", "mine", F.explode(meet).alias("p"))
     dealt = dealt.select("bucket", F.col("p.x").alias("x"), F.col("p.y").alias("y"), "mine", "node", "comp", "n", "s", "sig", "bands", "hub_similarity")
     dealt = dealt.repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
