@@ -15,13 +15,15 @@ fingerprints it sees the SIZE smallest of both; ``with_edits`` has the texts at
 hand and takes all their anchors.  Two empty fingerprints are alike (1), an empty and another are not (0).
 
 ``fingerprint`` works row by row.  ``with_edits`` also looks at the next
-document in descending doc_id (null last, ties by the text's digest; after the
-last comes the first).  Documents are dealt into ranges of doc_id whose bounds
-come from the ids alone; the head of each range is sent to the range before it
+document in descending doc_id (of any type that has an order; null last, ties by
+the text's digest; after the last comes the first).  Documents are dealt into
+ranges of (doc_id, digest) whose bounds come from a sample of those alone and
+only balance the work; the head of each range is sent to the range before it
 too, so one shuffle of the texts is all.
 
-Nulls: a null text is empty; null doc_ids come last.  Repeated rows are
-neighbours and give equal results up to the last of them.  An empty table
+Nulls: a null text is empty; null doc_ids come last and are dealt by digest.
+Repeated rows are neighbours, in one range, and give equal results up to the
+last of them.  An empty table
 gives an empty result.  Other columns are ignored.
 """
 
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import arrow_map, in_slices, mix64, pair64, texts_of
@@ -135,52 +137,56 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     return arrow_map(some, over, f"doc_id {dict(some.dtypes)['doc_id']}, fingerprint string", "text")
 
 
-def _ranges(docs: DataFrame) -> tuple[list, dict]:
-    """Ascending bounds of the doc_id ranges, and {head id of a range: number of the range before it}.
+#: Ranges for each shuffle partition of the session, and sampled keys for each range; no more ranges than MOST_RANGES.
+RANGES, SAMPLED, MOST_RANGES = 4, 8, 20_000
 
-    Both come from the ids alone.  There are about four ranges for each
-    shuffle partition that the session asks for; only bounds and heads reach
-    the driver.  Ranges are numbered in descending order of id, null last.
+
+def _turned(text) -> Column:
+    """The text's digest with its digits turned round, so that largest first is the digest's own order."""
+    return F.translate(F.md5(F.coalesce(text, F.lit(""))), "0123456789abcdef", "fedcba9876543210")
+
+
+def _place(doc_id, turned: str) -> tuple:
+    """Sorts as (doc_id, turned) does in Spark, null first; documents follow each other from the largest down."""
+    return (doc_id is not None, 0 if doc_id is None else doc_id, turned)
+
+
+def _bounds(keys: DataFrame) -> list[tuple]:
+    """Ascending bounds of ranges of (doc_id, turned).
+
+    They come from a sample of fixed size, the keys of the smallest hashes, so
+    that reruns agree.  Where they fall decides how evenly work is dealt, not
+    the result.
     """
-    wanted = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select("doc_id")
-    cuts = ids.agg(F.percentile_approx("doc_id", [i / wanted for i in range(1, wanted)], 20 * wanted)).first()[0] or []
-    bounds = sorted(set(cuts))
-    heads = sorted((r["n"], r["head"]) for r in ids.groupBy(_range_of(F.col("doc_id"), bounds).alias("n")).agg(F.max("doc_id").alias("head")).collect())
-    before = [n for n, _ in heads]
-    return bounds, {head: before[i - 1] for i, (_, head) in enumerate(heads)}
-
-
-def _range_of(doc_id, bounds: list):
-    """Number of bounds at or above doc_id; null after all.  Two steps of about sqrt(n) comparisons."""
-    n = len(bounds)
-    if not n:
-        return F.when(doc_id.isNull(), 1).otherwise(0)
-    down = bounds[::-1]
-    step = max(1, int(n**0.5))
-    groups = [down[i : i + step] for i in range(0, n, step)]
-    whole = F.size(F.filter(F.array(*[F.lit(g[-1]) for g in groups]), lambda b: b >= doc_id))
-    fine = F.get(F.array(*[F.array(*[F.lit(x) for x in g]) for g in groups]), whole)
-    part = F.coalesce(F.size(F.filter(fine, lambda b: b >= doc_id)), F.lit(0))
-    return F.when(doc_id.isNull(), n + 1).otherwise(F.least(whole * step, F.lit(n)) + F.when(whole < len(groups), part).otherwise(0))
+    wanted = min(MOST_RANGES, RANGES * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    some = keys.orderBy(F.xxhash64("turned", F.col("doc_id").cast("string"))).limit(SAMPLED * wanted).collect()
+    places = sorted(_place(r["doc_id"], r["turned"]) for r in some)
+    cuts = [places[len(places) * i // wanted] for i in range(1, wanted)] if places else []
+    return [c for i, c in enumerate(cuts) if not i or c != cuts[i - 1]]
 
 
 def with_edits(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    some = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    some = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("turned", _turned(F.col("text")))
     kind = dict(some.dtypes)["doc_id"]
-    bounds, before = _ranges(some)
-    own = F.struct(_range_of(F.col("doc_id"), bounds).alias("range"), F.lit(0).alias("extra"))
-    if before:
-        spark = docs.sparkSession
-        ahead = spark.createDataFrame([(h, n) for h, n in before.items()], f"head {kind}, ahead int")
-        # as many rows as there are ranges: bounded by the session's shuffle partitions
-        some = some.join(F.broadcast(ahead), F.col("doc_id").eqNullSafe(F.col("head")), "left")
-        places = F.when(F.col("ahead").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("ahead").alias("range"), F.lit(1).alias("extra"))))
-    else:
-        places = F.array(own)
-    dealt = some.select("doc_id", "text", F.explode(places).alias("p")).select("doc_id", "text", F.col("p.range").alias("range"), F.col("p.extra").alias("extra"))
-    dealt = dealt.repartition("range").sortWithinPartitions("range", "extra", F.col("doc_id").desc_nulls_last(), F.md5(F.coalesce("text", F.lit(""))))
+    bounds = _bounds(some.select("doc_id", "turned"))
+
+    @F.arrow_udf("int")
+    def range_of(ids: pa.Array, turned: pa.Array) -> pa.Array:
+        return pa.array([len(bounds) - bisect_left(bounds, _place(i, d)) for i, d in zip(ids.to_pylist(), turned.to_pylist())], pa.int32())
+
+    ranged = some.withColumn("range", range_of("doc_id", "turned"))
+    heads = sorted((r["range"], r["head"]["doc_id"], r["head"]["turned"]) for r in ranged.groupBy("range").agg(F.max(F.struct("doc_id", "turned")).alias("head")).collect())
+    own = F.struct("range", F.lit(0).alias("extra"))
+    places = F.array(own)
+    if heads:
+        # as many rows as there are ranges, MOST_RANGES at most
+        rows = [(doc_id, turned, heads[i - 1][0]) for i, (_, doc_id, turned) in enumerate(heads)]
+        ahead = docs.sparkSession.createDataFrame(rows, f"head {kind}, head_turned string, ahead int")
+        ranged = ranged.join(F.broadcast(ahead), F.col("doc_id").eqNullSafe(F.col("head")) & (F.col("turned") == F.col("head_turned")), "left")
+        places = F.when(F.col("ahead").isNull(), places).otherwise(F.array(own, F.struct(F.col("ahead").alias("range"), F.lit(1).alias("extra"))))
+    dealt = ranged.select("doc_id", "text", "turned", F.explode(places).alias("p")).select("doc_id", "text", "turned", F.col("p.range").alias("range"), F.col("p.extra").alias("extra"))
+    dealt = dealt.repartition("range").sortWithinPartitions("range", "extra", F.col("doc_id").desc_nulls_last(), F.col("turned").desc()).drop("turned")
 
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # (doc_id, text, range, extra, sketch) of the row before
