@@ -464,6 +464,82 @@ def test_fingerprints(docs, rows):
     assert 0.4 < long["near_edited"] < 0.95
 
 
+def plain_anchors(text):
+    """{32 bits of the hash: first place} of closed syncmers, k-mer by k-mer."""
+    data, out = text.encode(), {}
+    one = lambda b: int(fingerprints.byte_hashes(np.frombuffer(b, np.uint8), len(b))[0][0])
+    for i in range(len(data) - fingerprints.K + 1):
+        kmer = data[i : i + fingerprints.K]
+        inner = [one(kmer[j : j + fingerprints.S]) for j in range(fingerprints.K - fingerprints.S + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            out.setdefault(one(kmer) >> 32, i)
+    if data and not out:
+        import hashlib
+
+        out = {int.from_bytes(hashlib.sha256(data).digest()[:4], "big"): 0}
+    return out
+
+
+def plain_likeness(a, b):
+    if not a or not b:
+        return float(a == b)
+    ends = []  # longest run of common anchors in the same order, by all shorter ones
+    for h in sorted(a.keys() & b.keys(), key=a.get):
+        ends.append((b[h], 1 + max((n for p, n in ends if p < b[h]), default=0)))
+    share = max((n for _, n in ends), default=0) / len(a.keys() | b.keys())
+    return 2 * share / (1 + share)
+
+
+def test_fingerprints_equal_plain_syncmers(spark, rows):
+    import hashlib
+
+    some = [(r[0], r[1]) for r in rows if len(r[1] or "") < 700]
+    order = sorted(some, key=lambda r: (r[0] is None, -(r[0] or 0), hashlib.md5((r[1] or "").encode()).hexdigest()))
+    known, want = {}, []
+    sketch = lambda t: known.setdefault(t, plain_anchors(t))
+
+    def spelled(a):
+        few = sorted(a.items())[: fingerprints.SIZE]
+        return " ".join(f"{h:08x} {p:x}" for h, p in sorted(few, key=lambda x: x[1]))
+
+    for a, b in zip(order, order[1:] + order[:1]):
+        x, y = a[1] or "", b[1] or ""
+        f = len(x) // 3
+        e = x[: len(x) - f] + y[:f]
+        want.append((a[0], spelled(sketch(x)), spelled(sketch(e)), round(plain_likeness(sketch(x), sketch(e)), 9), round(plain_likeness(sketch(x), sketch(y)), 9)))
+    found = fingerprints.with_edits(spark.createDataFrame(some, "doc_id long, text string")).collect()
+    assert multiset((r["doc_id"], r["fingerprint"], r["edited_fingerprint"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in found) == multiset(want)
+
+
+def test_ids_of_other_types(spark, docs, rows):
+    """Ids as strings: the repeat removers and fingerprints give what they give for numbers, in the order of the strings."""
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 5, "0")))
+    name = lambda i: None if i is None else f"d{i:05d}"
+    for op in (lambda d: suffix_repeats.remove(d, keep_first=False), block_repeats.remove, fingerprints.with_edits):
+        value = [c for c in op(docs).columns if c != "doc_id"]
+        assert got(op(named), "doc_id", *value) == multiset((name(r["doc_id"]), *(r[c] for c in value)) for r in op(docs).collect())
+    # without integers, first copies go by digest
+    once = [(name(i), t) for i, t in enumerate(sorted({r[1] or "" for r in rows}))]
+    order = sorted(once, key=lambda x: hashlib.md5(x[1].encode()).digest())
+    gone = {i: sum(g) for (i, _), g in zip(order, brute.repeats([list(t.encode()) for _, t in order], 200, True))}
+    assert {r["doc_id"]: r["n_removed"] for r in suffix_repeats.remove(spark.createDataFrame(once, "doc_id string, text string")).collect()} == gone
+
+
+def test_many_rows_without_an_id(spark):
+    """Rows of null id are dealt by digest: many ranges, and the same ring of neighbours."""
+    import hashlib
+
+    texts = [f"text number {i} " * (i % 5) for i in range(300)]
+    found = fingerprints.with_edits(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")).collect()
+    order = sorted(texts, key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    want = [hashlib.sha256((a[: len(a) - len(a) // 3] + b[: len(a) // 3]).encode()).hexdigest() for a, b in zip(order, order[1:] + order[:1])]
+    assert multiset(r["edited_sha256"] for r in found) == multiset(want)
+
+
 def test_likeness():
     a = "the quick brown fox jumps over the lazy dog and runs off into the deep dark woods " * 3
     one, two, none = fingerprints.sketches([a, "x" + a, ""])

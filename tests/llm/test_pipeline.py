@@ -1,8 +1,10 @@
 """The pipeline on a small table: each stage keeps the columns, drops what it should, and packs the rest."""
 
+import collections
+
 import corpus_pipeline
 from tests.llm import brute
-from tidelog.llm import minhash
+from tidelog.llm import minhash, mixing, packing, tokens
 
 
 def test_stages(spark, docs, rows):
@@ -18,10 +20,25 @@ def test_stages(spark, docs, rows):
     left = seen["suffix_dedup"]
     texts = [list(r["text"].encode()) for r in left]
     assert not any(any(g) for g in brute.repeats(texts, 200))
-    times = [sum(r["doc_id"] == x["doc_id"] for r in seen["source_mix"]) for x in left]
-    assert max(times) <= 2
-    packed = corpus_pipeline.STAGES[-1][1](spark, df, "")
-    assert packed.select("sequence_id").distinct().count() <= packed.count()
+    taken = {(r["doc_id"], r["text"]): -(-r["taken"] // r["size"]) if r["size"] else 0 for r in mixing.take(spark.createDataFrame([tuple(x.values()) for x in left], docs.schema), "doc_id", "text").collect()}
+    times = collections.Counter((r["doc_id"], r["text"]) for r in seen["source_mix"])
+    assert times == {k: n for k, n in taken.items() if n} and 1 < len(set(times.values()))
+    packed = corpus_pipeline.STAGES[-1][1](spark, df, "").collect()
+    ids = tokens.encoder(tokens.default_vocabulary())
+    want = sum(len(ids.ids(r["text"])) + 1 for r in seen["source_mix"])
+    assert sum(r["length"] for r in packed) == want
+    fill = collections.Counter()
+    for r in packed:
+        fill[r["sequence_id"]] += r["length"]
+    assert max(fill.values()) <= packing.LENGTH
+    pieces = collections.Counter((r["doc_id"], r["piece"]) for r in packed)
+    assert {k[0]: n for k, n in pieces.items() if k[1] == 0} == collections.Counter(r["doc_id"] for r in seen["source_mix"])
+
+
+def test_copies_are_no_neighbours(spark):
+    df = spark.createDataFrame([(i, f"w{i} " * 10, "s", None) for i in range(40)], "doc_id long, text string, source string, lang string").coalesce(1)
+    ids = [r["doc_id"] for r in mixing.mix(df).collect()]
+    assert len(ids) == 60 and all(a != b for a, b in zip(ids, ids[1:]))
 
 
 def test_run(spark, tmp_path):
