@@ -40,7 +40,23 @@ def test_html_to_text(spark):
         "<p>a<br/>b</p><p>c</p>": "a\nb\nc", '<span class="x quote-inline">RT: u</span>said  this': "said this", "a&nbsp;b&amp;c &lt;d&gt;": "a b&c <d>", "<p>a</p>\n\n\n\n<p>b</p>": "a\n\nb", None: "", "": "", "a\r\nb": "a\nb",
     }
     assert apply(spark, list(cases), texts.html_to_text) == list(cases.values())
-    assert apply(spark, ["&eacute;&hellip; &amp;lt;"], lambda c: texts.html_to_text(c, general=True)) == ["é… &lt;"]
+    more = ["caf&eacute; &mdash; it&#8217;s &hellip; &amp;lt; &ltx &#x41;&nbsp;&amp;", "<div>\u2003a\u3000</div>\x85b\x1c", "a & b &amp;eacute; &unknown; &copy", "&lt;p&gt;x&lt;/p&gt;", "a<br>\n \n\xa0\n<br/>b", "<p>x</p><h3>y</h3ns><blockquote>z</blockquote >w"]
+
+    def plain(source):  # line by line, from the rules
+        import html
+        import re
+
+        for name in ("p", "div", "li", "blockquote", "h1", "h2", "h3", "h4", "h5", "h6"):
+            source = re.sub(f"</{name}[ ]*>", "\n", source)
+        source = html.unescape(re.sub("<[^>]*>", "", source.replace("<br>", "\n").replace("<br/>", "\n"))).replace("\xa0", " ")
+        out = []
+        for line in (" ".join(re.split("[ \t\f\v]+", x)).strip() for x in source.split("\n")):
+            if line or (out and out[-1]):
+                out.append(line)
+        return "\n".join(out).strip()
+
+    assert apply(spark, more, texts.html_to_text) == [plain(x) for x in more]
+    assert apply(spark, more, texts.html_to_text)[0] == "café — it’s … &lt; <x A &"
 
 
 def test_links_and_media(spark):

@@ -10,13 +10,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-QUOTE_INLINE = r"""(?is)<span[^>]*\bclass="[^"]*\bquote-inline\b[^"]*"[^>]*>.*?</span>"""
-BREAKS = r"(?i)<br\s*/?>|</p\s*>|</div\s*>|</li\s*>|</h[1-6]\s*>|</blockquote\s*>"
-# The character references that need no general decoder; the ampersand's comes last.
-REFERENCES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&apos;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
-# Media types by extension.
-#: (fixed) where links of a status point to
+from tidelog.functions.times import let
+
+# Elements whose end breaks a line, the mark of an inline quote, and what counts as a blank at a line's ends.
+LINE_ENDS = ("p", "div", "li", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote")
+QUOTE_CLASS = "quote-inline"
+BLANK = r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+#: Character references that are decoded in place; the ampersand's comes last.
+COMMON_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
+# Fixed value: where links of a status point to.
 PLATFORM = r"truthsocial\.com"
+# Media types by extension.
 VIDEO = ("mp4", "m3u8", "mov", "qt")
 IMAGE = ("jpg", "jpeg", "png", "webp", "gif")
 
@@ -45,22 +49,29 @@ def without_accounts(document: pd.Series) -> pd.Series:
     return document.map(one, na_action="ignore")
 
 
-def html_to_text(source: Column, general: bool = False) -> Column:
-    """Plain text of a post's HTML: inline quotes go, block ends break lines, blanks run together.
+def decoded(text: Column) -> Column:
+    """text with every character reference of HTML decoded, once.
 
-    The usual character references are decoded in the JVM; ``general`` decodes all, in Python.
+    Most texts have none beyond the common ones, which are replaced in the JVM;
+    only those with another ampersand go through Python, by batch.
     """
-    s = F.regexp_replace(F.coalesce(source, F.lit("")), QUOTE_INLINE, "")
-    s = F.regexp_replace(F.regexp_replace(s, BREAKS, "\n"), "<[^>]+>", "")
-    if general:
-        s = unescape_all(s)
-    else:
-        for name, char in REFERENCES:
-            s = F.replace(s, F.lit(name), F.lit(char))
-    s = F.translate(F.replace(s, F.lit(" "), F.lit(" ")), "\r", "")
-    s = F.regexp_replace(s, r"[ \t\f\x0B]+", " ")
-    s = F.regexp_replace(F.regexp_replace(s, " ?\n ?", "\n"), "\n{3,}", "\n\n")
-    return F.regexp_replace(s, r"^\s+|\s+\z", "")
+    plain, left = text, text
+    for name, char in COMMON_REFERENCES.items():
+        plain, left = F.replace(plain, F.lit(name), F.lit(char)), F.replace(left, F.lit(name), F.lit(""))
+    other = left.contains("&")
+    return F.when(other, unescape_all(F.when(other, text))).otherwise(plain)
+
+
+def html_to_text(source: Column) -> Column:
+    """Plain text of a post's HTML: inline quotes go, ends of blocks break lines, blanks run together, lines are trimmed, and at most one empty line stays between two others."""
+    quote = rf'(?is)<span[^>]*\bclass="[^"]*\b{QUOTE_CLASS}\b[^"]*"[^>]*>.*?</span>'
+    line_end = rf"(?i)<(?:br\s*/?|/(?:{'|'.join(LINE_ENDS)})\s*)>"
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(source, F.lit("")), quote, ""), line_end, "\n"), "<[^>]+>", "")
+    text = F.translate(decoded(bare), "\xa0\r", " ")
+    lines = F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(F.regexp_replace(x, r"[ \t\f\x0B]+", " "), rf"^{BLANK}+|{BLANK}+\z", ""))
+    # of empty lines in a row the first stays, at the ends none
+    kept = let(lines, lambda all_: F.filter(all_, lambda x, i: (x != "") | (F.get(all_, i - 1) != "")))
+    return F.regexp_replace(F.array_join(kept, "\n"), r"^\n+|\n+\z", "")
 
 
 def card_domain(url: Column) -> Column:
