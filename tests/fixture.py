@@ -1,48 +1,68 @@
-"""A small archive of 30 posts, and observation helpers, for tests."""
+"""A generated archive, the same for the same seed, and observation helpers, for tests."""
 
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.functions.times import eastern_fields
 from tidelog.schema import DELETION, ENGAGEMENT, MEDIA_ITEM, OBSERVATION, POST, RUN
 
 U = lambda s: dt.datetime.fromisoformat(s)
+FIRST_ID = 110000000000000000
+START, DAYS = dt.datetime(2026, 1, 5), 330
+#: UTC instants at which Eastern clocks change in that year.
+CHANGES = (dt.datetime(2026, 3, 8, 7), dt.datetime(2026, 11, 1, 6))
 
 
 def item(kind: str, **more) -> dict:
     return dict.fromkeys(MEDIA_ITEM.fieldNames()) | {"type": kind} | more
 
 
-def post(number: int, at: str, kind: str = "original", **more) -> dict:
+def post(number: int, at: str | dt.datetime, kind: str = "original", **more) -> dict:
+    at = U(at) if isinstance(at, str) else at
     base = dict.fromkeys(POST.fieldNames()) | {
-        "ts_id": f"{110000000000000000 + number}", "created_at_utc": U(at), "kind": kind, "content_html": "", "content_text": f"text {number}", "media": [], "mentions": [], "tags": [], "pinned": False,
-        "first_seen_at": U(at), "first_seen_source": "bulk", "seen_sources": ["bulk"], "updated_at": U(at), "updated_run_id": "r0", "status": "present", "field_sources": {},
+        "ts_id": str(FIRST_ID + number), "created_at_utc": at, "kind": kind, "content_html": "", "content_text": f"text {number}", "media": [], "mentions": [], "tags": [], "pinned": False,
+        "first_seen_at": at, "first_seen_source": "bulk", "seen_sources": ["bulk"], "updated_at": at, "updated_run_id": "r0", "status": "present", "field_sources": {},
     }
     return base | more
 
 
+def _some(r: random.Random, number: int, at: dt.datetime) -> dict:
+    """One post with whatever chance gives it."""
+    kind = r.choices(["original", "reblog", "quote", "reply"], [6, 3, 1, 1])[0]
+    more: dict = {"media": [item(r.choice(["image", "video", "gifv"])) for _ in range(r.choice([0, 0, 0, 1, 2, 3]))]}
+    if kind == "reblog" and r.random() < 0.9:
+        more["reblog_of_acct"] = r.choice(["ada", "bob", "cyd", "dee", "eve", "fay", "gus", "hal", "ivy", "jon", "kim", "lee"])
+    if r.random() < 0.3:
+        host = r.choice([f"site{k}.example" for k in range(13)])
+        more |= {"card_url": f"https://www.{host}/{number}", "card_domain": host}
+    if r.random() < 0.08:
+        more["edited_at"] = at + dt.timedelta(minutes=r.randint(1, 600))
+    if r.random() < 0.12:
+        lower = at + dt.timedelta(minutes=r.randint(0, 3000))
+        more |= {"status": "deleted", "deleted_source": r.choice(["tracker", "gone"]), "deleted_lower": lower, "deleted_upper": lower + dt.timedelta(minutes=r.randint(0, 500))}
+    if r.random() < 0.1:
+        more["content_text"] = "long " * r.randint(20, 60)
+    return post(number, at, kind, **more)
+
+
 def archive() -> list[dict]:
-    rows = [post(i, t) for i, t in enumerate(["2026-03-08 06:30", "2026-03-08 07:30", "2026-03-08 15:00", "2026-03-09 14:00"])]
-    rows += [post(10 + i, f"2026-06-15 14:{m:02d}") for i, m in enumerate([0, 2, 4, 5, 6, 8])]
-    rows += [post(20 + i, f"2026-06-16 {h}") for i, h in enumerate(["10:00", "10:20", "10:45", "11:05"])]
-    for i in range(3):
-        rows.append(post(30 + i, f"2026-07-0{1 + i} 12:00", "reblog", reblog_of_acct="alpha"))
-    rows.append(post(33, "2026-07-04 12:00", "reblog", reblog_of_acct="beta"))
-    rows.append(post(34, "2026-07-05 12:00", "quote", quote_id="1", quote_of_acct="gamma"))
-    for i in range(3):
-        rows.append(post(35 + i, f"2026-07-0{6 + i} 12:00", card_url="https://www.one.example/a", card_domain="one.example"))
-    rows.append(post(38, "2026-07-09 12:00", card_url="https://two.example/a", card_domain="two.example", media=[item("image")]))
-    rows.append(post(39, "2026-07-10 12:00", media=[item("video")]))
-    rows.append(post(40, "2026-07-11 12:00", media=[item("image"), item("video")]))
-    rows.append(post(41, "2026-07-12 12:00", "reply", in_reply_to_id="5", edited_at=U("2026-07-12 13:00")))
-    gone = {"status": "deleted", "deleted_source": "tracker"}
-    rows.append(post(50, "2026-08-01 10:00", **gone, deleted_lower=U("2026-08-01 11:00"), deleted_upper=U("2026-08-01 12:30"), content_text="x" * 200))
-    rows.append(post(51, "2026-08-02 10:00", **gone, deleted_lower=U("2026-08-02 10:05"), deleted_upper=U("2026-08-02 10:05")))
-    rows += [post(60, "2026-11-01 05:30"), post(61, "2026-11-01 06:30")]
-    return rows
+    """Posts at random instants, a few bursts, and a close series over both changes of the clock."""
+    r = random.Random(31)
+    times = [START + dt.timedelta(seconds=r.randrange(DAYS * 86_400)) for _ in range(220)]
+    for _ in range(6):
+        at = START + dt.timedelta(minutes=r.randrange(DAYS * 1440))
+        for _ in range(r.randint(4, 11)):
+            times.append(at)
+            at += dt.timedelta(seconds=r.randint(20, 260))
+    for change in CHANGES:
+        times += [change + dt.timedelta(minutes=m) for m in range(-130, 131, 26)]
+    r.shuffle(times)
+    return [_some(r, number, at) for number, at in enumerate(times, 1)]
 
 
 def posts(spark, rows=None):
@@ -50,18 +70,25 @@ def posts(spark, rows=None):
     return df.withColumns(eastern_fields(F.col("created_at_utc"))).select(*POST.fieldNames())
 
 
-def snapshots(spark):
-    """Favourites 5, 10, 15, 35 of the four reblogs (with an older row for one) and 10, 20, 30 of three originals."""
-    def row(number, at, fav, reb, rep):
-        return U(at), f"{110000000000000000 + number}", "primary", rep, reb, fav, None, None
+def snapshot_rows() -> list[tuple]:
+    """Up to three snapshots, hours apart, of most posts, in order of ingest."""
+    r, rows = random.Random(32), []
+    for p in archive():
+        at = p["created_at_utc"]
+        for _ in range(r.choice([0, 1, 1, 2, 3])):
+            at += dt.timedelta(hours=r.randint(1, 40))
+            rows.append((at, p["ts_id"], r.choice(["primary", "bulk"]), *[r.choice([None, r.randint(0, 60)]) for _ in range(3)], None, None))
+    return rows
+
 
-    rows = [row(30, "2026-07-02 00:00", 1, 1, 1), row(30, "2026-07-03 00:00", 5, 2, 1), row(31, "2026-07-03 00:00", 10, 3, 1), row(32, "2026-07-04 00:00", 15, 4, 2), row(33, "2026-07-05 00:00", 35, 8, 4)]
-    rows += [row(35, "2026-07-07 00:00", 10, 1, 1), row(36, "2026-07-08 00:00", 20, 2, 2), row(37, "2026-07-09 00:00", 30, 3, 3)]
-    return spark.createDataFrame(rows, ENGAGEMENT).withColumn("ingest_seq", F.monotonically_increasing_id())
+def snapshots(spark):
+    rows = [(*x, i) for i, x in enumerate(snapshot_rows())]
+    return spark.createDataFrame(rows, T.StructType([*ENGAGEMENT.fields, T.StructField("ingest_seq", T.LongType())]))
 
 
 def deletion_log(spark):
-    return spark.createDataFrame([(f"{110000000000000000 + n}", U("2026-08-03 00:00"), None, None, "tracker", None, "r1") for n in (50, 51)], DELETION)
+    gone = [p for p in archive() if p["status"] == "deleted"]
+    return spark.createDataFrame([(p["ts_id"], p["deleted_upper"], p["deleted_lower"], p["deleted_upper"], p["deleted_source"], None, "r1") for p in gone], DELETION)
 
 
 def runs(spark):

@@ -20,20 +20,22 @@ def codes(df, severity="hard"):
 
 
 def test_sound_archive(spark):
-    found = checks.run(fixture.posts(spark), fixture.deletion_log(spark), fixture.snapshots(spark), fixture.runs(spark), F.lit("2026-11-01 12:00:00").cast("timestamp_ntz"), run_id="r1", statuses_count=28, tracker_total=30)
+    rows = fixture.archive()
+    present = sum(r["status"] == "present" for r in rows)
+    found = checks.run(fixture.posts(spark), fixture.deletion_log(spark), fixture.snapshots(spark), fixture.runs(spark), F.lit("2026-12-02 12:00:00").cast("timestamp_ntz"), run_id="r1", statuses_count=present, tracker_total=len(rows))
     assert codes(found) == []
 
 
 def test_mutations(spark):
     rows = fixture.archive()
     rows.append(dict(rows[0]))
-    rows.append(post(70, "2026-07-20 00:00", deleted_lower=U("2026-07-19 00:00"), deleted_upper=U("2026-07-18 00:00")))
+    rows.append(post(7000, "2026-07-20 00:00", deleted_lower=U("2026-07-19 00:00"), deleted_upper=U("2026-07-18 00:00")))
     log = fixture.deletion_log(spark)
     log = log.union(log.limit(1)).union(log.limit(1).withColumn("ts_id", F.lit("9")))
     snaps = fixture.snapshots(spark)
     close = snaps.limit(1).withColumn("observed_at", F.timestamp_add("MINUTE", F.lit(59), F.col("observed_at")))
     snaps = snaps.union(close).union(snaps.limit(1).withColumn("ts_id", F.lit("8")))
-    found = checks.run(fixture.posts(spark, rows), log, snaps, fixture.runs(spark), NOW(), run_id="none", statuses_count=500, tracker_total=500)
+    found = checks.run(fixture.posts(spark, rows), log, snaps, fixture.runs(spark), NOW(), run_id="none", statuses_count=5000, tracker_total=5000)
     assert codes(found) == ["created_after_deleted_upper", "deletion_unknown_post", "duplicate_deletion_event", "duplicate_id", "engagement_too_close", "engagement_unknown_post", "missing_run_row"]
     assert {"inverted_deletion_bounds", "present_count_drift", "tracker_total_drift"} <= set(codes(found, "soft"))
 
@@ -86,7 +88,8 @@ def test_ambiguous_handles_and_stats(spark):
     p = fixture.posts(spark, rows)
     assert [r[0][-1] for r in checks.ambiguous_handles(p).collect()] == ["1"]
     found = {(r["name"], r["value"]): r["n"] for r in checks.stats(p, fixture.deletion_log(spark), fixture.snapshots(spark)).collect()}
-    assert found[("posts", "")] == 3 and found[("by_kind", "reblog")] == 3 and found[("by_source_combination", "bulk")] == 3 and found[("deletions", "")] == 2 and found[("ambiguous_handles", "")] == 1
+    gone = sum(r["status"] == "deleted" for r in fixture.archive())
+    assert found[("posts", "")] == 3 and found[("by_kind", "reblog")] == 3 and found[("by_source_combination", "bulk")] == 3 and found[("deletions", "")] == gone and found[("ambiguous_handles", "")] == 1
 
 
 def test_two_archives(spark):
