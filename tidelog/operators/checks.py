@@ -65,11 +65,12 @@ def wrong_month(posts: DataFrame) -> DataFrame:
 
 
 def unsorted_files(posts: DataFrame) -> DataFrame:
-    """posts with ``file_month`` and ``line_no``: files whose ids do not ascend."""
-    order = Window.partitionBy("file_month").orderBy("line_no")
+    """posts with ``file`` (by default the month), ``file_month`` and ``line_no``: files whose ids do not ascend."""
+    by = "file" if "file" in posts.columns else "file_month"
+    order = Window.partitionBy(by).orderBy("line_no")
     number = F.col("ts_id").try_cast("bigint")
     bad = posts.withColumn("n", number).withColumn("p", F.lag("n").over(order)).filter(F.col("n").isNull() | (F.col("n") < F.col("p")))
-    return _rows(bad.select("file_month").distinct(), "hard", "unsorted_file", F.lit(None), F.col("file_month"))
+    return _rows(bad.select(by, "file_month").distinct(), "hard", "unsorted_file", F.lit(None), F.col("file_month"))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str], code: str = "duplicate_id", severity: str = "hard", listed: str | None = None) -> DataFrame:

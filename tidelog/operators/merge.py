@@ -59,18 +59,28 @@ def precedence(rows: DataFrame, key: list[str], value: str, rank: str, seq: str)
     )
 
 
+def _held(value: Column, source: Column, rank: Column, seq: Column, kind: str) -> Column:
+    """A present value as an offer; the largest one before a row is what stands."""
+    return F.when(non_empty(value, kind), F.struct(rank.alias("r"), seq.alias("q"), source.alias("s"), value.alias("v")))
+
+
+def _lost(value: Column, rank: Column, held: Column, kind: str, tolerance_s: float | None = None) -> Column:
+    """Whether a present value lost against another that stood."""
+    differs = held["v"] != value if tolerance_s is None else F.abs(minutes_between(held["v"], value)) * 60 > tolerance_s
+    return non_empty(value, kind) & (held["r"] > rank) & differs
+
+
+def _cut_text(value: Column, kind: str) -> Column:
+    whole = F.to_json(F.struct(value.alias("v"))) if kind.startswith(("array", "map", "struct")) else value.cast("string")
+    return F.substring(whole, 1, 60)
+
+
 def disagreements(rows: DataFrame, key: list[str], value: str, source: str, rank: str, seq: str, field: str | None = None, tolerance_s: float | None = None) -> DataFrame:
     """Rows whose non-empty value lost against another value that stood: key, seq, field, old and new source and value."""
     kind = dict(rows.dtypes)[value]
-    present = non_empty(F.col(value), kind)
     before = Window.partitionBy(*key).orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
-    held = F.max(F.when(present, F.struct(F.col(rank).alias("r"), F.col(seq).alias("q"), F.col(source).alias("s"), F.col(value).alias("v")))).over(before)
-    found = rows.withColumn("__h", held).filter(present & (F.col("__h.r") > F.col(rank)))
-    differs = F.col("__h.v") != F.col(value)
-    if tolerance_s is not None:
-        differs = F.abs(minutes_between(F.col("__h.v"), F.col(value))) * 60 > tolerance_s
-    text = lambda c: F.substring(F.to_json(F.struct(c.alias("v"))) if kind.startswith(("array", "map", "struct")) else c.cast("string"), 1, 60)
-    return found.filter(differs).select(*key, F.col(seq), F.lit(field or value).alias("field"), F.col("__h.s").alias("old_source"), text(F.col("__h.v")).alias("old_value"), F.col(source).alias("new_source"), text(F.col(value)).alias("new_value"))
+    found = rows.withColumn("__h", F.max(_held(F.col(value), F.col(source), F.col(rank), F.col(seq), kind)).over(before)).filter(_lost(F.col(value), F.col(rank), F.col("__h"), kind, tolerance_s))
+    return found.select(*key, F.col(seq), F.lit(field or value).alias("field"), F.col("__h.s").alias("old_source"), _cut_text(F.col("__h.v"), kind).alias("old_value"), F.col(source).alias("new_source"), _cut_text(F.col(value), kind).alias("new_value"))
 
 
 def _filled(kept: Column, other: Column) -> Column:
@@ -230,14 +240,17 @@ def merge(current: DataFrame, observations: DataFrame, logged: DataFrame | None
         "ts_id", F.col("observed_at").alias("detected_at"), F.col("__low_so_far").alias("deleted_lower"), F.col("__up_so_far").alias("deleted_upper"), "source", F.col("__removed_so_far").alias("tracker_removed_at"), "run_id",
     ).select(*DELETION.fieldNames())
 
-    anomalies = None
-    for f in (*SCALARS, "content_html", "created_at_utc"):
-        ranks = CREATED_RANK if f == "created_at_utc" else SOURCE_RANK
-        some = rows.withColumns({"__src": source_of(f), "__rank": rank_of(source_of(f), ranks)})
-        lost = disagreements(some, ["ts_id"], f, "__src", "__rank", "seq", tolerance_s=2.0 if f == "created_at_utc" else None)
-        note = F.concat(F.lit(f"{f}_disagreement:"), "ts_id", F.lit(":"), "old_source", F.lit("="), "old_value", F.lit(","), "new_source", F.lit("="), "new_value")
-        lost = lost.select("ts_id", "seq", F.lit(f"{f}_disagreement").alias("code"), note.alias("detail"))
-        anomalies = lost if anomalies is None else anomalies.unionByName(lost)
+    # one window by post holds what stood before a row, for all fields; one pass over it gives all notes
+    looked = (*SCALARS, "content_html", "created_at_utc")
+    ranks = {f: CREATED_RANK if f == "created_at_utc" else SOURCE_RANK for f in looked}
+    held = {f"__h_{f}": F.max(_held(F.col(f), source_of(f), rank_of(source_of(f), ranks[f]), F.col("seq"), kinds[f])).over(before) for f in looked}
+    notes = []
+    for f in looked:
+        lost = _lost(F.col(f), rank_of(source_of(f), ranks[f]), F.col(f"__h_{f}"), kinds[f], 2.0 if f == "created_at_utc" else None)
+        detail = F.concat(F.lit(f"{f}_disagreement:"), "ts_id", F.lit(":"), F.col(f"__h_{f}.s"), F.lit("="), _cut_text(F.col(f"__h_{f}.v"), kinds[f]), F.lit(","), source_of(f), F.lit("="), _cut_text(F.col(f), kinds[f]))
+        notes.append(F.when(lost, F.struct(F.lit(f"{f}_disagreement").alias("code"), detail.alias("detail"))))
+    found = F.filter(F.array(*notes), lambda x: x.isNotNull())
+    anomalies = rows.withColumns(held).select("ts_id", "seq", F.inline(found)).select("ts_id", "seq", "code", "detail")
     cut_to = lambda c: F.substring(c, 1, 60)
     media = folded.select("ts_id", F.explode("__m.lost").alias("x"))
     note = F.concat(F.lit("media_disagreement:"), "ts_id", F.lit(":"), "x.old_source", F.lit("="), cut_to("x.old_value"), F.lit(","), "x.new_source", F.lit("="), cut_to("x.new_value"))

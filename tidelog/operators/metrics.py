@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.texts import snippet
@@ -105,14 +105,16 @@ def engagement_tiles(view: DataFrame, latest: DataFrame, value: str = "favourite
     """By kind: n and the first value in the 50th and 90th of a hundred tiles; null where a group has fewer rows.
 
     ntile deals n rows into 100 tiles, the first n % 100 one larger, so the
-    first row of a tile has a known rank; only that row's value is asked for.
+    first row of a tile has a known rank.  It is looked up in running counts of
+    the values, which are combined map-side; no window holds a kind's rows.
     """
-    from pyspark.sql import Window
-
     both = view.select("ts_id", "kind").join(latest.select("ts_id", value), "ts_id").filter(F.col(value).isNotNull())
-    tiled = both.withColumn("pct", F.ntile(100).over(Window.partitionBy("kind").orderBy(value)))
-    first = lambda p: F.min(F.when(F.col("pct") >= p, F.col(value)))
-    return tiled.groupBy("kind").agg(F.count("*").alias("n"), first(50).alias(f"{value}_p50"), first(90).alias(f"{value}_p90"))
+    counts = both.groupBy("kind", value).agg(F.count("*").alias("k"))
+    kind = Window.partitionBy("kind")
+    counts = counts.withColumns({"n": F.sum("k").over(kind), "upto": F.sum("k").over(kind.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))})
+    start = lambda p: 1 + (p - 1) * F.floor(F.col("n") / 100) + F.least(F.lit(p - 1), F.col("n") % 100)
+    first = lambda p: F.min(F.when(F.col("upto") >= start(p), F.col(value)))
+    return counts.groupBy("kind").agg(F.max("n").alias("n"), first(50).alias(f"{value}_p50"), first(90).alias(f"{value}_p90"))
 
 
 def deletion_listing(gone: DataFrame, start=None, end=None) -> DataFrame:

@@ -1,10 +1,10 @@
 """Operators over the whole time line: neighbours, gaps, bursts, spikes.
 
 A window without a partition key would move every row to one task.  The time
-line is cut by day instead: neighbours inside a day come from a window by day,
-and the last row of the day before from a small per-day table (one row a day).
-Runs of posts without a gap beyond the burst window get numbers the same way,
-and bursts are looked for inside each run.
+line is cut into slices of ``SLICE`` instead, whatever its density: neighbours
+inside a slice come from a window by slice, and what goes on from slice to
+slice (the last row, the furthest end of a burst, the number of bursts so far)
+from a small table with a row for each slice that has posts.
 """
 
 from __future__ import annotations
@@ -15,14 +15,22 @@ from pyspark.sql import functions as F
 from tidelog.functions.times import epoch_micros, minutes_between
 
 
+#: Microseconds of a slice of the time line.
+SLICE = 3_600_000_000
+
+
+def _slice(us: Column, length: int = SLICE) -> Column:
+    return F.floor(us / length).cast("bigint")
+
+
 def with_previous(df: DataFrame, at: str, key: str, *carry: str) -> DataFrame:
     """df with prev_<c> for every c of carry: values of the row before in order of (at, key)."""
     row, order = F.struct(*carry), F.struct(at, key)
-    inside = Window.partitionBy("__day").orderBy(at, key)
-    days = df.withColumn("__day", F.col(at).cast("date"))
-    last = days.groupBy("__day").agg(F.max_by(row, order).alias("__last"))
-    last = last.select("__day", F.lag("__last").over(Window.orderBy("__day")).alias("__before"))  # a row for each day there is
-    found = days.withColumn("__prev", F.lag(row).over(inside)).join(last, "__day")
+    inside = Window.partitionBy("__slice").orderBy(at, key)
+    cut = df.withColumn("__slice", _slice(epoch_micros(F.col(at))))
+    last = cut.groupBy("__slice").agg(F.max_by(row, order).alias("__last"))
+    last = last.select("__slice", F.lag("__last").over(Window.orderBy("__slice")).alias("__before"))  # a row for each slice
+    found = cut.withColumn("__prev", F.lag(row).over(inside)).join(last, "__slice")
     prev = F.coalesce("__prev", "__before")
     return found.select(*df.columns, *[prev[c].alias(f"prev_{c}") for c in carry])
 
@@ -49,39 +57,37 @@ def close_pairs(posts: DataFrame, minutes: int = 10) -> DataFrame:
     return both.withColumn("gap_min", gap).filter(F.col("gap_min") <= minutes).select("ts_id", "created_at_et", "kind", "gap_min")
 
 
-def with_runs(posts: DataFrame, at: str, key: str, minutes: int) -> DataFrame:
-    """posts with run: the number of gaps beyond the minutes before each post."""
-    both = with_previous(posts, at, key, at)
-    broken = F.col(f"prev_{at}").isNull() | (minutes_between(F.col(f"prev_{at}"), F.col(at)) > minutes)
-    both = both.withColumn("__break", F.when(broken, 1).otherwise(0)).withColumn("__day", F.col(at).cast("date"))
-    offsets = both.groupBy("__day").agg(F.sum("__break").alias("__n"))
-    offsets = offsets.select("__day", F.coalesce(F.sum("__n").over(Window.orderBy("__day").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"))
-    inside = Window.partitionBy("__day").orderBy(at, key).rowsBetween(Window.unboundedPreceding, 0)
-    numbered = both.withColumn("__in", F.sum("__break").over(inside)).join(offsets, "__day")
-    return numbered.select(*posts.columns, (F.col("__base") + F.col("__in")).alias("run"))
-
-
 def bursts(posts: DataFrame, window_min: int = 10, min_posts: int = 5) -> DataFrame:
     """Islands of at least min_posts posts inside a moving window: start_et, end_et, count, kinds (map).
 
     Every post opens a window; those with enough posts are candidates, and
-    overlapping candidates are one burst.  No window reaches over a gap longer
-    than itself, so each run is on its own.
+    overlapping candidates are one burst.  A slice sees the posts of the next
+    one that its last window reaches.  A burst of any length is a few partial
+    sums in each slice.
     """
-    some = with_runs(posts.select("created_at_utc", "ts_id", "created_at_et", "kind"), "created_at_utc", "ts_id", window_min)
-    some = some.withColumn("us", epoch_micros(F.col("created_at_utc")))
-    order = Window.partitionBy("run").orderBy("us", "ts_id")
-    some = some.withColumn("rn", F.row_number().over(order))
-    ahead = Window.partitionBy("run").orderBy("us").rangeBetween(0, window_min * 60_000_000)
-    some = some.withColumn("hi", F.max("rn").over(ahead))
-    candidate = F.when(F.col("hi") - F.col("rn") + 1 >= min_posts, F.col("hi"))
-    some = some.withColumn("cand", candidate)
+    window = window_min * 60_000_000
+    length = max(SLICE, window)
+    some = posts.select("created_at_utc", "ts_id", "created_at_et", "kind").withColumn("us", epoch_micros(F.col("created_at_utc")))
+    at = _slice(F.col("us"), length)
+    seen = F.when(F.col("us") - at * length <= window, F.array(at, at - 1)).otherwise(F.array(at))
+    some = some.select("*", at.alias("own"), F.explode(seen).alias("slice"))
+    post, order = F.struct("us", "ts_id"), Window.partitionBy("slice").orderBy("us", "ts_id")
+    ahead = Window.partitionBy("slice").orderBy("us").rangeBetween(0, window)
+    some = some.withColumn("rn", F.row_number().over(order)).withColumns({"hi": F.max("rn").over(ahead), "end": F.max(post).over(ahead)})
+    # the frame counts posts of the same instant too; those before this one are taken off by its number
+    some = some.filter("own = slice").withColumn("cand", F.when(F.col("hi") - F.col("rn") + 1 >= min_posts, F.col("end"))).drop("hi", "end", "rn", "own")
+    earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    reach = some.groupBy("slice").agg(F.max("cand").alias("most")).select("slice", F.max("most").over(earlier).alias("carried"))
     before, so_far = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
-    some = some.withColumn("opens", F.when(F.col("cand").isNotNull() & (F.coalesce(F.max("cand").over(before), F.lit(0)) < F.col("rn")), 1).otherwise(0))
-    some = some.withColumns({"island": F.sum("opens").over(so_far), "reach": F.max("cand").over(so_far)})
-    members = some.filter(F.col("reach") >= F.col("rn"))
-    per_kind = members.groupBy("run", "island", "kind").agg(F.count("*").alias("k"), F.min(F.struct("us", "ts_id", "created_at_et")).alias("a"), F.max(F.struct("us", "ts_id", "created_at_et")).alias("b"))
-    whole = per_kind.groupBy("run", "island").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.sum("k").cast("bigint").alias("count"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "k")))).alias("kinds"))
+    some = some.join(reach, "slice").withColumns({"past": F.max("cand").over(before), "reach": F.max("cand").over(so_far)})
+    past = F.greatest("past", "carried")
+    opens = F.col("cand").isNotNull() & (past.isNull() | (past < post))
+    some = some.withColumns({"opens": F.when(opens, 1).otherwise(0), "inside": F.greatest("reach", "carried") >= post})
+    base = some.groupBy("slice").agg(F.sum("opens").alias("n")).select("slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    members = some.withColumn("nth", F.sum("opens").over(so_far)).filter("inside").join(base, "slice").withColumn("island", F.col("base") + F.col("nth"))
+    named = F.struct("us", "ts_id", "created_at_et")
+    per_kind = members.groupBy("island", "kind").agg(F.count("*").alias("k"), F.min(named).alias("a"), F.max(named).alias("b"))
+    whole = per_kind.groupBy("island").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.sum("k").cast("bigint").alias("count"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "k")))).alias("kinds"))
     return whole.select(F.col("a.created_at_et").alias("start_et"), F.col("b.created_at_et").alias("end_et"), "count", "kinds")
 
 

@@ -1,13 +1,17 @@
 """Engagement throttle: which snapshots of a post to keep.
 
 Whether a snapshot is kept depends on the last one that was kept, not on the
-one before, so this is a fold, not a window.  Posts are independent; the fold
-of a post runs over its snapshots in order.
+one before, so this is a fold, not a window.  Posts are independent; tasks get
+the rows sorted by post and fold them as they stream by, with one instant as
+state, so a long history is no array anywhere.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions.times import epoch_micros
@@ -30,18 +34,25 @@ def keep(rows: DataFrame, key: list[str], at: str, seq: str, *, gap_seconds: int
     if created is not None and old_seconds is not None:
         old = F.coalesce(us - epoch_micros(F.col(created)) >= old_seconds * 1_000_000, F.lit(False))
     before = epoch_micros(F.col(last)) if last is not None else F.lit(None).cast("bigint")
-    item = F.struct(F.col(seq).alias("seq"), us.alias("us"), old.alias("old"), F.col(at).alias("at"), *carry)
-    folded = rows.groupBy(*key).agg(F.array_sort(F.collect_list(item)).alias("items"), F.max(before).alias("before"))
-    none = F.filter("items", lambda x: F.lit(False))
-
-    def step(acc: Column, x: Column) -> Column:
-        first = acc["last"].isNull()
-        passes = first | (~x["old"] & (x["us"] - acc["last"] >= gap_seconds * 1_000_000))
-        return F.when(passes, F.struct(x["us"].alias("last"), F.array_append(acc["kept"], x).alias("kept"))).otherwise(acc)
-
-    start = F.struct(F.col("before").alias("last"), none.alias("kept"))
-    kept = folded.select(*key, F.explode(F.aggregate("items", start, step, lambda acc: acc["kept"])).alias("x"))
-    return kept.select(*key, F.col("x.at").alias(at), F.col("x.seq").alias(seq), *[F.col(f"x.{c}").alias(c) for c in carry])
+    some = rows.select(*key, at, seq, *carry, us.alias("__us"), old.alias("__old"), before.alias("__before"))
+    dealt = some.repartition(*key).sortWithinPartitions(*key, seq)
+    out = some.drop("__us", "__old", "__before").schema
+    names, gap = out.fieldNames(), gap_seconds * 1_000_000
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        post, stood = None, None
+        for batch in batches:
+            passes = []
+            keys = zip(*[batch.column(k).to_pylist() for k in key])
+            for k, t, aged, known in zip(keys, *[batch.column(c).to_pylist() for c in ("__us", "__old", "__before")]):
+                if k != post:
+                    post, stood = k, known
+                ok = stood is None or not aged and t is not None and t - stood >= gap
+                stood = t if ok else stood
+                passes.append(ok)
+            yield batch.select(names).filter(pa.array(passes, pa.bool_()))
+
+    return dealt.mapInArrow(over, out)
 
 
 def filter_engagement(candidates: DataFrame, stored: DataFrame, posts: DataFrame) -> DataFrame:

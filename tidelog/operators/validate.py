@@ -28,7 +28,7 @@ def created_disagreements(a: DataFrame, b: DataFrame, seconds: float = 2.0) -> D
 
 def seeded_sample(ids: DataFrame, key: str, k: int = 300, seed: int = 1) -> DataFrame:
     """k keys without replacement, the same for the same seed: the smallest by a seeded hash."""
-    return ids.select(key).distinct().orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(k)
+    return ids.select(key).distinct().orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(k)
 
 
 def content_agreement(a: DataFrame, b: DataFrame, k: int = 300, seed: int = 1) -> DataFrame:

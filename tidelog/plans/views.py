@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.times import minutes_between
+from tidelog.operators.sequences import with_previous
 
 VIEW_COLUMNS = (
     "ts_id", "created_at_utc", "created_at_et", "et_date", "et_hour", "et_dow", "kind", "status", "is_deleted", "content_text", "content_len",
@@ -63,13 +64,17 @@ def engagement_latest_ranked(engagement: DataFrame) -> DataFrame:
 
 
 def register(spark: SparkSession, posts: DataFrame, engagement: DataFrame, deletion_log: DataFrame, runs: DataFrame) -> dict[str, DataFrame]:
-    """All relations as temporary views, by the names that saved SQL uses."""
+    """All relations as temporary views, by the names that saved SQL uses.
+
+    v_posts_previous has the time of the post before each post, without a window over the whole time line.
+    """
     full = derived(posts)
     view = posts_et(posts)
     if "ingest_seq" not in engagement.columns:
         engagement = engagement.withColumn("ingest_seq", F.monotonically_increasing_id())
+    neighbours = with_previous(view, "created_at_utc", "ts_id", "created_at_utc", "created_at_et")
     found = {
-        "posts": full, "media": media_rows(posts), "engagement": engagement, "deletions": deletion_log, "runs": runs,
+        "v_posts_previous": neighbours, "posts": full, "media": media_rows(posts), "engagement": engagement, "deletions": deletion_log, "runs": runs,
         "v_posts_et": view, "v_deletions": deletions(view), "v_engagement_latest": engagement_latest(engagement),
     }
     for name, df in found.items():

@@ -1,4 +1,3 @@
 -- Posts at most ten minutes after the one before.
-WITH ordered AS (SELECT ts_id, created_at_et, kind, created_at_utc, lag(created_at_utc) OVER (ORDER BY created_at_utc, ts_id) AS prev FROM v_posts_et)
-SELECT ts_id, created_at_et, kind, timestampdiff(SECOND, prev, created_at_utc) / 60.0 AS gap_min
-FROM ordered WHERE prev IS NOT NULL AND timestampdiff(SECOND, prev, created_at_utc) <= 600 ORDER BY created_at_utc, ts_id
+SELECT ts_id, created_at_et, kind, timestampdiff(SECOND, prev_created_at_utc, created_at_utc) / 60.0 AS gap_min
+FROM v_posts_previous WHERE timestampdiff(SECOND, prev_created_at_utc, created_at_utc) <= 600 ORDER BY created_at_utc, ts_id

@@ -1,4 +1,3 @@
 -- The twenty longest gaps between posts.
-WITH ordered AS (SELECT ts_id, created_at_utc, created_at_et, lag(created_at_utc) OVER w AS prev, lag(created_at_et) OVER w AS from_et FROM v_posts_et WINDOW w AS (ORDER BY created_at_utc, ts_id))
-SELECT from_et, created_at_et AS to_et, timestampdiff(SECOND, prev, created_at_utc) / 60.0 AS gap_min
-FROM ordered WHERE prev IS NOT NULL ORDER BY gap_min DESC, created_at_utc LIMIT 20
+SELECT prev_created_at_et AS from_et, created_at_et AS to_et, timestampdiff(SECOND, prev_created_at_utc, created_at_utc) / 60.0 AS gap_min
+FROM v_posts_previous WHERE prev_created_at_utc IS NOT NULL ORDER BY gap_min DESC, created_at_utc LIMIT 20
