@@ -36,38 +36,68 @@ def _empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return _typed(spark.read.schema(as_text(schema)).json(path), schema) if _exists(spark, path) else _empty(spark, schema)
+def _json(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+    there = isinstance(path, list) or _exists(spark, path)
+    return _typed(spark.read.schema(as_text(schema)).json(path), schema) if there else _empty(spark, schema)
 
 
 def posts(spark: SparkSession, root: str) -> DataFrame:
-    """posts/*.jsonl, or posts/month=*/ as the sink writes it; none without the folder."""
-    for pattern in (f"{root}/posts/month=*", f"{root}/posts/*.jsonl"):
-        if _exists(spark, pattern):
-            return _json(spark, pattern, POST)
+    """posts/*.jsonl, or posts/month=*/ as the sink writes it; none without the folder.
+
+    A folder that a swap has moved aside and not yet replaced counts as still there.
+    """
+    for folder in (f"{root}/posts", f"{root}/posts.old"):
+        months = _months(spark, folder)
+        if months:
+            return _json(spark, months, POST)
+        if _exists(spark, f"{folder}/*.jsonl"):
+            return _json(spark, f"{folder}/*.jsonl", POST)
     return _empty(spark, POST)
 
 
+def _months(spark: SparkSession, folder: str) -> list[str]:
+    """The month=* folders, each by the name that holds its rows now: one moved aside stands in for a missing one."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/month=*")
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where)
+    names = {x.getPath().toString() for x in found or []}
+    return sorted(n for n in names if not n.endswith(".old") or n.removesuffix(".old") not in names)
+
+
 def sorted_posts(spark: SparkSession, root: str) -> DataFrame:
     return posts(spark, root).orderBy(F.col("ts_id").cast("bigint"))
 
 
+FILED = T.StructType([T.StructField("file", T.StringType()), T.StructField("file_month", T.StringType()), T.StructField("line_no", T.LongType()), T.StructField("line", T.StringType()), *POST.fields])
+
+
 def filed_posts(spark: SparkSession, root: str) -> DataFrame:
-    """posts with file_month and line_no, as they stand in their files."""
-    text = spark.read.text(f"{root}/posts/*.jsonl", wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.jsonl$", 1).alias("file_month"), "value")
-    lines = text.select("file_month", F.posexplode(F.split("value", "\n")).alias("line_no", "line")).filter(F.trim("line") != "")
-    record = F.from_json("line", as_text(POST))
-    parsed = lines.select("file_month", "line_no", "line", record.alias("r"))
-    return _typed(parsed.select("file_month", "line_no", "line", "r.*"), T.StructType([T.StructField("file_month", T.StringType()), T.StructField("line_no", T.IntegerType()), T.StructField("line", T.StringType()), *POST.fields]))
+    """posts with file, file_month, line_no (ascending in a file) and line, as they stand in the files of either layout."""
+    paths = _months(spark, f"{root}/posts") or ([f"{root}/posts/*.jsonl"] if _exists(spark, f"{root}/posts/*.jsonl") else [])
+    if not paths:
+        return _empty(spark, FILED)
+    where = F.col("_metadata.file_path")
+    month = F.regexp_extract(where, r"(\d{4}-\d{2})(?:\.old)?(?:\.jsonl|/[^/]*)$", 1)
+    # splits of a file are read in order of their start; a split's rows in order of the running id
+    number = F.col("_metadata.file_block_start") * F.lit(1 << 20) + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    lines = spark.read.text(paths).select(where.alias("file"), month.alias("file_month"), number.alias("line_no"), F.col("value").alias("line")).filter(F.trim("line") != "")
+    parsed = lines.withColumn("r", F.from_json("line", as_text(POST)))
+    return _typed(parsed.select("file", "file_month", "line_no", "line", "r.*"), FILED)
 
 
 def engagement(spark: SparkSession, root: str) -> DataFrame:
-    """engagement/*.csv with header, blank for null; ingest_seq is the order of reading."""
+    """engagement/*.csv with header, blank for null.
+
+    ingest_seq is the order of ingest, the same at every read: by the file's
+    time and name, the split's start in the file, and the row's turn in the split.
+    """
     path = f"{root}/engagement/*"
     if not _exists(spark, path):
-        return _empty(spark, T.StructType([*ENGAGEMENT.fields, T.StructField("ingest_seq", T.LongType())]))
+        return _empty(spark, T.StructType([*ENGAGEMENT.fields, T.StructField("ingest_seq", T._parse_datatype_string("struct<at:timestamp,file:string,block:bigint,turn:bigint>"))]))
     raw = spark.read.schema(as_text(ENGAGEMENT)).option("header", True).option("nullValue", "").csv(path)
-    return _typed(raw, ENGAGEMENT).withColumn("ingest_seq", F.monotonically_increasing_id())
+    file = F.col("_metadata")
+    order = F.struct(file["file_modification_time"].alias("at"), file["file_path"].alias("file"), file["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("turn"))
+    typed = [parse_instant(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name) for f in ENGAGEMENT.fields]
+    return raw.select(*typed, order.alias("ingest_seq"))
 
 
 def deletion_log(spark: SparkSession, root: str) -> DataFrame:

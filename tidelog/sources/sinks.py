@@ -1,13 +1,19 @@
 """Writers: month-partitioned data sets, logs, exports and report files.
 
 A data set is never written over while it is read: ``rewrite`` writes beside
-it and then swaps folders, so a run that dies leaves the old one.
+it and then swaps folders.  Folders have no atomic swap, so the old one is
+moved aside first and readers fall back to it (see ``landed.posts``) until the
+new one stands; a run that dies in between leaves the old data set readable.
 """
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import json
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,34 +29,89 @@ EXPORT_COLUMNS = (
 )
 
 
+def scratch(spark) -> str:
+    """A new folder that driver and executors share, below spark.checkpoint.dir; it goes when the process ends.
+
+    A folder of this machine is used only where the session names none and runs in one JVM, as in tests.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "file://" + tempfile.gettempdir()
+    path = f"{base.rstrip('/')}/tidelog-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, path)
+    return path
+
+
+def _forget(spark, path: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone at exit; the folder is scratch space
+        remove(spark, path)
+
+
 def textual(df: DataFrame) -> DataFrame:
     """Instants as ISO strings."""
     return df.select(*[to_iso(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name) for f in df.schema.fields])
 
 
+def _path(spark, name: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove(spark, path: str) -> None:
+    where, fs = _path(spark, path)
+    fs.delete(where, True)
+
+
 def _move(spark, source: str, target: str) -> None:
-    jvm = spark.sparkContext._jvm
-    a, b = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
-    fs = b.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = jvm.org.apache.hadoop.fs.Path(target + ".old")
-    fs.delete(old, True)
-    if fs.exists(b):
+    (a, fs), (b, _), (old, _) = _path(spark, source), _path(spark, target), _path(spark, target + ".old")
+    fs.mkdirs(b.getParent())
+    if fs.exists(b):  # else an earlier swap died between its renames, and the old one is all there is
+        fs.delete(old, True)
         fs.rename(b, old)
     if not fs.rename(a, b):
         raise OSError(f"could not move {source} to {target}")
     fs.delete(old, True)
 
 
+def _write_months(df: DataFrame, path: str, month: Column, order: Column, format: str) -> None:
+    """df as month=<yyyy-MM> folders; a month's rows stand in order over as many files as its size asks for."""
+    dealt = textual(df.withColumn("month", month).withColumn("__order", order)).repartitionByRange("month", "__order").sortWithinPartitions("month", "__order").drop("__order")
+    dealt.write.mode("overwrite").partitionBy("month").option("ignoreNullFields", False).format(format).save(path)
+
+
 def rewrite(df: DataFrame, path: str, month: Column, order: Column, format: str = "json") -> None:
     """df as month=<yyyy-MM> folders, sorted inside; months that df no longer has are gone after it."""
-    new = path.rstrip("/") + ".new"
-    dealt = textual(df.withColumn("month", month)).repartition("month").sortWithinPartitions("month", order)
-    dealt.write.mode("overwrite").partitionBy("month").option("ignoreNullFields", False).format(format).save(new)
-    _move(df.sparkSession, new, path.rstrip("/"))
+    path = path.rstrip("/")
+    _write_months(df, path + ".new", month, order, format)
+    _move(df.sparkSession, path + ".new", path)
+
+
+def rewrite_months(df: DataFrame, path: str, month: Column, order: Column, months: list[str], format: str = "json") -> None:
+    """Only the given months of the data set, from df, which has all their rows; the other months stay as they are."""
+    path, spark = path.rstrip("/"), df.sparkSession
+    _write_months(df, path + ".new", month, order, format)
+    for name in months:
+        made, target = f"{path}.new/month={name}", f"{path}/month={name}"
+        if _path(spark, made)[1].exists(_path(spark, made)[0]):
+            _move(spark, made, target)
+        else:
+            remove(spark, target)
+    remove(spark, path + ".new")
+
+
+def post_month() -> Column:
+    """The month folder of a post; those without a time share one."""
+    return F.coalesce(month_of(F.col("created_at_utc")), F.lit("unknown"))
 
 
 def save_posts(posts: DataFrame, root: str) -> None:
-    rewrite(posts, f"{root}/posts", month_of(F.col("created_at_utc")), F.col("ts_id").cast("bigint"))
+    rewrite(posts, f"{root}/posts", post_month(), F.col("ts_id").cast("bigint"))
+
+
+def save_posts_of(posts: DataFrame, root: str, months: list[str]) -> None:
+    rewrite_months(posts, f"{root}/posts", post_month(), F.col("ts_id").cast("bigint"), months)
 
 
 def append_log(rows: DataFrame, path: str) -> None:

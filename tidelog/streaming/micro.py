@@ -1,9 +1,13 @@
 """Structured Streaming over landed observations.
 
-Each micro-batch is merged into the stored data set: records first, then
-events, engagement and anomalies, so a run that dies between them repeats the
-batch from the checkpoint and changes nothing twice.  Corrections may be
-arbitrarily late, so the merge has no watermark.
+Each micro-batch is merged into the stored data set.  What the merge gives is
+written to a staging folder first, for it is computed from the old records;
+then come the records (the months that the batch touches, no others), the
+deletion events, the engagement snapshots and the anomalies.  A run that dies
+between them repeats the batch from the checkpoint and changes nothing twice:
+the merge of the same observations changes no record, events and snapshots
+that are stored are left out, and a batch's anomalies replace those of its
+first try.  Corrections may be arbitrarily late, so the merge has no watermark.
 """
 
 from __future__ import annotations
@@ -27,32 +31,43 @@ def observation_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(OBSERVATION).parquet(path)
 
 
-def merge_batch(root: str) -> Callable[[DataFrame, int], None]:
-    """The foreachBatch step that merges a batch of observations into the data set at root."""
+def merge_batch(root: str, engagement: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+    """The foreachBatch step that merges a batch of observations into the data set at root.
+
+    engagement gives a batch's snapshots (ENGAGEMENT with ingest_seq), if it has any.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if batch.isEmpty():
             return
+        stage = f"{root}/staging/batch={batch_id}"
         current, logged = landed.posts(spark, root), landed.deletion_log(spark, root)
-        merged = merging.merge(current, batch, logged)
-        events = merged.events.persist()  # read from the old records before those are replaced
-        notes = merged.anomalies.withColumn("batch", F.lit(batch_id)).persist()
-        try:
-            events.count(), notes.count()
-            sinks.save_posts(merged.posts.drop("changed", "is_new"), root)
-            sinks.append_log(events, f"{root}/deletions")
-            sinks.append_log(notes, f"{root}/anomalies")
-        finally:
-            events.unpersist()
-            notes.unpersist()
+        named = current.join(batch.select("ts_id").distinct(), "ts_id", "left_semi")
+        merged = merging.merge(named, batch, logged)
+
+        def staged(df: DataFrame, name: str) -> DataFrame:
+            df.write.mode("overwrite").parquet(f"{stage}/{name}")
+            return spark.read.schema(df.schema).parquet(f"{stage}/{name}")
+
+        posts, events, notes = (staged(df, n) for df, n in ((merged.posts, "posts"), (merged.events, "events"), (merged.anomalies, "anomalies")))
+        month = sinks.post_month().alias("month")
+        # where the records stand now and where they stood; a row for each month
+        months = [r["month"] for r in posts.select(month).union(named.select(month)).distinct().collect()]
+        rest = current.filter(sinks.post_month().isin(months)).join(posts.select("ts_id"), "ts_id", "left_anti")
+        sinks.save_posts_of(rest.unionByName(posts.drop("changed", "is_new")), root, months)
+        sinks.append_log(events.join(landed.deletion_log(spark, root).select("ts_id", "source").distinct(), ["ts_id", "source"], "left_anti").select(*events.columns), f"{root}/deletions")
+        if engagement is not None:
+            sinks.append_engagement(throttle.filter_engagement(engagement(batch), landed.engagement(spark, root), landed.posts(spark, root)), root)
+        sinks.textual(notes).write.mode("overwrite").json(f"{root}/anomalies/batch={batch_id}")
+        sinks.remove(spark, stage)
 
     return step
 
 
-def run_merge(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+def run_merge(stream: DataFrame, root: str, checkpoint: str, engagement: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Merges what is there and ends."""
-    return stream.writeStream.foreachBatch(merge_batch(root)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(merge_batch(root, engagement)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def throttled(stream: DataFrame, gap_seconds: int = throttle.GAP_SECONDS) -> DataFrame:
