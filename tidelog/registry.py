@@ -99,7 +99,8 @@ def overnight_share(spark, d):
     return metrics.overnight_share(event_posts(spark, d)).withColumn("share", F.round("share", 6))
 
 
-@query("SELECT CAST(0 AS BIGINT) AS overnight, CAST(0 AS BIGINT) AS total, CAST(NULL AS DOUBLE) AS share")
+@query(_V + """SELECT CAST(coalesce(sum(CASE WHEN et_hour < 6 THEN 1 ELSE 0 END), 0) AS BIGINT) AS overnight, count(*) AS total, sum(CASE WHEN et_hour < 6 THEN 1 ELSE 0 END) / nullif(count(*), 0) AS share
+FROM v WHERE et_date BETWEEN '2031-01-01' AND '2031-01-02'""")
 def overnight_share_empty(spark, d):
     return metrics.overnight_share(event_posts(spark, d), "2031-01-01", "2031-01-02")
 
@@ -377,20 +378,29 @@ def semi_known_ids(spark, d):
     return merge.all_known(page, table(spark, d, "customer").filter("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("ts_id")))
 
 
-_SEEN = ", u AS (SELECT user_id, list_sort(list(DISTINCT source)) AS ss, max(observed_at) AS created FROM r WHERE k > 90 GROUP BY 1)"
+#: every fourth user is seen by one source, every other fourth by two
+_SEEN = """WITH e AS (SELECT user_id, date_trunc('second', ts) AS t, CASE WHEN user_id % 4 = 0 THEN ['primary', 'tracker', 'bulk'][1 + user_id // 4 % 3]
+  WHEN user_id % 4 = 1 THEN ['primary', 'bulk'][1 + event_id % 2] ELSE ['primary', 'tracker', 'bulk'][1 + event_id % 3] END AS source FROM events),
+u AS (SELECT user_id, list_sort(list(DISTINCT source)) AS ss, min(t) + INTERVAL (user_id % 40) DAY AS created FROM e GROUP BY 1)
+"""
 
 
 def _seen(spark, d):
-    rows = event_observations(spark, d).filter("k > 90")
-    return rows.groupBy(F.col("user_id").alias("ts_id")).agg(F.array_sort(F.collect_set("source")).alias("seen_sources"), F.max("observed_at").alias("created_at_utc"))
+    e, user = table(spark, d, "events"), F.col("user_id")
+    pick = lambda names, i: F.get(F.array(*[F.lit(n) for n in names]), i.cast("int"))
+    three, two = ("primary", "tracker", "bulk"), ("primary", "bulk")
+    source = F.when(user % 4 == 0, pick(three, F.floor(user / 4) % 3)).when(user % 4 == 1, pick(two, F.col("event_id") % 2)).otherwise(pick(three, F.col("event_id") % 3))
+    rows = e.select("user_id", source.alias("source"), times.to_second(F.col("ts")).alias("at"))
+    found = rows.groupBy(user.alias("ts_id")).agg(F.array_sort(F.collect_set("source")).alias("seen_sources"), F.min("at").alias("at"))
+    return found.withColumn("created_at_utc", F.timestamp_add("DAY", (F.col("ts_id") % 40).cast("int"), F.col("at")))
 
 
-@query(_B + _SEEN + " SELECT user_id AS ts_id FROM u WHERE len(ss) = 1 AND created < TIMESTAMP '2024-01-30 00:00:00' AND created >= TIMESTAMP '2024-01-01 00:00:00'")
+@query(_SEEN + "SELECT user_id AS ts_id FROM u WHERE len(ss) = 1 AND created < TIMESTAMP '2024-01-30 00:00:00' AND created >= TIMESTAMP '2024-01-01 00:00:00'")
 def single_source_recent(spark, d):
     return checks.single_source_recent(_seen(spark, d), F.lit("2024-01-31 00:00:00").cast("timestamp_ntz"))
 
 
-@query(_B + _SEEN + " SELECT array_to_string(ss, ',') AS sources, count(*) AS n FROM u GROUP BY 1")
+@query(_SEEN + "SELECT array_to_string(ss, ',') AS sources, count(*) AS n FROM u GROUP BY 1")
 def source_combinations(spark, d):
     return metrics.source_combinations(_seen(spark, d))
 
@@ -416,11 +426,19 @@ def id_set_ops(spark, d):
     return count("both", c.filter("id % 3 <> 0").intersect(o)).unionByName(count("without", c.subtract(o)))
 
 
-@query("SELECT CAST(least(50, count(*)) AS BIGINT) AS n, CAST(least(50, count(*)) AS BIGINT) AS known FROM customer")
+@query("SELECT c_custkey AS id FROM customer ORDER BY md5('1:' || c_custkey), c_custkey LIMIT 50")
 def seeded_sample(spark, d):
-    c = table(spark, d, "customer").select(F.col("c_custkey").alias("id"))
-    sample = validate.seeded_sample(c, "id", 50, seed=1)
-    return sample.agg(F.count("*").alias("n")).join(F.broadcast(sample.join(c, "id", "left_semi").agg(F.count("*").alias("known"))))
+    return validate.seeded_sample(table(spark, d, "customer").select(F.col("c_custkey").alias("id")), "id", 50, seed=1)
+
+
+@query("""WITH x AS (SELECT o_orderkey AS id, o_orderpriority AS a, o_orderpriority || CASE WHEN o_orderkey % 7 = 0 THEN '' ELSE ' and more' END AS b FROM orders WHERE o_orderkey % 4 <> 1),
+s AS (SELECT * FROM x ORDER BY md5('1:' || id), id LIMIT 300),
+n AS (SELECT substr(regexp_replace(lower(a), '[^a-z0-9]+', '', 'g'), 1, 60) AS a, substr(regexp_replace(lower(CASE WHEN id % 9 = 0 THEN 'x' || b ELSE b END), '[^a-z0-9]+', '', 'g'), 1, 60) AS b FROM s)
+SELECT count(*) AS compared, count(*) FILTER (starts_with(a, b) OR starts_with(b, a)) AS agree FROM n""")
+def content_agreement(spark, d):
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("ts_id"), F.col("o_orderpriority").alias("content_text"))
+    longer = F.concat(F.when(F.col("ts_id") % 9 == 0, "x").otherwise(""), "content_text", F.when(F.col("ts_id") % 7 == 0, "").otherwise(" and more"))
+    return validate.content_agreement(o.filter("ts_id % 4 <> 1"), o.withColumn("content_text", longer))
 
 
 @query(_V + """SELECT 'by_kind' AS name, kind AS value, count(*) AS n FROM v GROUP BY kind UNION ALL SELECT 'by_status', CASE is_deleted WHEN 1 THEN 'deleted' ELSE 'present' END, count(*) FROM v GROUP BY 2
@@ -532,8 +550,8 @@ def merge_deletion_anomalies(spark, d):
 _H = "html"
 for _rx, _to in ((r'<span[^>]*\bclass="[^"]*\bquote-inline\b[^"]*"[^>]*>.*?</span>', ""), (r"<br\s*/?>|</p\s*>|</div\s*>|</li\s*>|</h[1-6]\s*>|</blockquote\s*>", "\n"), (r"<[^>]+>", "")):
     _H = f"regexp_replace({_H}, '{_rx}', '{_to}', 'gis')"
-for _name, _char in texts.REFERENCES:
-    _H = f"replace({_H}, '{_name}', '{_char.replace(chr(39), chr(39) * 2)}')"
+for _name, _char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&nbsp;", " "), ("&amp;", "&")):
+    _H = f"replace({_H}, '{_name}', '{_char}')"
 _H = f"replace(replace({_H}, chr(160), ' '), chr(13), '')"
 for _rx, _to in ((r"[ \t\f\v]+", " "), (" ?\n ?", "\n"), ("\n{3,}", "\n\n"), (r"^\s+|\s+\z", "")):
     _H = f"regexp_replace({_H}, '{_rx}', '{_to}', 'g')"
@@ -544,7 +562,23 @@ def html_to_text(spark, d):
     return table(spark, d, "pages").select("page_id", texts.html_to_text(F.col("html")).alias("text"))
 
 
-_RT = "CASE doc_id % 4 WHEN 0 THEN 'RT @own' WHEN 1 THEN 'RT @user_1 ' WHEN 2 THEN 'RT: ' ELSE '' END || substr(text, 1, 200)"
+#: Some references of all kinds, as they stand in a page and as they are meant.
+_REFS = (
+    ("&eacute;", "é"), ("&mdash;", "—"), ("&#8217;", "’"), ("&hellip;", "…"), ("&euro;", "€"), ("&#x1F600;", "😀"), ("&Auml;", "Ä"), ("&laquo;", "«"), ("&frac12;", "½"), ("&nbsp;", " "), ("&amp;amp;", "&amp;"),
+    ("&lt;b&gt;", "<b>"), ("&rarr;", "→"), ("&ntilde", "ñ"), ("&bogus;", "&bogus;"), ("&#39;", "\'"), ("&thinsp;", chr(0x2009)),
+)
+_REF_ROWS = ", ".join(f"({i}, '{a}', '{b.replace(chr(39), chr(39) * 2)}')" for i, (a, b) in enumerate(_REFS))
+
+
+@query(f"WITH r(i, a, b) AS (VALUES {_REF_ROWS}) SELECT event_id, 'x ' || b || ' y ' || event_type || 'é' AS text FROM events JOIN r ON event_id % {len(_REFS)} = i".replace("'x ' || b || ' y '", "CASE WHEN b = ' ' THEN 'x y ' ELSE 'x ' || b || ' y ' END"))
+def html_references(spark, d):
+    """Posts' HTML with named and numbered references, one of them without its semicolon."""
+    name = F.get(F.array(*[F.lit(a) for a, _ in _REFS]), (F.col("event_id") % len(_REFS)).cast("int"))
+    source = F.concat(F.lit("<p>x "), name, F.lit(" y <b>"), "event_type", F.lit("</b>&eacute;</p>"))
+    return table(spark, d, "events").select("event_id", texts.html_to_text(source).alias("text"))
+
+
+_RT = "CASE doc_id % 4 WHEN 0 THEN 'RT @own' WHEN 1 THEN 'RT @user_1 ' WHEN 2 THEN 'RT: ' ELSE '' END || text"
 
 
 @query(f"""WITH t AS (SELECT doc_id, {_RT} AS s FROM documents)
@@ -553,7 +587,7 @@ CASE WHEN starts_with(s, 'RT @own') THEN 'own' WHEN regexp_matches(s, '^RT @[A-Z
 CASE WHEN starts_with(s, 'RT @own') THEN substr(s, 8) WHEN regexp_matches(s, '^RT @[A-Za-z0-9_]{{1,30}}') THEN regexp_replace(s, '^RT @[A-Za-z0-9_]{{1,30}}', '') ELSE s END AS content_text FROM t""")
 def rt_prefix_split(spark, d):
     start = F.when(F.col("doc_id") % 4 == 0, "RT @own").when(F.col("doc_id") % 4 == 1, "RT @user_1 ").when(F.col("doc_id") % 4 == 2, "RT: ").otherwise("")
-    some = table(spark, d, "documents").select("doc_id", F.concat(start, F.substring("text", 1, 200)).alias("s"))
+    some = table(spark, d, "documents").select("doc_id", F.concat(start, "text").alias("s"))
     return some.select("doc_id", *[c.alias(k) for k, c in texts.repost_split(F.col("s"), "own").items()])
 
 
@@ -567,29 +601,12 @@ def snippet_and_len(spark, d):
     return table(spark, d, "documents").select("doc_id", texts.snippet(F.col("text")).alias("snippet"), F.length("text").alias("content_len"))
 
 
-# -- streaming ---------------------------------------------------------------
-
-
-@query("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1, 2")
-def stream_dedup_counts(spark, d):
-    """The stream's windowed counts, each event once, run to the end of the landed files in complete mode."""
-    import uuid
-
-    from pyspark.sql.types import StructField, StructType, TimestampNTZType
-
-    events = table(spark, d, "events")
-    schema = StructType([StructField(f.name, TimestampNTZType() if f.name == "ts" else f.dataType) for f in events.schema.fields])
-    name = f"stream_{uuid.uuid4().hex}"
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
-    once = stream.dropDuplicates(["event_id"]).groupBy(F.col("ts").cast("date").cast("string").alias("day"), "event_type").agg(F.count("*").alias("n"))
-    writer = once.writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True)
-    writer.start().awaitTermination()
-    return spark.table(name)
-
-
 def queries() -> dict[str, Query]:
+    from tidelog import registry_state  # noqa: F401  its queries register themselves
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)
