@@ -148,3 +148,57 @@ def test_commands(spark, tmp_path, capsys):
     assert cli.main(["weekly", "--root", root, "--week", "2026-W27", "--out", str(tmp_path / "w"), "--trailing-weeks", "1"]) == 0
     assert len(os.listdir(tmp_path / "w")) == 9
     assert cli.main(["check", "--root", root, "--now", "2026-07-01T06:00:00Z"]) == 0
+
+
+def test_collect(spark, tmp_path, capsys):
+    """Two runs over landed payloads: posts, a removal, a missing post, snapshots, exports and run rows."""
+    root, inbox, out = str(tmp_path / "data"), tmp_path / "in", str(tmp_path / "out")
+    for folder in ("primary", "bulk", "tracker/status"):
+        (inbox / folder).mkdir(parents=True)
+    status = lambda n, **more: STATUS | {"id": f"{110000000000000000 + n}", "created_at": f"2026-07-01T0{n}:00:00Z"} | more
+
+    def land(name, text, day):
+        (inbox / name).write_text(text)
+        os.utime(inbox / name, (U(f"{day} 12:00").timestamp(),) * 2)
+
+    land("primary/a.json", json.dumps([status(1), status(2), status(3, account={"acct": "own", "statuses_count": 3})]), "2026-07-01")
+    land("bulk/a.json", json.dumps([{"id": f"{110000000000000000 + n}", "created_at": f"2026-07-01T0{n}:00:00Z", "content": "RT @bob more", "media": []} for n in (2, 4)]), "2026-07-02")
+    run = lambda day, *more: cli.main(["collect", "--root", root, "--inbox", str(inbox), "--output", out, "--now", f"{day}T13:00:00Z", *more])
+    assert run("2026-07-02") == 0 and "+4 posts, +0 deletions, checks ok" in capsys.readouterr().out
+    found = {int(r["ts_id"][-1]): r for r in landed.posts(spark, root).collect()}
+    assert set(found) == {1, 2, 3, 4} and found[2]["kind"] == "original" and found[2]["seen_sources"] == ["bulk", "primary"] and found[4]["kind"] == "reblog" and found[1]["content_text"] == "hi"
+    assert landed.engagement(spark, root).count() == 5 and landed.state(f"{root}/state.json")["sources"]["primary"]["statuses_count"] in (3, 7)
+    # the second page lacks the second post, a verification finds the third gone, the tracker saw the first removed
+    land("primary/b.json", json.dumps([status(1), status(3)]), "2026-07-03")
+    land("primary/c.json", json.dumps({"id": "110000000000000003", "error": "Record not found"}), "2026-07-04")
+    land("tracker/status/d.html", f'<meta property="og:url" content="https://tracker.example/statuses/1">{card(1)}<table><tr><td class="status-details-table__key">Removed from platform</td><td class="status-details-table__value">Yes, removed Jul 4, 2026, 9:00 AM EDT</td></tr></table>', "2026-07-05")
+    assert run("2026-07-05") == 0 and "+0 posts, +2 deletions" in capsys.readouterr().out
+    found = {int(r["ts_id"][-1]): r for r in landed.posts(spark, root).collect()}
+    assert [n for n in sorted(found) if found[n]["status"] == "deleted"] == [1, 3] and found[3]["deleted_source"] == "gone" and found[1]["deleted_upper"] == U("2026-07-04 13:00:00")
+    assert landed.state(f"{root}/state.json")["sources"]["primary"]["verify"] == ["110000000000000002"]
+    assert landed.deletion_log(spark, root).count() == 2 and landed.runs(spark, root).count() == 6 and landed.keyed_posts(spark, root).count() == 4
+    assert {"checks.json", "posts.csv", "metrics.json"} <= set(os.listdir(out))
+    assert run("2026-07-05") == 0 and "+0 posts, +0 deletions" in capsys.readouterr().out
+    assert cli.main(["check", "--root", root, "--now", "2026-07-05T13:00:00Z"]) == 0
+    assert cli.main(["materialize", "--root", root, "--database", "kept"]) == 0 and "posts  4" in capsys.readouterr().out
+    assert spark.table("kept.posts").count() == 4
+    for t in ("posts", "engagement", "deletions", "runs", "media"):
+        spark.sql(f"DROP TABLE kept.{t}")
+    spark.sql("DROP DATABASE kept")
+
+
+def test_posts_moved_aside_are_still_there(spark, tmp_path):
+    """A swap that died between its renames: readers see the old data, and the next swap goes on."""
+    root = str(tmp_path)
+    sinks.save_posts(fixture.posts(spark, [post(1, "2026-07-01 00:00"), post(2, "2026-08-01 00:00")]), root)
+    os.rename(f"{root}/posts/month=2026-07", f"{root}/posts/month=2026-07.old")
+    assert landed.posts(spark, root).count() == 2
+    sinks.save_posts_of(fixture.posts(spark, [post(1, "2026-07-01 00:00"), post(3, "2026-07-02 00:00")]), root, ["2026-07"])
+    assert sorted(r["ts_id"][-1] for r in landed.posts(spark, root).collect()) == ["1", "2", "3"] and not os.path.exists(f"{root}/posts/month=2026-07.old")
+    os.rename(f"{root}/posts", f"{root}/posts.old")
+    assert landed.posts(spark, root).count() == 3
+
+
+def test_unprocessed_removals(spark):
+    hits = spark.createDataFrame([(1, True), (2, False), (3, True), (3, True), (None, True)], "tracker_id int, removed boolean")
+    assert [r[0] for r in landed.unprocessed(hits, spark.createDataFrame([(1,)], "tracker_id int")).collect()] == [3]

@@ -1,4 +1,4 @@
-"""Commands: query, weekly, check, materialize, ingest, validate.
+"""Commands: collect, query, weekly, check, materialize, ingest, validate.
 
     python -m tidelog.cli query --root DATA --sql "SELECT ..." --format markdown
 """
@@ -6,14 +6,17 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
+import os
 import sys
+import time
 from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog import report
-from tidelog.operators import checks, validate
+from tidelog import collect, control, report
+from tidelog.operators import validate
 from tidelog.plans import views
 from tidelog.sources import landed
 
@@ -44,6 +47,10 @@ def load(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return views.register(spark, landed.posts(spark, root), landed.engagement(spark, root), landed.deletion_log(spark, root), landed.runs(spark, root))
 
 
+def instant(text: str | None) -> dt.datetime:
+    return dt.datetime.fromisoformat(text).astimezone(dt.UTC) if text else dt.datetime.now(dt.UTC)
+
+
 def session() -> SparkSession:
     return SparkSession.builder.appName("tidelog").config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true").getOrCreate()
 
@@ -51,8 +58,14 @@ def session() -> SparkSession:
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="tidelog")
     sub = parser.add_subparsers(dest="command", required=True)
-    for name in ("query", "weekly", "check", "materialize", "ingest", "validate"):
+    for name in ("collect", "query", "weekly", "check", "materialize", "ingest", "validate"):
         sub.add_parser(name).add_argument("--root", required=True)
+    g = sub.choices["collect"]
+    g.add_argument("--inbox", required=True)
+    g.add_argument("--output")
+    g.add_argument("--now", help="an instant, 2026-09-11T12:00:00Z; now, if not given")
+    g.add_argument("--sources", default=",".join(control.ORDER))
+    g.add_argument("--handle", default=collect.HANDLE)
     q = sub.choices["query"]
     what = q.add_mutually_exclusive_group(required=True)
     what.add_argument("--sql")
@@ -84,6 +97,27 @@ def main(argv: list[str] | None = None) -> int:
 
         micro.run_merge(micro.observation_stream(spark, a.observations), a.root, a.checkpoint).awaitTermination()
         return 0
+    if a.command == "collect":
+        os.makedirs(a.root, exist_ok=True)
+        if a.output:
+            os.makedirs(a.output, exist_ok=True)
+        with control.lock(os.path.join(a.root, ".lock")) as mine:
+            if not mine:
+                print("another run holds the lock")
+                return 1
+            code, summary = collect.run(spark, a.root, a.inbox, a.output, instant(a.now), tuple(a.sources.split(",")), a.handle)
+        print(summary)
+        return code
+    if a.command == "check":
+        bad = collect.violations(spark, a.root, instant(a.now), a.run_id, landed.state(f"{a.root}/state.json")).persist()
+        print(formatted(bad.groupBy("severity", "code").agg(F.count("*").alias("n")).orderBy("severity", "code"), "table"))
+        return int(not bad.filter("severity = 'hard'").isEmpty())
+    if a.command == "materialize":
+        started = time.monotonic()
+        for name, n in collect.rebuild(spark, a.root, a.database).items():
+            print(f"{name}  {n}")
+        print(f"seconds  {time.monotonic() - started:.1f}")
+        return 0
     found = load(spark, a.root)
     if a.command == "query":
         sql = a.sql or (saved_queries()[a.name] if a.name else open(a.file, encoding="utf-8").read())
@@ -91,16 +125,6 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "weekly":
         start, end = report.iso_week(spark, a.week) if a.week else (a.start, a.end)
         print("\n".join(report.write(report.baseline(found, start, end, a.trailing_weeks), a.out, a.week or f"{start}_{end}")))
-    elif a.command == "check":
-        from tidelog.functions.times import parse_instant
-
-        bad = checks.run(found["posts"], found["deletions"], found["engagement"], found["runs"], parse_instant(F.lit(a.now)), run_id=a.run_id).persist()
-        print(formatted(bad.groupBy("severity", "code").agg(F.count("*").alias("n")).orderBy("severity", "code"), "table"))
-        return int(not bad.filter("severity = 'hard'").isEmpty())
-    elif a.command == "materialize":
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {a.database}")
-        for name in ("posts", "media", "engagement", "deletions", "runs"):
-            found[name].write.mode("overwrite").saveAsTable(f"{a.database}.{name}")
     else:
         other = landed.posts(spark, a.other)
         mine = landed.posts(spark, a.root)

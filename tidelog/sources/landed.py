@@ -84,6 +84,13 @@ def filed_posts(spark: SparkSession, root: str) -> DataFrame:
     return _typed(parsed.select("file", "file_month", "line_no", "line", "r.*"), FILED)
 
 
+def keyed_posts(spark: SparkSession, root: str) -> DataFrame:
+    """One record for each id: of several the last, in order of file and line."""
+    filed = filed_posts(spark, root)
+    record = F.struct(*POST.fieldNames())
+    return filed.groupBy("ts_id").agg(F.max_by(record, F.struct("file", "line_no")).alias("r")).select("r.*")
+
+
 def engagement(spark: SparkSession, root: str) -> DataFrame:
     """engagement/*.csv with header, blank for null.
 
@@ -132,6 +139,22 @@ STATUS = (
 BULK_ROW = "struct<id:string,created_at:string,content:string,url:string,media:array<string>,replies_count:bigint,reblogs_count:bigint,favourites_count:bigint>"
 
 
+#: What a verification of a post that is gone lands as.
+GONE = "struct<id:string,error:string>"
+
+
+def gone(raw: DataFrame) -> DataFrame:
+    """Observation fields of verifications (column raw, JSON text) that found no post: an id and an error."""
+    s = raw.select(F.from_json("raw", GONE).alias("s")).filter(F.col("s.error").isNotNull() & (F.coalesce("s.id", F.lit("")) != ""))
+    return s.select(F.col("s.id").alias("ts_id"), F.lit("primary").alias("source"), F.lit(True).alias("gone"))
+
+
+def unprocessed(hits: DataFrame, processed: DataFrame) -> DataFrame:
+    """Tracker ids of search hits marked as removed that no run has processed yet (processed: tracker_id)."""
+    found = hits.filter(F.col("removed") & F.col("tracker_id").isNotNull()).select("tracker_id").distinct()
+    return found.join(processed.select("tracker_id").distinct(), "tracker_id", "left_anti")
+
+
 def statuses(documents: DataFrame, column: str = "value") -> DataFrame:
     """One row (raw: JSON text) for each status in payloads that are one status or an array of them."""
     array = F.when(F.ltrim(F.col(column)).startswith("["), F.col(column)).otherwise(F.concat(F.lit("["), column, F.lit("]")))
@@ -143,7 +166,7 @@ def primary_partials(raw: DataFrame) -> DataFrame:
 
     A reblog's content is that of the post it names.
     """
-    s = raw.select("raw", F.from_json("raw", STATUS).alias("s")).filter(F.coalesce(F.col("s.id"), F.lit("")) != "")
+    s = raw.select("raw", F.from_json("raw", STATUS).alias("s")).filter((F.coalesce(F.col("s.id"), F.lit("")) != "") & F.get_json_object("raw", "$.error").isNull())
     is_reblog = F.col("s.reblog.id").isNotNull()
     body = lambda f: F.when(is_reblog, F.col(f"s.reblog.{f}")).otherwise(F.col(f"s.{f}"))
     null = F.lit(None).cast("string")

@@ -31,36 +31,44 @@ def observation_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(OBSERVATION).parquet(path)
 
 
-def merge_batch(root: str, engagement: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
-    """The foreachBatch step that merges a batch of observations into the data set at root.
+def merge_into(batch: DataFrame, root: str, name: str, snapshots: DataFrame | None = None) -> dict:
+    """Merges observations into the data set at root; snapshots are the batch's (ENGAGEMENT with ingest_seq).
 
-    engagement gives a batch's snapshots (ENGAGEMENT with ingest_seq), if it has any.
+    name stands for the batch: a second try under it repeats the first.  Gives
+    new_posts, updated_posts and deletions_found.
     """
+    spark, stage = batch.sparkSession, f"{root}/staging/batch={name}"
+    current, logged = landed.posts(spark, root), landed.deletion_log(spark, root)
+    named = current.join(batch.select("ts_id").distinct(), "ts_id", "left_semi")
+    merged = merging.merge(named, batch, logged)
+
+    def staged(df: DataFrame, part: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{stage}/{part}")
+        return spark.read.schema(df.schema).parquet(f"{stage}/{part}")
+
+    posts, events, notes = (staged(df, n) for df, n in ((merged.posts, "posts"), (merged.events, "events"), (merged.anomalies, "anomalies")))
+    month = sinks.post_month().alias("month")
+    # where the records stand now and where they stood; a row for each month
+    months = [r["month"] for r in posts.select(month).union(named.select(month)).distinct().collect()]
+    rest = current.filter(sinks.post_month().isin(months)).join(posts.select("ts_id"), "ts_id", "left_anti")
+    done = posts.agg(F.count_if("is_new").alias("new_posts"), F.count_if(F.col("changed") & ~F.col("is_new")).alias("updated_posts")).first().asDict()
+    sinks.save_posts_of(rest.unionByName(posts.drop("changed", "is_new")), root, months)
+    stored = landed.deletion_log(spark, root).select("ts_id", "source").distinct()
+    sinks.append_log(events.join(stored, ["ts_id", "source"], "left_anti").select(*events.columns), f"{root}/deletions")
+    if snapshots is not None:
+        sinks.append_engagement(throttle.filter_engagement(snapshots, landed.engagement(spark, root).drop("ingest_seq"), landed.posts(spark, root)), root)
+    sinks.textual(notes).write.mode("overwrite").json(f"{root}/anomalies/batch={name}")
+    done["deletions_found"] = events.select("ts_id").distinct().count()
+    sinks.remove(spark, stage)
+    return done
+
+
+def merge_batch(root: str, engagement: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
+    """The foreachBatch step that merges a batch of observations into the data set at root; engagement gives its snapshots, if it has any."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if batch.isEmpty():
-            return
-        stage = f"{root}/staging/batch={batch_id}"
-        current, logged = landed.posts(spark, root), landed.deletion_log(spark, root)
-        named = current.join(batch.select("ts_id").distinct(), "ts_id", "left_semi")
-        merged = merging.merge(named, batch, logged)
-
-        def staged(df: DataFrame, name: str) -> DataFrame:
-            df.write.mode("overwrite").parquet(f"{stage}/{name}")
-            return spark.read.schema(df.schema).parquet(f"{stage}/{name}")
-
-        posts, events, notes = (staged(df, n) for df, n in ((merged.posts, "posts"), (merged.events, "events"), (merged.anomalies, "anomalies")))
-        month = sinks.post_month().alias("month")
-        # where the records stand now and where they stood; a row for each month
-        months = [r["month"] for r in posts.select(month).union(named.select(month)).distinct().collect()]
-        rest = current.filter(sinks.post_month().isin(months)).join(posts.select("ts_id"), "ts_id", "left_anti")
-        sinks.save_posts_of(rest.unionByName(posts.drop("changed", "is_new")), root, months)
-        sinks.append_log(events.join(landed.deletion_log(spark, root).select("ts_id", "source").distinct(), ["ts_id", "source"], "left_anti").select(*events.columns), f"{root}/deletions")
-        if engagement is not None:
-            sinks.append_engagement(throttle.filter_engagement(engagement(batch), landed.engagement(spark, root), landed.posts(spark, root)), root)
-        sinks.textual(notes).write.mode("overwrite").json(f"{root}/anomalies/batch={batch_id}")
-        sinks.remove(spark, stage)
+        if not batch.isEmpty():
+            merge_into(batch, root, str(batch_id), engagement(batch) if engagement else None)
 
     return step
 
