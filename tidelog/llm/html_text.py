@@ -4,10 +4,11 @@ A page is read into a small DOM (implied end tags, void and raw-text elements,
 broken markup).  Scripts, styles, navigation, page footers, asides, form
 controls and what is hidden are cut off first.  Forms, page headers and blocks
 whose class or id names them as something else (an advert, a notice, a share
-bar) are cut off too, unless they hold more than half of the page's text: then
-the name says what the text is about, or the form wraps the page.  Names that
-mean one thing (comments, sidebar, cookies) need an article or main element
-inside as well.  Every other node gets its link-adjusted characters per tag
+bar) are cut off too, unless they hold more than half of the page's text,
+``LEAST`` characters or more without blanks, and no article or main element stands elsewhere:
+then the name says what the text is about, or the form wraps the page.  Names
+that mean one thing (comments, sidebar, cookies) need an article or main
+element inside as well.  Every other node gets its link-adjusted characters per tag
 
     C/T * log(C*T / (LC*LT)) / log(log(C/NC*LC + LB/CB*C + e) + e - 1)
 
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.common import arrow_map, texts_of
 
-HOLD = 0.5
+HOLD, LEAST = 0.5, 100
 
 # Fixed values of the HTML language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -220,14 +221,17 @@ class _Page:
     def cut_off(self, by_name: bool) -> list[bool]:
         """Which nodes are no main text; without by_name names, forms and headers count for nothing."""
         n = len(self.name)
-        c, holds = self.chars[:], self.main[:]
+        c, mains, above = self.chars[:], [int(m) for m in self.main], [0] * n
         for i in range(n - 1, 0, -1):
+            mains[i] *= c[i] > 0  # one without text is none
             c[self.parent[i]] += c[i]
-            holds[self.parent[i]] |= holds[i]
+            mains[self.parent[i]] += mains[i]
         off = [False] * n
         for i in range(1, n):
-            few = 2 * c[i] <= c[0]
-            off[i] = off[self.parent[i]] or self.mark[i] == CUT or by_name and (self.mark[i] == OTHER and few or self.mark[i] == SURE and (few or not holds[i]))
+            p = self.parent[i]
+            above[i] = above[p] + self.main[p]
+            most = 2 * c[i] > c[0] and c[i] >= LEAST and mains[0] <= mains[i] + above[i]
+            off[i] = off[p] or self.mark[i] == CUT or by_name and (self.mark[i] == OTHER and not most or self.mark[i] == SURE and not (most and mains[i]))
         return off
 
     def densities(self, off: list[bool]) -> tuple[list[float], list[float], list[tuple[int, int, int]]]:
