@@ -100,6 +100,10 @@ def test_densities_equal_plain_recursion():
     (f"<body><article>{P}<ul><li><a href='1'>Source one</a></li><li><a href='2'>Source two</a></li><li><a href='3'>Source three</a></li></ul><p><a>a</a>, <a>b</a>, <a>c</a></p></article></body>", f"{LINE}\nSource one\nSource two\nSource three\na, b, c"),
     # elsewhere a block of links alone is a menu, one with words between is not
     (f"<body><div>{P * 3}<div><a>A</a><a>B</a><a>C</a></div><p>See <a>one place</a>, <a>another place</a> and <a>a third place</a>.</p></div></body>", "\n".join([*[LINE] * 3, "See one place, another place and a third place."])),
+    # a notice longer than a short article, and a page header longer than the text, are not the text
+    (f"<body><div class='notice'>{P * 3}</div><article><p>Short.</p></article></body>", "Short."),
+    ("<body><header><h1>The name of the site</h1></header><p>Short text.</p></body>", "Short text."),
+    (f"<body><main><div class='legal-news'>{P * 3}</div><div>line</div></main></body>", "\n".join([*[LINE] * 3, "line"])),
     # comments as article elements
     (f"<body><article>{P * 2}</article><article class='comment'>{P * 5}</article></body>", "\n".join([LINE] * 2)),
 ])
