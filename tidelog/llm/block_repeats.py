@@ -90,8 +90,8 @@ def remove(docs: DataFrame, *keep: str, width: int = WIDTH, block: int = BLOCK)
 
     found = repeats.cut(repeats.contexts(docs, scan))
     whole, part = repeats.split(found)
-    part = repeats.cut(part.select(repeats.context_key().alias("k")))
-    open_ = bit_set(part, "k", part.count())
+    open_ = bit_set(part.select(repeats.context_key().alias("k")), "k", part.count())
+    repeats.discard(part)
 
     def each(texts: list[str], tk: pa.Array) -> tuple[np.ndarray, ...]:
         w, h, at = _blocks(texts, block)
@@ -118,4 +118,6 @@ def remove(docs: DataFrame, *keep: str, width: int = WIDTH, block: int = BLOCK)
             left = ws
         return len(ws), len(ws) - len(left), repeats.sha256(" ".join(left).encode())
 
-    return repeats.applied(docs, repeats.marked(docs, whole, single), finish, "n_words bigint, n_removed bigint, kept_sha256 string", keep)
+    marks = repeats.cut(repeats.marked(docs, whole, single))
+    repeats.discard(whole, single)
+    return repeats.applied(docs, marks, finish, "n_words bigint, n_removed bigint, kept_sha256 string", keep)

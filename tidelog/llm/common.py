@@ -66,6 +66,26 @@ def discard(*made: DataFrame) -> None:
         _remove(df.sparkSession, df._tidelog_path)
 
 
+#: A key with more than this many rows, and more than one in HOT_SHARE of all, is joined by broadcast.
+HOT_ROWS, HOT_SHARE = 1000, 10_000
+
+
+def join_counted(rows: DataFrame, keyed: DataFrame, keys: list[str], count: str = "n") -> DataFrame:
+    """rows joined with keyed, a table of ``cut`` with one row a key and the number of the key's rows in ``count`` (dropped).
+
+    Keys with more than 1 / HOT_SHARE of all rows are fewer than HOT_SHARE
+    whatever the data, so their side is broadcast: their rows stay where they
+    are and no task gets all rows of one key.  The other keys are shuffled.
+    """
+    found = keyed.agg(F.sum(count).alias("all"), F.max(count).alias("most")).first()
+    limit = max(HOT_ROWS, (found["all"] or 0) // HOT_SHARE)
+    if (found["most"] or 0) <= limit:
+        return rows.join(keyed.drop(count), keys)
+    hot = F.broadcast(keyed.filter(F.col(count) > limit).drop(count))
+    rest = rows.join(hot.select(*keys), keys, "left_anti").join(keyed.filter(F.col(count) <= limit).drop(count), keys)
+    return rows.join(hot, keys).unionByName(rest)
+
+
 def _release(spark: SparkSession) -> None:
     """Lets Spark's cleaner find the shuffle files of steps that are over, else they stay until the driver's heap fills."""
     gc.collect()

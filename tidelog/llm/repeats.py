@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.bits import BitSet, bit_set
-from tidelog.llm.common import arrow_map, cut, discard, mix64, text_key, texts_of
+from tidelog.llm.common import arrow_map, cut, discard, join_counted, mix64, text_key, texts_of
 
 #: Given texts: arrays (text number, anchor hash, context hash, lo, m) of all anchors.
 Scan = Callable[[list[str]], tuple[np.ndarray, ...]]
@@ -94,14 +94,14 @@ def split(found: DataFrame, keep_first: bool = False) -> tuple[DataFrame, DataFr
     first = F.struct("ord", "tk", "lo")
     rep = [F.min_by("p", first).alias("rep"), F.min(first).alias("f")] if keep_first else [F.min("p").alias("rep")]
     more = [F.col("f.tk").alias("ftk"), F.col("f.lo").alias("flo")] if keep_first else []
-    by_context = cut(found.groupBy("h", "c").agg(F.min("p").alias("p0"), F.max("p").alias("p1"), *rep).select("h", "c", "rep", (F.col("p0") != F.col("p1")).alias("twice"), *more))
-    kinds = by_context.groupBy("h").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    whole = found.join(by_context.filter("twice").drop("twice", "rep"), ["h", "c"])
+    by_context = cut(found.groupBy("h", "c").agg(F.min("p").alias("p0"), F.max("p").alias("p1"), F.count("*").alias("n"), *rep).select("h", "c", "rep", "n", (F.col("p0") != F.col("p1")).alias("twice"), *more))
+    kinds = cut(by_context.groupBy("h").agg(F.count("*").alias("kinds")).filter("kinds > 1").withColumn("n", F.col("kinds")))
+    whole = join_counted(found, by_context.filter("twice").drop("twice", "rep"), ["h", "c"])
     if keep_first:
         whole = whole.filter("tk <> ftk or lo <> flo")
     whole = cut(whole.select("tk", "lo", "m"))
-    part = cut(by_context.join(kinds, "h").select("h", "c", "rep", "kinds"))
-    discard(found, by_context)
+    part = cut(join_counted(by_context.drop("n"), kinds, ["h"]).select("h", "c", "rep", "kinds"))
+    discard(found, by_context, kinds)
     return whole, part
 
 
@@ -120,12 +120,13 @@ def equal_windows(windows: DataFrame, keep_first: bool = False) -> DataFrame:
     place = F.xxhash64("tk", "lo")
     first = [F.min(F.struct("ord", "tk", "lo")).alias("f")] if keep_first else []
     more = [F.col("f.tk").alias("ftk"), F.col("f.lo").alias("flo")] if keep_first else []
-    same = windows.groupBy("w", "v").agg(F.min(place).alias("p0"), F.max(place).alias("p1"), *first).filter("p0 <> p1").select("w", "v", *more)
-    found = windows.select("tk", "lo", "w", "v").join(same, ["w", "v"])
+    same = windows.groupBy("w", "v").agg(F.min(place).alias("p0"), F.max(place).alias("p1"), F.count("*").alias("n"), *first).filter("p0 <> p1")
+    same = cut(same.select("w", "v", "n", *more))
+    found = join_counted(windows.select("tk", "lo", "w", "v"), same, ["w", "v"])
     if keep_first:
         found = found.filter("tk <> ftk or lo <> flo")
     found = cut(found.select("tk", "lo", F.lit(1).alias("m")))
-    discard(windows)
+    discard(windows, same)
     return found
 
 
@@ -166,12 +167,11 @@ def covered(n: int, width: int, lows: np.ndarray, counts: np.ndarray) -> np.ndar
 
 
 def applied(docs: DataFrame, marks: DataFrame, finish: Callable[[str, np.ndarray, np.ndarray], tuple], schema: str, keep: tuple[str, ...], keep_first: bool = False) -> DataFrame:
-    """keep... and what ``finish(text, lows, counts)`` gives, for every row of docs.
+    """keep... and what ``finish(text, lows, counts)`` gives, for every row of docs; marks is a table of ``cut``.
 
     Only rows whose text can have marks (by a bit set of digests) carry their
     text to the join; the others are finished where they are read.
     """
-    marks = cut(marks)
     low64 = F.xxhash64("tk")
     member = bit_set(marks.select(low64.alias("h")), "h", marks.count())
     none = np.zeros(0, np.int64)

@@ -292,6 +292,7 @@ def _runs(docs: DataFrame, width: int, k: int, keep_first: bool, hot: int) -> li
         out.append(repeats.equal_windows(cut(repeats.window_rows(docs, each)), keep_first))
         crowd.free()
     twice.free()
+    repeats.discard(part)
     return out
 
 
@@ -312,7 +313,10 @@ def remove(docs: DataFrame, *keep: str, width: int = WIDTH, k: int = K, keep_fir
         return (*out, left.decode("utf-8", "ignore")) if with_text else out
 
     schema = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * with_text
-    return repeats.applied(docs, repeats.marked(docs, *_runs(docs, width, k, keep_first, hot)), finish, schema, keep, keep_first)
+    runs = _runs(docs, width, k, keep_first, hot)
+    marks = cut(repeats.marked(docs, *runs))
+    repeats.discard(*runs)
+    return repeats.applied(docs, marks, finish, schema, keep, keep_first)
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
