@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.bits import bit_set
-from tidelog.llm.common import arrow_map, cut, discard, mix64, pair64, row_key, text_key, texts_of
+from tidelog.llm.common import arrow_map, cut, discard, join_counted, mix64, pair64, row_key, text_key, texts_of
 from tidelog.llm.components import components
 from tidelog.llm.wordarrays import windows, words
 
@@ -241,20 +241,20 @@ def _shared(sets: DataFrame) -> DataFrame:
 
 
 def _residual(members: DataFrame, nodes: DataFrame, label: DataFrame, percent: int, block: int, trials: int | None) -> DataFrame:
-    """Distinct (a, b) that the bounds leave, from members (bucket, node, hub_similarity) and nodes (node, n, s, sig, bands).
+    """Distinct (a, b) that the bounds leave, as a table of ``cut``, from members (bucket, node, hub_similarity) and nodes (node, n, s, sig, bands).
 
     With trials, so many for each two components in a task, those of the best
     estimate.  Signatures are joined last, to members of buckets of several components.
     """
-    placed = members.join(label, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
+    placed = cut(members.join(label, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label"))
     sizes = placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"))
     # components beyond a block have blocks of their own, which come first; the others share the rest
     alone = F.when(F.col("k") > block, F.ceil(F.col("k") / block)).otherwise(0)
-    crowd = sizes.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.sum(alone).alias("big"), F.ceil(F.sum(F.when(F.col("k") <= block, F.col("k")).otherwise(0)) / block).alias("mixed"))
-    crowd = crowd.filter("c0 <> c1").select("bucket", F.col("big").cast("int").alias("big"), F.col("mixed").cast("int").alias("mixed"))
+    crowd = sizes.groupBy("bucket").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.sum(alone).alias("big"), F.ceil(F.sum(F.when(F.col("k") <= block, F.col("k")).otherwise(0)) / block).alias("mixed"), F.sum("k").alias("n"))
+    crowd = cut(crowd.filter("c0 <> c1").select("bucket", F.col("big").cast("int").alias("big"), F.col("mixed").cast("int").alias("mixed"), "n"))
     upto = F.sum("own").over(Window.partitionBy("bucket").orderBy("comp").rowsBetween(Window.unboundedPreceding, 0))
     large = sizes.filter(F.col("k") > block).select("bucket", "comp", F.ceil(F.col("k") / block).cast("int").alias("own")).withColumn("first", (upto - F.col("own")).cast("int"))
-    some = placed.join(crowd, "bucket").join(large, ["bucket", "comp"], "left").join(nodes, "node")
+    some = join_counted(placed, crowd, ["bucket"]).join(large, ["bucket", "comp"], "left").join(nodes, "node")
     is_large, every = F.col("own").isNotNull(), F.sequence(F.lit(0), F.col("big") + F.col("mixed") - 1)
     mine = F.when(is_large, F.col("first") + F.pmod(F.hash("node"), F.col("own"))).otherwise(F.col("big") + F.pmod(F.hash("node"), F.greatest("mixed", F.lit(1))))
     others = F.filter(every, lambda o: ~is_large | (o < F.col("first")) | (o >= F.col("first") + F.col("own")))
@@ -317,7 +317,9 @@ def _residual(members: DataFrame, nodes: DataFrame, label: DataFrame, percent: i
                 yield test(some, sizes[at:upto], *_pairs_of(sizes[at:upto]))
                 at = upto
 
-    return dealt.mapInArrow(over, "a binary, b binary").distinct()
+    found = cut(dealt.mapInArrow(over, "a binary, b binary").distinct())
+    discard(placed, crowd)
+    return found
 
 
 def _ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -337,13 +339,13 @@ def near_duplicates(docs: DataFrame, *keep: str, percent: int = PERCENT, block:
     rows = cut(_describe(docs, keep, bands_for(percent)))
     full = rows.filter(F.col("node").isNotNull())
     banded = full.select("node", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo <> hi").select("bucket")
-    pairs = cut(banded.join(shared, "bucket").distinct())
-    sized = pairs.join(pairs.groupBy("bucket").agg(F.count("*").alias("m")), "bucket")
-    weight = sized.groupBy("node").agg(F.sum("m").alias("w"))
-    hubs = pairs.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("w", "node")).alias("h")).select("bucket", F.col("h.node").alias("hub"))
-    members = cut(pairs.join(hubs, "bucket"))
-    discard(pairs)
+    shared = cut(banded.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n")).filter("lo <> hi").select("bucket", "n"))
+    pairs = cut(join_counted(banded, shared, ["bucket"]).distinct())
+    sizes = cut(pairs.groupBy("bucket").agg(F.count("*").alias("m")).withColumn("n", F.col("m")))
+    weight = join_counted(pairs, sizes, ["bucket"]).groupBy("node").agg(F.sum("m").alias("w"))
+    hubs = cut(pairs.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("w", "node")).alias("h"), F.count("*").alias("n")).select("bucket", F.col("h.node").alias("hub"), "n"))
+    members = cut(join_counted(pairs, hubs, ["bucket"]))
+    discard(pairs, shared, sizes, hubs)
     involved = members.select("node").distinct()
     # copies of a set are combined map-side before they meet
     once = full.groupBy("node").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands"), F.min("tk").alias("tk"))
@@ -360,17 +362,18 @@ def near_duplicates(docs: DataFrame, *keep: str, percent: int = PERCENT, block:
     sure = F.when(F.col("node") == F.col("hub"), 1.0).otherwise(F.coalesce("hub_similarity", F.lit(float("nan"))))
     open_ = cut(members.join(fit.select("node"), "node", "left_semi").join(known, ["node", "hub"], "left").select("bucket", "node", sure.alias("hub_similarity")))
     discard(members, stars)
-    linked = first.filter("linked").select("a", "b")
+    linked, used = first.filter("linked").select("a", "b"), [first]
     for trials in (TRIALS, None):
-        rest = cut(_residual(open_, fit, label, percent, block, trials))
+        rest = _residual(open_, fit, label, percent, block, trials)
         if rest.isEmpty():
             break
         more = cut(_checked(rest, sets, percent).filter("linked").select("a", "b"))
         discard(rest)
+        used.append(more)
         if not more.isEmpty():
             linked = linked.unionByName(more)
             label = components(linked)
-    discard(sets, open_, fit)
+    discard(sets, open_, fit, nodes, *used)
     least = full.groupBy("node").agg(F.min("doc_id").alias("least")).join(label, "node", "left").withColumn("comp", F.coalesce("label", "node"))
     named = least.groupBy("comp").agg(F.min("least").alias("component_id"))
     named = least.select("node", "comp").join(named, "comp").select("node", "comp", "component_id")
