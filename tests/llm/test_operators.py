@@ -373,10 +373,12 @@ def test_near_duplicates(docs, rows):
     assert len(full) == len({number[i] for i, r in enumerate(rows) if brute.shingles(r[1])})
 
 
-def test_near_duplicates_in_blocks(spark):
-    """A group without a hub, in blocks of four: chains of edits, no document like all others."""
+@pytest.mark.parametrize("meet", [2, 1024])
+def test_near_duplicates_in_blocks(spark, monkeypatch, meet):
+    """A group without a hub, in blocks of four: chains of edits, no document like all others; a hub's pairs in parts of two."""
     import random
 
+    monkeypatch.setattr(minhash, "MEET", meet)
     r = random.Random(11)
     text = [f"w{r.randint(0, 10**6)}" for _ in range(300)]
     rows = []
