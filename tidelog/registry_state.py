@@ -46,12 +46,17 @@ def _instants(df: DataFrame, *columns: str) -> DataFrame:
 
 # -- merge into stored records -----------------------------------------------
 
-_STATE = f"""SELECT CAST(user_id AS VARCHAR) AS ts_id, coalesce(arg_max(CASE WHEN signal THEN 'deleted' ELSE 'present' END, seq) FILTER (signal OR live), 'present') AS status,
-  arg_min(CASE WHEN source = 'tracker' THEN 'tracker' ELSE 'gone' END, seq) FILTER (signal) AS deleted_source, {_ISO.format("max(observed_at) FILTER (live)")} AS last_verified_live_at,
-  {_ISO.format("max(greatest(coalesce(seen, TIMESTAMP '2023-12-31'), TIMESTAMP '2023-12-31')) FILTER (signal)")} AS deleted_lower, {_ISO.format("min(observed_at) FILTER (signal)")} AS deleted_upper,
-  {_ISO.format("arg_min(observed_at, seq)")} AS first_seen_at, arg_min(source, seq) AS first_seen_source, array_to_string(list_sort(list(DISTINCT source)), ',') AS seen_sources,
+_STATE = f"""SELECT CAST(user_id AS VARCHAR) AS ts_id, coalesce(arg_max(CASE WHEN signal THEN 'deleted' ELSE 'present' END, seq) FILTER (signal OR live),
+  'present') AS status,
+  arg_min(CASE WHEN source = 'tracker' THEN 'tracker' ELSE 'gone' END, seq) FILTER (signal) AS deleted_source,
+  {_ISO.format("max(observed_at) FILTER (live)")} AS last_verified_live_at,
+  {_ISO.format("max(greatest(coalesce(seen, TIMESTAMP '2023-12-31'), TIMESTAMP '2023-12-31')) FILTER (signal)")} AS deleted_lower,
+  {_ISO.format("min(observed_at) FILTER (signal)")} AS deleted_upper,
+  {_ISO.format("arg_min(observed_at, seq)")} AS first_seen_at, arg_min(source, seq) AS first_seen_source, array_to_string(list_sort(list(DISTINCT
+  source)), ',') AS seen_sources,
   arg_max(value, {{'r': rank, 'q': seq}}) FILTER (value <> '') AS kind
-FROM (SELECT *, max(CASE WHEN live THEN observed_at END) OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM q) GROUP BY user_id"""
+FROM (SELECT *, max(CASE WHEN live THEN observed_at END) OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS
+  seen FROM q) GROUP BY user_id"""
 
 
 @query(_SIG + " " + _STATE)
@@ -68,7 +73,8 @@ def merge_into_stored_records(spark, d):
 
 
 @query(_SIG + """, n AS (SELECT *, row_number() OVER (PARTITION BY user_id, source ORDER BY seq) AS nth FROM q WHERE signal)
-SELECT CAST(user_id AS VARCHAR) AS ts_id, source, strftime(observed_at, '%Y-%m-%dT%H:%M:%SZ') AS detected_at FROM n WHERE nth = 1 AND NOT (source = 'tracker' AND user_id % 2 = 0)""")
+SELECT CAST(user_id AS VARCHAR) AS ts_id, source, strftime(observed_at, '%Y-%m-%dT%H:%M:%SZ') AS detected_at FROM n WHERE nth = 1 AND NOT (source =
+  'tracker' AND user_id % 2 = 0)""")
 def merge_events_not_logged(spark, d):
     """Deletion events of posts and sources that the log has already are no events."""
     rows = event_observations(spark, d)
@@ -76,7 +82,8 @@ def merge_events_not_logged(spark, d):
     return _instants(merge.merge(_no_posts(spark), _signals(rows), logged).events.select("ts_id", "source", "detected_at"), "detected_at")
 
 
-@query("SELECT count(DISTINCT user_id) AS posts, CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS fresh, count(DISTINCT user_id) AS of_first_run FROM events WHERE CAST(props->>'$.k' AS INTEGER) >= 20")
+@query("""SELECT count(DISTINCT user_id) AS posts, CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS fresh, count(DISTINCT user_id) AS of_first_run FROM events
+  WHERE CAST(props->>'$.k' AS INTEGER) >= 20""")
 def merge_repeated_batch(spark, d):
     """The same observations again: no record is new or changed, and the run that changed each stays."""
     rows = event_observations(spark, d).filter("k >= 20")
@@ -85,8 +92,10 @@ def merge_repeated_batch(spark, d):
     return again.agg(F.count("*").alias("posts"), F.count_if("changed").alias("changed"), F.count_if("is_new").alias("fresh"), F.count_if(F.col("updated_run_id") == "r").alias("of_first_run"))
 
 
-@query("""WITH k AS (SELECT user_id, event_id, CAST(props->>'$.k' AS INTEGER) AS k, date_trunc('second', ts) AS t FROM events), u AS (SELECT user_id, bool_or(k % 10 = 0 AND event_id >= 500) AS moved, arg_max(t, event_id) FILTER (event_id >= 500) AS last FROM k GROUP BY 1)
-SELECT CAST(user_id AS VARCHAR) AS ts_id, moved AS changed, CASE WHEN moved THEN 'late' ELSE 'early' END AS updated_run_id FROM u WHERE last IS NOT NULL AND user_id IN (SELECT user_id FROM k WHERE event_id < 500)""")
+@query("""WITH k AS (SELECT user_id, event_id, CAST(props->>'$.k' AS INTEGER) AS k, date_trunc('second', ts) AS t FROM events), u AS (SELECT user_id, bool_or(k
+  % 10 = 0 AND event_id >= 500) AS moved, arg_max(t, event_id) FILTER (event_id >= 500) AS last FROM k GROUP BY 1)
+SELECT CAST(user_id AS VARCHAR) AS ts_id, moved AS changed, CASE WHEN moved THEN 'late' ELSE 'early' END AS updated_run_id FROM u WHERE last IS NOT
+  NULL AND user_id IN (SELECT user_id FROM k WHERE event_id < 500)""")
 def merge_change_detection(spark, d):
     """Records that a later batch names: changed only where it brings a card title, whatever else it repeats."""
     rows = event_observations(spark, d)
@@ -98,15 +107,18 @@ def merge_change_detection(spark, d):
     return found.filter("not is_new").join(named, "ts_id", "left_semi").select("ts_id", "changed", "updated_run_id")
 
 
-@query(_B + """, w AS (SELECT user_id, arg_max({'v': value, 's': source}, {'r': rank, 'q': seq}) FILTER (value <> '') AS k, arg_max(source, {'r': crank, 'q': seq}) AS c FROM r GROUP BY 1)
+@query(_B + """, w AS (SELECT user_id, arg_max({'v': value, 's': source}, {'r': rank, 'q': seq}) FILTER (value <> '') AS k, arg_max(source, {'r': crank, 'q': seq})
+  AS c FROM r GROUP BY 1)
 SELECT CAST(user_id AS VARCHAR) AS ts_id, k.v AS kind, k.s AS kind_source, c AS created_source FROM w""")
 def merge_field_sources(spark, d):
     src = lambda f: F.col("field_sources")[f]
     return _event_merge(spark, d).posts.select("ts_id", "kind", src("kind").alias("kind_source"), src("created_at_utc").alias("created_source"))
 
 
-@query(_B + f"""SELECT CAST(user_id AS VARCHAR) AS ts_id, CAST(arg_max(seq, seq) FILTER (source = 'tracker' AND k % 4 <> 0) AS INTEGER) AS tracker_id, {_ISO.format("arg_max(observed_at, seq) FILTER (source = 'tracker' AND k % 3 <> 0)")} AS tracker_captured_at,
-{_ISO.format("arg_min(observed_at, seq) FILTER (source = 'tracker' AND k < 20)")} AS tracker_removed_at, arg_max('raw' || seq, seq) FILTER (source = 'primary' AND k % 2 = 0) AS raw_primary FROM r GROUP BY user_id""")
+@query(_B + f"""SELECT CAST(user_id AS VARCHAR) AS ts_id, CAST(arg_max(seq, seq) FILTER (source = 'tracker' AND k % 4 <> 0) AS INTEGER) AS tracker_id,
+  {_ISO.format("arg_max(observed_at, seq) FILTER (source = 'tracker' AND k % 3 <> 0)")} AS tracker_captured_at,
+{_ISO.format("arg_min(observed_at, seq) FILTER (source = 'tracker' AND k < 20)")} AS tracker_removed_at, arg_max('raw' || seq, seq) FILTER (source =
+  'primary' AND k % 2 = 0) AS raw_primary FROM r GROUP BY user_id""")
 def merge_tracker_fields_and_raw(spark, d):
     """Tracker fields from tracker rows alone: number and capture of the latest, removal of the first; the raw payload from primary rows."""
     more = {"tracker_id": F.when(F.col("k") % 4 != 0, F.col("seq")), "tracker_captured_at": F.when(F.col("k") % 3 != 0, F.col("observed_at")), "raw_primary": F.when(F.col("k") % 2 == 0, F.concat(F.lit("raw"), "seq"))}
@@ -114,7 +126,8 @@ def merge_tracker_fields_and_raw(spark, d):
     return _instants(found.select("ts_id", "tracker_id", "tracker_captured_at", "tracker_removed_at", "raw_primary"), "tracker_captured_at", "tracker_removed_at")
 
 
-@query("SELECT DISTINCT CAST(user_id AS VARCHAR) AS ts_id, '' AS content_html, '' AS content_text, false AS pinned, CAST(0 AS INTEGER) AS n_media, CAST(0 AS INTEGER) AS n_mentions, CAST(0 AS INTEGER) AS n_tags, CAST(NULL AS VARCHAR) AS lang, 'created_at_utc' AS known FROM events")
+@query("""SELECT DISTINCT CAST(user_id AS VARCHAR) AS ts_id, '' AS content_html, '' AS content_text, false AS pinned, CAST(0 AS INTEGER) AS n_media, CAST(0 AS
+  INTEGER) AS n_mentions, CAST(0 AS INTEGER) AS n_tags, CAST(NULL AS VARCHAR) AS lang, 'created_at_utc' AS known FROM events""")
 def merge_defaults(spark, d):
     """What no observation gives has its default, and no source."""
     rows = event_observations(spark, d).withColumn("value", F.lit(None))
@@ -122,7 +135,8 @@ def merge_defaults(spark, d):
     return found.select("ts_id", "content_html", "content_text", "pinned", F.size("media").alias("n_media"), F.size("mentions").alias("n_mentions"), F.size("tags").alias("n_tags"), "lang", F.array_join(F.map_keys("field_sources"), ",").alias("known"))
 
 
-@query(_B + """, h AS (SELECT user_id, arg_max({'t': event_type || ' é… ' || k || ' <b>', 's': source}, {'r': rank, 'q': seq}) FILTER (source <> 'bulk' AND k % 3 <> 0) AS html, arg_max('bulk ' || seq, seq) FILTER (source = 'bulk') AS plain
+@query(_B + """, h AS (SELECT user_id, arg_max({'t': event_type || ' é… ' || k || ' <b>', 's': source}, {'r': rank, 'q': seq}) FILTER (source <> 'bulk' AND k % 3 <>
+  0) AS html, arg_max('bulk ' || seq, seq) FILTER (source = 'bulk') AS plain
   FROM (SELECT r.*, event_type FROM r JOIN events ON seq = event_id) GROUP BY user_id)
 SELECT CAST(user_id AS VARCHAR) AS ts_id, coalesce(html.t, plain, '') AS content_text FROM h""")
 def merge_content(spark, d):
@@ -133,8 +147,10 @@ def merge_content(spark, d):
     return merge.merge(_no_posts(spark), _signals(rows, **more)).posts.select("ts_id", "content_text")
 
 
-@query(_B + """, m AS (SELECT *, CASE WHEN k % 3 = 0 THEN NULL ELSE k END AS width, rank >= coalesce(max(rank) OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM r WHERE k % 5 <> 0)
-SELECT CAST(user_id AS VARCHAR) AS ts_id, arg_max('u' || seq, seq) FILTER (ahead) AS url, CAST(coalesce(arg_max(width, seq) FILTER (ahead AND width IS NOT NULL), arg_min(width, seq) FILTER (width IS NOT NULL)) AS INTEGER) AS width, arg_max(source, seq) FILTER (ahead) AS media_source
+@query(_B + """, m AS (SELECT *, CASE WHEN k % 3 = 0 THEN NULL ELSE k END AS width, rank >= coalesce(max(rank) OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN
+  UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM r WHERE k % 5 <> 0)
+SELECT CAST(user_id AS VARCHAR) AS ts_id, arg_max('u' || seq, seq) FILTER (ahead) AS url, CAST(coalesce(arg_max(width, seq) FILTER (ahead AND width IS
+  NOT NULL), arg_min(width, seq) FILTER (width IS NOT NULL)) AS INTEGER) AS width, arg_max(source, seq) FILTER (ahead) AS media_source
 FROM m GROUP BY user_id""")
 def merge_media(spark, d):
     """Lists of one item: the best source's item stands, its null parts filled from the others."""
@@ -145,13 +161,17 @@ def merge_media(spark, d):
     return found.filter(F.size("media") > 0).select("ts_id", first["url"].alias("url"), first["width"].alias("width"), F.col("field_sources")["media"].alias("media_source"))
 
 
-@query(_B + """, f AS (SELECT * FROM r WHERE value <> ''), w AS (SELECT *, max({'r': rank, 'q': seq, 's': source, 'v': value}) OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS h FROM f)
-SELECT CAST(user_id AS VARCHAR) AS ts_id, seq, 'kind_disagreement' AS code, 'kind_disagreement:' || user_id || ':' || h.s || '=' || h.v || ',' || source || '=' || value AS detail FROM w WHERE h.r > rank AND h.v <> value""")
+@query(_B + """, f AS (SELECT * FROM r WHERE value <> ''), w AS (SELECT *, max({'r': rank, 'q': seq, 's': source, 'v': value}) OVER (PARTITION BY user_id ORDER BY
+  seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS h FROM f)
+SELECT CAST(user_id AS VARCHAR) AS ts_id, seq, 'kind_disagreement' AS code, 'kind_disagreement:' || user_id || ':' || h.s || '=' || h.v || ',' ||
+  source || '=' || value AS detail FROM w WHERE h.r > rank AND h.v <> value""")
 def merge_disagreement_details(spark, d):
     return _event_merge(spark, d).anomalies.filter("code = 'kind_disagreement'").select("ts_id", "seq", "code", "detail")
 
 
-@query(_B + """, f AS (SELECT *, TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (k % 6) SECOND AS c FROM r), w AS (SELECT *, max({'r': crank, 'q': seq, 's': source, 'v': c}) OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS h FROM f)
+@query(_B + """, f AS (SELECT *, TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (k % 6) SECOND AS c FROM r), w AS (SELECT *,
+  max({'r': crank, 'q': seq, 's': source, 'v': c}) OVER (PARTITION BY user_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS h FROM
+  f)
 SELECT CAST(user_id AS VARCHAR) AS ts_id, seq, h.s AS old_source, source AS new_source FROM w WHERE h.r > crank AND abs(epoch(h.v) - epoch(c)) > 2""")
 def merge_created_tolerance(spark, d):
     """Times of creation that lose: up to two seconds apart is no disagreement."""
@@ -164,12 +184,17 @@ def merge_created_tolerance(spark, d):
 
 # -- engagement --------------------------------------------------------------
 
-_AGED = _S.replace("WITH s AS", "WITH RECURSIVE s AS") + """, o AS (SELECT s.*, row_number() OVER (PARTITION BY ts_id ORDER BY ingest_seq) AS rn, observed_at >= min(observed_at) OVER (PARTITION BY ts_id) + INTERVAL 7 DAY + INTERVAL 14 DAY AS old FROM s),
-"""
+
+def _aged(days: int) -> str:
+    """Snapshots in order of ingest, old from so many days after the first of their post on."""
+    start = _S.replace("WITH s AS", "WITH RECURSIVE s AS")
+    old = f"observed_at >= min(observed_at) OVER (PARTITION BY ts_id) + INTERVAL {days} DAY AS old"
+    return start + f", o AS (SELECT s.*, row_number() OVER (PARTITION BY ts_id ORDER BY ingest_seq) AS rn, {old} FROM s),\n"
 
 
-@query(_AGED + """a AS (SELECT ts_id, observed_at, ingest_seq, rn FROM o WHERE rn = 1 UNION ALL
-  SELECT x.* FROM a, LATERAL (SELECT ts_id, observed_at, ingest_seq, rn FROM o WHERE o.ts_id = a.ts_id AND o.rn > a.rn AND NOT o.old AND o.observed_at >= a.observed_at + INTERVAL 1 HOUR ORDER BY o.rn LIMIT 1) x)
+@query(_aged(21) + """a AS (SELECT ts_id, observed_at, ingest_seq, rn FROM o WHERE rn = 1 UNION ALL
+  SELECT x.* FROM a, LATERAL (SELECT ts_id, observed_at, ingest_seq, rn FROM o WHERE o.ts_id = a.ts_id AND o.rn > a.rn AND NOT o.old AND o.observed_at
+  >= a.observed_at + INTERVAL 1 HOUR ORDER BY o.rn LIMIT 1) x)
 SELECT ts_id, count(*) AS kept, CAST(sum(ingest_seq) AS BIGINT) AS seqs FROM a GROUP BY 1""")
 def throttle_by_age(spark, d):
     """An hour apart, and a post of fourteen days or more only if it has none; each post is born a week after its first snapshot."""
@@ -179,9 +204,12 @@ def throttle_by_age(spark, d):
     return kept.groupBy("ts_id").agg(F.count("*").alias("kept"), F.sum("ingest_seq").alias("seqs"))
 
 
-@query(_AGED.replace(" + INTERVAL 7 DAY + INTERVAL 14 DAY", " + INTERVAL 14 DAY") + """l AS (SELECT ts_id, max(observed_at) AS last FROM o WHERE ingest_seq % 10 = 0 GROUP BY 1), c AS (SELECT o.*, last FROM o LEFT JOIN l USING (ts_id) WHERE ingest_seq % 10 <> 0),
-a AS (SELECT * FROM (SELECT ts_id, observed_at, ingest_seq, rn FROM c WHERE last IS NULL OR NOT old AND observed_at >= last + INTERVAL 1 HOUR QUALIFY row_number() OVER (PARTITION BY ts_id ORDER BY rn) = 1) UNION ALL
-  SELECT x.* FROM a, LATERAL (SELECT ts_id, observed_at, ingest_seq, rn FROM c WHERE c.ts_id = a.ts_id AND c.rn > a.rn AND NOT c.old AND c.observed_at >= a.observed_at + INTERVAL 1 HOUR ORDER BY c.rn LIMIT 1) x)
+@query(_aged(14) + """l AS (SELECT ts_id, max(observed_at) AS last FROM o WHERE ingest_seq % 10 = 0 GROUP BY 1), c AS (SELECT o.*, last FROM o LEFT JOIN l USING (ts_id)
+  WHERE ingest_seq % 10 <> 0),
+a AS (SELECT * FROM (SELECT ts_id, observed_at, ingest_seq, rn FROM c WHERE last IS NULL OR NOT old AND observed_at >= last + INTERVAL 1 HOUR QUALIFY
+  row_number() OVER (PARTITION BY ts_id ORDER BY rn) = 1) UNION ALL
+  SELECT x.* FROM a, LATERAL (SELECT ts_id, observed_at, ingest_seq, rn FROM c WHERE c.ts_id = a.ts_id AND c.rn > a.rn AND NOT c.old AND c.observed_at
+  >= a.observed_at + INTERVAL 1 HOUR ORDER BY c.rn LIMIT 1) x)
 SELECT ts_id, ingest_seq FROM a""")
 def engagement_to_append(spark, d):
     """Candidates against what is stored (every tenth snapshot) and when posts were made (their first snapshot)."""
@@ -200,7 +228,8 @@ _RULES = {
 
 
 @query(f"""WITH c(i, code) AS (VALUES {", ".join(f"({i}, '{code}')" for i, (_, _, code) in _RULES.items())})
-SELECT CASE code WHEN 'bad_ts_id' THEN '12' ELSE CAST(110000000000000000 + event_id AS VARCHAR) END AS ts_id, 'hard' AS severity, code FROM events JOIN c ON event_id % 17 = i""")
+SELECT CASE code WHEN 'bad_ts_id' THEN '12' ELSE CAST(110000000000000000 + event_id AS VARCHAR) END AS ts_id, 'hard' AS severity, code FROM events
+  JOIN c ON event_id % 17 = i""")
 def check_record_rules(spark, d):
     """JSON records, each 17th of a kind with one fault: every rule on records, by value."""
     e = table(spark, d, "events")
@@ -221,7 +250,8 @@ def check_record_rules(spark, d):
     return checks.schema_violations(e.select(line.alias("line"))).select("ts_id", "severity", "code")
 
 
-@query("""WITH p AS (SELECT event_id, CASE WHEN event_id % 50 = 7 THEN '2023-12' ELSE strftime(ts, '%Y-%m') END AS file_month, strftime(ts, '%Y-%m') AS month FROM events)
+@query("""WITH p AS (SELECT event_id, CASE WHEN event_id % 50 = 7 THEN '2023-12' ELSE strftime(ts, '%Y-%m') END AS file_month, strftime(ts, '%Y-%m') AS month
+  FROM events)
 SELECT 'wrong_month_file' AS code, CAST(event_id AS VARCHAR) AS ts_id, file_month || ',' || month AS detail FROM p WHERE file_month <> month
 UNION ALL SELECT 'unsorted_file', NULL, file_month FROM p WHERE file_month <> '2023-12' GROUP BY file_month""")
 def check_files(spark, d):
@@ -233,10 +263,14 @@ def check_files(spark, d):
 
 
 @query("""WITH e AS (SELECT event_id, user_id, date_trunc('second', ts) AS t, event_type FROM events)
-SELECT 'hard' AS severity, 'duplicate_id' AS code, count(*) AS n FROM e WHERE event_id % 100 = 3 UNION ALL SELECT 'hard', 'created_after_deleted_upper', count(*) FROM e WHERE event_id % 77 = 0 AND event_id % 100 <> 3
-UNION ALL SELECT 'soft', 'inverted_deletion_bounds', count(*) FROM e WHERE event_id % 77 = 0 AND event_id % 100 <> 3 UNION ALL SELECT 'hard', 'deletion_unknown_post', count(*) FROM e WHERE event_id % 200 = 0
-UNION ALL SELECT 'hard', 'duplicate_deletion_event', count(*) FROM e WHERE event_id % 500 = 1 UNION ALL SELECT 'hard', 'engagement_unknown_post', count(*) FROM e WHERE event_id % 300 = 0
-UNION ALL SELECT 'hard', 'engagement_too_close', count(*) FROM e WHERE event_id % 400 = 2 UNION ALL SELECT 'hard', 'missing_run_row', 1 UNION ALL SELECT 'soft', 'stale_newest_post', 1
+SELECT 'hard' AS severity, 'duplicate_id' AS code, count(*) AS n FROM e WHERE event_id % 100 = 3 UNION ALL SELECT 'hard',
+  'created_after_deleted_upper', count(*) FROM e WHERE event_id % 77 = 0 AND event_id % 100 <> 3
+UNION ALL SELECT 'soft', 'inverted_deletion_bounds', count(*) FROM e WHERE event_id % 77 = 0 AND event_id % 100 <> 3 UNION ALL SELECT 'hard',
+  'deletion_unknown_post', count(*) FROM e WHERE event_id % 200 = 0
+UNION ALL SELECT 'hard', 'duplicate_deletion_event', count(*) FROM e WHERE event_id % 500 = 1 UNION ALL SELECT 'hard', 'engagement_unknown_post',
+  count(*) FROM e WHERE event_id % 300 = 0
+UNION ALL SELECT 'hard', 'engagement_too_close', count(*) FROM e WHERE event_id % 400 = 2 UNION ALL SELECT 'hard', 'missing_run_row', 1 UNION ALL
+  SELECT 'soft', 'stale_newest_post', 1
 UNION ALL SELECT 'soft', 'present_count_drift', 1 UNION ALL SELECT 'soft', 'tracker_total_drift', 1""")
 def check_counts(spark, d):
     """The whole run over posts, logs and snapshots with planted faults: rows by code."""
@@ -263,9 +297,12 @@ def check_counts(spark, d):
 
 
 @query("""WITH s AS (SELECT doc_id, lang, source, doc_id % 5 AS c FROM documents)
-SELECT CAST(doc_id AS VARCHAR) AS ts_id, CASE c WHEN 1 THEN 'reblog' WHEN 2 THEN 'reply' WHEN 3 THEN 'quote' ELSE 'original' END AS kind, CASE c WHEN 1 THEN '<p>other</p>' ELSE '<p>' || lang || '</p>' END AS content_html,
-CASE WHEN c = 1 THEN 'bob' END AS reblog_of_acct, CASE WHEN c = 3 THEN '8' END AS quote_id, CASE WHEN c = 2 THEN '7' END AS in_reply_to_id, strftime(TIMESTAMP '2024-01-01' + INTERVAL (doc_id) MINUTE, '%Y-%m-%dT%H:%M:%SZ') AS created_at,
-CASE WHEN c <> 1 THEN source || '.example' END AS card_domain, CASE WHEN c <> 1 THEN 'm' || doc_id ELSE '' END AS mentions, CAST(CASE WHEN c = 1 THEN 0 ELSE 1 END AS INTEGER) AS n_media, doc_id * 2 AS favourites, false AS names_account FROM s""")
+SELECT CAST(doc_id AS VARCHAR) AS ts_id, CASE c WHEN 1 THEN 'reblog' WHEN 2 THEN 'reply' WHEN 3 THEN 'quote' ELSE 'original' END AS kind, CASE c WHEN
+  1 THEN '<p>other</p>' ELSE '<p>' || lang || '</p>' END AS content_html,
+CASE WHEN c = 1 THEN 'bob' END AS reblog_of_acct, CASE WHEN c = 3 THEN '8' END AS quote_id, CASE WHEN c = 2 THEN '7' END AS in_reply_to_id,
+  strftime(TIMESTAMP '2024-01-01' + INTERVAL (doc_id) MINUTE, '%Y-%m-%dT%H:%M:%SZ') AS created_at,
+CASE WHEN c <> 1 THEN source || '.example' END AS card_domain, CASE WHEN c <> 1 THEN 'm' || doc_id ELSE '' END AS mentions, CAST(CASE WHEN c = 1 THEN
+  0 ELSE 1 END AS INTEGER) AS n_media, doc_id * 2 AS favourites, false AS names_account FROM s""")
 def primary_payloads(spark, d):
     """Statuses of every kind as JSON payloads, and what is read from them."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "source")
@@ -283,8 +320,10 @@ def primary_payloads(spark, d):
                        F.col("engagement.favourites").alias("favourites"), F.col("raw_primary").contains("account").alias("names_account"))
 
 
-@query("""SELECT CAST(doc_id AS VARCHAR) AS ts_id, CASE WHEN doc_id % 3 = 0 THEN 'original' ELSE 'reblog' END AS kind, CASE doc_id % 3 WHEN 1 THEN 'own' WHEN 2 THEN 'user_' || doc_id END AS reblog_of_acct,
-CASE doc_id % 3 WHEN 1 THEN text WHEN 2 THEN ' ' || text ELSE coalesce(text, '') END AS content_text, CASE WHEN doc_id % 2 = 0 THEN 'video,image' ELSE '' END AS media FROM documents""")
+@query("""SELECT CAST(doc_id AS VARCHAR) AS ts_id, CASE WHEN doc_id % 3 = 0 THEN 'original' ELSE 'reblog' END AS kind, CASE doc_id % 3 WHEN 1 THEN 'own' WHEN 2
+  THEN 'user_' || doc_id END AS reblog_of_acct,
+CASE doc_id % 3 WHEN 1 THEN text WHEN 2 THEN ' ' || text ELSE coalesce(text, '') END AS content_text, CASE WHEN doc_id % 2 = 0 THEN 'video,image' ELSE
+  '' END AS media FROM documents""")
 def bulk_rows(spark, d):
     """Whole texts as rows of a bulk archive: reposts split from their marker, media typed by their links."""
     docs = table(spark, d, "documents")
@@ -307,15 +346,19 @@ def _cards(spark, d) -> DataFrame:
     return o.select("n", "at", F.concat(mark, card(F.col("n"), "own"), nested, close).alias("card"))
 
 
-@query("""SELECT o_orderkey AS tracker_id, CAST(o_orderkey AS VARCHAR) AS ts_id, CASE WHEN o_orderkey % 4 = 0 THEN 'quote' ELSE 'original' END AS kind, CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey + 1000000 AS VARCHAR) END AS quote_id, o_orderkey % 3 = 0 AS reposted,
-CASE WHEN o_orderkey % 3 = 0 THEN 'Some One' ELSE '' END AS reposted_by, '<p>' || o_orderpriority || ' &amp; more</p>' AS content_html, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS created_at, 'own' AS account FROM orders""")
+@query("""SELECT o_orderkey AS tracker_id, CAST(o_orderkey AS VARCHAR) AS ts_id, CASE WHEN o_orderkey % 4 = 0 THEN 'quote' ELSE 'original' END AS kind, CASE
+  WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey + 1000000 AS VARCHAR) END AS quote_id, o_orderkey % 3 = 0 AS reposted,
+CASE WHEN o_orderkey % 3 = 0 THEN 'Some One' ELSE '' END AS reposted_by, '<p>' || o_orderpriority || ' &amp; more</p>' AS content_html,
+  strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS created_at, 'own' AS account FROM orders""")
 def tracker_listing(spark, d):
     pages = _cards(spark, d).select(F.concat(F.lit("p"), "n").alias("url"), F.concat(F.lit('<div class="statuses">'), "card", F.lit("</div>")).alias("html"))
     return tracker_html.listing(pages).select(F.col("tracker_id").cast("bigint").alias("tracker_id"), "ts_id", "kind", "quote_id", "reposted", "reposted_by", "content_html", times.to_iso(F.col("created_at_utc")).alias("created_at"), "account")
 
 
-@query("""SELECT o_orderkey AS tracker_id, CASE WHEN o_orderkey % 5 = 0 THEN '123' ELSE CAST(o_orderkey AS VARCHAR) END AS ts_id, CASE WHEN o_orderkey % 3 = 0 THEN 'reblog' WHEN o_orderkey % 4 = 0 THEN 'quote' ELSE 'original' END AS kind,
-CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderkey AS VARCHAR) END AS reblog_of_id, o_orderkey % 7 = 0 AS removed, CASE WHEN o_orderkey % 7 = 0 THEN '2026-09-09T02:20:31Z' END AS removed_at, '2026-09-09T02:20:31Z' AS captured_at FROM orders""")
+@query("""SELECT o_orderkey AS tracker_id, CASE WHEN o_orderkey % 5 = 0 THEN '123' ELSE CAST(o_orderkey AS VARCHAR) END AS ts_id, CASE WHEN o_orderkey % 3 = 0
+  THEN 'reblog' WHEN o_orderkey % 4 = 0 THEN 'quote' ELSE 'original' END AS kind,
+CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderkey AS VARCHAR) END AS reblog_of_id, o_orderkey % 7 = 0 AS removed, CASE WHEN o_orderkey % 7 = 0 THEN
+  '2026-09-09T02:20:31Z' END AS removed_at, '2026-09-09T02:20:31Z' AS captured_at FROM orders""")
 def tracker_status_pages(spark, d):
     row = lambda k, v: f'<tr><td class="status-details-table__key">{k}</td><td class="status-details-table__value">{v}</td></tr>'
     some = lambda every, k, v: F.when(F.col("n") % every == 0, row(k, v)).otherwise("")
@@ -325,7 +368,8 @@ def tracker_status_pages(spark, d):
     return found.select(F.col("tracker_id").cast("bigint").alias("tracker_id"), "ts_id", "kind", "reblog_of_id", "removed", times.to_iso(F.col("tracker_removed_at")).alias("removed_at"), times.to_iso(F.col("tracker_captured_at")).alias("captured_at"))
 
 
-@query("""SELECT o_orderkey AS tracker_id, o_orderkey % 3 = 0 AS removed, CASE o_orderkey % 4 WHEN 0 THEN 'bob' WHEN 1 THEN 'own' WHEN 2 THEN 'ann' END AS reblog_of_acct, CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey AS VARCHAR) END AS reblog_of_id,
+@query("""SELECT o_orderkey AS tracker_id, o_orderkey % 3 = 0 AS removed, CASE o_orderkey % 4 WHEN 0 THEN 'bob' WHEN 1 THEN 'own' WHEN 2 THEN 'ann' END AS
+  reblog_of_acct, CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey AS VARCHAR) END AS reblog_of_id,
 CAST(1234 AS INTEGER) AS total, CASE WHEN o_orderkey % 2 = 0 THEN 'c' || o_orderkey ELSE '7' END AS next_cursor FROM orders""")
 def tracker_search_hits(spark, d):
     o, n = table(spark, d, "orders").select(F.col("o_orderkey").alias("n")), F.col("n").cast("string")
@@ -338,7 +382,8 @@ def tracker_search_hits(spark, d):
     return found.select(F.col("tracker_id").cast("bigint").alias("tracker_id"), "removed", "reblog_of_acct", "reblog_of_id", "total", "next_cursor")
 
 
-@query("""SELECT c_custkey, CAST(c_custkey * 1000 + 7 AS INTEGER) AS total, CAST(c_custkey AS INTEGER) AS original, CAST(2 AS INTEGER) AS quote, CAST(NULL AS INTEGER) AS reblog, '2022-02-14' AS coverage_start FROM customer""")
+@query("""SELECT c_custkey, CAST(c_custkey * 1000 + 7 AS INTEGER) AS total, CAST(c_custkey AS INTEGER) AS original, CAST(2 AS INTEGER) AS quote, CAST(NULL AS
+  INTEGER) AS reblog, '2022-02-14' AS coverage_start FROM customer""")
 def stats_page_numbers(spark, d):
     c, number = table(spark, d, "customer").select("c_custkey"), lambda x: F.format_number(x, 0)
     one = lambda k, v: F.concat(F.lit(f'<div class="stats-page__summary-card--{k}">\n<span class="stats-page__summary-value">'), v, F.lit("</span>"))
@@ -362,7 +407,8 @@ def _stored(spark, d) -> DataFrame:
     return _event_merge(spark, d).posts.drop("changed", "is_new")
 
 
-@query(_SIG + " SELECT ts_id, status, deleted_source, last_verified_live_at, deleted_lower, deleted_upper, first_seen_at, first_seen_source, seen_sources, coalesce(kind, '') AS kind FROM (" + _STATE + ")")
+@query(_SIG + """ SELECT ts_id, status, deleted_source, last_verified_live_at, deleted_lower, deleted_upper, first_seen_at, first_seen_source, seen_sources,
+  coalesce(kind, '') AS kind FROM (""" + _STATE + ")")
 def stored_posts_round_trip(spark, d):
     """Records written by month and read back with the given schema."""
     root = sinks.scratch(spark)
@@ -371,7 +417,8 @@ def stored_posts_round_trip(spark, d):
     return _instants(some, "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at")
 
 
-@query(_S + """, t AS (SELECT ts_id, max(observed_at) AS m FROM s GROUP BY 1) SELECT ts_id, strftime(m, '%Y-%m-%dT%H:%M:%SZ') AS observed_at, arg_max(favourites, ingest_seq) AS favourites, CAST(NULL AS BIGINT) AS upvotes FROM s JOIN t USING (ts_id) WHERE observed_at = m GROUP BY 1, 2""")
+@query(_S + """, t AS (SELECT ts_id, max(observed_at) AS m FROM s GROUP BY 1) SELECT ts_id, strftime(m, '%Y-%m-%dT%H:%M:%SZ') AS observed_at, arg_max(favourites,
+  ingest_seq) AS favourites, CAST(NULL AS BIGINT) AS upvotes FROM s JOIN t USING (ts_id) WHERE observed_at = m GROUP BY 1, 2""")
 def stored_engagement_latest(spark, d):
     """Snapshots appended in two runs as CSV by month; the latest of each post after reading them back."""
     root, rows = sinks.scratch(spark), event_snapshots(spark, d)
@@ -382,7 +429,8 @@ def stored_engagement_latest(spark, d):
     return _instants(views.engagement_latest(landed.engagement(spark, root)).select("ts_id", "observed_at", "favourites", "upvotes"), "observed_at")
 
 
-@query(_SIG + ", n AS (SELECT *, row_number() OVER (PARTITION BY user_id, source ORDER BY seq) AS nth FROM q WHERE signal) SELECT CAST(user_id AS VARCHAR) AS ts_id, source, strftime(observed_at, '%Y-%m-%dT%H:%M:%SZ') AS detected_at, 'r' AS run_id FROM n WHERE nth = 1")
+@query(_SIG + """, n AS (SELECT *, row_number() OVER (PARTITION BY user_id, source ORDER BY seq) AS nth FROM q WHERE signal) SELECT CAST(user_id AS VARCHAR) AS ts_id,
+  source, strftime(observed_at, '%Y-%m-%dT%H:%M:%SZ') AS detected_at, 'r' AS run_id FROM n WHERE nth = 1""")
 def stored_deletion_log(spark, d):
     root = sinks.scratch(spark)
     sinks.append_log(_event_merge(spark, d).events, f"{root}/deletions")
@@ -398,7 +446,8 @@ def export_posts_csv(spark, d):
     return back.select(F.col("ts_id").cast("bigint").alias("ts_id"), "created_at_et", "et_date", F.col("et_hour").cast("int").alias("et_hour"), "kind", "seen_sources", F.col("content_len").cast("int").alias("content_len"))
 
 
-@query("""WITH t AS (SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m') AS month FROM events) SELECT month AS file_month, count(*) AS n, CAST(0 AS BIGINT) AS out_of_order, CAST(0 AS BIGINT) AS misplaced FROM t GROUP BY 1""")
+@query("""WITH t AS (SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m') AS month FROM events) SELECT month AS file_month, count(*) AS n, CAST(0 AS
+  BIGINT) AS out_of_order, CAST(0 AS BIGINT) AS misplaced FROM t GROUP BY 1""")
 def filed_layout(spark, d):
     """What the sink lays out by month passes the checks on files: months, order, lines."""
     root = sinks.scratch(spark)
@@ -410,6 +459,45 @@ def filed_layout(spark, d):
     return found.join(F.broadcast(unsorted_.withColumnRenamed("n", "out_of_order"))).join(F.broadcast(wrong.withColumnRenamed("n", "misplaced")))
 
 
+@query("SELECT CAST(110000000000000000 + user_id AS VARCHAR) AS ts_id, CASE WHEN user_id % 3 = 0 THEN 'original' ELSE 'quote' END AS kind FROM (SELECT DISTINCT user_id FROM events)")
+def stored_posts_last_wins(spark, d):
+    """Records of one id in the files of two months: the later file's stands."""
+    users, root = table(spark, d, "events").select("user_id").distinct(), sinks.scratch(spark)
+
+    def records(kind: str, at: str, where: str) -> DataFrame:
+        given = {"ts_id": (F.lit(110000000000000000) + F.col("user_id")).cast("string"), "kind": F.lit(kind), "created_at_utc": F.lit(at).cast("timestamp_ntz")}
+        return users.filter(where).select(*[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in POST.fields])
+
+    sinks.save_posts(records("original", "2024-01-05 00:00:00", "true").unionByName(records("quote", "2024-02-05 00:00:00", "user_id % 3 <> 0")), root)
+    return landed.keyed_posts(spark, root).select("ts_id", "kind")
+
+
+@query("SELECT DISTINCT CAST(o_custkey AS INTEGER) AS tracker_id FROM orders WHERE o_orderkey % 3 = 0 AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 0)")
+def removals_not_processed(spark, d):
+    """Removed search hits (each third order) without those that earlier runs have processed (most customers)."""
+    hits = table(spark, d, "orders").select(F.col("o_custkey").cast("int").alias("tracker_id"), (F.col("o_orderkey") % 3 == 0).alias("removed"))
+    return landed.unprocessed(hits, table(spark, d, "customer").filter("c_custkey % 5 <> 0").select(F.col("c_custkey").cast("int").alias("tracker_id")))
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate + INTERVAL (o_orderkey % 24) HOUR + INTERVAL (o_orderkey % 60) MINUTE, '%Y-%m-%dT%H:%M:%SZ') AS iso FROM orders")
+def eastern_text_of_the_year(spark, d):
+    """Instants of all seasons written as Eastern prose with the zone in force, and read back."""
+    o = table(spark, d, "orders")
+    at = F.timestamp_add("MINUTE", ((F.col("o_orderkey") % 24) * 60 + F.col("o_orderkey") % 60).cast("int"), F.col("o_orderdate"))
+    some = o.select("o_orderkey", times.eastern(at).alias("w"), times.offset_minutes(at).alias("off"))
+    text = F.concat(F.element_at(F.array(*[F.lit(m.title()) for m in times.MONTH_NAMES[:12]]), F.month("w")), F.lit(" "), F.dayofmonth("w"), F.lit(", "), F.year("w"), F.lit(", "), (F.hour("w") + 11) % 12 + 1, F.lit(":"),
+                    F.lpad(F.minute("w").cast("string"), 2, "0"), F.when(F.hour("w") < 12, " AM ").otherwise(" PM "), F.when(F.col("off") == -240, "EDT").otherwise("EST"))
+    return some.select("o_orderkey", times.to_iso(times.parse_eastern_text(text)).alias("iso"))
+
+
+@query("SELECT o_custkey, string_agg(strftime(o_orderdate, '%Y-%m'), ',' ORDER BY strftime(o_orderdate, '%Y-%m')) AS months FROM orders GROUP BY 1 HAVING count(*) > 1")
+def duplicate_ids_by_file(spark, d):
+    """Ids that stand more than once, with the files that have them."""
+    filed = table(spark, d, "orders").select("o_custkey", times.month_of(F.col("o_orderdate")).alias("file_month"))
+    found = checks.duplicate_keys(filed, ["o_custkey"], listed="file_month")
+    return found.select(F.col("ts_id").cast("bigint").alias("o_custkey"), F.col("detail").alias("months"))
+
+
 # -- saved SQL and the report ------------------------------------------------
 
 
@@ -436,18 +524,24 @@ def _saved(spark, d, name: str) -> DataFrame:
 
 _GAP = f"round({_MIN.format('pu', 'created_at_utc')}, 6)"
 _SAVED = {
-    "bursts": _V + _LAG + f" SELECT CAST(ts_id AS VARCHAR) AS ts_id, created_at_et, kind, {_GAP} AS gap_min FROM g WHERE pu IS NOT NULL AND epoch_us(created_at_utc) - epoch_us(pu) <= 600000000",
-    "longest_gaps": _V + _LAG + f" SELECT pe AS from_et, created_at_et AS to_et, {_GAP} AS gap_min FROM g WHERE pu IS NOT NULL ORDER BY gap_min DESC, created_at_utc LIMIT 20",
-    "deletions": _V + "SELECT CAST(ts_id AS VARCHAR) AS ts_id, created_at_et, kind, 'gone' AS deleted_source, 30.0 AS lifetime_min, 30.0 AS deletion_window_min, 'text' AS snippet FROM v WHERE is_deleted = 1",
-    "engagement_percentiles": _V + """, t AS (SELECT kind, CAST(props->>'$.k' AS BIGINT) AS f, ntile(100) OVER (PARTITION BY kind ORDER BY CAST(props->>'$.k' AS BIGINT)) AS pct FROM v JOIN (SELECT event_id, props FROM events) ON event_id = ts_id)
+    "bursts": _V + _LAG + f""" SELECT CAST(ts_id AS VARCHAR) AS ts_id, created_at_et, kind, {_GAP} AS gap_min FROM g WHERE pu IS NOT NULL AND epoch_us(created_at_utc) -
+  epoch_us(pu) <= 600000000""",
+    "longest_gaps": _V + _LAG + f""" SELECT pe AS from_et, created_at_et AS to_et, {_GAP} AS gap_min FROM g WHERE pu IS NOT NULL ORDER BY gap_min DESC, created_at_utc LIMIT 20""",
+    "deletions": _V + """SELECT CAST(ts_id AS VARCHAR) AS ts_id, created_at_et, kind, 'gone' AS deleted_source, 30.0 AS lifetime_min, 30.0 AS deletion_window_min, 'text' AS
+  snippet FROM v WHERE is_deleted = 1""",
+    "engagement_percentiles": _V + """, t AS (SELECT kind, CAST(props->>'$.k' AS BIGINT) AS f, ntile(100) OVER (PARTITION BY kind ORDER BY CAST(props->>'$.k' AS BIGINT)) AS pct FROM v JOIN
+  (SELECT event_id, props FROM events) ON event_id = ts_id)
 SELECT kind, count(*) AS n, min(f) FILTER (pct >= 50) AS favourites_p50, min(f) FILTER (pct >= 90) AS favourites_p90 FROM t GROUP BY 1""",
     "hour_histogram": _V + "SELECT et_hour, count(*) AS n FROM v GROUP BY 1",
     "kinds_mix": _V + "SELECT kind, count(*) AS n, CAST(sum(is_deleted) AS BIGINT) AS deleted FROM v GROUP BY 1",
     "link_domains": _V + "SELECT 'd' || user_id AS domain, count(*) AS n FROM v WHERE ts_id % 3 = 0 GROUP BY 1 ORDER BY n DESC, domain LIMIT 10",
-    "media_mix": "SELECT 'image' AS type, count(*) AS n FROM events WHERE event_id % 4 = 0 UNION ALL SELECT 'no_media_posts', count(*) FROM events WHERE event_id % 4 <> 0",
-    "overnight_share": _V + "SELECT CAST(sum(CASE WHEN et_hour < 6 THEN 1 ELSE 0 END) AS BIGINT) AS overnight, count(*) AS total, round(sum(CASE WHEN et_hour < 6 THEN 1 ELSE 0 END) / count(*), 6) AS share FROM v",
+    "media_mix": """SELECT 'image' AS type, count(*) AS n FROM events WHERE event_id % 4 = 0 UNION ALL SELECT 'no_media_posts', count(*) FROM events WHERE event_id % 4 <>
+  0""",
+    "overnight_share": _V + """SELECT CAST(sum(CASE WHEN et_hour < 6 THEN 1 ELSE 0 END) AS BIGINT) AS overnight, count(*) AS total, round(sum(CASE WHEN et_hour < 6 THEN 1 ELSE 0
+  END) / count(*), 6) AS share FROM v""",
     "top_accounts": _V + "SELECT reblog_of_acct AS account, count(*) AS n FROM v WHERE kind = 'reblog' GROUP BY 1 ORDER BY n DESC, account LIMIT 10",
-    "volume_by_day": _V + "SELECT et_date, count(*) FILTER (kind = 'original') AS original, count(*) FILTER (kind = 'quote') AS quote, count(*) FILTER (kind = 'reblog') AS reblog, count(*) FILTER (kind = 'reply') AS reply, count(*) AS total, CAST(sum(is_deleted) AS BIGINT) AS deleted FROM v GROUP BY 1",
+    "volume_by_day": _V + """SELECT et_date, count(*) FILTER (kind = 'original') AS original, count(*) FILTER (kind = 'quote') AS quote, count(*) FILTER (kind = 'reblog') AS
+  reblog, count(*) FILTER (kind = 'reply') AS reply, count(*) AS total, CAST(sum(is_deleted) AS BIGINT) AS deleted FROM v GROUP BY 1""",
 }
 
 
@@ -468,8 +562,10 @@ for _name, _sql in _SAVED.items():
     _register_saved(_name, _sql)
 
 
-@query(_V + """, i AS (SELECT *, CASE WHEN et_date BETWEEN '2024-01-15' AND '2024-01-21' THEN 'window' WHEN et_date BETWEEN '2024-01-01' AND '2024-01-14' THEN 'trailing' END AS part FROM v)
-SELECT part, count(*) AS posts, CAST(sum(is_deleted) AS BIGINT) AS deleted, count(*) FILTER (et_hour < 6) AS overnight, count(edited_at) AS edits, count(*) FILTER (ts_id % 4 = 0) AS images FROM i WHERE part IS NOT NULL GROUP BY 1""")
+@query(_V + """, i AS (SELECT *, CASE WHEN et_date BETWEEN '2024-01-15' AND '2024-01-21' THEN 'window' WHEN et_date BETWEEN '2024-01-01' AND '2024-01-14' THEN
+  'trailing' END AS part FROM v)
+SELECT part, count(*) AS posts, CAST(sum(is_deleted) AS BIGINT) AS deleted, count(*) FILTER (et_hour < 6) AS overnight, count(edited_at) AS edits,
+  count(*) FILTER (ts_id % 4 = 0) AS images FROM i WHERE part IS NOT NULL GROUP BY 1""")
 def report_baseline(spark, d):
     """The weekly report's numbers for a window and the two weeks before it."""
     posts = _event_records(spark, d)
@@ -498,7 +594,8 @@ def _drained(stream: DataFrame, mode: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out")
 
 
-@query("""WITH l AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM events), w AS (SELECT date_trunc('day', ts) AS day, event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1, 2)
+@query("""WITH l AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM events), w AS (SELECT date_trunc('day', ts) AS day, event_type, count(DISTINCT event_id) AS n
+  FROM events GROUP BY 1, 2)
 SELECT strftime(day, '%Y-%m-%d') AS day, event_type, n FROM w, l WHERE day + INTERVAL 1 DAY <= mark""")
 def stream_event_counts(spark, d):
     """Counts by day of a stream that brings each event twice: once each, for the days that the watermark has closed."""
@@ -509,7 +606,8 @@ def stream_event_counts(spark, d):
 
 
 @query(_S.replace("WITH s AS", "WITH RECURSIVE s AS") + """, o AS (SELECT ts_id, observed_at, ingest_seq, row_number() OVER (PARTITION BY ts_id ORDER BY observed_at, ingest_seq) AS rn FROM s),
-a AS (SELECT * FROM o WHERE rn = 1 UNION ALL SELECT x.* FROM a, LATERAL (SELECT * FROM o WHERE o.ts_id = a.ts_id AND o.rn > a.rn AND o.observed_at >= a.observed_at + INTERVAL 1 HOUR ORDER BY o.rn LIMIT 1) x)
+a AS (SELECT * FROM o WHERE rn = 1 UNION ALL SELECT x.* FROM a, LATERAL (SELECT * FROM o WHERE o.ts_id = a.ts_id AND o.rn > a.rn AND o.observed_at >=
+  a.observed_at + INTERVAL 1 HOUR ORDER BY o.rn LIMIT 1) x)
 SELECT ts_id, count(*) AS kept FROM a GROUP BY 1""")
 def stream_throttle(spark, d):
     """Snapshots of a stream in several batches, an hour apart by post; state is the last instant kept."""
@@ -519,7 +617,8 @@ def stream_throttle(spark, d):
     return _drained(micro.throttled(stream), "append").groupBy("ts_id").agg(F.count("*").alias("kept"))
 
 
-@query(_SIG + " SELECT ts_id, status, deleted_source, last_verified_live_at, deleted_lower, deleted_upper, first_seen_at, first_seen_source, seen_sources, coalesce(kind, '') AS kind FROM (" + _STATE + ")")
+@query(_SIG + """ SELECT ts_id, status, deleted_source, last_verified_live_at, deleted_lower, deleted_upper, first_seen_at, first_seen_source, seen_sources,
+  coalesce(kind, '') AS kind FROM (""" + _STATE + ")")
 def stream_merge(spark, d):
     """Landed observations merged batch by batch into a stored data set."""
     path = _landing(_signals(event_observations(spark, d)), "seq < 600")
