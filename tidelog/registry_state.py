@@ -594,6 +594,20 @@ def _drained(stream: DataFrame, mode: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/out")
 
 
+@query("SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1, 2")
+def stream_dedup_counts(spark, d):
+    """The stream's windowed counts, each event once, run to the end of the landed files in complete mode."""
+    events, root = table(spark, d, "events"), sinks.scratch(spark)
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    counts = micro.event_counts(stream)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/out")
+
+    counts.writeStream.outputMode("complete").foreachBatch(step).option("checkpointLocation", f"{root}/mark").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(counts.schema).parquet(f"{root}/out").select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+
+
 @query("""WITH l AS (SELECT max(ts) - INTERVAL 1 DAY AS mark FROM events), w AS (SELECT date_trunc('day', ts) AS day, event_type, count(DISTINCT event_id) AS n
   FROM events GROUP BY 1, 2)
 SELECT strftime(day, '%Y-%m-%d') AS day, event_type, n FROM w, l WHERE day + INTERVAL 1 DAY <= mark""")
