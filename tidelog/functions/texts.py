@@ -15,7 +15,7 @@ from tidelog.functions.times import let
 # Elements whose end breaks a line, the mark of an inline quote, and what counts as a blank at a line's ends.
 LINE_ENDS = ("p", "div", "li", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote")
 QUOTE_CLASS = "quote-inline"
-BLANK = r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+BLANKS = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Character references that are decoded in place; the ampersand's comes last.
 COMMON_REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&amp;": "&"}
 # Fixed value: where links of a status point to.
@@ -67,11 +67,11 @@ def html_to_text(source: Column) -> Column:
     quote = rf'(?is)<span[^>]*\bclass="[^"]*\b{QUOTE_CLASS}\b[^"]*"[^>]*>.*?</span>'
     line_end = rf"(?i)<(?:br\s*/?|/(?:{'|'.join(LINE_ENDS)})\s*)>"
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(source, F.lit("")), quote, ""), line_end, "\n"), "<[^>]+>", "")
-    text = F.translate(decoded(bare), "\xa0\r", " ")
-    lines = F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(F.regexp_replace(x, r"[ \t\f\x0B]+", " "), rf"^{BLANK}+|{BLANK}+\z", ""))
+    text = F.regexp_replace(F.translate(decoded(bare), "\xa0\r", " "), r"[ \t\f\x0B]+", " ")
+    lines = F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)))
     # of empty lines in a row the first stays, at the ends none
     kept = let(lines, lambda all_: F.filter(all_, lambda x, i: (x != "") | (F.get(all_, i - 1) != "")))
-    return F.regexp_replace(F.array_join(kept, "\n"), r"^\n+|\n+\z", "")
+    return F.btrim(F.array_join(kept, "\n"), F.lit("\n"))
 
 
 def card_domain(url: Column) -> Column:
