@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from tidelog.llm import licenses, quality
+from tidelog.llm import licenses, quality, secrets
 from tidelog.llm.common import ASCII_FOLD, ASCII_LOWER, ASCII_UPPER
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -112,4 +112,74 @@ v AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a)
 k AS (SELECT doc_id, string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) || substr(any_value(x), 2 * max(b) + 1) AS kept, CAST(sum(b - a) AS BIGINT) AS removed, count(*) AS spans FROM v JOIN w USING (doc_id) GROUP BY doc_id)
 SELECT w.doc_id, n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256 FROM w LEFT JOIN k ON w.doc_id = k.doc_id"""
 
-SQL = {"op2_suffix_repeats": BYTES, "op3_license_scan": LICENSES, "op5_quality_rules": QUALITY, "op7_minmax_near_dedup": NEAR, "op8_source_mix": MIX, "op9_fixed_block_repeats": BLOCKS}
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of ASCII text, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    bits = "list_reduce(list_prepend(xor(crc, byte), CAST(range(8) AS BIGINT[])), lambda x, bit: xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda crc, byte: {bits}), 4294967295)"
+
+
+def _leaf(n_chars: str) -> str:
+    values = ["CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text"]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+
+#: All levels of all trees as rows, a step up each time; siblings by the place with its last bit flipped; a leaf is folded step by step.
+MERKLE = f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS id, * FROM documents),
+l AS (SELECT id, doc_id, lang, {_leaf('n_chars')} AS leaf, CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf('n_chars + 1')} END AS altered FROM d),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, id) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n FROM l),
+t AS (SELECT lang, 0 AS level, place, leaf AS digest, n FROM o UNION ALL SELECT lang, level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (n + 1) // 2 FROM t WHERE n > 1 GROUP BY lang, level, place // 2, n),
+s AS (SELECT lang, level AS height, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM t WHERE n = 1),
+g AS (SELECT 0 AS level, place, subroot AS digest, n FROM s UNION ALL SELECT level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), (n + 1) // 2 FROM g WHERE n > 1 GROUP BY level, place // 2, n),
+w AS (SELECT o.id, t.level AS step, CASE WHEN (o.place >> t.level) & 1 = 1 THEN t.digest ELSE '' END AS low, CASE WHEN (o.place >> t.level) & 1 = 0 THEN t.digest ELSE '' END AS high
+  FROM o JOIN t ON o.lang IS NOT DISTINCT FROM t.lang AND t.n > 1 AND t.place = xor(o.place >> t.level, 1)
+  UNION ALL SELECT o.id, s.height + g.level, CASE WHEN (s.place >> g.level) & 1 = 1 THEN g.digest ELSE '' END, CASE WHEN (s.place >> g.level) & 1 = 0 THEN g.digest ELSE '' END
+  FROM o JOIN s ON o.lang IS NOT DISTINCT FROM s.lang JOIN g ON g.n > 1 AND g.place = xor(s.place >> g.level, 1)),
+h AS (SELECT o.id, s.subroot, s.height + (SELECT max(level) FROM g) AS steps FROM o JOIN s ON o.lang IS NOT DISTINCT FROM s.lang),
+f AS (SELECT o.id, 0 AS step, coalesce(altered, leaf) AS node FROM o UNION ALL SELECT f.id, f.step + 1, sha256(coalesce(w.low, '') || f.node || coalesce(w.high, '')) FROM f JOIN h ON f.id = h.id AND f.step < h.steps LEFT JOIN w ON f.id = w.id AND f.step = w.step),
+e AS (SELECT f.id, f.node FROM f JOIN h ON f.id = h.id AND f.step = h.steps),
+q AS (SELECT id, string_agg(low || high, '' ORDER BY step) AS siblings FROM w GROUP BY id)
+SELECT o.doc_id, o.leaf, h.subroot, r.root, sha256(coalesce(q.siblings, '')) AS proof_sha256, e.node AS folded_root, e.node = r.root AS verified
+FROM o JOIN h USING (id) JOIN e USING (id) LEFT JOIN q USING (id) CROSS JOIN (SELECT digest AS root FROM g WHERE n = 1) r"""
+
+
+def _hits(kind: int, pattern: str) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"SELECT id, {kind} AS kind, string_split_regex(text, '{quoted}') AS gaps, regexp_extract_all(text, '{quoted}') AS found FROM d WHERE regexp_matches(text, '{quoted}')"
+
+
+_ASSIGN = secrets.ASSIGN.replace("'", "''")
+_KIND = "CASE kind " + " ".join(f"WHEN {k} THEN '{name}'" for k, name in enumerate(secrets.KINDS)) + " END || ':' || start || ':' || stop"
+
+#: Access keys and hex by the contract's own patterns, short matches dropped afterwards.
+SECRETS = f"""WITH d AS (SELECT row_number() OVER () AS id, doc_id, source, coalesce(text, '') AS text FROM documents),
+h AS ({" UNION ALL ".join(_hits(k, p) for k, p in enumerate((secrets.ASSIGN, "AKIA[A-Z0-9]+", "[0-9a-f]+", secrets.PATTERNS["owned"])))}),
+u AS (SELECT id, kind, gaps, found, unnest(range(1, len(found) + 1)) AS i FROM h),
+p AS (SELECT id, kind, found[i] AS match, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS start FROM u
+  WHERE length(found[i]) >= CASE kind WHEN 0 THEN {secrets.LEAST_ASSIGN} WHEN 1 THEN 18 WHEN 2 THEN 16 ELSE 24 END),
+v AS (SELECT id, kind, CAST(start AS BIGINT) AS start, CAST(start + length(match) AS BIGINT) AS stop, CASE WHEN kind = 0 THEN regexp_extract(match, '{_ASSIGN}', 2) ELSE match END AS value FROM p),
+b AS (SELECT * FROM v WHERE CASE WHEN kind = 0 THEN length(value) >= {secrets.LEAST_ASSIGN} WHEN kind < 3 THEN true
+  ELSE regexp_matches(value, '[A-Z]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[0-9]') AND len(list_distinct(string_split(value, ''))) >= {secrets.MIXED_KINDS} END),
+c AS (SELECT * FROM b WHERE kind < 3 OR NOT EXISTS (FROM b AS o WHERE o.id = b.id AND o.kind < 3 AND o.start < b.stop AND b.start < o.stop)),
+w AS (SELECT value, count(DISTINCT source) + count(DISTINCT CASE WHEN source IS NULL THEN 1 END) AS n_owners FROM c JOIN d USING (id) GROUP BY value),
+j AS (SELECT c.*, n_owners < {secrets.WIDE} AS live FROM c JOIN w USING (value) WHERE kind < 3 OR n_owners < {secrets.WIDE}),
+g AS (SELECT id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex, string_agg({_KIND}, ',' ORDER BY start, kind) FILTER (kind < 3) AS base,
+  string_agg({_KIND}, ',' ORDER BY start, kind) AS spans, count(*) FILTER (kind = 3) AS n_owned, count(*) FILTER (kind < 3 AND live) AS n_live, count(*) FILTER (kind < 3 AND NOT live) AS n_copied FROM j GROUP BY id)
+SELECT doc_id, {", ".join(f"coalesce({n}, 0) AS {n}" for n in ("n_assign", "n_access", "n_hex", "n_owned", "n_live", "n_copied"))}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (id)"""
+
+#: Prefixes as lists of turns, compared as such; subtrees by a join of each node with its prefixes.
+TRIE = f"""WITH c AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS i FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT DISTINCT conv_id, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM c),
+r AS (SELECT k.conv_id, i, role, text FROM k JOIN c ON c.conv_id = k.conv_id AND i > h UNION ALL SELECT k.conv_id, i, role, text FROM k JOIN c ON c.conv_id = k.conv_id - k.conv_id % 100 AND i <= h),
+s AS (SELECT k.conv_id, coalesce(list(struct_pack(role := role, text := text) ORDER BY i) FILTER (i IS NOT NULL), []) AS turns FROM k LEFT JOIN r USING (conv_id) GROUP BY k.conv_id),
+p AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM s),
+n AS (SELECT turns[1:depth] AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(turns) = depth), '')) AS ends_sha256 FROM p GROUP BY 1, 2),
+m AS (SELECT n.*, o.conv_id AS parent_conv_id, (n.n_convs - 1) * coalesce(length(n.prefix[n.depth].text), 0) AS saved FROM n LEFT JOIN n AS o ON n.depth = o.depth + 1 AND n.prefix[1:n.depth - 1] = o.prefix),
+a AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM m WHERE depth > 0 GROUP BY 1, 2),
+q AS (SELECT m.*, coalesce(n_children, 0) AS n_children FROM m LEFT JOIN a USING (conv_id, depth)),
+e AS (SELECT prefix[1:up] AS prefix, up AS depth, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM q) GROUP BY 1, 2)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256 FROM q JOIN e USING (prefix, depth)"""
+
+SQL = {"op2_suffix_repeats": BYTES, "op3_license_scan": LICENSES, "op5_quality_rules": QUALITY, "op7_minmax_near_dedup": NEAR, "op8_source_mix": MIX, "op9_fixed_block_repeats": BLOCKS, "op11_merkle_manifest": MERKLE, "op12_secret_scan": SECRETS, "op13_prefix_trie": TRIE}

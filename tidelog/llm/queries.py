@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import block_repeats, fingerprints, html_text, licenses, minhash, mixing, oracles, packing, quality, suffix_repeats, tokens
+from tidelog.llm import block_repeats, fingerprints, html_text, licenses, merkle, minhash, mixing, oracles, packing, prefix_trie, quality, secrets, suffix_repeats, tokens
 from tidelog.llm.common import documents
 
 
@@ -50,8 +50,24 @@ def op10_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edits(documents(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(documents(spark, sf_dir))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(documents(spark, sf_dir))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.of_rebuilt(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op2_suffix_repeats, op3_license_scan, op4_html_text, op5_quality_rules, op6_best_fit_packing, op7_minmax_near_dedup, op8_source_mix, op9_fixed_block_repeats, op10_syncmer_fingerprints)}
+    found = (
+        op1_token_counts, op2_suffix_repeats, op3_license_scan, op4_html_text, op5_quality_rules, op6_best_fit_packing, op7_minmax_near_dedup, op8_source_mix, op9_fixed_block_repeats,
+        op10_syncmer_fingerprints, op11_merkle_manifest, op12_secret_scan, op13_prefix_trie,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
