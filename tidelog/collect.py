@@ -6,16 +6,18 @@ Payloads are fetched by others and land below an inbox:
     tracker/listing/*.html, tracker/status/*.html
     bulk/*.json        the bulk archive, one array a file
 
-A file's time is the instant of observation.  Each source remembers the time of
-the last file it took, so a run takes new files only; ``verify`` names the
-posts that the next verification should look at.
+A file's time is the instant of observation, of every row in it: what stands in
+several files is as many observations.  The data set knows the files it has
+taken (by name and time, written with the version that has their rows), so a
+run takes the others whenever they landed.  ``verify`` names the posts that the
+next verification should look at.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelog import control, report
@@ -29,84 +31,83 @@ from tidelog.streaming import micro
 HANDLE = "own"
 
 
-def _files(spark: SparkSession, pattern: str, since: str | None) -> DataFrame | None:
-    """(url, value, at) of files that landed after ``since``; None without any."""
-    if not landed._exists(spark, pattern):
-        return None
-    files = spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("url"), "value", F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("at"))
-    return files if since is None else files.filter(F.col("at") > F.lit(since).cast("timestamp_ntz"))
+PATTERNS = {"primary": ("primary/*.json",), "tracker": ("tracker/listing/*.html", "tracker/status/*.html"), "bulk": ("bulk/*.json",)}
+_ENGAGEMENT = "struct<replies:bigint,reblogs:bigint,favourites:bigint,upvotes:bigint,downvotes:bigint>"
+#: What comes along with a partial: the instant of observation, and where it stands.
+_CARRY = ("observed_at", "file", "line")
 
 
-def _snapshots(partials: DataFrame) -> DataFrame:
-    """Engagement snapshots of partials that have counts."""
-    some = partials.filter("engagement is not null").select("ts_id", "source", F.col("observed_at"), "engagement.*")
-    typed = some.select(*[F.col(f.name) for f in ENGAGEMENT.fields])
-    return typed.withColumn("ingest_seq", F.struct(F.lit("9999-12-31").cast("timestamp").alias("at"), F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"), F.monotonically_increasing_id().alias("turn")))
+def _wholes(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """file, observed_at and value of whole files: pages, which are small."""
+    meta = F.col("_metadata")
+    return spark.read.text(paths, wholetext=True).select(meta["file_path"].alias("file"), meta["file_modification_time"].cast("timestamp_ntz").alias("observed_at"), "value")
 
 
-def partials(spark: SparkSession, inbox: str, source: str, since: str | None, handle: str = HANDLE) -> list[DataFrame]:
-    """Observation fields, with observed_at, of a source's new files."""
-    out = []
+def _primary(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
+    array = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.concat(F.lit("["), "value", F.lit("]")))
+    raw = _wholes(spark, paths).select("observed_at", "file", F.posexplode(F.from_json(array, "array<string>")).alias("pos", "raw")).withColumn("line", F.struct(F.lit(0).cast("bigint").alias("block"), F.col("pos").cast("bigint").alias("turn")))
+    return [landed.primary_partials(raw, _CARRY), landed.gone(raw, _CARRY)]
 
-    def add(pattern: str, parse) -> None:
-        files = _files(spark, f"{inbox}/{pattern}", since)
-        if files is not None:
-            out.extend(parse(files))
 
-    def primary(files: DataFrame) -> list[DataFrame]:
-        raw = files.select("at", F.explode(F.from_json(F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.concat(F.lit("["), "value", F.lit("]"))), "array<string>")).alias("raw"))
-        at = raw.select(F.get_json_object("raw", "$.id").alias("ts_id"), F.col("at").alias("observed_at")).groupBy("ts_id").agg(F.max("observed_at").alias("observed_at"))
-        return [landed.primary_partials(raw).join(at, "ts_id"), landed.gone(raw).join(at, "ts_id")]
+def _tracked(spark: SparkSession, paths: list[str], handle: str) -> list[DataFrame]:
+    out, line = [], F.struct(F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("turn"))
+    for folder, parse in (("/listing/", lambda f: landed.of_account(tracker_html.listing(f), handle).filter("not reposted")), ("/status/", lambda f: tracker_html.status_pages(f, handle))):
+        if some := [p for p in paths if folder in p]:
+            files = _wholes(spark, some)
+            found = parse(files.select(F.col("file").alias("url"), F.col("value").alias("html"))).filter("error is null and ts_id is not null")
+            # a page's time by its name, which is its key
+            out.append(found.join(files.select(F.col("file").alias("page"), "observed_at"), "page").withColumn("file", F.col("page")).withColumn("line", line).drop("page", "error"))
+    return out
 
-    def tracked(parse) -> list[DataFrame]:
-        def one(files: DataFrame) -> list[DataFrame]:
-            found = parse(files.withColumnRenamed("value", "html"))
-            at = files.select(F.col("url").alias("page"), F.col("at").alias("observed_at"))
-            return [found.filter("error is null and ts_id is not null").join(at, "page").drop("page", "error")]
 
-        return one
+def _bulk(spark: SparkSession, paths: list[str], handle: str) -> list[DataFrame]:
+    return [landed.bulk_partials(landed.bulk_objects(spark, paths).withColumnRenamed("at", "observed_at"), handle, _CARRY)]
 
-    def bulk(files: DataFrame) -> list[DataFrame]:
-        rows = files.select("at", F.inline(F.from_json("value", f"array<{landed.BULK_ROW}>")))
-        at = rows.select(F.col("id").alias("ts_id"), F.col("at").alias("observed_at")).groupBy("ts_id").agg(F.max("observed_at").alias("observed_at"))
-        return [landed.bulk_partials(rows.drop("at"), handle).join(at, "ts_id")]
 
-    if source == "primary":
-        add("primary/*.json", primary)
-    elif source == "tracker":
-        add("tracker/listing/*.html", tracked(lambda f: landed.of_account(tracker_html.listing(f), handle).filter("not reposted")))
-        add("tracker/status/*.html", tracked(lambda f: tracker_html.status_pages(f, handle)))
-    else:
-        add("bulk/*.json", bulk)
+def partials(spark: SparkSession, paths: list[str], source: str, run_id: str, handle: str = HANDLE) -> DataFrame:
+    """Observations (seq null) of a source's files, with engagement, statuses_count, file and line."""
+    found = _primary(spark, paths) if source == "primary" else _tracked(spark, paths, handle) if source == "tracker" else _bulk(spark, paths, handle)
+    out = None
+    for p in found:
+        given = {"run_id": F.lit(run_id), "seq": F.lit(0)}
+        fields = [given.get(f.name, F.col(f.name) if f.name in p.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in OBSERVATION.fields]
+        counts = (F.col("engagement") if "engagement" in p.columns else F.lit(None)).cast(_ENGAGEMENT).alias("engagement")
+        account = (F.col("account.statuses_count") if "account" in p.columns and source == "primary" else F.lit(None)).cast("bigint").alias("statuses_count")
+        one = p.select(*fields, counts, account, "file", "line")
+        out = one if out is None else out.unionByName(one)
     return out
 
 
 def ingest(spark: SparkSession, root: str, inbox: str, source: str, run_id: str, state: dict, handle: str = HANDLE) -> dict:
     """Merges a source's new files; gives the counts of its run row."""
     known = state.setdefault("sources", {}).setdefault(source, {})
-    parts = partials(spark, inbox, source, known.get("last_file_at"), handle)
-    if not parts:
-        return {"notes": "nothing landed"}
-    observed = None
-    for p in parts:
-        # in order of observation, then id: a batch is one update of a record
-        one = landed.observations(p, F.col("observed_at"), F.lit(run_id), F.lit(0))
-        observed = one if observed is None else observed.unionByName(one)
     stage = f"{root}/staging/{run_id}-{source}"
-    observed.withColumn("seq", F.unix_micros(F.col("observed_at").cast("timestamp"))).write.mode("overwrite").parquet(stage)
-    batch = spark.read.schema(OBSERVATION).parquet(stage)
-    last = batch.agg(F.max("observed_at").cast("string")).first()[0]
-    if last is None:
+    listed = None
+    for pattern in PATTERNS[source]:
+        some = landed.landed_files(spark, f"{inbox}/{pattern}")
+        listed = some if listed is None else listed.unionByName(some)
+    taken = landed.processed_files(spark, root).filter(F.col("source") == source).select("file", "at")
+    # the list stands before anything is read; the files' names are what any reader of them holds
+    listed.join(taken, ["file", "at"], "left_anti").select(F.lit(source).alias("source"), "file", F.col("at").cast("string").alias("at")).write.mode("overwrite").parquet(f"{stage}/files")
+    files = spark.read.schema("source string, file string, at string").parquet(f"{stage}/files")
+    paths = sorted(r["file"] for r in files.select("file").collect())
+    if not paths:
+        sinks.remove(spark, stage)
         return {"notes": "nothing new"}
-    shots = [_snapshots(p) for p in parts if "engagement" in p.columns]
-    snapshots = shots[0] if shots else None
-    done = micro.merge_into(batch, root, f"{run_id}-{source}", snapshots)
+    partials(spark, paths, source, run_id, handle).write.mode("overwrite").parquet(f"{stage}/rows")
+    rows = spark.read.parquet(f"{stage}/rows")
+    order = ("observed_at", "file", "line")
+    turn = F.row_number().over(Window.partitionBy("ts_id").orderBy(*order, F.xxhash64(*OBSERVATION.fieldNames()))).cast("bigint")
+    batch = rows.withColumn("seq", turn).select(*OBSERVATION.fieldNames())
+    counted = rows.filter("engagement is not null").select("ts_id", "source", "observed_at", "engagement.*", *order[1:])
+    ingested = F.struct(F.col("observed_at").cast("timestamp").alias("at"), "file", F.col("line.block").alias("block"), F.col("line.turn").alias("turn"))
+    shots = counted.select(*[F.col(f.name) for f in ENGAGEMENT.fields], ingested.alias("ingest_seq"))
+    done = micro.merge_into(batch, root, f"{run_id}-{source}", shots, files)
     if source == "primary":
-        account = parts[0].agg(F.max_by("account.statuses_count", "observed_at")).first()[0]
-        known["statuses_count"] = account if account is not None else known.get("statuses_count")
+        count = rows.filter("statuses_count is not null").agg(F.max_by("statuses_count", F.struct(*order))).first()[0]
+        known["statuses_count"] = count if count is not None else known.get("statuses_count")
         fetched = batch.filter("not coalesce(gone, false)").select("ts_id", "created_at_utc")
         known["verify"] = [r["ts_id"] for r in merging.deletion_candidates(landed.posts(spark, root), fetched).collect()]
-    known["last_file_at"] = last
     sinks.remove(spark, stage)
     return done
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tidelog.functions.texts import card_domain, classify, media_type_of, repost_split, without_accounts
 from tidelog.functions.times import parse_instant
 from tidelog.schema import DELETION, ENGAGEMENT, MEDIA_ITEM, POST, RUN, as_text
+from tidelog.sources import json_array, store
 
 
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -41,26 +42,22 @@ def _json(spark: SparkSession, path: str | list[str], schema: T.StructType) -> D
     return _typed(spark.read.schema(as_text(schema)).json(path), schema) if there else _empty(spark, schema)
 
 
-def posts(spark: SparkSession, root: str) -> DataFrame:
-    """posts/*.jsonl, or posts/month=*/ as the sink writes it; none without the folder.
+def posts(spark: SparkSession, root: str, version: store.Version | None = None) -> DataFrame:
+    """Records of a data set's newest version (or of a given one); without a manifest, posts/*.jsonl or posts/month=*/; none without the folder."""
+    return standing_posts(spark, version or store.current(spark, root)).drop("standing")
 
-    A folder that a swap has moved aside and not yet replaced counts as still there.
-    """
-    for folder in (f"{root}/posts", f"{root}/posts.old"):
-        months = _months(spark, folder)
-        if months:
-            return _json(spark, months, POST)
-        if _exists(spark, f"{folder}/*.jsonl"):
-            return _json(spark, f"{folder}/*.jsonl", POST)
-    return _empty(spark, POST)
-
-
-def _months(spark: SparkSession, folder: str) -> list[str]:
-    """The month=* folders, each by the name that holds its rows now: one moved aside stands in for a missing one."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/month=*")
-    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where)
-    names = {x.getPath().toString() for x in found or []}
-    return sorted(n for n in names if not n.endswith(".old") or n.removesuffix(".old") not in names)
+
+def standing_posts(spark: SparkSession, version: store.Version, months: list[str] | None = None) -> DataFrame:
+    """posts of a version (of some months' folders) with standing, the month of the folder or file that each stands in."""
+    paths, schema = version.post_paths(months), T.StructType([*POST.fields, T.StructField("standing", T.StringType())])
+    if not paths:
+        return _empty(spark, schema)
+    return _typed(spark.read.schema(as_text(POST)).json(paths).withColumn("standing", _standing(F.col("_metadata.file_path"))), schema)
+
+
+def _standing(path: Column) -> Column:
+    folder = F.regexp_extract(path, r"month=([^/]+?)(?:\.old)?/[^/]*$", 1)
+    return F.when(folder != "", folder).otherwise(F.regexp_extract(path, r"/([^/]+)\.jsonl$", 1))
 
 
 def sorted_posts(spark: SparkSession, root: str) -> DataFrame:
@@ -72,11 +69,11 @@ FILED = T.StructType([T.StructField("file", T.StringType()), T.StructField("file
 
 def filed_posts(spark: SparkSession, root: str) -> DataFrame:
     """posts with file, file_month, line_no (ascending in a file) and line, as they stand in the files of either layout."""
-    paths = _months(spark, f"{root}/posts") or ([f"{root}/posts/*.jsonl"] if _exists(spark, f"{root}/posts/*.jsonl") else [])
+    paths = store.current(spark, root).post_paths()
     if not paths:
         return _empty(spark, FILED)
     where = F.col("_metadata.file_path")
-    month = F.regexp_extract(where, r"(\d{4}-\d{2})(?:\.old)?(?:\.jsonl|/[^/]*)$", 1)
+    month = _standing(where)
     # splits of a file are read in order of their start; a split's rows in order of the running id
     number = F.col("_metadata.file_block_start") * F.lit(1 << 20) + F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
     lines = spark.read.text(paths).select(where.alias("file"), month.alias("file_month"), number.alias("line_no"), F.col("value").alias("line")).filter(F.trim("line") != "")
@@ -91,24 +88,32 @@ def keyed_posts(spark: SparkSession, root: str) -> DataFrame:
     return filed.groupBy("ts_id").agg(F.max_by(record, F.struct("file", "line_no")).alias("r")).select("r.*")
 
 
-def engagement(spark: SparkSession, root: str) -> DataFrame:
+def engagement(spark: SparkSession, root: str, version: store.Version | None = None) -> DataFrame:
     """engagement/*.csv with header, blank for null.
 
     ingest_seq is the order of ingest, the same at every read: by the file's
     time and name, the split's start in the file, and the row's turn in the split.
     """
-    path = f"{root}/engagement/*"
-    if not _exists(spark, path):
+    paths = (version or store.current(spark, root)).log_paths("engagement")
+    if not paths:
         return _empty(spark, T.StructType([*ENGAGEMENT.fields, T.StructField("ingest_seq", T._parse_datatype_string("struct<at:timestamp,file:string,block:bigint,turn:bigint>"))]))
-    raw = spark.read.schema(as_text(ENGAGEMENT)).option("header", True).option("nullValue", "").csv(path)
+    raw = spark.read.schema(as_text(ENGAGEMENT)).option("header", True).option("nullValue", "").option("recursiveFileLookup", True).csv(paths)
     file = F.col("_metadata")
     order = F.struct(file["file_modification_time"].alias("at"), file["file_path"].alias("file"), file["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("turn"))
     typed = [parse_instant(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name) for f in ENGAGEMENT.fields]
     return raw.select(*typed, order.alias("ingest_seq"))
 
 
-def deletion_log(spark: SparkSession, root: str) -> DataFrame:
-    return _json(spark, f"{root}/deletions*", DELETION)
+def deletion_log(spark: SparkSession, root: str, version: store.Version | None = None) -> DataFrame:
+    paths = (version or store.current(spark, root)).log_paths("deletions")
+    return _json(spark, paths, DELETION) if paths else _empty(spark, DELETION)
+
+
+def anomalies(spark: SparkSession, root: str) -> DataFrame:
+    """What the merges noted: ts_id, seq, code, detail."""
+    schema = T._parse_datatype_string("ts_id string, seq long, code string, detail string")
+    paths = store.current(spark, root).log_paths("anomalies")
+    return _json(spark, paths, schema) if paths else _empty(spark, schema)
 
 
 def runs(spark: SparkSession, root: str) -> DataFrame:
@@ -143,10 +148,10 @@ BULK_ROW = "struct<id:string,created_at:string,content:string,url:string,media:a
 GONE = "struct<id:string,error:string>"
 
 
-def gone(raw: DataFrame) -> DataFrame:
-    """Observation fields of verifications (column raw, JSON text) that found no post: an id and an error."""
-    s = raw.select(F.from_json("raw", GONE).alias("s")).filter(F.col("s.error").isNotNull() & (F.coalesce("s.id", F.lit("")) != ""))
-    return s.select(F.col("s.id").alias("ts_id"), F.lit("primary").alias("source"), F.lit(True).alias("gone"))
+def gone(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Observation fields of verifications (column raw, JSON text) that found no post: an id and an error.  Columns to carry come along."""
+    s = raw.select(*carry, F.from_json("raw", GONE).alias("s")).filter(F.col("s.error").isNotNull() & (F.coalesce("s.id", F.lit("")) != ""))
+    return s.select(*carry, F.col("s.id").alias("ts_id"), F.lit("primary").alias("source"), F.lit(True).alias("gone"))
 
 
 def unprocessed(hits: DataFrame, processed: DataFrame) -> DataFrame:
@@ -161,12 +166,12 @@ def statuses(documents: DataFrame, column: str = "value") -> DataFrame:
     return documents.select(F.explode(F.from_json(array, "array<string>")).alias("raw"))
 
 
-def primary_partials(raw: DataFrame) -> DataFrame:
-    """Observation fields of primary statuses (column raw, JSON text); rows without an id go.
+def primary_partials(raw: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Observation fields of primary statuses (column raw, JSON text); rows without an id go.  Columns to carry come along.
 
     A reblog's content is that of the post it names.
     """
-    s = raw.select("raw", F.from_json("raw", STATUS).alias("s")).filter((F.coalesce(F.col("s.id"), F.lit("")) != "") & F.get_json_object("raw", "$.error").isNull())
+    s = raw.select(*carry, "raw", F.from_json("raw", STATUS).alias("s")).filter((F.coalesce(F.col("s.id"), F.lit("")) != "") & F.get_json_object("raw", "$.error").isNull())
     is_reblog = F.col("s.reblog.id").isNotNull()
     body = lambda f: F.when(is_reblog, F.col(f"s.reblog.{f}")).otherwise(F.col(f"s.{f}"))
     null = F.lit(None).cast("string")
@@ -177,7 +182,7 @@ def primary_partials(raw: DataFrame) -> DataFrame:
     quoted = F.col("kind") == "quote"
     some = s.withColumn("kind", kind)
     return some.select(
-        F.col("s.id").alias("ts_id"), F.lit("primary").alias("source"), parse_instant(F.col("s.created_at")).alias("created_at_utc"), "kind",
+        *carry, F.col("s.id").alias("ts_id"), F.lit("primary").alias("source"), parse_instant(F.col("s.created_at")).alias("created_at_utc"), "kind",
         F.coalesce(body("content"), F.lit("")).alias("content_html"), body("language").alias("lang"), F.col("s.in_reply_to_id").alias("in_reply_to_id"),
         parse_instant(F.col("s.edited_at")).alias("edited_at"), F.coalesce("s.pinned", F.lit(False)).alias("pinned"),
         F.coalesce(media, F.array().cast(T.ArrayType(MEDIA_ITEM))).alias("media"), names(body("mentions"), "acct").alias("mentions"), names(body("tags"), "name").alias("tags"),
@@ -191,14 +196,14 @@ def primary_partials(raw: DataFrame) -> DataFrame:
     )
 
 
-def bulk_partials(rows: DataFrame, handle: str) -> DataFrame:
-    """Observation fields of bulk archive rows (columns of BULK_ROW); rows without an id go."""
+def bulk_partials(rows: DataFrame, handle: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Observation fields of bulk archive rows (columns of BULK_ROW); rows without an id go.  Columns to carry come along."""
     some = rows.filter(F.coalesce("id", F.lit("")) != "")
     null = F.lit(None)
     item = lambda u: F.struct(media_type_of(u).alias("type"), u.alias("url"), null.cast("string").alias("preview_url"), null.cast("string").alias("mirror_url"), null.cast("int").alias("width"), null.cast("int").alias("height"), null.cast("double").alias("duration"))
     parts = repost_split(F.coalesce("content", F.lit("")), handle)
     return some.select(
-        F.col("id").alias("ts_id"), F.lit("bulk").alias("source"), parse_instant(F.col("created_at")).alias("created_at_utc"), *[c.alias(k) for k, c in parts.items()],
+        *carry, F.col("id").alias("ts_id"), F.lit("bulk").alias("source"), parse_instant(F.col("created_at")).alias("created_at_utc"), *[c.alias(k) for k, c in parts.items()],
         F.transform(F.coalesce("media", F.array().cast("array<string>")), item).alias("media"),
         F.struct(F.col("replies_count").alias("replies"), F.col("reblogs_count").alias("reblogs"), F.col("favourites_count").alias("favourites"), null.cast("bigint").alias("upvotes"), null.cast("bigint").alias("downvotes")).alias("engagement"),
     )
@@ -209,6 +214,28 @@ def bulk_archive(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(T._parse_datatype_string(BULK_ROW)).option("multiLine", True).json(path)
 
 
+def bulk_objects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Columns of BULK_ROW of archive files of any size, read by many tasks (see ``json_array``), with file, at and line, ascending in a file."""
+    found = json_array.objects(spark, paths).select("file", "at", F.struct("block", "turn").alias("line"), F.from_json("value", BULK_ROW).alias("r"))
+    return found.select("file", "at", "line", "r.*")
+
+
+def landed_files(spark: SparkSession, pattern: str) -> DataFrame:
+    """file and at (its time) of the files of a pattern; contents are not read."""
+    schema = "file string, at timestamp_ntz"
+    if not _exists(spark, pattern):
+        return _empty(spark, T._parse_datatype_string(schema))
+    found = spark.read.format("binaryFile").load(pattern)
+    return found.select(F.col("path").alias("file"), F.col("modificationTime").cast("timestamp_ntz").alias("at"))
+
+
+def processed_files(spark: SparkSession, root: str) -> DataFrame:
+    """source, file and at of what the data set has taken."""
+    schema = T._parse_datatype_string("source string, file string, at string")
+    paths = store.current(spark, root).log_paths("files")
+    return (spark.read.schema(schema).json(paths) if paths else _empty(spark, schema)).withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
 def feed_items(spark: SparkSession, path: str) -> DataFrame:
     """RSS items: ts_id, tracker_id, url, created_at_utc, title, description_html."""
     schema = "link string, guid string, `truth:originalId` string, pubDate string, title string, description string"

@@ -1,9 +1,10 @@
 """Writers: month-partitioned data sets, logs, exports and report files.
 
-A data set is never written over while it is read: ``rewrite`` writes beside
-it and then swaps folders.  Folders have no atomic swap, so the old one is
-moved aside first and readers fall back to it (see ``landed.posts``) until the
-new one stands; a run that dies in between leaves the old data set readable.
+Merges write versions (see ``store``), which become visible by one rename.
+``rewrite`` is for plain folders: it writes beside the old one and then swaps
+them.  Folders have no atomic swap, so the old one is moved aside first and
+readers fall back to it until the new one stands; a run that dies in between
+leaves the old data set readable.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from tidelog.functions.times import month_of, to_iso
 from tidelog.plans.views import derived
+from tidelog.sources import store
 
 # The columns of the posts export.
 EXPORT_COLUMNS = (
@@ -75,7 +77,7 @@ def _move(spark, source: str, target: str) -> None:
     fs.delete(old, True)
 
 
-def _write_months(df: DataFrame, path: str, month: Column, order: Column, format: str) -> None:
+def write_months(df: DataFrame, path: str, month: Column, order: Column, format: str = "json") -> None:
     """df as month=<yyyy-MM> folders; a month's rows stand in order over as many files as its size asks for."""
     dealt = textual(df.withColumn("month", month).withColumn("__order", order)).repartitionByRange("month", "__order").sortWithinPartitions("month", "__order").drop("__order")
     dealt.write.mode("overwrite").partitionBy("month").option("ignoreNullFields", False).format(format).save(path)
@@ -84,14 +86,14 @@ def _write_months(df: DataFrame, path: str, month: Column, order: Column, format
 def rewrite(df: DataFrame, path: str, month: Column, order: Column, format: str = "json") -> None:
     """df as month=<yyyy-MM> folders, sorted inside; months that df no longer has are gone after it."""
     path = path.rstrip("/")
-    _write_months(df, path + ".new", month, order, format)
+    write_months(df, path + ".new", month, order, format)
     _move(df.sparkSession, path + ".new", path)
 
 
 def rewrite_months(df: DataFrame, path: str, month: Column, order: Column, months: list[str], format: str = "json") -> None:
     """Only the given months of the data set, from df, which has all their rows; the other months stay as they are."""
     path, spark = path.rstrip("/"), df.sparkSession
-    _write_months(df, path + ".new", month, order, format)
+    write_months(df, path + ".new", month, order, format)
     for name in months:
         made, target = f"{path}.new/month={name}", f"{path}/month={name}"
         if _path(spark, made)[1].exists(_path(spark, made)[0]):
@@ -106,12 +108,26 @@ def post_month() -> Column:
     return F.coalesce(month_of(F.col("created_at_utc")), F.lit("unknown"))
 
 
+def _as_version(posts: DataFrame, root: str, months: list[str] | None) -> None:
+    batch = store.Batch(posts.sparkSession, root, f"posts-{uuid.uuid4().hex}")
+    batch.replace_months(months, lambda path: write_months(posts, path, post_month(), F.col("ts_id").cast("bigint")))
+    batch.commit({})
+
+
 def save_posts(posts: DataFrame, root: str) -> None:
-    rewrite(posts, f"{root}/posts", post_month(), F.col("ts_id").cast("bigint"))
+    """All records: a version where the data set has versions, else a plain folder."""
+    if store.numbers(posts.sparkSession, root):
+        _as_version(posts, root, None)
+    else:
+        rewrite(posts, f"{root}/posts", post_month(), F.col("ts_id").cast("bigint"))
 
 
 def save_posts_of(posts: DataFrame, root: str, months: list[str]) -> None:
-    rewrite_months(posts, f"{root}/posts", post_month(), F.col("ts_id").cast("bigint"), months)
+    """Only the given months, from posts, which has all their rows; the others stay as they are."""
+    if store.numbers(posts.sparkSession, root):
+        _as_version(posts, root, months)
+    else:
+        rewrite_months(posts, f"{root}/posts", post_month(), F.col("ts_id").cast("bigint"), months)
 
 
 def append_log(rows: DataFrame, path: str) -> None:
@@ -120,9 +136,13 @@ def append_log(rows: DataFrame, path: str) -> None:
 
 
 def append_engagement(rows: DataFrame, root: str) -> None:
+    write_engagement(rows, f"{root}/engagement")
+
+
+def write_engagement(rows: DataFrame, path: str) -> None:
     """Snapshots by month of observation, CSV with header, blank for null."""
     some = rows.drop("ingest_seq").withColumn("month", month_of(F.col("observed_at")))
-    textual(some).repartition("month").write.mode("append").partitionBy("month").option("header", True).option("nullValue", "").csv(f"{root}/engagement")
+    textual(some).repartition("month").write.mode("append").partitionBy("month").option("header", True).option("nullValue", "").csv(path)
 
 
 def save_state(state: dict, path: str) -> None:

@@ -1,17 +1,16 @@
 """Structured Streaming over landed observations.
 
-Each micro-batch is merged into the stored data set.  What the merge gives is
-written to a staging folder first, for it is computed from the old records;
-then come the records (the months that the batch touches, no others), the
-deletion events, the engagement snapshots and the anomalies.  A run that dies
-between them repeats the batch from the checkpoint and changes nothing twice:
-the merge of the same observations changes no record, events and snapshots
-that are stored are left out, and a batch's anomalies replace those of its
-first try.  Corrections may be arbitrarily late, so the merge has no watermark.
+Each micro-batch is merged into the stored data set as one version of it (see
+``store``): the months of posts that the batch touches, deletion events,
+engagement snapshots and anomalies become visible together, or not at all.  A
+run that dies before that repeats the batch from the same records; one that
+dies after it, before the stream's checkpoint knows, finds the batch done.
+Corrections may be arbitrarily late, so the merge has no watermark.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -23,7 +22,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidelog.operators import merge as merging
 from tidelog.operators import throttle
 from tidelog.schema import OBSERVATION
-from tidelog.sources import landed, sinks
+from tidelog.sources import landed, sinks, store
 
 
 def observation_stream(spark: SparkSession, path: str) -> DataFrame:
@@ -31,51 +30,58 @@ def observation_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(OBSERVATION).parquet(path)
 
 
-def merge_into(batch: DataFrame, root: str, name: str, snapshots: DataFrame | None = None) -> dict:
-    """Merges observations into the data set at root; snapshots are the batch's (ENGAGEMENT with ingest_seq).
+def merge_into(batch: DataFrame, root: str, name: str, snapshots: DataFrame | None = None, files: DataFrame | None = None) -> dict:
+    """Merges observations into the data set at root; snapshots (ENGAGEMENT with ingest_seq) and files (what was read for it) are the batch's.
 
-    name stands for the batch: a second try under it repeats the first.  Gives
-    new_posts, updated_posts and deletions_found.
+    name stands for the batch: a second try under it gives what the first gave.
+    Gives new_posts, updated_posts and deletions_found.
     """
-    spark, stage = batch.sparkSession, f"{root}/staging/batch={name}"
-    current, logged = landed.posts(spark, root), landed.deletion_log(spark, root)
-    named = current.join(batch.select("ts_id").distinct(), "ts_id", "left_semi")
-    merged = merging.merge(named, batch, logged)
-
-    def staged(df: DataFrame, part: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{stage}/{part}")
-        return spark.read.schema(df.schema).parquet(f"{stage}/{part}")
-
-    posts, events, notes = (staged(df, n) for df, n in ((merged.posts, "posts"), (merged.events, "events"), (merged.anomalies, "anomalies")))
+    spark, made = batch.sparkSession, store.Batch(batch.sparkSession, root, name)
+    if made.done is not None:
+        return made.done
+    logged = landed.deletion_log(spark, root, made.base)
+    named = landed.standing_posts(spark, made.base).join(batch.select("ts_id").distinct(), "ts_id", "left_semi")
+    merged = merging.merge(named.drop("standing"), batch, logged)
+    posts, events, notes = (made.staged(df, n) for df, n in ((merged.posts, "posts"), (merged.events, "events"), (merged.anomalies, "anomalies")))
     month = sinks.post_month().alias("month")
-    # where the records stand now and where they stood; a row for each month
-    months = [r["month"] for r in posts.select(month).union(named.select(month)).distinct().collect()]
-    rest = current.filter(sinks.post_month().isin(months)).join(posts.select("ts_id"), "ts_id", "left_anti")
-    done = posts.agg(F.count_if("is_new").alias("new_posts"), F.count_if(F.col("changed") & ~F.col("is_new")).alias("updated_posts")).first().asDict()
-    sinks.save_posts_of(rest.unionByName(posts.drop("changed", "is_new")), root, months)
-    stored = landed.deletion_log(spark, root).select("ts_id", "source").distinct()
-    sinks.append_log(events.join(stored, ["ts_id", "source"], "left_anti").select(*events.columns), f"{root}/deletions")
+    # where the records belong now and where they stood; a row for each month
+    months = sorted(r["month"] for r in posts.select(month).union(named.select("standing")).distinct().collect())
+    rest = landed.standing_posts(spark, made.base, months).join(posts.select("ts_id"), "ts_id", "left_anti")
+    # a record in another month's folder stays where it is, for the checks to name it
+    folder = F.when(sinks.post_month().isin(months), sinks.post_month()).otherwise(F.col("standing"))
+    whole = rest.unionByName(posts.drop("changed", "is_new").withColumn("standing", month)).withColumn("month", folder).drop("standing")
+    made.replace_months(months, lambda path: sinks.write_months(whole, path, F.col("month"), F.col("ts_id").cast("bigint")))
+    gave = posts.agg(F.count_if("is_new").alias("new_posts"), F.count_if(F.col("changed") & ~F.col("is_new")).alias("updated_posts")).first().asDict()
+    new = events.join(logged.select("ts_id", "source").distinct(), ["ts_id", "source"], "left_anti").select(*events.columns)
+    gave["deletions_found"] = events.select("ts_id").distinct().count()
+    made.append("deletions", lambda path: sinks.append_log(new, path))
     if snapshots is not None:
-        sinks.append_engagement(throttle.filter_engagement(snapshots, landed.engagement(spark, root).drop("ingest_seq"), landed.posts(spark, root)), root)
-    sinks.textual(notes).write.mode("overwrite").json(f"{root}/anomalies/batch={name}")
-    done["deletions_found"] = events.select("ts_id").distinct().count()
-    sinks.remove(spark, stage)
-    return done
+        kept = throttle.filter_engagement(snapshots, landed.engagement(spark, root, made.base).drop("ingest_seq"), landed.posts(spark, root, made.pending()))
+        made.append("engagement", lambda path: sinks.write_engagement(kept, path))
+    made.append("anomalies", lambda path: sinks.append_log(notes, path))
+    if files is not None:
+        made.append("files", lambda path: sinks.append_log(files, path))
+    return made.commit(gave)
 
 
-def merge_batch(root: str, engagement: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
-    """The foreachBatch step that merges a batch of observations into the data set at root; engagement gives its snapshots, if it has any."""
+def merge_batch(root: str, engagement: Callable[[DataFrame], DataFrame] | None = None, checkpoint: str | None = None) -> Callable[[DataFrame, int], None]:
+    """The foreachBatch step that merges a batch of observations into the data set at root; engagement gives its snapshots, if it has any.
+
+    A batch's name has the stream's identity from its checkpoint, so a stream
+    begun anew is another one, though its batches have the same numbers.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            merge_into(batch, root, str(batch_id), engagement(batch) if engagement else None)
+            stream = json.loads(store.read_text(batch.sparkSession, f"{checkpoint}/metadata"))["id"] if checkpoint else "batch"
+            merge_into(batch, root, f"{stream}-{batch_id}", engagement(batch) if engagement else None)
 
     return step
 
 
 def run_merge(stream: DataFrame, root: str, checkpoint: str, engagement: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Merges what is there and ends."""
-    return stream.writeStream.foreachBatch(merge_batch(root, engagement)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(merge_batch(root, engagement, checkpoint)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def throttled(stream: DataFrame, gap_seconds: int = throttle.GAP_SECONDS) -> DataFrame:
