@@ -12,8 +12,14 @@ of its fields taken from field_sources.  Most rules then are aggregates:
 * status is that of the last signal or live sighting.
 
 What depends on the state before a row (anomalies, bounds at a signal, the
-source of a derived text) comes from running windows over the post's rows, and
-media, whose null parts fill from the losing list, from a fold in order.
+source of a derived text) comes from running windows over the post's rows.
+
+A list of media stands until one of the same or a higher rank comes; null parts
+of its items fill from lists of the same length, those that stood before first,
+then those that lost, in order.  So lists fall into runs of winners of one
+length, and in the last run an item's part is that of the latest winner that
+has it, else of the first loser that has it: running values by item, no list of
+all lists.
 
 A batch counts as one update: updated_at and updated_run_id are those of its
 last observation of the post, if the record has changed.
@@ -21,7 +27,8 @@ last observation of the post, if the record has changed.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,181 +90,196 @@ def disagreements(rows: DataFrame, key: list[str], value: str, source: str, rank
     return found.select(*key, F.col(seq), F.lit(field or value).alias("field"), F.col("__h.s").alias("old_source"), _cut_text(F.col("__h.v"), kind).alias("old_value"), F.col(source).alias("new_source"), _cut_text(F.col(value), kind).alias("new_value"))
 
 
-def _filled(kept: Column, other: Column) -> Column:
-    """kept with its null parts from other, item by item, if both have as many."""
-    def item(a: Column, b: Column) -> Column:
-        return F.struct(*[(F.coalesce(a[f.name], b[f.name]) if f.name in MEDIA_FILL else a[f.name]).alias(f.name) for f in MEDIA_ITEM.fields])
+_BEFORE = "OVER (PARTITION BY ts_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+_SO_FAR = "OVER (PARTITION BY ts_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+#: Fields that offer a value at each row; created_at_utc has ranks of its own.
+OFFERED = (*SCALARS, "created_at_utc", "content_html", "media")
+_LOOKED = tuple(f for f in OFFERED if f != "media")
+
+
+def _rank(source: str, ranks: dict[str, int] = SOURCE_RANK) -> str:
+    return f"CASE {source} " + " ".join(f"WHEN '{name}' THEN {rank}" for name, rank in ranks.items()) + " ELSE 0 END"
+
 
-    return F.when(F.size(kept) == F.size(other), F.zip_with(kept, other, item)).otherwise(kept)
+def _present(field: str, kind: str) -> str:
+    if kind == "string":
+        return f"{field} IS NOT NULL AND {field} <> ''"
+    return f"{field} IS NOT NULL AND size({field}) > 0" if kind.startswith(("array", "map")) else f"{field} IS NOT NULL"
 
 
-def media_fold(items: Column) -> Column:
-    """(source, rank, media, lost) after all of items, an array of (seq, rank, source, media) in order.
+def _rows(current: DataFrame, observations: DataFrame) -> DataFrame:
+    """Current records and observations as rows of one shape, each with what it offers.
 
-    lost has the items that differ from a list which stood against them.
+    o_<field> is (rank, seq, source, value) of a present value; the largest one
+    of a post's rows is what stands.  A default without provenance has the
+    lowest rank and no source.
     """
-    empty = F.array().cast(f"array<{MEDIA_ITEM.simpleString()}>")
+    names = [f for f in FIELDS if f in observations.columns and f != "ts_id"]
+    state = current.selectExpr(
+        "ts_id", "-1L AS seq", "CAST(NULL AS STRING) AS source", "CAST(NULL AS TIMESTAMP_NTZ) AS observed_at", "CAST(NULL AS STRING) AS run_id", "false AS signal", "false AS removed", *names, f"struct({', '.join(FIELDS)}) AS was",
+    )
+    signal = "coalesce(removed, false) OR coalesce(gone, false) AS signal"
+    seen = observations.selectExpr("ts_id", "seq", "source", "observed_at", "run_id", signal, "coalesce(removed, false) AS removed", *names, f"CAST(NULL AS {POST.simpleString()}) AS was")
+    rows = state.unionByName(seen)
+    kinds, out = dict(rows.dtypes), []
+    for f in OFFERED:
+        named = f"CASE WHEN seq < 0 THEN was.field_sources['{f}'] ELSE source END"
+        rank = _rank(f"coalesce({named}, '{DEFAULT_SOURCE}')", CREATED_RANK if f == "created_at_utc" else SOURCE_RANK)
+        out.append(f"CASE WHEN {_present(f, kinds[f])} THEN struct({rank} AS r, seq AS q, {named} AS s, {f} AS v) END AS o_{f}")
+    plain = f"CASE WHEN seq < 0 THEN coalesce(was.field_sources['content_text'], '{DEFAULT_SOURCE}') ELSE source END"
+    has_text = f"{_present('content_text', 'string')} AND coalesce(content_html, '') = ''"
+    return rows.selectExpr(
+        "ts_id", "seq", "source", "observed_at", "run_id", "signal", "removed", "was", *out,
+        f"CASE WHEN {has_text} THEN struct({_rank(plain)} AS r, seq AS q, {plain} AS s, content_text AS v) END AS o_text", f"{plain} AS text_source",
+        "CASE WHEN seq < 0 THEN was.last_verified_live_at WHEN source = 'primary' AND NOT signal THEN observed_at END AS live", "last_verified_live_at AS verified",
+        "CASE WHEN seq < 0 THEN was.status WHEN signal THEN 'deleted' WHEN source = 'primary' THEN 'present' END AS event",
+        "CASE WHEN seq < 0 THEN was.tracker_removed_at WHEN source = 'tracker' THEN tracker_removed_at END AS taken_down", "tracker_removed_at AS removed_at",
+        *[f"CASE WHEN seq < 0 OR source = 'tracker' THEN {c} END AS {c}" for c in ("tracker_id", "tracker_captured_at")], "CASE WHEN seq < 0 OR source = 'primary' THEN raw_primary END AS raw_primary",
+    )
 
-    def step(acc: Column, x: Column) -> Column:
-        over = (F.size(acc["media"]) == 0) | (x["rank"] >= acc["rank"])
-        media = F.when(over, _filled(x["media"], acc["media"])).otherwise(_filled(acc["media"], x["media"]))
-        note = F.struct(x["seq"].alias("seq"), acc["source"].alias("old_source"), F.to_json(acc["media"]).alias("old_value"), x["source"].alias("new_source"), F.to_json(x["media"]).alias("new_value"))
-        lost = F.when(~over & (x["media"] != acc["media"]), F.array_append(acc["lost"], note)).otherwise(acc["lost"])
-        return F.struct(F.when(over, x["source"]).otherwise(acc["source"]).alias("source"), F.when(over, x["rank"]).otherwise(acc["rank"]).alias("rank"), media.alias("media"), lost.alias("lost"))
 
-    no_notes = F.array().cast("array<struct<seq:bigint,old_source:string,old_value:string,new_source:string,new_value:string>>")
-    start = F.struct(F.lit(None).cast("string").alias("source"), F.lit(0).alias("rank"), empty.alias("media"), no_notes.alias("lost"))
-    return F.aggregate(items, start, step)
+def _with_state(rows: DataFrame) -> DataFrame:
+    """rows with lower and upper, a signal's bounds, and html_set, whether the row's HTML came to stand."""
+    known = rows.selectExpr("*", f"max(live) {_BEFORE} AS __live", f"(max(o_created_at_utc) {_SO_FAR}).v AS __created", f"max(o_content_html) {_BEFORE} AS __html")
+    return known.selectExpr(
+        *rows.columns,
+        "CASE WHEN seq < 0 THEN was.deleted_lower WHEN signal THEN greatest(__live, verified, __created) END AS lower",
+        "CASE WHEN seq < 0 THEN was.deleted_upper WHEN signal THEN CASE WHEN removed THEN removed_at ELSE observed_at END END AS upper",
+        "o_content_html IS NOT NULL AND (__html IS NULL OR (o_content_html.r >= __html.r AND o_content_html.v <> __html.v)) AS html_set",
+    )
 
 
-@dataclass
-class Merged:
-    """posts: all records after the merge, with changed and is_new; events: new deletion events; anomalies: one row each."""
+def _media(rows: DataFrame) -> DataFrame:
+    """ts_id, seq, winner, source, media, g (number of the run), i and item of each list in rows, an item for each place of the list that stands."""
+    source = f"coalesce(o_media.s, '{DEFAULT_SOURCE}')"
+    lists = rows.filter("o_media IS NOT NULL").selectExpr("ts_id", "seq", f"{source} AS source", "o_media.v AS media", "size(o_media.v) AS n", f"o_media.r >= coalesce(max(o_media.r) {_BEFORE}, 0) AS winner")
+    lists = lists.selectExpr("*", f"last(CASE WHEN winner THEN n END, true) {_BEFORE} AS __n", f"last(CASE WHEN winner THEN n END, true) {_SO_FAR} AS n_run")
+    runs = lists.selectExpr("*", f"count_if(winner AND NOT (n <=> __n)) {_SO_FAR} AS g")
+    return runs.selectExpr("ts_id", "seq", "winner", "source", "media", "n", "n_run", "g", "explode(sequence(0, n_run - 1)) AS i").selectExpr("*", "CASE WHEN n = n_run THEN get(media, i) END AS item")
 
-    posts: DataFrame
-    events: DataFrame
-    anomalies: DataFrame
 
+def _standing(frame: str) -> tuple[str, str]:
+    """The item that stands and the list's source, over rows of ``_media`` in a frame."""
+    over = f"OVER (PARTITION BY ts_id, g, i ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND {frame})"
+    part = {f.name: f"(last(CASE WHEN winner THEN item END, true) {over}).{f.name}" for f in MEDIA_ITEM.fields}
+    part |= {f: f"coalesce(last(CASE WHEN winner THEN item.{f} END, true) {over}, first(CASE WHEN NOT winner THEN item.{f} END, true) {over})" for f in MEDIA_FILL}
+    return f"struct({', '.join(f'{c} AS {name}' for name, c in part.items())}) AS stands", f"last(CASE WHEN winner THEN source END, true) {over} AS stands_source"
 
-def _rows(current: DataFrame, observations: DataFrame) -> DataFrame:
-    """Current records and observations as rows of one shape."""
-    names = [f for f in FIELDS if f in observations.columns and f != "ts_id"]
-    state = current.select(
-        "ts_id", F.lit(-1).cast("bigint").alias("seq"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("timestamp_ntz").alias("observed_at"), F.lit(None).cast("string").alias("run_id"),
-        F.lit(False).alias("signal"), F.lit(False).alias("removed"), *names, F.struct(*[c for c in FIELDS]).alias("was"),
-    )
-    removed, gone = F.coalesce("removed", F.lit(False)), F.coalesce("gone", F.lit(False))
-    seen = observations.select(
-        "ts_id", "seq", "source", "observed_at", "run_id", (removed | gone).alias("signal"), removed.alias("removed"), *names, F.lit(None).cast(POST.simpleString()).alias("was"),
+
+def media_state(rows: DataFrame) -> DataFrame:
+    """ts_id, media and media_source after all rows."""
+    after = _media(rows).selectExpr("ts_id", "seq", "g", "i", *_standing("CURRENT ROW"))
+    by_item = after.groupBy("ts_id", "i").agg(F.expr("max_by(struct(g, stands, stands_source), struct(g, seq)) AS x"))
+    # places that only earlier, longer lists had are left out
+    return by_item.groupBy("ts_id").agg(F.expr("max(x.g) AS __g"), F.expr("array_sort(collect_list(struct(i, x))) AS __x")).selectExpr(
+        "ts_id", "transform(filter(__x, y -> y.x.g = __g), y -> y.x.stands) AS media", "element_at(filter(__x, y -> y.x.g = __g), 1).x.stands_source AS media_source",
     )
-    return state.unionByName(seen)
 
 
-def merge(current: DataFrame, observations: DataFrame, logged: DataFrame | None = None) -> Merged:
+def media_disagreements(rows: DataFrame) -> DataFrame:
+    """ts_id, seq, old and new source and value of lists that lost against another one."""
+    before = _media(rows).selectExpr("ts_id", "seq", "winner", "source", "media", "i", *_standing("1 PRECEDING")).filter("NOT winner")
+    whole = before.groupBy("ts_id", "seq").agg(F.expr("transform(array_sort(collect_list(struct(i, stands))), y -> y.stands) AS __old"), F.expr("first(stands_source) AS old_source"), F.expr("first(source) AS new_source"), F.expr("first(media) AS media"))
+    return whole.filter("media <> __old").selectExpr("ts_id", "seq", "old_source", "to_json(__old) AS old_value", "new_source", "to_json(media) AS new_value")
+
+
+class Merged:
+    """posts: all records after the merge, with changed and is_new; events: new deletion events; anomalies: one row each.  Each is planned when it is asked for."""
+
+    def __init__(self, rows: DataFrame, logged: DataFrame | None) -> None:
+        self.rows, self.logged = rows, logged
+
+    @cached_property
+    def posts(self) -> DataFrame:
+        return _posts(self.rows)
+
+    @cached_property
+    def events(self) -> DataFrame:
+        return _events(self.rows, self.logged)
+
+    @cached_property
+    def anomalies(self) -> DataFrame:
+        return _anomalies(self.rows)
+
+
+def merge(current: DataFrame, observations: DataFrame, logged: DataFrame | None = None, stage: Callable[[DataFrame], DataFrame] | None = None) -> Merged:
     """current (POST) and observations (OBSERVATION) to records, new deletion events and anomalies.
 
     logged holds the (ts_id, source) of deletion events that are known.
-    Records that no observation names come out as they are.
+    Records that no observation names come out as they are.  stage may write
+    the rows that all three are made of, so inputs are read once.
     """
-    rows = _rows(current, observations)
-    kinds = dict(rows.dtypes)
-    is_state = F.col("seq") < 0
-
-    def source_of(field: str) -> Column:
-        return F.when(is_state, F.coalesce(F.col("was.field_sources")[field], F.lit(DEFAULT_SOURCE))).otherwise(F.col("source"))
-
-    order = Window.partitionBy("ts_id").orderBy("seq")
-    before, so_far = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
-    created = F.when(F.col("created_at_utc").isNotNull(), F.struct(rank_of(source_of("created_at_utc"), CREATED_RANK), F.col("seq"), F.col("created_at_utc").alias("v")))
-    live = F.when(is_state, F.col("was.last_verified_live_at")).when((F.col("source") == "primary") & ~F.col("signal"), F.col("observed_at"))
-    rows = rows.withColumns({"__live": live, "__live_before": F.max(live).over(before), "__created": F.max(created).over(so_far).getField("v")})
-    upper = F.when(F.col("removed"), F.col("tracker_removed_at")).otherwise(F.col("observed_at"))
-    lower = F.greatest("__live_before", "last_verified_live_at", "__created")
-    rows = rows.withColumns({
-        "__lower": F.when(is_state, F.col("was.deleted_lower")).when(F.col("signal"), lower),
-        "__upper": F.when(is_state, F.col("was.deleted_upper")).when(F.col("signal"), upper),
-        "__event": F.when(is_state, F.col("was.status")).when(F.col("signal"), "deleted").when(F.col("source") == "primary", "present"),
-    })
-    html = F.when(non_empty(F.col("content_html"), "string"), F.struct(rank_of(source_of("content_html")).alias("r"), F.col("seq").alias("q"), F.col("content_html").alias("v")))
-    held = F.max(html).over(before)
-    tracker_removed = F.when(is_state, F.col("was.tracker_removed_at")).when(F.col("source") == "tracker", F.col("tracker_removed_at"))
-    rows = rows.withColumns({
-        "__low_so_far": F.max("__lower").over(so_far), "__up_so_far": F.min("__upper").over(so_far),
-        "__status_before": F.last("__event", ignorenulls=True).over(before),
-        "__html_set": html.isNotNull() & (held.isNull() | ((html["r"] >= held["r"]) & (html["v"] != held["v"]))),
-        "__tracker_removed": tracker_removed, "__removed_so_far": F.min_by(tracker_removed, F.when(tracker_removed.isNotNull(), F.col("seq"))).over(so_far),
-    })
-
-    def won(field: str, ranks: dict[str, int] = SOURCE_RANK) -> list[Column]:
-        # a default without provenance has the lowest rank and stays without
-        src, present = source_of(field), non_empty(F.col(field), kinds[field])
-        named = F.when(is_state, F.col("was.field_sources")[field]).otherwise(F.col("source"))
-        best = F.max(F.when(present, F.struct(rank_of(src, ranks).alias("r"), F.col("seq").alias("q"), named.alias("s"))))
-        return [winner(F.col(field), rank_of(src, ranks), F.col("seq"), present).alias(field), best.getField("s").alias(f"__s_{field}")]
-
-    def latest(c: Column) -> Column:
-        return F.max_by(c, F.when(c.isNotNull(), F.col("seq")))
-
-    def first(c: Column) -> Column:
-        return F.min_by(c, F.when(c.isNotNull(), F.col("seq")))
-
-    seen = F.when(is_state, F.coalesce("was.seen_sources", F.array().cast("array<string>"))).otherwise(F.array("source"))
-    text_present = non_empty(F.col("content_text"), "string") & ~non_empty(F.col("content_html"), "string")
-    text_rank = rank_of(source_of("content_text"))
-    media_item = F.when(F.size(F.coalesce("media", F.array().cast(kinds["media"]))) > 0, F.struct("seq", rank_of(source_of("media")).alias("rank"), source_of("media").alias("source"), "media"))
-    tracker = lambda c: F.when(is_state | (F.col("source") == "tracker"), F.col(c))
-    folded = rows.groupBy("ts_id").agg(
-        *[c for f in SCALARS for c in won(f)], *won("created_at_utc", CREATED_RANK), *won("content_html"),
-        winner(F.col("content_text"), text_rank, F.col("seq"), text_present).alias("__text"),
-        F.max(F.when(text_present, F.struct(text_rank.alias("r"), F.col("seq").alias("q"), source_of("content_text").alias("s")))).getField("s").alias("__s_text"),
-        latest(F.when(F.col("__html_set"), F.when(is_state, F.coalesce(F.col("was.field_sources")["content_text"], F.lit(DEFAULT_SOURCE))).otherwise(F.col("source")))).alias("__s_html_text"),
-        F.array_sort(F.collect_list(media_item)).alias("__media"),
-        F.max("__lower").alias("deleted_lower"), F.min("__upper").alias("deleted_upper"),
-        first(F.when(is_state, F.col("was.deleted_source")).when(F.col("signal"), F.when(F.col("removed"), "tracker").otherwise("gone"))).alias("deleted_source"),
-        F.coalesce(latest(F.col("__event")), F.lit("present")).alias("status"),
-        F.max("__live").alias("last_verified_live_at"),
-        latest(tracker("tracker_id")).alias("tracker_id"), latest(tracker("tracker_captured_at")).alias("tracker_captured_at"), first(F.col("__tracker_removed")).alias("tracker_removed_at"),
-        latest(F.when(is_state | (F.col("source") == "primary"), F.col("raw_primary"))).alias("raw_primary"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list(seen)))).alias("seen_sources"),
-        first(F.when(is_state, F.col("was.first_seen_at")).otherwise(F.col("observed_at"))).alias("first_seen_at"),
-        first(F.when(is_state, F.col("was.first_seen_source")).otherwise(F.col("source"))).alias("first_seen_source"),
-        F.max_by("observed_at", "seq").alias("__at"), F.max_by("run_id", "seq").alias("__run"), F.first("was", ignorenulls=True).alias("was"), F.max("seq").alias("__last"),
-    )
-    folded = folded.withColumn("__m", media_fold(F.col("__media")))
-    has_html = F.col("content_html").isNotNull()
-    sources = [F.struct(F.lit(f).alias("k"), F.col(f"__s_{f}").alias("v")) for f in (*SCALARS, "created_at_utc", "content_html")]
-    sources += [F.struct(F.lit("media").alias("k"), F.col("__m.source").alias("v")), F.struct(F.lit("content_text").alias("k"), F.when(has_html, F.col("__s_html_text")).otherwise(F.col("__s_text")).alias("v"))]
-    known = F.filter(F.array(*sources), lambda x: x["v"].isNotNull())
-    empty_list = F.array().cast("array<string>")
-    values = {
-        "content_text": F.when(has_html, html_to_text(F.col("content_html"))).otherwise(F.coalesce("__text", F.lit(""))),
-        "content_html": F.coalesce("content_html", F.lit("")), "kind": F.coalesce("kind", F.lit("")), "pinned": F.coalesce("pinned", F.lit(False)),
-        "mentions": F.coalesce("mentions", empty_list), "tags": F.coalesce("tags", empty_list), "media": F.col("__m.media"),
-        "field_sources": F.map_from_entries(F.array_sort(known)), **eastern_fields(F.col("created_at_utc")),
+    rows = _with_state(_rows(current, observations))
+    return Merged(stage(rows) if stage else rows, logged)
+
+
+def _posts(rows: DataFrame) -> DataFrame:
+    def latest(c: str) -> str:
+        return f"max_by({c}, CASE WHEN {c} IS NOT NULL THEN seq END)"
+
+    def first(c: str) -> str:
+        return f"min_by({c}, CASE WHEN {c} IS NOT NULL THEN seq END)"
+
+    folded = rows.groupBy("ts_id").agg(*map(F.expr, (
+        *(f"max(o_{f}) AS w_{f}" for f in _LOOKED), "max(o_text) AS w_text", latest("CASE WHEN html_set THEN text_source END") + " AS __html_source",
+        "max(lower) AS deleted_lower", "min(upper) AS deleted_upper", first("CASE WHEN seq < 0 THEN was.deleted_source WHEN signal THEN CASE WHEN removed THEN 'tracker' ELSE 'gone' END END") + " AS deleted_source",
+        f"coalesce({latest('event')}, 'present') AS status", "max(live) AS last_verified_live_at", *(f"{latest(c)} AS {c}" for c in ("tracker_id", "tracker_captured_at", "raw_primary")), first("taken_down") + " AS tracker_removed_at",
+        "collect_set(source) AS __sources", first("CASE WHEN seq < 0 THEN was.first_seen_at ELSE observed_at END") + " AS first_seen_at", first("CASE WHEN seq < 0 THEN was.first_seen_source ELSE source END") + " AS first_seen_source",
+        "max_by(observed_at, seq) AS __at", "max_by(run_id, seq) AS __run", "first(was, true) AS was", "max(seq) AS __last",
+    )))
+    folded = folded.join(media_state(rows), "ts_id", "left")
+    html = "w_content_html.v IS NOT NULL"
+    sources = [f"struct('{f}' AS k, w_{f}.s AS v)" for f in _LOOKED] + ["struct('media' AS k, media_source AS v)", f"struct('content_text' AS k, CASE WHEN {html} THEN __html_source ELSE w_text.s END AS v)"]
+    strings = "CAST(array() AS ARRAY<STRING>)"
+    given = {
+        "kind": "coalesce(w_kind.v, '')", "pinned": "coalesce(w_pinned.v, false)", "mentions": f"coalesce(w_mentions.v, {strings})", "tags": f"coalesce(w_tags.v, {strings})", "content_html": "coalesce(w_content_html.v, '')",
+        "media": f"coalesce(media, CAST(array() AS ARRAY<{MEDIA_ITEM.simpleString()}>))", "seen_sources": f"array_sort(array_distinct(concat(coalesce(was.seen_sources, {strings}), __sources)))",
+        "field_sources": f"map_from_entries(array_sort(filter(array({', '.join(sources)}), x -> x.v IS NOT NULL)))",
     }
-    out = folded.select("ts_id", *[(values[f] if f in values else F.col(f)).cast(POST[f].dataType).alias(f) for f in FIELDS if f not in ("ts_id", "updated_at", "updated_run_id")], "__at", "__run", "was", "__last")
-    # a map has no equality; as sorted entries it has
-    same = F.lit(True)
-    for f in FIELDS:
-        if f in ("updated_at", "updated_run_id", "ts_id"):
-            continue
-        a, b = F.col(f), F.col(f"was.{f}")
-        if f == "field_sources":
-            a, b = F.array_sort(F.map_entries(a)), F.array_sort(F.map_entries(b))
-        same = same & a.eqNullSafe(b)
-    touched = F.col("__last") >= 0
-    changed = touched & (F.col("was").isNull() | ~same)
-    out = out.withColumns({"changed": changed, "is_new": F.col("was").isNull()}).withColumns({
-        "updated_at": F.when(F.col("changed"), F.col("__at")).otherwise(F.col("was.updated_at")), "updated_run_id": F.when(F.col("changed"), F.col("__run")).otherwise(F.col("was.updated_run_id")),
-    })
-    posts = out.select(*FIELDS, "changed", "is_new")
-
-    signals = rows.filter("signal")
+    later = ("content_text", "created_at_et", "et_date", "et_hour", "et_dow", "updated_at", "updated_run_id")
+    some = folded.selectExpr(*[f"{given.get(f) or (f'w_{f}.v' if f in _LOOKED else f)} AS {f}" for f in FIELDS if f not in later], "__at", "__run", "was", "__last", "w_text.v AS __text", f"{html} AS __has_html")
+    text = F.when(F.col("__has_html"), html_to_text(F.col("content_html"))).otherwise(F.coalesce("__text", F.lit("")))
+    some = some.withColumns({"content_text": text, **eastern_fields(F.col("created_at_utc"))})
+    # maps have no equality; as sorted entries they have
+    compared = [f for f in FIELDS if f not in ("updated_at", "updated_run_id", "ts_id")]
+    as_one = lambda at: "struct(" + ", ".join(f"array_sort(map_entries({at}{f}))" if f == "field_sources" else f"CAST({at}{f} AS {POST[f].dataType.simpleString()})" for f in compared) + ")"
+    some = some.selectExpr("*", f"__last >= 0 AND (was IS NULL OR NOT {as_one('')} <=> {as_one('was.')}) AS changed", "was IS NULL AS is_new")
+    updated = {"updated_at": "CASE WHEN changed THEN __at ELSE was.updated_at END", "updated_run_id": "CASE WHEN changed THEN __run ELSE was.updated_run_id END"}
+    return some.selectExpr(*[f"CAST({updated.get(f, f)} AS {POST[f].dataType.simpleString()}) AS {f}" for f in FIELDS], "changed", "is_new")
+
+
+def _events(rows: DataFrame, logged: DataFrame | None) -> DataFrame:
+    bounds = rows.selectExpr(
+        "ts_id", "source", "signal", "observed_at AS detected_at", "seq", "run_id", f"max(lower) {_SO_FAR} AS deleted_lower", f"min(upper) {_SO_FAR} AS deleted_upper",
+        f"min_by(taken_down, CASE WHEN taken_down IS NOT NULL THEN seq END) {_SO_FAR} AS tracker_removed_at",
+    )
+    signals = bounds.filter("signal")
     if logged is not None:
         signals = signals.join(logged.select("ts_id", "source").distinct(), ["ts_id", "source"], "left_anti")
-    nth = F.row_number().over(Window.partitionBy("ts_id", "source").orderBy("seq"))
-    events = signals.withColumn("__n", nth).filter("__n = 1").select(
-        "ts_id", F.col("observed_at").alias("detected_at"), F.col("__low_so_far").alias("deleted_lower"), F.col("__up_so_far").alias("deleted_upper"), "source", F.col("__removed_so_far").alias("tracker_removed_at"), "run_id",
-    ).select(*DELETION.fieldNames())
-
-    # one window by post holds what stood before a row, for all fields; one pass over it gives all notes
-    looked = (*SCALARS, "content_html", "created_at_utc")
-    ranks = {f: CREATED_RANK if f == "created_at_utc" else SOURCE_RANK for f in looked}
-    held = {f"__h_{f}": F.max(_held(F.col(f), source_of(f), rank_of(source_of(f), ranks[f]), F.col("seq"), kinds[f])).over(before) for f in looked}
+    return signals.selectExpr("*", "row_number() OVER (PARTITION BY ts_id, source ORDER BY seq) AS __n").filter("__n = 1").select(*DELETION.fieldNames())
+
+
+def _anomalies(rows: DataFrame) -> DataFrame:
+    kinds = {f: rows.schema[f"o_{f}"].dataType["v"].dataType.simpleString() for f in _LOOKED}
+    # one window by post holds what stood before a row, for all fields; one pass over it gives all notes but those on media
+    held = rows.selectExpr(
+        "ts_id", "seq", "source", "signal", *[f"o_{f}" for f in _LOOKED], *[f"max(o_{f}) {_BEFORE} AS h_{f}" for f in _LOOKED],
+        f"max(lower) {_SO_FAR} AS low", f"min(upper) {_SO_FAR} AS up", f"last(event, true) {_BEFORE} AS status_before",
+    )
+
+    def text(value: str, kind: str) -> str:
+        return f"substring({f'to_json(struct({value} AS v))' if kind.startswith(('array', 'map', 'struct')) else f'CAST({value} AS STRING)'}, 1, 60)"
+
     notes = []
-    for f in looked:
-        lost = _lost(F.col(f), rank_of(source_of(f), ranks[f]), F.col(f"__h_{f}"), kinds[f], 2.0 if f == "created_at_utc" else None)
-        detail = F.concat(F.lit(f"{f}_disagreement:"), "ts_id", F.lit(":"), F.col(f"__h_{f}.s"), F.lit("="), _cut_text(F.col(f"__h_{f}.v"), kinds[f]), F.lit(","), source_of(f), F.lit("="), _cut_text(F.col(f), kinds[f]))
-        notes.append(F.when(lost, F.struct(F.lit(f"{f}_disagreement").alias("code"), detail.alias("detail"))))
-    found = F.filter(F.array(*notes), lambda x: x.isNotNull())
-    anomalies = rows.withColumns(held).select("ts_id", "seq", F.inline(found)).select("ts_id", "seq", "code", "detail")
-    cut_to = lambda c: F.substring(c, 1, 60)
-    media = folded.select("ts_id", F.explode("__m.lost").alias("x"))
-    note = F.concat(F.lit("media_disagreement:"), "ts_id", F.lit(":"), "x.old_source", F.lit("="), cut_to("x.old_value"), F.lit(","), "x.new_source", F.lit("="), cut_to("x.new_value"))
-    anomalies = anomalies.unionByName(media.select("ts_id", F.col("x.seq").alias("seq"), F.lit("media_disagreement").alias("code"), note.alias("detail")))
-    inverted = rows.filter(F.col("signal") & (F.col("__low_so_far") > F.col("__up_so_far"))).select("ts_id", "seq", F.lit("inverted_bounds").alias("code"), F.concat(F.lit("inverted_bounds:"), "ts_id").alias("detail"))
-    back = rows.filter(~F.col("signal") & (F.col("source") == "primary") & (F.col("__status_before") == "deleted")).select("ts_id", "seq", F.lit("resurrected").alias("code"), F.concat(F.lit("resurrected:"), "ts_id").alias("detail"))
-    return Merged(posts, events, anomalies.unionByName(inverted).unionByName(back))
+    for f in _LOOKED:
+        differs = f"h_{f}.v <> o_{f}.v" if f != "created_at_utc" else f"abs(timestampdiff(MICROSECOND, h_{f}.v, o_{f}.v)) > 2000000"
+        detail = f"concat('{f}_disagreement:', ts_id, ':', coalesce(h_{f}.s, '{DEFAULT_SOURCE}'), '=', {text(f'h_{f}.v', kinds[f])}, ',', coalesce(o_{f}.s, '{DEFAULT_SOURCE}'), '=', {text(f'o_{f}.v', kinds[f])})"
+        notes.append(f"CASE WHEN h_{f}.r > o_{f}.r AND {differs} THEN struct('{f}_disagreement' AS code, {detail} AS detail) END")
+    notes.append("CASE WHEN signal AND low > up THEN struct('inverted_bounds' AS code, concat('inverted_bounds:', ts_id) AS detail) END")
+    notes.append("CASE WHEN NOT signal AND source = 'primary' AND status_before = 'deleted' THEN struct('resurrected' AS code, concat('resurrected:', ts_id) AS detail) END")
+    found = held.selectExpr("ts_id", "seq", f"inline(filter(array({', '.join(notes)}), x -> x IS NOT NULL))")
+    detail = "concat('media_disagreement:', ts_id, ':', old_source, '=', substring(old_value, 1, 60), ',', new_source, '=', substring(new_value, 1, 60))"
+    return found.unionByName(media_disagreements(rows).selectExpr("ts_id", "seq", "'media_disagreement' AS code", f"{detail} AS detail"))
 
 
 def deletion_candidates(posts: DataFrame, fetched: DataFrame, most: int = 3) -> DataFrame:

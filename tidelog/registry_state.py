@@ -6,18 +6,20 @@ written to a scratch folder that driver and executors share and read back.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelog import cli, report
+from tidelog import cli, collect, report
 from tidelog.adapters import event_observations, event_posts, event_snapshots, table
 from tidelog.functions import texts, times
 from tidelog.operators import checks, merge, throttle
 from tidelog.plans import views
 from tidelog.registry import _B, _ISO, _LAG, _MIN, _S, _SIG, _V, _event_merge, _minutes, _text, query
 from tidelog.schema import ENGAGEMENT, FIELDS, MEDIA, OBSERVATION, POST, RUN
-from tidelog.sources import landed, sinks, tracker_html
+from tidelog.sources import json_array, landed, sinks, store, tracker_html
 from tidelog.streaming import micro
 
 
@@ -641,3 +643,78 @@ def stream_merge(spark, d):
     micro.run_merge(stream, f"{root}/data", f"{root}/mark").awaitTermination()
     some = landed.posts(spark, f"{root}/data").select("ts_id", "status", "deleted_source", "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at", "first_seen_source", F.array_join("seen_sources", ",").alias("seen_sources"), "kind")
     return _instants(some, "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at")
+
+
+@query(_SIG + """ SELECT ts_id, status, deleted_source, last_verified_live_at, deleted_lower, deleted_upper, first_seen_at, first_seen_source, seen_sources,
+  coalesce(kind, '') AS kind FROM (""" + _STATE + ")")
+def merge_after_crash(spark, d):
+    """Two batches; the second dies with its months written and nothing committed, is done again, and repeated after its commit: the records of one run."""
+    rows, root = _signals(event_observations(spark, d)), sinks.scratch(spark)
+    early, late = rows.filter("seq < 600"), rows.filter("seq >= 600")
+    micro.merge_into(early, root, "s-0")
+    dead = store.Batch(spark, root, "s-1")
+    dead.replace_months(list(dead.posts), lambda path: sinks.write_months(landed.posts(spark, root).limit(0), path, sinks.post_month(), F.col("ts_id").cast("bigint")))
+    dead.append("deletions", lambda path: sinks.append_log(landed.deletion_log(spark, root), path))
+    for _ in range(2):
+        micro.merge_into(late, root, "s-1")
+    some = landed.posts(spark, root).select("ts_id", "status", "deleted_source", "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at", "first_seen_source", F.array_join("seen_sources", ",").alias("seen_sources"), "kind")
+    return _instants(some, "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at")
+
+
+def _landed_pages(pages: DataFrame, folder: str, at: dt.datetime) -> None:
+    """One file for each row of pages (value), all with the given time."""
+    spark = pages.sparkSession
+    pages.write.option("maxRecordsPerFile", 1).mode("append").text(folder)
+    for path in store.glob(spark, f"{folder}/part-*"):
+        where, fs = store._fs(spark, path)
+        fs.rename(where, store._fs(spark, path.removesuffix(".txt") + ".json")[0])
+    for path in store.glob(spark, f"{folder}/part-*.json"):
+        where, fs = store._fs(spark, path)
+        fs.setTimes(where, int(at.replace(tzinfo=dt.UTC).timestamp() * 1000), -1)
+
+
+_SLOTS = {10: "true", 11: "event_id % 3 = 0", 12: "event_id % 6 = 0"}
+
+
+@query("""SELECT CAST(110000000000000000 + event_id AS VARCHAR) AS ts_id, CASE WHEN event_id % 3 = 0 AND event_id % 6 <> 0 THEN 'deleted' ELSE 'present' END AS status,
+  CASE WHEN event_id % 6 = 0 THEN '2024-03-01T12:00:00Z' ELSE '2024-03-01T10:00:00Z' END AS last_verified_live_at, CASE WHEN event_id % 3 = 0 THEN '2024-03-01T10:00:00Z' END AS deleted_lower,
+  CASE WHEN event_id % 3 = 0 THEN '2024-03-01T11:00:00Z' END AS deleted_upper, '2024-03-01T10:00:00Z' AS first_seen_at, CAST(CASE WHEN event_id % 6 = 0 THEN 2 ELSE 1 END AS BIGINT) AS snapshots FROM events""")
+def collect_observation_times(spark, d):
+    """Pages of 10:00, verifications of 11:00 and pages of 12:00, all landed before the run: each row is an observation of its own file's time."""
+    e, root = table(spark, d, "events"), sinks.scratch(spark)
+    ts_id = (F.lit(110000000000000000) + F.col("event_id")).cast("string")
+    status = F.to_json(F.struct(ts_id.alias("id"), F.lit("2024-02-29T00:00:00Z").alias("created_at"), F.lit("<p>x</p>").alias("content"), F.col("event_id").alias("favourites_count")))
+    missing = F.to_json(F.struct(ts_id.alias("id"), F.lit("Record not found").alias("error")))
+    for hour, some in _SLOTS.items():
+        array = F.concat(F.lit("["), F.array_join(F.collect_list(missing if hour == 11 else status), ","), F.lit("]")).alias("value")
+        pages = e.filter(some).groupBy((F.col("event_id") % 8).alias("page")).agg(array).select("value")
+        folder = f"{root}/landing/{hour}"
+        _landed_pages(pages, folder, dt.datetime(2024, 3, 1, hour))
+        inbox, fs = store._fs(spark, f"{root}/inbox/primary")
+        fs.mkdirs(inbox)
+        for path in store.glob(spark, f"{folder}/part-*.json"):
+            fs.rename(store._fs(spark, path)[0], store._fs(spark, f"{root}/inbox/primary/{hour}-{path.rsplit('/', 1)[1]}")[0])
+    collect.ingest(spark, f"{root}/data", f"{root}/inbox", "primary", "r1", {})
+    shots = landed.engagement(spark, f"{root}/data").groupBy("ts_id").agg(F.count("*").alias("snapshots"))
+    posts = landed.posts(spark, f"{root}/data").join(shots, "ts_id", "left")
+    return _instants(posts.select("ts_id", "status", "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at", F.coalesce("snapshots", F.lit(0).cast("bigint")).alias("snapshots")), "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at")
+
+
+@query("SELECT doc_id AS id, length(text) AS size, md5(coalesce(text, '')) AS digest, lang FROM documents")
+def json_array_by_splits(spark, d):
+    """Whole texts in one JSON array, written as one line and read by splits of a quarter of a megabyte."""
+    docs, root = table(spark, d, "documents"), sinks.scratch(spark)
+    quoted = F.concat(F.col("text"), F.lit('{"\\\\}')).alias("text")
+    rows = docs.select(F.to_json(F.struct("doc_id", F.struct(F.when(F.col("text").isNotNull(), quoted).alias("body"), "lang").alias("of"))).alias("value")).withColumn("value", F.concat(F.lit(","), "value"))
+    rows.coalesce(1).write.option("lineSep", " ").text(f"{root}/array")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in before:
+        spark.conf.set(k, str(1 << 18))
+    try:
+        found = json_array.objects(spark, f"{root}/array").select(F.from_json("value", "doc_id long, of struct<body:string,lang:string>").alias("r"))
+        found.write.parquet(f"{root}/read")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    text = F.expr("substring(r.of.body, 1, char_length(r.of.body) - 5)")
+    return spark.read.schema(found.schema).parquet(f"{root}/read").select(F.col("r.doc_id").alias("id"), F.char_length(text).cast("bigint").alias("size"), F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("digest"), F.col("r.of.lang").alias("lang"))

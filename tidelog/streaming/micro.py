@@ -41,8 +41,8 @@ def merge_into(batch: DataFrame, root: str, name: str, snapshots: DataFrame | No
         return made.done
     logged = landed.deletion_log(spark, root, made.base)
     named = landed.standing_posts(spark, made.base).join(batch.select("ts_id").distinct(), "ts_id", "left_semi")
-    merged = merging.merge(named.drop("standing"), batch, logged)
-    posts, events, notes = (made.staged(df, n) for df, n in ((merged.posts, "posts"), (merged.events, "events"), (merged.anomalies, "anomalies")))
+    merged = merging.merge(named.drop("standing"), batch, logged, lambda rows: made.staged(rows, "rows"))
+    posts, events = made.staged(merged.posts, "posts"), made.staged(merged.events, "events")
     month = sinks.post_month().alias("month")
     # where the records belong now and where they stood; a row for each month
     months = sorted(r["month"] for r in posts.select(month).union(named.select("standing")).distinct().collect())
@@ -58,7 +58,7 @@ def merge_into(batch: DataFrame, root: str, name: str, snapshots: DataFrame | No
     if snapshots is not None:
         kept = throttle.filter_engagement(snapshots, landed.engagement(spark, root, made.base).drop("ingest_seq"), landed.posts(spark, root, made.pending()))
         made.append("engagement", lambda path: sinks.write_engagement(kept, path))
-    made.append("anomalies", lambda path: sinks.append_log(notes, path))
+    made.append("anomalies", lambda path: sinks.append_log(merged.anomalies, path))
     if files is not None:
         made.append("files", lambda path: sinks.append_log(files, path))
     return made.commit(gave)
