@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from tidelog.functions.times import let
 
-# Elements whose end breaks a line, the mark of an inline quote, and what counts as a blank at a line's ends.
-LINE_ENDS = ("p", "div", "li", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote")
+# Tags that break a line, the class of an inline quote, and what counts as a blank at a line's ends.
+LINE_ENDS = ("br", "/p", "/div", "/li", "/h1", "/h2", "/h3", "/h4", "/h5", "/h6", "/blockquote")
 QUOTE_CLASS = "quote-inline"
 BLANKS = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 #: Character references that are decoded in place; the ampersand's comes last.
@@ -62,13 +62,58 @@ def decoded(text: Column) -> Column:
     return F.when(other, unescape_all(F.when(other, text))).otherwise(plain)
 
 
+def _tags(source: Column) -> Column:
+    """text and tag of each stretch of HTML that a > ends: what stands before the first < is text, the rest the tag.
+
+    A stretch without < keeps its >, the last one has no tag, <> is text.
+    """
+    parts = F.split(source, ">")
+
+    def one(x: Column, i: Column) -> Column:
+        at = F.instr(x, "<")
+        closed = i < F.size(parts) - 1
+        tag = F.when(closed & (at > 0) & (at < F.char_length(x)), F.substr(x, at + 1))
+        text = F.when(tag.isNotNull(), F.substr(x, F.lit(1), at - 1)).when(closed, F.concat(x, F.lit(">"))).otherwise(x)
+        return F.struct(text.alias("text"), tag.alias("tag"))
+
+    return F.transform(parts, one)
+
+
+def _outside_quotes(tags: Column) -> Column:
+    """The stretches that no inline quote covers: a span of the quote's class, up to its own end, whatever spans it holds; one that never ends is none.
+
+    depth counts the spans open inside a quote; held has what the quote would
+    hide, and comes back if the end of it is missing.
+    """
+    entry = "array<struct<text:string,tag:string>>"
+    start = F.struct(F.array().cast(entry).alias("kept"), F.array().cast(entry).alias("held"), F.lit(0).alias("depth"))
+
+    def step(acc: Column, x: Column) -> Column:
+        name = F.lower(F.substring_index(F.translate(x["tag"], "\t\n\r\f/", "    "), " ", 1))
+        ends = F.lower(x["tag"]).startswith("/span")
+        opens = (name == "span") & ~ends
+        classes = F.split(F.substring_index(F.substring_index(x["tag"], 'class="', -1), '"', 1), " ")
+        quote = opens & x["tag"].contains('class="') & F.array_contains(classes, QUOTE_CLASS)
+        inside = acc["depth"] > 0
+        depth = F.when(inside & F.coalesce(opens, F.lit(False)), acc["depth"] + 1).when(inside & F.coalesce(ends, F.lit(False)), acc["depth"] - 1).when(~inside & F.coalesce(quote, F.lit(False)), 1).otherwise(acc["depth"])
+        begins = ~inside & (depth == 1)
+        # text before a quote's tag is outside of it
+        before = F.struct(x["text"].alias("text"), F.lit(None).cast("string").alias("tag"))
+        kept = F.when(begins, F.array_append(acc["kept"], before)).when(inside, acc["kept"]).otherwise(F.array_append(acc["kept"], x))
+        held = F.when(begins, F.array().cast(entry)).when(inside & (depth > 0), F.array_append(acc["held"], x)).otherwise(F.array().cast(entry))
+        return F.struct(kept.alias("kept"), held.alias("held"), depth.alias("depth"))
+
+    return F.aggregate(tags, start, step, lambda acc: F.concat(acc["kept"], acc["held"]))
+
+
 def html_to_text(source: Column) -> Column:
     """Plain text of a post's HTML: inline quotes go, ends of blocks break lines, blanks run together, lines are trimmed, and at most one empty line stays between two others."""
-    quote = rf'(?is)<span[^>]*\bclass="[^"]*\b{QUOTE_CLASS}\b[^"]*"[^>]*>.*?</span>'
-    line_end = rf"(?i)<(?:br\s*/?|/(?:{'|'.join(LINE_ENDS)})\s*)>"
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.coalesce(source, F.lit("")), quote, ""), line_end, "\n"), "<[^>]+>", "")
-    text = F.regexp_replace(F.translate(decoded(bare), "\xa0\r", " "), r"[ \t\f\x0B]+", " ")
-    lines = F.transform(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)))
+    html_ = F.coalesce(source, F.lit(""))
+    tags = let(_tags(html_), lambda t: F.when(html_.contains(QUOTE_CLASS), _outside_quotes(t)).otherwise(t))
+    broken = lambda x: F.when(F.lower(F.rtrim(x["tag"], F.lit(" \t\n\r\f/"))).isin(*LINE_ENDS), F.concat(x["text"], F.lit("\n"))).otherwise(x["text"])
+    bare = F.array_join(F.transform(tags, broken), "")
+    text = F.translate(decoded(bare), "\xa0\r\t\f\x0b", "     ")
+    lines = F.transform(F.split(text, "\n"), lambda x: F.btrim(F.array_join(F.filter(F.split(x, " "), lambda w: w != ""), " "), F.lit(BLANKS)))
     # of empty lines in a row the first stays, at the ends none
     kept = let(lines, lambda all_: F.filter(all_, lambda x, i: (x != "") | (F.get(all_, i - 1) != "")))
     return F.btrim(F.array_join(kept, "\n"), F.lit("\n"))
@@ -80,7 +125,8 @@ def card_domain(url: Column) -> Column:
 
 
 def media_type_of(url: Column) -> Column:
-    ext = F.lower(F.regexp_extract(url, r"\.([A-Za-z0-9]+)(?:\?.*)?$", 1))
+    path = F.substring_index(url, "?", 1)
+    ext = F.when(path.contains("."), F.lower(F.substring_index(path, ".", -1)))
     return F.when(ext.isin(*VIDEO), "video").when(ext.isin(*IMAGE), "image").otherwise("unknown")
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ISO = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(?:\.(\d{1,9}))?\s*(Z|[+-]\d{2}:?\d{2})?$"
+#: Shapes of an ISO instant, every digit as 9: date and clock, and what may stand behind the decimals.
+ISO_SHAPES, ZONE_SHAPES = ("9999-99-99T99:99:99", "9999-99-99 99:99:99"), ("", "Z", "+99:99", "-99:99", "+9999", "-9999")
 RFC = r"^(?:[A-Za-z]{3},\s*)?(\d{1,2})\s+([A-Za-z]{3})\s+(\d{4})\s+(\d{2}:\d{2}(?::\d{2})?)\s*([+-]\d{4}|GMT|UTC|UT|Z)?$"
-EASTERN_TEXT = r"(?i)(?:[a-z]+,\s*)?([a-z]+)\.?\s+(\d{1,2}),?\s+(\d{4}),?\s+(\d{1,2}):(\d{2})(?::(\d{2}))?\s*([ap]\.?m\.?)?(?:\s*(E[SD]T|ET))?"
 EASTERN = "America/New_York"
 # Month names start with these.
 MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
@@ -55,18 +55,33 @@ def _month(text: Column) -> Column:
     return F.when(low.isin(MONTH_NAMES), number)
 
 
+def _shape(text: Column) -> Column:
+    return F.translate(text, "0123456789", "9" * 10)
+
+
+def _digits(text: Column, least: int, most: int) -> Column:
+    return (F.translate(text, "0123456789", "") == "") & F.char_length(text).between(least, most)
+
+
+def _iso(s: Column) -> Column:
+    rest = F.substring(s, 20, 1 << 20)
+    after = F.ltrim(rest, F.lit(".0123456789"))
+    decimals = F.substr(rest, F.lit(2), F.char_length(rest) - F.char_length(after) - 1)
+    zone = F.trim(after)
+    sound = _shape(F.substring(s, 1, 19)).isin(*ISO_SHAPES) & _shape(zone).isin(*ZONE_SHAPES) & ((F.char_length(rest) == F.char_length(after)) | (rest.startswith(".") & _digits(decimals, 1, 9)))
+    clock = F.concat(F.substring(s, 1, 10), F.lit(" "), F.substring(s, 12, 8), F.lit("."), F.rpad(F.substring(decimals, 1, 6), 6, "0")).try_cast("timestamp_ntz")
+    return F.when(sound, F.timestamp_add("MINUTE", -_offset_minutes(zone), clock))
+
+
 def parse_instant(text: Column) -> Column:
     """ISO-8601 (blank or T, up to 9 decimals cut to 6, Z, an offset or none for UTC) or RFC-2822; else null."""
     s = F.trim(text)
     part = lambda i, rx: F.regexp_extract(s, rx, i)
-    frac = F.rpad(F.substring(part(3, ISO), 1, 6), 6, "0")
-    iso = F.concat(part(1, ISO), F.lit(" "), part(2, ISO), F.lit("."), frac).try_cast("timestamp_ntz")
-    iso = F.timestamp_add("MINUTE", -_offset_minutes(part(4, ISO)), iso)
     clock = F.when(F.length(part(4, RFC)) == 5, F.concat(part(4, RFC), F.lit(":00"))).otherwise(part(4, RFC))
     month = F.lpad(_month(part(2, RFC)).cast("string"), 2, "0")
     rfc = F.concat(part(3, RFC), F.lit("-"), month, F.lit("-"), F.lpad(part(1, RFC), 2, "0"), F.lit(" "), clock).try_cast("timestamp_ntz")
     rfc = F.timestamp_add("MINUTE", -_offset_minutes(part(5, RFC)), rfc)
-    return F.when(s.rlike(ISO), iso).when(s.rlike(RFC), rfc)
+    return F.coalesce(_iso(s), F.when(s.rlike(RFC), rfc))
 
 
 def eastern(t: Column) -> Column:
@@ -95,20 +110,39 @@ def eastern_fields(t: Column) -> dict[str, Column]:
 def parse_eastern_text(text: Column) -> Column:
     """An instant from Eastern-time prose such as "Tuesday, September 8, 2026, 09:10 pm EDT"; else null.
 
-    A zone named in the text must be the one in force, else null; in the
-    repeated hour of autumn EST picks the second pass.
+    Read word by word: the first month's name with a day, a year and a clock
+    behind it, then a half of the day and a zone, if they are there.  A zone
+    must be the one in force, else null; in the repeated hour of autumn EST
+    picks the second pass.
     """
-    part = lambda i: F.regexp_extract(text, EASTERN_TEXT, i)
-    zone, half, hour = F.upper(part(8)), F.lower(F.substring(part(7), 1, 1)), part(4).try_cast("int")
-    hour = F.when(half == "", hour).when(hour == 12, F.when(half == "p", 12).otherwise(0)).when(half == "p", hour + 12).otherwise(hour)
-    second = F.when(part(6) == "", F.lit("00")).otherwise(part(6))
-    wall = F.concat(part(3), F.lit("-"), F.lpad(_month(part(1)).cast("string"), 2, "0"), F.lit("-"), F.lpad(part(2), 2, "0"), F.lit(" "), F.lpad(hour.cast("string"), 2, "0"), F.lit(":"), part(5), F.lit(":"), second).try_cast("timestamp_ntz")
-    def place(w: Column) -> Column:
+    words = F.filter(F.split(F.translate(text, ",\t\n\r", "    "), " "), lambda w: w != "")
+
+    def dates(all_: Column) -> Column:
+        at = lambda i, k: F.coalesce(F.get(all_, i + k), F.lit(""))
+        five = F.transform(all_, lambda w, i: F.struct(F.rtrim(w, F.lit(".")).alias("month"), at(i, 1).alias("day"), at(i, 2).alias("year"), at(i, 3).alias("clock"), at(i, 4).alias("half"), at(i, 5).alias("zone")))
+        return F.get(F.filter(five, lambda x: _month(x["month"]).isNotNull() & _digits(x["day"], 1, 2) & _digits(x["year"], 4, 4) & x["clock"].contains(":")), F.lit(0))
+
+    def wall(x: Column) -> Column:
+        letters = lambda c: F.translate(F.lower(c), "0123456789:.", "")
+        glued = letters(x["clock"]) != ""  # 9:10pm
+        own = letters(x["half"]).isin("am", "pm")
+        half = F.substring(F.when(glued, letters(x["clock"])).when(own, letters(x["half"])).otherwise(""), 1, 1)
+        zone = F.upper(F.when(~glued & own, x["zone"]).otherwise(x["half"]))
+        clock = F.split(F.translate(F.lower(x["clock"]), "apm.", ""), ":")
+        hour = F.get(clock, F.lit(0)).try_cast("int")
+        hour = F.when(half == "", hour).when(hour == 12, F.when(half == "p", 12).otherwise(0)).when(half == "p", hour + 12).otherwise(hour)
+        two = lambda c: F.lpad(c.cast("string"), 2, "0")
+        day = F.concat(x["year"], F.lit("-"), two(_month(x["month"])), F.lit("-"), two(x["day"]))
+        at = F.concat(day, F.lit(" "), two(hour), F.lit(":"), F.get(clock, F.lit(1)), F.lit(":"), F.coalesce(F.get(clock, F.lit(2)), F.lit("00"))).try_cast("timestamp_ntz")
+        return F.struct(at.alias("at"), F.when(zone.isin("EST", "EDT"), zone).alias("zone"))
+
+    def place(x: Column) -> Column:
+        w, zone = x["at"], x["zone"]
         daylight, standard = F.timestamp_add("HOUR", F.lit(4), w), F.timestamp_add("HOUR", F.lit(5), w)
         in_summer, in_winter = eastern(daylight) == w, (eastern(standard) == w) & (offset_minutes(standard) == -300)
         return F.when(zone == "EST", F.when(in_winter, standard)).when(zone == "EDT", F.when(in_summer, daylight)).otherwise(F.when(in_summer, daylight).otherwise(standard))
 
-    return let(wall, place)
+    return let(let(let(words, dates), wall), place)
 
 
 def let(value: Column, body) -> Column:

@@ -247,13 +247,33 @@ def feed_items(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+# Class names and the heading of a stats page, by which its figures are found.
+STATS_CARD, STATS_VALUE, STATS_TOTAL, STATS_COVERAGE = "stats-page__summary-card--", "stats-page__summary-value", "stats-page__summary-value--total", "Total archive coverage:"
+
+
 def stats_page(html: Column) -> dict[str, Column]:
     """total, original, quote, reblog, coverage_start, coverage_end of a stats page; null where it has none."""
-    number = lambda rx: F.replace(F.nullif(F.regexp_extract(html, rx, 1), F.lit("")), F.lit(",")).try_cast("int")
-    span = r"(?s)Total archive coverage:</strong>\s*([A-Za-z]+\s+\d{1,2},\s*\d{4})\s*[–-]\s*([A-Za-z]+\s+\d{1,2},\s*\d{4})"
-    date = lambda i: parse_instant(F.concat(F.regexp_replace(F.regexp_extract(html, span, i), r"^([A-Za-z]{3})[a-z]*\s+(\d{1,2}),\s*(\d{4})$", "$2 $1 $3"), F.lit(" 00:00:00"))).cast("date")
-    found = {k: number(rf'(?s)stats-page__summary-card--{k}">\s*<span class="stats-page__summary-value">([\d,]+)</span>') for k in ("original", "quote", "reblog")}
-    return {"total": number(r'stats-page__summary-value--total">([\d,]+)</span>'), **found, "coverage_start": date(1), "coverage_end": date(2)}
+    def within(rest: Column) -> Column:
+        """The text of the element whose opening tag rest is in, a number without commas."""
+        text = F.substring_index(F.substr(rest, F.instr(rest, ">") + 1), "<", 1)
+        return F.replace(F.trim(text), F.lit(","))
+
+    def count(kind: str) -> Column:
+        card = F.substr(html, F.instr(html, f'{STATS_CARD}{kind}"') + 1)
+        value = F.substr(card, F.instr(card, f'{STATS_VALUE}"') + 1)
+        return F.when(html.contains(f'{STATS_CARD}{kind}"') & card.contains(f'{STATS_VALUE}"'), within(value)).try_cast("int")
+
+    total = F.when(html.contains(f'{STATS_TOTAL}"'), within(F.substr(html, F.instr(html, f'{STATS_TOTAL}"') + 1))).try_cast("int")
+    span = F.when(html.contains(STATS_COVERAGE), F.substring_index(F.substr(F.substring_index(html, STATS_COVERAGE, -1), F.instr(F.substring_index(html, STATS_COVERAGE, -1), ">") + 1), "<", 1))
+    days = F.split(F.replace(span, F.lit("–"), F.lit("-")), "-")
+
+    def day(i: int) -> Column:
+        """Feb 14, 2022, the month by its first three letters."""
+        words = F.filter(F.split(F.replace(F.get(days, F.lit(i)), F.lit(","), F.lit(" ")), "[ \\n\\t]+"), lambda w: w != "")
+        at = lambda k: F.get(words, F.lit(k))
+        return parse_instant(F.concat(at(1), F.lit(" "), F.substring(at(0), 1, 3), F.lit(" "), at(2), F.lit(" 00:00:00"))).cast("date")
+
+    return {"total": total, **{k: count(k) for k in ("original", "quote", "reblog")}, "coverage_start": day(0), "coverage_end": day(1)}
 
 
 def of_account(cards: DataFrame, handle: str) -> DataFrame:
