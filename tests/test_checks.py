@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from tests import fixture
 from tests.fixture import U, post
@@ -101,3 +102,28 @@ def test_two_archives(spark):
     assert tuple(validate.content_agreement(a, b).first()) == (2, 1)
     ids = spark.range(1000)
     assert {r[0] for r in validate.seeded_sample(ids, "id", 50, 1).collect()} == {r[0] for r in validate.seeded_sample(ids.repartition(7), "id", 50, 1).collect()}
+
+
+def test_order_across_splits(spark, tmp_path):
+    """A file of many splits whose only fault lies between two slices of lines; and one of each kind elsewhere."""
+    from tidelog.sources import landed
+
+    lines = [f'{{"ts_id": "{110000000000000000 + i}", "created_at_utc": "2026-07-01T00:00:00Z"}}' for i in range(600)]
+    (tmp_path / "posts").mkdir()
+    (tmp_path / "posts" / "2026-06.jsonl").write_text("\n".join(lines) + "\n")
+    bad = lines[:300] + lines[310:] + lines[300:310]
+    (tmp_path / "posts" / "2026-07.jsonl").write_text("\n".join(bad) + "\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, "2000")
+        filed = landed.filed_posts(spark, str(tmp_path))
+        assert filed.rdd.getNumPartitions() > 10
+        assert [r["detail"] for r in checks.unsorted_files(filed).collect()] == ["2026-07"]
+        # slices as small as a line: every pair of neighbours is an edge
+        numbered = filed.withColumn("line_no", F.row_number().over(Window.partitionBy("file").orderBy("line_no")))
+        for size in range(7):
+            assert [r["detail"] for r in checks.unsorted_files(numbered, size).collect()] == ["2026-07"]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

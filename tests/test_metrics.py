@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import datetime as dt
+import random
 import statistics
 from zoneinfo import ZoneInfo
 
@@ -226,3 +227,21 @@ def test_report_and_formats(spark, v, tmp_path):
     assert cli.formatted(df, "csv") == f"kind,n\nquote,{n}\n"
     assert cli.formatted(df, "markdown").splitlines()[-1] == f"| quote | {n} |"
     assert cli.formatted(df, "table").splitlines()[0].split() == ["kind", "n"]
+
+
+def test_slices_follow_density(spark):
+    """Nine tenths of the posts in one hour: slices are about equal, and neighbours and bursts are those of one list."""
+    r = random.Random(8)
+    start = dt.datetime(2026, 3, 1)
+    at = sorted(start + dt.timedelta(seconds=r.randrange(3600) if i % 10 else r.randrange(86_400 * 60)) for i in range(3000))
+    some = [fixture.post(i, t) for i, t in enumerate(at, 1)]
+    p = fixture.posts(spark, some).select("created_at_utc", "ts_id", "created_at_et", "kind")
+    sizes = [x["count"] for x in sequences.ranged(p, "created_at_utc", "ts_id").groupBy("__slice").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    got = {x["ts_id"]: x["prev_ts_id"] for x in sequences.with_previous(p, "created_at_utc", "ts_id", "ts_id").collect()}
+    names = [x["ts_id"] for x in some]
+    assert got == dict(zip(names, [None, *names]))
+    for window, least in ((10, 5), (1, 40), (10, 1), (600, 200)):
+        found = sorted((x["start_et"], x["end_et"], x["count"]) for x in sequences.bursts(p, window, least).collect())
+        want = sorted(x[:3] for x in plain_bursts(some, window, least))
+        assert found == want, (window, least)

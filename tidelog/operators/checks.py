@@ -64,13 +64,24 @@ def wrong_month(posts: DataFrame) -> DataFrame:
     return _rows(posts.filter(month != F.col("file_month")), "hard", "wrong_month_file", F.col("ts_id"), F.col("file_month"), month)
 
 
-def unsorted_files(posts: DataFrame) -> DataFrame:
-    """posts with ``file`` (by default the month), ``file_month`` and ``line_no``: files whose ids do not ascend."""
+#: Lines of a slice of a file, as a power of two.
+LINES = 16
+
+
+def unsorted_files(posts: DataFrame, lines: int = LINES) -> DataFrame:
+    """posts with ``file`` (by default the month), ``file_month`` and ``line_no``: files whose ids do not ascend.
+
+    Order is looked at inside slices of a file, then between the last line of a
+    slice and the first of the next; no task has a whole file.
+    """
     by = "file" if "file" in posts.columns else "file_month"
-    order = Window.partitionBy(by).orderBy("line_no")
-    number = F.col("ts_id").try_cast("bigint")
-    bad = posts.withColumn("n", number).withColumn("p", F.lag("n").over(order)).filter(F.col("n").isNull() | (F.col("n") < F.col("p")))
-    return _rows(bad.select(by, "file_month").distinct(), "hard", "unsorted_file", F.lit(None), F.col("file_month"))
+    named = list(dict.fromkeys((by, "file_month")))
+    number, order = F.col("ts_id").try_cast("bigint"), Window.partitionBy(by, "__slice").orderBy("line_no")
+    rows = posts.select(*named, "line_no", number.alias("n"), F.shiftright(F.col("line_no").cast("bigint"), lines).alias("__slice"))
+    inside = rows.withColumn("p", F.lag("n").over(order)).filter(F.col("n").isNull() | (F.col("n") < F.col("p"))).select(*named)
+    edges = rows.groupBy(*named, "__slice").agg(F.min_by("n", "line_no").alias("first"), F.max_by("n", "line_no").alias("last"))
+    between = edges.withColumn("p", F.lag("last").over(Window.partitionBy(by).orderBy("__slice"))).filter(F.col("first") < F.col("p")).select(*named)
+    return _rows(inside.unionByName(between).distinct(), "hard", "unsorted_file", F.lit(None), F.col("file_month"))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str], code: str = "duplicate_id", severity: str = "hard", listed: str | None = None) -> DataFrame:

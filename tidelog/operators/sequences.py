@@ -1,35 +1,43 @@
 """Operators over the whole time line: neighbours, gaps, bursts, spikes.
 
-A window without a partition key would move every row to one task.  The time
-line is cut into slices of ``SLICE`` instead, whatever its density: neighbours
-inside a slice come from a window by slice, and what goes on from slice to
-slice (the last row, the furthest end of a burst, the number of bursts so far)
-from a small table with a row for each slice that has posts.
+A window without a partition key would move every row to one task.  The order is
+cut into slices of about the same number of rows instead, wherever they lie
+(Spark's range partitioning, bounds by sampling): neighbours inside a slice come
+from a window by slice, and what goes on from slice to slice (the last row, the
+last window opened, the number of bursts so far) from a small table with a row
+for each slice.  Slices are written once, for bounds may differ when they are
+drawn again.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidelog.functions.times import epoch_micros, minutes_between
+from tidelog.sources.store import scratch
 
 
-#: Microseconds of a slice of the time line.
-SLICE = 3_600_000_000
+#: Slices for each shuffle partition, so that tasks get some of each.
+SLICES = 4
 
 
-def _slice(us: Column, length: int = SLICE) -> Column:
-    return F.floor(us / length).cast("bigint")
+def ranged(df: DataFrame, *order: str) -> DataFrame:
+    """df with __slice, ascending in the order; slices have about as many rows each."""
+    spark = df.sparkSession
+    count, path = SLICES * int(spark.conf.get("spark.sql.shuffle.partitions")), scratch(spark)
+    df.repartitionByRange(count, *order).withColumn("__slice", F.spark_partition_id()).write.parquet(path)
+    return spark.read.schema(T.StructType([*df.schema.fields, T.StructField("__slice", T.IntegerType())])).parquet(path)
 
 
 def with_previous(df: DataFrame, at: str, key: str, *carry: str) -> DataFrame:
     """df with prev_<c> for every c of carry: values of the row before in order of (at, key)."""
     row, order = F.struct(*carry), F.struct(at, key)
     inside = Window.partitionBy("__slice").orderBy(at, key)
-    cut = df.withColumn("__slice", _slice(epoch_micros(F.col(at))))
+    cut = ranged(df, at, key)
     last = cut.groupBy("__slice").agg(F.max_by(row, order).alias("__last"))
-    last = last.select("__slice", F.lag("__last").over(Window.orderBy("__slice")).alias("__before"))  # a row for each slice
+    last = last.select("__slice", F.lag("__last").over(Window.orderBy("__slice")).alias("__before"))
     found = cut.withColumn("__prev", F.lag(row).over(inside)).join(last, "__slice")
     prev = F.coalesce("__prev", "__before")
     return found.select(*df.columns, *[prev[c].alias(f"prev_{c}") for c in carry])
@@ -61,28 +69,25 @@ def bursts(posts: DataFrame, window_min: int = 10, min_posts: int = 5) -> DataFr
     """Islands of at least min_posts posts inside a moving window: start_et, end_et, count, kinds (map).
 
     Every post opens a window; those with enough posts are candidates, and
-    overlapping candidates are one burst.  A slice sees the posts of the next
-    one that its last window reaches.  A burst of any length is a few partial
-    sums in each slice.
+    overlapping candidates are one burst.  Whether a window has enough says the
+    post that is so many places ahead, in this slice or among the first posts
+    of the next ones; a post is in a burst if the last candidate's window
+    reaches it.  A burst of any length is a few partial sums in each slice.
     """
-    window = window_min * 60_000_000
-    length = max(SLICE, window)
-    some = posts.select("created_at_utc", "ts_id", "created_at_et", "kind").withColumn("us", epoch_micros(F.col("created_at_utc")))
-    at = _slice(F.col("us"), length)
-    seen = F.when(F.col("us") - at * length <= window, F.array(at, at - 1)).otherwise(F.array(at))
-    some = some.select("*", at.alias("own"), F.explode(seen).alias("slice"))
-    post, order = F.struct("us", "ts_id"), Window.partitionBy("slice").orderBy("us", "ts_id")
-    ahead = Window.partitionBy("slice").orderBy("us").rangeBetween(0, window)
-    some = some.withColumn("rn", F.row_number().over(order)).withColumns({"hi": F.max("rn").over(ahead), "end": F.max(post).over(ahead)})
-    # the frame counts posts of the same instant too; those before this one are taken off by its number
-    some = some.filter("own = slice").withColumn("cand", F.when(F.col("hi") - F.col("rn") + 1 >= min_posts, F.col("end"))).drop("hi", "end", "rn", "own")
-    earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    reach = some.groupBy("slice").agg(F.max("cand").alias("most")).select("slice", F.max("most").over(earlier).alias("carried"))
+    window, more = window_min * 60_000_000, min_posts - 1
+    some = posts.select("created_at_utc", "ts_id", "created_at_et", "kind").filter("created_at_utc IS NOT NULL").withColumn("us", epoch_micros(F.col("created_at_utc")))
+    order, post = Window.partitionBy("slice").orderBy("us", "ts_id"), F.struct("us", "ts_id")
+    some = ranged(some, "us", "ts_id").withColumnRenamed("__slice", "slice").withColumn("rn", F.row_number().over(order))
+    by_slice, earlier = Window.orderBy("slice"), Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    heads = some.groupBy("slice").agg(F.count("*").alias("n"), F.transform(F.array_sort(F.collect_list(F.when(F.col("rn") <= more, post))), lambda x: x["us"]).alias("head"))
+    heads = heads.select("slice", "n", F.flatten(F.collect_list("head").over(by_slice.rowsBetween(1, max(1, more)))).alias("next"))
+    ahead = F.coalesce(F.lead("us", more).over(order), F.get("next", (F.lit(more - 1) + F.col("rn") - F.col("n")).cast("int")))
+    some = some.join(heads, "slice").withColumn("ahead", ahead).withColumn("cand", F.when(F.col("ahead") - F.col("us") <= window, F.col("us"))).drop("next", "n", "ahead", "rn")
+    carried = some.groupBy("slice").agg(F.max("cand").alias("most")).select("slice", F.max("most").over(earlier).alias("carried"))
     before, so_far = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
-    some = some.join(reach, "slice").withColumns({"past": F.max("cand").over(before), "reach": F.max("cand").over(so_far)})
-    past = F.greatest("past", "carried")
-    opens = F.col("cand").isNotNull() & (past.isNull() | (past < post))
-    some = some.withColumns({"opens": F.when(opens, 1).otherwise(0), "inside": F.greatest("reach", "carried") >= post})
+    some = some.join(carried, "slice").withColumns({"past": F.greatest(F.max("cand").over(before), "carried"), "reach": F.greatest(F.max("cand").over(so_far), "carried")})
+    opens = F.col("cand").isNotNull() & (F.col("past").isNull() | (F.col("past") + window < F.col("us")))
+    some = some.withColumns({"opens": F.when(opens, 1).otherwise(0), "inside": F.col("us") <= F.col("reach") + window})
     base = some.groupBy("slice").agg(F.sum("opens").alias("n")).select("slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     members = some.withColumn("nth", F.sum("opens").over(so_far)).filter("inside").join(base, "slice").withColumn("island", F.col("base") + F.col("nth"))
     named = F.struct("us", "ts_id", "created_at_et")
@@ -109,12 +114,17 @@ def spike_days(posts: DataFrame, trailing: int = 28, factor: float = 3.0, least:
     return found.select("et_date", "count", "trailing_median")
 
 
+def id_gap_ranges(ids: DataFrame, column: str) -> DataFrame:
+    """first and last of each run of integers, between the smallest and the largest of a column, that are not there: as many rows as there are runs, however long they are."""
+    known = ids.select(F.col(column).cast("bigint").alias("id")).filter("id IS NOT NULL").distinct()
+    both = with_previous(known, "id", "id", "id").filter("prev_id < id - 1")
+    return both.select((F.col("prev_id") + 1).alias("first"), (F.col("id") - 1).alias("last"))
+
+
 def id_gaps(ids: DataFrame, column: str, block: int = 1 << 16) -> DataFrame:
-    """Integers between the smallest and the largest of a column that are not there.
+    """Integers between the smallest and the largest of a column that are not there, one by one.
 
-    Blocks of the range are expanded one by one in the cluster, never as one array.
+    Runs are cut into blocks and expanded in the cluster, never as one array.
     """
-    span = ids.agg(F.min(column).cast("bigint").alias("a"), F.max(column).cast("bigint").alias("b")).filter("a is not null")
-    blocks = span.select("b", F.explode(F.sequence("a", "b", F.lit(block).cast("bigint"))).alias("lo"))
-    every = blocks.repartition("lo").select(F.explode(F.sequence("lo", F.least("b", F.col("lo") + block - 1))).alias(column))
-    return every.join(ids.select(F.col(column).cast("bigint").alias(column)).distinct(), column, "left_anti")
+    blocks = id_gap_ranges(ids, column).select("last", F.explode(F.sequence("first", "last", F.lit(block).cast("bigint"))).alias("lo"))
+    return blocks.repartition("lo").select(F.explode(F.sequence("lo", F.least("last", F.col("lo") + block - 1))).alias(column))

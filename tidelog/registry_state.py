@@ -20,7 +20,7 @@ from tidelog.plans import views
 from tidelog.registry import _B, _ISO, _LAG, _MIN, _S, _SIG, _V, _event_merge, _minutes, _text, query
 from tidelog.schema import ENGAGEMENT, FIELDS, MEDIA, OBSERVATION, POST, RUN
 from tidelog.sources import json_array, landed, sinks, store, tracker_html
-from tidelog.streaming import micro
+from tidelog.streaming import keyed, micro
 
 
 def _observed(rows: DataFrame, given: dict) -> DataFrame:
@@ -718,3 +718,13 @@ def json_array_by_splits(spark, d):
             spark.conf.set(k, v)
     text = F.expr("substring(r.of.body, 1, char_length(r.of.body) - 5)")
     return spark.read.schema(found.schema).parquet(f"{root}/read").select(F.col("r.doc_id").alias("id"), F.char_length(text).cast("bigint").alias("size"), F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("digest"), F.col("r.of.lang").alias("lang"))
+
+
+@query(_SIG + """ SELECT ts_id, status, deleted_source, last_verified_live_at, deleted_lower, deleted_upper, first_seen_at, first_seen_source, seen_sources,
+  coalesce(kind, '') AS kind FROM (""" + _STATE + ")")
+def stream_keyed_state(spark, d):
+    """Landed observations folded batch by batch into one record a post, held in state: no stored month is read or written."""
+    path, root = _landing(_signals(event_observations(spark, d)), "seq < 600"), sinks.scratch(spark)
+    keyed.run_upserts(spark.readStream.schema(OBSERVATION).option("maxFilesPerTrigger", 1).parquet(path), f"{root}/data", f"{root}/mark").awaitTermination()
+    some = keyed.records(spark, f"{root}/data").select("ts_id", "status", "deleted_source", "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at", "first_seen_source", F.array_join("seen_sources", ",").alias("seen_sources"), "kind")
+    return _instants(some, "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at")

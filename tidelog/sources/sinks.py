@@ -9,11 +9,8 @@ leaves the old data set readable.
 
 from __future__ import annotations
 
-import atexit
-import contextlib
 import json
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame
@@ -23,6 +20,7 @@ from pyspark.sql import types as T
 from tidelog.functions.times import month_of, to_iso
 from tidelog.plans.views import derived
 from tidelog.sources import store
+from tidelog.sources.store import scratch  # noqa: F401 (part of this module's interface)
 
 # The columns of the posts export.
 EXPORT_COLUMNS = (
@@ -31,26 +29,6 @@ EXPORT_COLUMNS = (
 )
 
 
-def scratch(spark) -> str:
-    """A new folder that driver and executors share, below spark.checkpoint.dir; it goes when the process ends.
-
-    A folder of this machine is used only where the session names none and runs in one JVM, as in tests.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.gettempdir()
-    path = f"{base.rstrip('/')}/tidelog-{uuid.uuid4().hex}"
-    atexit.register(_forget, spark, path)
-    return path
-
-
-def _forget(spark, path: str) -> None:
-    with contextlib.suppress(Exception):  # the JVM may be gone at exit; the folder is scratch space
-        remove(spark, path)
-
-
 def textual(df: DataFrame) -> DataFrame:
     """Instants as ISO strings."""
     return df.select(*[to_iso(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name) for f in df.schema.fields])

@@ -16,7 +16,11 @@ it stands.  There is one writer at a time: a commit whose number is taken fails.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import json
+import re
+import tempfile
 import uuid
 from dataclasses import dataclass, field
 
@@ -64,6 +68,27 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder that driver and executors share, below spark.checkpoint.dir; it goes when the process ends.
+
+    A folder of this machine is used only where the session names none and runs in one JVM, as in tests.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "file://" + tempfile.gettempdir()
+    path = f"{base.rstrip('/')}/tidelog-{uuid.uuid4().hex}"
+    atexit.register(_forget, spark, path)
+    return path
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone at exit; the folder is scratch space
+        where, fs = _fs(spark, path)
+        fs.delete(where, True)
+
+
 def _name(number: int) -> str:
     return f"{number:012d}.json"
 
