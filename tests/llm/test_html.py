@@ -109,3 +109,74 @@ def test_densities_equal_plain_recursion():
 ])
 def test_what_stays(page, text):
     assert html_text.main_text(page) == text
+
+
+THREE, FIVE = "\n".join([LINE] * 3), "\n".join([LINE] * 5)
+
+
+@pytest.mark.parametrize("page, text", [
+    # a word inside a longer name says nothing
+    (f"<body><div class='post comments-enabled'>{P * 3}</div><p>x</p></body>", THREE),
+    # headlines, leads and loose text before or between what is chosen
+    (f"<body><h1>Headline</h1><div>{P * 3}</div></body>", f"Headline\n{THREE}"), (f"<body><div><p>Lead.</p></div><div>{P * 5}</div></body>", f"Lead.\n{FIVE}"),
+    (f"<body><div>{P * 3}</div><h2>Then</h2><div>{P * 3}</div></body>", f"{THREE}\nThen\n{THREE}"), (f"<body>Loose lead.<div>{P * 3}</div></body>", f"Loose lead.\n{THREE}"),
+    (f"<body><div><a href='/'>Home</a> <a href='/a'>About us</a></div><div>{P * 3}</div></body>", THREE),
+    # short texts follow the rules of long ones
+    ("<body><div class='legal'><p>Short item</p></div></body>", "Short item"), ("<body><div class='legal'><p>Short item</p></div><p>x</p></body>", "Short item\nx"),
+    # readers' comments, articles or not, longer than the article or not
+    (f"<body><div id=content>{P * 2}</div><div class=comments>{f'<article>{P * 3}</article>' * 5}</div></body>", "\n".join([LINE] * 2)),
+    (f"<body><div id=content>{P * 2}</div><div class='discussion'>{P * 9}</div></body>", "\n".join([LINE] * 2)), (f"<body><article>{P}<section id='comments-area'>{P * 9}</section></article></body>", LINE),
+    (f"<body><div id=content>{P * 5}</div>" + f"<div class='c-1x'>{P}</div>" * 3 + "</body>", FIVE), (f"<body><div class=comments>{P * 3}</div></body>", THREE),
+])
+def test_names_and_neighbours(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_cutting_equals_plain_recursion():
+    """Which nodes are cut by their names, told again over random trees: shares of the text without readers' parts, mains elsewhere, headings of headers."""
+    r = random.Random(3)
+    kinds = {"": html_text.OPEN, "story": html_text.OPEN, "legal-box": html_text.OTHER, "site-header": html_text.HEADER, "left-sidebar": html_text.SURE, "comment-list": html_text.READER}
+
+    def made(depth: int = 0) -> str:
+        out = ""
+        for _ in range(r.randint(1, 4)):
+            tag, name = r.choice(["div", "div", "section", "h2", "article", "p"]), r.choice(list(kinds))
+            inner = made(depth + 1) if depth < 3 and tag not in ("h2", "p") and r.random() < 0.8 else "word " * r.randint(0, 12)
+            out += f"<{tag} class='{name if tag not in ('article', 'p', 'h2') else ''}'>{inner}</{tag}>"
+        return out
+
+    def reader(e) -> bool:
+        return kinds[e.get("class") or ""] == html_text.READER
+
+    def chars(e, headings: bool = True) -> int:
+        if not headings and e.tag == "h2":
+            return 0
+        return size(e.text) + sum((0 if reader(x) else chars(x, headings)) + size(x.tail) for x in e)
+
+    def mains(e) -> int:
+        whole = size(e.text) + sum((0 if reader(x) else chars(x)) + size(x.tail) for x in e)
+        return int(e.tag == "article" and whole > 0) + sum(mains(x) for x in e if not reader(x))
+
+    for _ in range(150):
+        source = f"<html><body>{made()}</body></html>"
+        root, off = ET.fromstring(source), {}
+        total, all_mains = chars(root), mains(root)
+
+        def walk(e, gone: bool, above: int, in_article: bool) -> None:
+            mark = kinds[e.get("class") or ""]
+            if mark == html_text.HEADER and in_article:
+                mark = html_text.OPEN
+            most, only = 2 * chars(e) > total, all_mains <= mains(e) + above
+            keep = {html_text.OPEN: True, html_text.OTHER: most and only, html_text.HEADER: 2 * chars(e, False) > total and only, html_text.SURE: most and only and mains(e) > 0, html_text.READER: False}[mark]
+            off[e] = gone or not keep
+            for x in e:
+                walk(x, off[e], above + (e.tag == "article"), in_article or e.tag == "article")
+
+        walk(root, False, 0, False)
+        assert html_text._Page(source).cut_off(True)[1:] == [off[e] for e in root.iter()], source
+
+
+def test_empty_null_and_clashing(spark):
+    df = spark.createDataFrame([(1, "u", None, "x"), (None, None, "", "x"), (2, "u", "<p>a</p>", "x"), (2, "u", "<p>a</p>", "x")], "page_id long, url string, html string, text string")
+    got = sorted((x["page_id"] or 0, x["url"] or "", x["text"], x["n_chars"]) for x in html_text.extract(df).collect())
+    assert got == [(0, "", "", 0), (1, "u", "", 0), (2, "u", "a", 1), (2, "u", "a", 1)] and html_text.extract(df.limit(0)).count() == 0
