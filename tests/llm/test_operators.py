@@ -307,6 +307,20 @@ def test_packing_is_near_the_bound(spark):
     assert len({x["sequence_id"] for x in found}) <= 1.01 * -(-sum(x["length"] for x in found) // packing.LENGTH)
 
 
+def test_open_bins_of_many_tasks_are_packed_together(spark):
+    """Hardly more sequences in 64 tasks than in one, each without a gap."""
+    r = random.Random(14)
+    df = spark.createDataFrame([(i, "word " * int(r.lognormvariate(6, 1))) for i in range(2000)], "doc_id long, text string")
+    for tasks in (1, 64):
+        found, bins = packing.pack(df.repartition(tasks)).collect(), collections.defaultdict(list)
+        for x in found:
+            bins[x["sequence_id"]].append((x["offset"], x["length"]))
+        for parts in bins.values():
+            ends = np.cumsum([n for _, n in sorted(parts)])
+            assert [a for a, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= packing.LENGTH
+        assert len(bins) <= 1.02 * -(-sum(x["length"] for x in found) // packing.LENGTH)
+
+
 def test_very_long_blanks(spark):
     """Runs of millions of blanks or line feeds, alone and inside a text: ids as the plain tokenizer gives them, through both operators."""
     from tokenizers import Tokenizer

@@ -12,10 +12,11 @@ one too many, the fullest closes first.
 Pieces come in the order of the rows, ``ahead`` of them at a time (rounded up
 to whole slices of rows), the largest of those first: a look-ahead of fixed
 size, which an ``ahead`` of 1 turns off.  Each task packs what it reads, so
-there is no shuffle.  What is open at a task's end closes.  Sequences are
-numbered by task and no task shares one with another, so a task that is run
-again replaces all of its own; the same rows in the same order give the same
-numbers.
+no text is shuffled.  What is open at a task's end is packed once more: the open
+bins of TASKS tasks at a time, each bin as one piece, by the same packer; what
+then is open closes.  Sequences are numbered by task, and a bin that moves into
+another takes its number and stands behind what that has.  The pieces are
+written once, so a task that is run again changes no number.
 
 Nulls: a null text is empty and packs as its end id alone; a null doc_id stays
 null.  Repeated rows are packed row by row.  An empty table gives an empty
@@ -32,14 +33,17 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tidelog.llm.common import in_slices, texts_of
+from tidelog.llm.common import cut, in_slices, texts_of
 from tidelog.llm.tokens import default_vocabulary, encoder
 
 LENGTH = 2048
 END_ID = 0
 #: Pieces looked at together, and bins open at a time: fewer than those pieces fill, so that bins close on the way.
 AHEAD, OPEN_BINS = 1024, 256
+#: How many tasks' open bins are packed together: at most TASKS * OPEN_BINS bins.
+TASKS = 64
 SCHEMA = "piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 
 
@@ -118,5 +122,35 @@ def pack(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH, o
                 held = []
         if held:
             yield from placed(held, packer)
-
-    return some.mapInArrow(over, f"doc_id {kind}, {SCHEMA}")
+        # the bins that are still open, as rows without a piece: their number, and how full they are
+        open_ = [(number, length - free) for free, there in enumerate(packer.bins) for number in there]
+        if open_:
+            null = {f.name: pa.nulls(len(open_), f.type) for f in schema}
+            null |= {"sequence_id": pa.array([x[0] for x in open_], pa.int64()), "length": pa.array([x[1] for x in open_], pa.int64())}
+            yield pa.RecordBatch.from_arrays([null[f.name] for f in schema], schema=schema)
+
+    schema = pa.schema([("doc_id", to_arrow_type(some.schema["doc_id"].dataType)), ("piece", pa.int32()), *[(n, pa.int64()) for n in ("start", "length", "ids_crc32", "sequence_id", "offset")]])
+    packed = cut(some.mapInArrow(over, f"doc_id {kind}, {SCHEMA}"))
+    moved = _packed_again(packed.filter("piece IS NULL").select("sequence_id", "length"), length, open_bins)
+    both = packed.filter("piece IS NOT NULL").join(moved, "sequence_id", "left")
+    named = F.coalesce("into", "sequence_id").alias("sequence_id"), (F.col("offset") + F.coalesce("shift", F.lit(0))).alias("offset")
+    return both.select("doc_id", "piece", "start", "length", "ids_crc32", *named)
+
+
+def _packed_again(bins: DataFrame, length: int, open_bins: int) -> DataFrame:
+    """sequence_id, into and shift of open bins (sequence_id, length): the number each has from now on, and what stands before it there.
+
+    The fullest come first, so bins that nothing fits into do not wait in the packer.
+    """
+
+    def over(table: pa.Table) -> pa.Table:
+        numbers, sizes = table.column("sequence_id").to_numpy(), table.column("length").to_numpy()
+        packer, into, shift = Packer(length, open_bins, 0), np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+        first: dict[int, int] = {}
+        for k in np.lexsort((numbers, -sizes)).tolist():
+            number, shift[k] = packer.place(int(sizes[k]))
+            into[k] = first.setdefault(number, int(numbers[k]))
+        return pa.table({"sequence_id": numbers, "into": into, "shift": shift})
+
+    group = F.shiftright("sequence_id", 40 + TASKS.bit_length() - 1)
+    return bins.groupBy(group.alias("tasks")).applyInArrow(over, "sequence_id bigint, into bigint, shift bigint")
