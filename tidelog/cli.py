@@ -28,6 +28,8 @@ def saved_queries() -> dict[str, str]:
 
 def run_query(spark: SparkSession, sql: str, params: list | None = None, limit: int | None = None) -> DataFrame:
     """SQL over the registered views; params fill its question marks."""
+    if views.PREVIOUS in sql:
+        views.register_previous(spark)
     found = spark.sql(sql, args=params) if params else spark.sql(sql)
     return found if limit is None else found.limit(limit)
 

@@ -95,10 +95,18 @@ def media_items_between(view: DataFrame, media: DataFrame, start, end) -> DataFr
 
 
 def engagement_stats(view: DataFrame, latest: DataFrame, values=("favourites", "reblogs", "replies")) -> DataFrame:
-    """By kind: n, and nearest-rank median and 90th percentile of each value, nulls left out."""
+    """By kind: n, and nearest-rank median and 90th percentile of each value, nulls left out.
+
+    Ranks are looked up in running counts of the values, which are combined map-side; no state holds a kind's values.
+    """
     both = view.select("ts_id", "kind").join(latest.select("ts_id", *values), "ts_id")
-    found = [F.expr(f"percentile_disc({p}) within group (order by {v})").alias(f"{v}_{name}") for v in values for name, p in (("median", 0.5), ("p90", 0.9))]
-    return both.groupBy("kind").agg(F.count("*").alias("n"), *found)
+    each = both.select("kind", F.explode(F.array(*[F.struct(F.lit(v).alias("name"), F.col(v).alias("value")) for v in values])).alias("x"))
+    counts = each.groupBy("kind", "x.name", "x.value").agg(F.count("*").alias("k"))
+    known, group = F.when(F.col("value").isNotNull(), F.col("k")), Window.partitionBy("kind", "name")
+    counts = counts.withColumns({"n": F.sum("k").over(group), "some": F.sum(known).over(group), "upto": F.sum(known).over(group.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))})
+    first = lambda v, p: F.min(F.when((F.col("name") == v) & F.col("value").isNotNull() & (10 * F.col("upto") >= p * F.col("some")), F.col("value")))
+    found = [first(v, p).alias(f"{v}_{name}") for v in values for name, p in (("median", 5), ("p90", 9))]
+    return counts.groupBy("kind").agg(F.max("n").alias("n"), *found)
 
 
 def engagement_tiles(view: DataFrame, latest: DataFrame, value: str = "favourites") -> DataFrame:

@@ -63,20 +63,36 @@ def engagement_latest_ranked(engagement: DataFrame) -> DataFrame:
     return engagement.withColumn("rn", F.row_number().over(order)).filter("rn = 1").drop("rn")
 
 
-def register(spark: SparkSession, posts: DataFrame, engagement: DataFrame, deletion_log: DataFrame, runs: DataFrame) -> dict[str, DataFrame]:
-    """All relations as temporary views, by the names that saved SQL uses.
+#: A view that costs a pass over the posts before anything is asked of it.
+PREVIOUS = "v_posts_previous"
 
-    v_posts_previous has the time of the post before each post, without a window over the whole time line.
-    """
+
+def register_previous(spark: SparkSession) -> DataFrame:
+    """v_posts_previous, over v_posts_et as it is now: the time of the post before each post, without a window over the whole time line."""
+    found = with_previous(spark.table("v_posts_et"), "created_at_utc", "ts_id", "created_at_utc", "created_at_et")
+    found.createOrReplaceTempView(PREVIOUS)
+    return found
+
+
+class Relations(dict):
+    """Relations by name."""
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name != PREVIOUS:
+            raise KeyError(name)
+        return self.setdefault(name, register_previous(self["v_posts_et"].sparkSession))
+
+
+def register(spark: SparkSession, posts: DataFrame, engagement: DataFrame, deletion_log: DataFrame, runs: DataFrame) -> dict[str, DataFrame]:
+    """All relations as temporary views, by the names that saved SQL uses; v_posts_previous is made when it is asked for."""
     full = derived(posts)
     view = posts_et(posts)
     if "ingest_seq" not in engagement.columns:
         engagement = engagement.withColumn("ingest_seq", F.monotonically_increasing_id())
-    neighbours = with_previous(view, "created_at_utc", "ts_id", "created_at_utc", "created_at_et")
-    found = {
-        "v_posts_previous": neighbours, "posts": full, "media": media_rows(posts), "engagement": engagement, "deletions": deletion_log, "runs": runs,
+    found = Relations({
+        "posts": full, "media": media_rows(posts), "engagement": engagement, "deletions": deletion_log, "runs": runs,
         "v_posts_et": view, "v_deletions": deletions(view), "v_engagement_latest": engagement_latest(engagement),
-    }
+    })
     for name, df in found.items():
         df.createOrReplaceTempView(name)
     return found

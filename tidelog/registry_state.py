@@ -84,11 +84,10 @@ def merge_events_not_logged(spark, d):
     return _instants(merge.merge(_no_posts(spark), _signals(rows), logged).events.select("ts_id", "source", "detected_at"), "detected_at")
 
 
-@query("""SELECT count(DISTINCT user_id) AS posts, CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS fresh, count(DISTINCT user_id) AS of_first_run FROM events
-  WHERE CAST(props->>'$.k' AS INTEGER) >= 20""")
+@query("""SELECT count(DISTINCT user_id) AS posts, CAST(0 AS BIGINT) AS changed, CAST(0 AS BIGINT) AS fresh, count(DISTINCT user_id) AS of_first_run FROM events""")
 def merge_repeated_batch(spark, d):
-    """The same observations again: no record is new or changed, and the run that changed each stays."""
-    rows = event_observations(spark, d).filter("k >= 20")
+    """The same sightings again: no record is new or changed, and the run that changed each stays."""
+    rows = event_observations(spark, d).withColumn("k", F.greatest("k", F.lit(20)))  # none is a removal
     first = merge.merge(_no_posts(spark), _signals(rows)).posts.drop("changed", "is_new")
     again = merge.merge(first, _signals(rows.withColumn("seq", F.col("seq") + (1 << 40)), run_id=F.lit("r2"))).posts
     return again.agg(F.count("*").alias("posts"), F.count_if("changed").alias("changed"), F.count_if("is_new").alias("fresh"), F.count_if(F.col("updated_run_id") == "r").alias("of_first_run"))
@@ -728,3 +727,71 @@ def stream_keyed_state(spark, d):
     keyed.run_upserts(spark.readStream.schema(OBSERVATION).option("maxFilesPerTrigger", 1).parquet(path), f"{root}/data", f"{root}/mark").awaitTermination()
     some = keyed.records(spark, f"{root}/data").select("ts_id", "status", "deleted_source", "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at", "first_seen_source", F.array_join("seen_sources", ",").alias("seen_sources"), "kind")
     return _instants(some, "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at")
+
+
+# -- logs, feeds, orders and parameters --------------------------------------
+
+
+@query("""SELECT 'run' || (event_id % 7) AS run_id, event_type AS source, strftime(min(date_trunc('second', ts)), '%Y-%m-%dT%H:%M:%SZ') AS started_at, count(*) AS requests,
+  CAST(sum(event_id % 3) AS BIGINT) AS new_posts, min(event_id) % 2 = 0 AS ok, CAST(NULL AS VARCHAR) AS notes FROM events GROUP BY 1, 2""")
+def run_log_round_trip(spark, d):
+    """Run rows appended as JSON lines, a folder for each run, and read back."""
+    e, root = table(spark, d, "events"), sinks.scratch(spark)
+    made = e.groupBy(F.concat(F.lit("run"), F.col("event_id") % 7).alias("run_id"), F.col("event_type").alias("source")).agg(
+        F.min(times.to_second(F.col("ts"))).alias("started_at"), F.count("*").alias("requests"), F.sum(F.col("event_id") % 3).alias("new_posts"), (F.min("event_id") % 2 == 0).alias("ok"),
+    )
+    typed = made.select(*[(F.col(f.name) if f.name in made.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in RUN.fields])
+    for part in ("run_id < 'run3'", "run_id >= 'run3'"):
+        sinks.append_log(typed.filter(part), f"{root}/runs/{'a' if '<' in part else 'b'}")
+    return _instants(landed.runs(spark, root).select("run_id", "source", "started_at", "requests", "new_posts", "ok", "notes"), "started_at")
+
+
+@query("""SELECT CAST(110000000000000000 + doc_id AS VARCHAR) AS ts_id, CAST(doc_id AS INTEGER) AS tracker_id, 'https://tracker.example/statuses/' || doc_id AS url,
+  strftime(TIMESTAMP '2024-01-01' + INTERVAL (doc_id) MINUTE, '%Y-%m-%dT%H:%M:%SZ') AS created_at, lang || ' & more' AS title, CASE WHEN doc_id % 2 = 0 THEN '<p>' || source || '</p>' ELSE '' END AS description_html FROM documents""")
+def feed_items(spark, d):
+    """Documents as items of an RSS feed: a link or else a guid, times in RFC-2822, markup in CDATA, some without a description."""
+    docs, root = table(spark, d, "documents"), sinks.scratch(spark)
+    at = F.timestamp_add("MINUTE", F.col("doc_id").cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    url = F.concat(F.lit("https://tracker.example/statuses/"), F.col("doc_id"))
+    place = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("<link></link><guid>"), url, F.lit("</guid>"))).otherwise(F.concat(F.lit("<link>"), url, F.lit("</link><guid>g</guid>")))
+    text = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("<description><![CDATA[<p>"), "source", F.lit("</p>]]></description>"))).otherwise("")
+    item = F.concat(
+        F.lit("<item><title>"), "lang", F.lit(" &amp; more</title>"), place, F.lit("<truth:originalId>"), (F.lit(110000000000000000) + F.col("doc_id")).cast("string"), F.lit("</truth:originalId><pubDate>"),
+        F.date_format(at, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000</pubDate>"), text, F.lit("</item>"),
+    )
+    feeds = docs.groupBy(F.col("doc_id") % 8).agg(F.concat(F.lit('<rss xmlns:truth="x"><channel>'), F.array_join(F.collect_list(item), ""), F.lit("</channel></rss>")).alias("value"))
+    feeds.select("value").write.option("maxRecordsPerFile", 1).text(f"{root}/feed")
+    found = landed.feed_items(spark, f"{root}/feed")
+    return _instants(found.withColumnRenamed("created_at_utc", "created_at"), "created_at")
+
+
+@query("SELECT CAST(event_id AS VARCHAR) AS ts_id, strftime(ts, '%Y-%m') AS month FROM events WHERE event_id % 10 <> 3 ORDER BY event_id LIMIT 150")
+def posts_in_numeric_order(spark, d):
+    """The first 150 stored posts by number: ids of one to five digits, two months to a folder set."""
+    root = sinks.scratch(spark)
+    sinks.save_posts(_event_records(spark, d).filter("ts_id % 10 <> 3"), root)
+    return landed.sorted_posts(spark, root).limit(150).select("ts_id", times.month_of(F.col("created_at_utc")).alias("month"))
+
+
+@query(_V + """SELECT CAST(ts_id AS VARCHAR) AS ts_id, kind, et_date FROM (SELECT ts_id, kind, CAST(et_date AS VARCHAR) AS et_date FROM v WHERE CAST(et_date AS VARCHAR) BETWEEN '2024-01-05' AND '2024-01-12' AND kind = 'quote' ORDER BY v.ts_id DESC LIMIT 40)""")
+def query_with_parameters(spark, d):
+    """SQL over the registered views, its question marks filled, its rows limited."""
+    none = spark.createDataFrame([], T.StructType([*ENGAGEMENT.fields, T.StructField("ingest_seq", T.LongType())]))
+    views.register(spark, _event_records(spark, d), none, spark.createDataFrame([], landed.DELETION), spark.createDataFrame([], RUN))
+    sql = "SELECT ts_id, kind, CAST(et_date AS STRING) AS et_date FROM v_posts_et WHERE et_date BETWEEN ? AND ? AND kind = ? ORDER BY CAST(ts_id AS BIGINT) DESC"
+    return cli.run_query(spark, sql, ["2024-01-05", "2024-01-12", "quote"], 40)
+
+
+@query("""SELECT 'soft' AS severity, 'seen_once' AS code, CAST(NULL AS VARCHAR) AS ts_id, (SELECT count(*) FROM events WHERE event_id % 9 = 4) || ',' || string_agg(t, ', ' ORDER BY t) AS detail
+  FROM (SELECT CAST(event_id AS VARCHAR) AS t FROM events WHERE event_id % 9 = 4 ORDER BY t LIMIT 10)""")
+def check_names_first_ids(spark, d):
+    """One row for many posts: how many, and the first of their ids."""
+    ids = table(spark, d, "events").filter("event_id % 9 = 4").select(F.col("event_id").cast("string").alias("ts_id"))
+    return checks._sampled(ids, "seen_once").select("severity", "code", "ts_id", "detail")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS ts_id, 'own' AS account FROM orders WHERE o_custkey % 4 = 1")
+def cards_of_account(spark, d):
+    """Cards of one author among those of four."""
+    account = F.element_at(F.array(*[F.lit(a) for a in ("OWN", "own", "owner", "other")]), (F.col("o_custkey") % 4 + 1).cast("int"))
+    return landed.of_account(table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("ts_id"), account.alias("account")), "own").select("ts_id", "account")

@@ -130,9 +130,9 @@ def save_state(state: dict, path: str) -> None:
 
 
 def export_posts(posts: DataFrame, path: str) -> None:
-    """One CSV, 22 columns, in order of id."""
+    """CSV, 22 columns, in order of id: one file of a small archive, of a large one several, whose names are in order too."""
     some = derived(posts).withColumn("seen_sources", F.array_join("seen_sources", "|")).orderBy(F.col("ts_id").cast("bigint")).select(*EXPORT_COLUMNS)
-    textual(some).coalesce(1).write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
+    textual(some).write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
 
 
 def export_json(value, path: str) -> None:
