@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidelog import collect, control, report
 from tidelog.operators import validate
-from tidelog.plans import views
+from tidelog.plans import functions, views
 from tidelog.sources import landed
 
 
@@ -46,7 +46,9 @@ def formatted(df: DataFrame, style: str) -> str:
 
 
 def load(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return views.register(spark, landed.posts(spark, root), landed.engagement(spark, root), landed.deletion_log(spark, root), landed.runs(spark, root))
+    found = views.register(spark, landed.posts(spark, root), landed.engagement(spark, root), landed.deletion_log(spark, root), landed.runs(spark, root))
+    functions.register(spark)
+    return found
 
 
 def instant(text: str | None) -> dt.datetime:

@@ -16,7 +16,7 @@ from tidelog import cli, collect, report
 from tidelog.adapters import event_observations, event_posts, event_snapshots, table
 from tidelog.functions import texts, times
 from tidelog.operators import checks, merge, throttle
-from tidelog.plans import views
+from tidelog.plans import functions, views
 from tidelog.registry import _B, _ISO, _LAG, _MIN, _S, _SIG, _V, _event_merge, _minutes, _text, query
 from tidelog.schema import ENGAGEMENT, FIELDS, MEDIA, OBSERVATION, POST, RUN
 from tidelog.sources import json_array, landed, sinks, store, tracker_html
@@ -795,3 +795,49 @@ def cards_of_account(spark, d):
     """Cards of one author among those of four."""
     account = F.element_at(F.array(*[F.lit(a) for a in ("OWN", "own", "owner", "other")]), (F.col("o_custkey") % 4 + 1).cast("int"))
     return landed.of_account(table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("ts_id"), account.alias("account")), "own").select("ts_id", "account")
+
+
+# -- metrics as SQL table functions ------------------------------------------
+
+
+def _called(spark, d, sql: str) -> DataFrame:
+    """SQL that calls the functions over the events' relations."""
+    none = spark.createDataFrame([], T.StructType([*ENGAGEMENT.fields, T.StructField("ingest_seq", T.LongType())]))
+    views.register(spark, _event_records(spark, d), none, spark.createDataFrame([], landed.DELETION), spark.createDataFrame([], RUN))
+    functions.register(spark)
+    return cli.run_query(spark, sql)
+
+
+_DAYS = "et_date BETWEEN '2024-01-05' AND '2024-01-12'"
+
+
+@query(_V + f""", a AS (SELECT *, row_number() OVER (ORDER BY created_at_utc, ts_id) AS rn FROM v WHERE {_DAYS}),
+h AS (SELECT *, max(rn) OVER (ORDER BY created_at_utc RANGE BETWEEN CURRENT ROW AND INTERVAL 10 MINUTE FOLLOWING) AS hi FROM a),
+c AS (SELECT rn AS lo, hi FROM h WHERE hi - rn + 1 >= 5),
+i AS (SELECT lo, hi, CASE WHEN lo > coalesce(max(hi) OVER (ORDER BY lo ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) THEN 1 ELSE 0 END AS n FROM c),
+k AS (SELECT lo, hi, sum(n) OVER (ORDER BY lo ROWS UNBOUNDED PRECEDING) AS island FROM i), s AS (SELECT min(lo) AS lo, max(hi) AS hi FROM k GROUP BY island)
+SELECT x.created_at_et AS start_et, y.created_at_et AS end_et, s.hi - s.lo + 1 AS count,
+  (SELECT string_agg(kind || '=' || n, ',' ORDER BY kind) FROM (SELECT kind, count(*) AS n FROM a WHERE rn BETWEEN s.lo AND s.hi GROUP BY 1)) AS kinds FROM s JOIN a x ON x.rn = s.lo JOIN a y ON y.rn = s.hi""")
+def function_bursts(spark, d):
+    found = _called(spark, d, "SELECT * FROM bursts('2024-01-05', '2024-01-12')")
+    return found.withColumn("kinds", F.array_join(F.transform(F.array_sort(F.map_entries("kinds")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ","))
+
+
+@query(_V + f"""SELECT 'account ' || reblog_of_acct AS name, count(*) AS n FROM v WHERE kind = 'reblog' AND {_DAYS} GROUP BY 1 QUALIFY row_number() OVER (ORDER BY n DESC, name) <= 3
+UNION ALL SELECT 'domain d' || user_id, count(*) AS n FROM v WHERE ts_id % 3 = 0 AND {_DAYS} GROUP BY user_id QUALIFY row_number() OVER (ORDER BY count(*) DESC, 'd' || user_id) <= 10
+UNION ALL SELECT 'hour ' || r.x, count(et_hour) FROM range(24) r(x) LEFT JOIN (SELECT * FROM v WHERE {_DAYS}) ON et_hour = r.x GROUP BY r.x
+UNION ALL SELECT 'overnight', count(*) FROM v WHERE et_hour < 6 AND {_DAYS} UNION ALL SELECT 'media image', count(*) FROM v WHERE ts_id % 4 = 0 AND {_DAYS}
+UNION ALL SELECT 'deleted', count(*) FROM v WHERE is_deleted = 1 AND {_DAYS} UNION ALL SELECT 'edited', count(*) FROM v WHERE edited_at IS NOT NULL AND {_DAYS}""")
+def function_counts(spark, d):
+    """Every function with a count, by position, by name and with its defaults, in one statement."""
+    days = "'2024-01-05', '2024-01-12'"
+    return _called(spark, d, f"""SELECT 'account ' || account AS name, n FROM top_accounts({days}, 3) UNION ALL SELECT 'domain ' || domain, n FROM link_domains(b => '2024-01-12', a => '2024-01-05')
+        UNION ALL SELECT 'hour ' || et_hour, n FROM hour_histogram({days}) UNION ALL SELECT 'overnight', overnight FROM overnight_share({days}) UNION ALL SELECT 'media ' || type, n FROM media_items({days})
+        UNION ALL SELECT 'deleted', count(*) FROM deleted_posts({days}) UNION ALL SELECT 'edited', count(*) FROM edited_posts({days})""")
+
+
+@query(_V + """, c AS (SELECT CAST(x AS DATE) AS day FROM range(DATE '2023-12-25', DATE '2024-01-13', INTERVAL 1 DAY) r(x))
+SELECT strftime(day, '%Y-%m-%d') AS et_date, count(*) FILTER (kind = 'original') AS original, count(*) FILTER (kind = 'quote') AS quote, count(*) FILTER (kind = 'reblog') AS reblog, count(*) FILTER (kind = 'reply') AS reply,
+  count(ts_id) AS total, CAST(coalesce(sum(is_deleted), 0) AS BIGINT) AS deleted FROM c LEFT JOIN v ON et_date = strftime(day, '%Y-%m-%d') GROUP BY day""")
+def function_posts_by_day(spark, d):
+    return _text(_called(spark, d, "SELECT * FROM posts_by_day('2023-12-25', '2024-01-12')"), "et_date")
