@@ -16,6 +16,7 @@ next verification should look at.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from tidelog.operators import checks
 from tidelog.operators import merge as merging
 from tidelog.plans import views
 from tidelog.schema import ENGAGEMENT, OBSERVATION, RUN
-from tidelog.sources import landed, sinks, tracker_html
+from tidelog.sources import landed, paged, sinks, store, tracker_html
 from tidelog.streaming import micro
 
 HANDLE = "own"
@@ -78,6 +79,45 @@ def partials(spark: SparkSession, paths: list[str], source: str, run_id: str, ha
     return out
 
 
+#: Order of observations: by time, then by where they stand.
+_ORDER = ("observed_at", "file", "line")
+
+
+def _batch(rows: DataFrame) -> DataFrame:
+    turn = F.row_number().over(Window.partitionBy("ts_id").orderBy(*_ORDER, F.xxhash64(*OBSERVATION.fieldNames()))).cast("bigint")
+    return rows.withColumn("seq", turn).select(*OBSERVATION.fieldNames())
+
+
+def _merged(spark: SparkSession, root: str, stage: str, paths: list[str], source: str, run_id: str, name: str, files: DataFrame | None, handle: str) -> tuple[DataFrame, dict]:
+    """Merges what stands in files, under a batch's name; gives its rows, written once below stage, and the counts."""
+    partials(spark, paths, source, run_id, handle).write.mode("overwrite").parquet(f"{stage}/rows")
+    rows = spark.read.parquet(f"{stage}/rows")
+    counted = rows.filter("engagement is not null").select("ts_id", "source", "observed_at", "engagement.*", *_ORDER[1:])
+    ingested = F.struct(F.col("observed_at").cast("timestamp").alias("at"), "file", F.col("line.block").alias("block"), F.col("line.turn").alias("turn"))
+    shots = counted.select(*[F.col(f.name) for f in ENGAGEMENT.fields], ingested.alias("ingest_seq"))
+    return rows, micro.merge_into(_batch(rows), root, name, shots, files)
+
+
+def walk(spark: SparkSession, root: str, inbox: str, checkpoint: str, pages: int = 20, handle: str = HANDLE) -> None:
+    """Merges the pages of a timeline that have landed (see ``paged``), so many a batch, and ends; a later call goes on where this one stopped."""
+    spark.dataSource.register(paged.LandedPages)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        found = [r["file"] for r in batch.orderBy("run", "page").collect()]
+        if found:
+            stream = json.loads(store.read_text(spark, f"{checkpoint}/metadata"))["id"]
+            stage = f"{root}/staging/{stream}-{batch_id}"
+            _merged(spark, root, stage, found, "primary", f"walk-{batch_id}", f"{stream}-{batch_id}", None, handle)
+            sinks.remove(spark, stage)
+
+    stream = spark.readStream.format("landed_pages").option("path", inbox).option("pagesPerBatch", str(pages)).load()
+    query = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).start()
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def ingest(spark: SparkSession, root: str, inbox: str, source: str, run_id: str, state: dict, handle: str = HANDLE) -> dict:
     """Merges a source's new files; gives the counts of its run row."""
     known = state.setdefault("sources", {}).setdefault(source, {})
@@ -94,15 +134,8 @@ def ingest(spark: SparkSession, root: str, inbox: str, source: str, run_id: str,
     if not paths:
         sinks.remove(spark, stage)
         return {"notes": "nothing new"}
-    partials(spark, paths, source, run_id, handle).write.mode("overwrite").parquet(f"{stage}/rows")
-    rows = spark.read.parquet(f"{stage}/rows")
-    order = ("observed_at", "file", "line")
-    turn = F.row_number().over(Window.partitionBy("ts_id").orderBy(*order, F.xxhash64(*OBSERVATION.fieldNames()))).cast("bigint")
-    batch = rows.withColumn("seq", turn).select(*OBSERVATION.fieldNames())
-    counted = rows.filter("engagement is not null").select("ts_id", "source", "observed_at", "engagement.*", *order[1:])
-    ingested = F.struct(F.col("observed_at").cast("timestamp").alias("at"), "file", F.col("line.block").alias("block"), F.col("line.turn").alias("turn"))
-    shots = counted.select(*[F.col(f.name) for f in ENGAGEMENT.fields], ingested.alias("ingest_seq"))
-    done = micro.merge_into(batch, root, f"{run_id}-{source}", shots, files)
+    rows, done = _merged(spark, root, stage, paths, source, run_id, f"{run_id}-{source}", files, handle)
+    batch, order = _batch(rows), _ORDER
     if source == "primary":
         count = rows.filter("statuses_count is not null").agg(F.max_by("statuses_count", F.struct(*order))).first()[0]
         known["statuses_count"] = count if count is not None else known.get("statuses_count")
