@@ -3,6 +3,7 @@
 import pytest
 from tests.fixture import FIRST_ID, U, observation, observations
 
+from tidelog import collect
 from tidelog.sources import landed, sinks, store
 from tidelog.streaming import micro
 
@@ -96,3 +97,38 @@ def test_versions(spark, tmp_path):
     assert len(store.current(spark, root).logs["deletions"]) == 1 and landed.deletion_log(spark, root).count() == 1
     sinks.save_posts(landed.posts(spark, root).filter("content_text <> 'stays'"), root)
     assert landed.posts(spark, root).count() == 2
+
+
+def test_rebuild_is_never_missing_or_mixed(spark, tmp_path, monkeypatch):
+    """Between any two steps of a rebuild all tables can be read, and ``rebuilt`` gives those of one rebuild."""
+    root, name = str(tmp_path / "data"), "swapped"
+    first, second, shots = batches(spark)
+    micro.merge_into(first, root, "b-0")
+    try:
+        assert collect.rebuild(spark, root, name) == {"posts": 3, "engagement": 0, "deletions": 0, "runs": 0, "media": 0}
+        running = spark.table(f"{name}.posts").select("ts_id")
+        micro.merge_into(second, root, "b-1", shots)
+        seen_, sql = [], type(spark).sql
+
+        def looked(self, text, *args, **kwargs):
+            if text.startswith("ALTER TABLE"):
+                for when in ("before", "after"):
+                    counts = {t: spark.table(f"{name}.{t}").count() for t in ("posts", "engagement", "deletions", "runs", "media")}
+                    whole = {t: df.count() for t, df in collect.rebuilt(spark, name).items()}
+                    seen_.append((when, counts["engagement"], whole["engagement"], whole["deletions"], whole["posts"]))
+                    if when == "before":
+                        out = sql(self, text, *args, **kwargs)
+                        spark.catalog.refreshTable(text.split()[2])
+                return out
+            return sql(self, text, *args, **kwargs)
+
+        with monkeypatch.context() as m:
+            m.setattr(type(spark), "sql", looked)
+            assert collect.rebuild(spark, root, name)["engagement"] == 1
+        assert len(seen_) == 10 and {x[2:] for x in seen_} == {(1, 1, 3)} and {x[1] for x in seen_} == {0, 1}
+        assert running.count() == 3  # planned on the first rebuild, whose files stay one rebuild longer
+        assert collect.rebuild(spark, root, name)["deletions"] == 1
+    finally:
+        for t in ("posts", "engagement", "deletions", "runs", "media"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}.{t}")
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")

@@ -195,13 +195,42 @@ def export(spark: SparkSession, root: str, output: str, now: dt.datetime, counts
 
 
 def rebuild(spark: SparkSession, root: str, database: str) -> dict[str, int]:
-    """The relations as tables of a database: all are written beside the old ones first and then swapped in; rows by table."""
-    found = {"posts": landed.posts(spark, root), "engagement": landed.engagement(spark, root), "deletions": landed.deletion_log(spark, root), "runs": landed.runs(spark, root)}
+    """The relations as tables of a database, all of one version of the data set; rows by table.
+
+    All are written to a folder of this rebuild first.  Then each table is
+    pointed at its part of it: no table is ever missing, and a query that has
+    begun goes on with the files it has.  ``rebuilt`` gives readers all tables
+    of one rebuild, whatever is being pointed elsewhere.
+    """
+    version = store.current(spark, root)
+    found = {"posts": landed.posts(spark, root, version), "engagement": landed.engagement(spark, root, version), "deletions": landed.deletion_log(spark, root, version), "runs": landed.runs(spark, root)}
     found["media"] = views.media_rows(found["posts"])
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name, df in found.items():
-        df.write.mode("overwrite").saveAsTable(f"{database}.{name}__new")
-    for name in found:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
-        spark.sql(f"ALTER TABLE {database}.{name}__new RENAME TO {database}.{name}")
-    return {name: spark.table(f"{database}.{name}").count() for name in found}
+    base = _rebuilds(spark, database)
+    before = store.numbers(spark, base)
+    name = f"{max(before, default=0) + 1:012d}"
+    for table, df in found.items():
+        df.write.mode("overwrite").parquet(f"{base}/{name}/{table}")
+    made = store.Batch(spark, base, name)
+    made.logs = {table: [f"{name}/{table}"] for table in found}
+    made.commit({})
+    for table, df in found.items():
+        if spark.catalog.tableExists(f"{database}.{table}"):
+            spark.sql(f"ALTER TABLE {database}.{table} SET LOCATION '{base}/{name}/{table}'")
+            spark.catalog.refreshTable(f"{database}.{table}")
+        else:
+            spark.catalog.createTable(f"{database}.{table}", f"{base}/{name}/{table}", "parquet", df.schema)
+    for old in before[:-1]:
+        sinks.remove(spark, f"{base}/{old:012d}")
+    return {table: spark.table(f"{database}.{table}").count() for table in found}
+
+
+def _rebuilds(spark: SparkSession, database: str) -> str:
+    where = spark.sql(f"DESCRIBE DATABASE {database}").filter("info_name = 'Location'").first()["info_value"]
+    return f"{where.rstrip('/')}/rebuilds"
+
+
+def rebuilt(spark: SparkSession, database: str) -> dict[str, DataFrame]:
+    """The tables of the last rebuild that was finished, all of it: one pointer says which."""
+    found = store.current(spark, _rebuilds(spark, database))
+    return {table: spark.read.parquet(*found.log_paths(table)) for table in found.logs}
