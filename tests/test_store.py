@@ -132,3 +132,16 @@ def test_rebuild_is_never_missing_or_mixed(spark, tmp_path, monkeypatch):
         for t in ("posts", "engagement", "deletions", "runs", "media"):
             spark.sql(f"DROP TABLE IF EXISTS {name}.{t}")
         spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def test_plain_layout_below_a_root_of_the_same_name(spark, tmp_path):
+    """A first commit takes a plain layout over where it stands; the root may be called as its parts are."""
+    root = str(tmp_path / "posts")
+    first, second, _ = batches(spark)
+    micro.merge_into(first, str(tmp_path / "other"), "b-0")
+    sinks.save_posts(landed.posts(spark, str(tmp_path / "other")), root)
+    assert store.current(spark, root).posts == {"2026-08": ["posts/month=2026-08"], "2026-09": ["posts/month=2026-09"]} and landed.posts(spark, root).count() == 3
+    micro.merge_into(second, root, "b-1")
+    want = str(tmp_path / "other")
+    micro.merge_into(second, want, "b-1")
+    assert sorted(map(repr, landed.posts(spark, root).collect())) == sorted(map(repr, landed.posts(spark, want).collect()))

@@ -109,7 +109,9 @@ def current(spark: SparkSession, root: str, number: int | None = None) -> Versio
 def _plain(spark: SparkSession, root: str) -> Version:
     """Version 0: posts/month=<yyyy-MM>/ or posts/<yyyy-MM>.jsonl, and the logs; a folder that a swap moved aside stands in for a missing one."""
     found = Version(root)
-    short = lambda p: p[p.rindex(f"{root.rsplit('/', 1)[-1]}/") + len(root.rsplit("/", 1)[-1]) + 1 :]
+    where, fs = _fs(spark, root)
+    above = fs.makeQualified(where).toString() + "/"
+    short = lambda p: p.removeprefix(above)
     for folder in ("posts", "posts.old"):
         months = {p.rsplit("month=", 1)[1]: short(p) for p in glob(spark, f"{root}/{folder}/month=*")}
         found.posts = {m.removesuffix(".old"): [p] for m, p in months.items() if not m.endswith(".old") or m.removesuffix(".old") not in months}
