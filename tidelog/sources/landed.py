@@ -19,12 +19,16 @@ from tidelog.sources import json_array, store
 
 
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    def one(f: T.StructField) -> Column:
-        if isinstance(f.dataType, T.TimestampNTZType):
-            return parse_instant(F.col(f.name)).alias(f.name)
-        return F.col(f.name).cast(f.dataType).alias(f.name)
+    """df in the types of a schema; instants are ISO text.
 
-    return df.select(*[one(f) for f in schema.fields])
+    All of a row's instants are parsed by one expression: one for each would be
+    too much code for a generated stage.
+    """
+    instants = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampNTZType)]
+    if instants:
+        df = df.withColumn("__instants", F.transform(F.array(*instants), parse_instant))
+    at = lambda f: F.get("__instants", F.lit(instants.index(f.name)))
+    return df.select(*[at(f).alias(f.name) if f.name in instants else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def _exists(spark: SparkSession, path: str) -> bool:

@@ -126,7 +126,7 @@ def upserts(stream: DataFrame) -> DataFrame:
 
 def run_upserts(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
     """Folds what is there into the records at root and ends."""
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    conf, name = stream.sparkSession.conf, "spark.sql.streaming.stateStore.providerClass"
 
     def step(batch: DataFrame, batch_id: int) -> None:
         stream_id = json.loads(store.read_text(batch.sparkSession, f"{checkpoint}/metadata"))["id"]
@@ -135,7 +135,12 @@ def run_upserts(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery
             made.append(LOG, lambda path: batch.write.parquet(path))
             made.commit({})
 
-    return upserts(stream).writeStream.foreachBatch(step).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    before = conf.get(name)
+    conf.set(name, ROCKSDB)  # a query takes the session's settings when it starts
+    try:
+        return upserts(stream).writeStream.foreachBatch(step).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        conf.set(name, before)
 
 
 def _log(spark: SparkSession, paths: list[str]) -> DataFrame:

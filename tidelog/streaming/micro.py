@@ -11,6 +11,7 @@ Corrections may be arbitrarily late, so the merge has no watermark.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -69,11 +70,14 @@ def merge_batch(root: str, engagement: Callable[[DataFrame], DataFrame] | None =
 
     A batch's name has the stream's identity from its checkpoint, so a stream
     begun anew is another one, though its batches have the same numbers.
+    Without a checkpoint each call is a stream of its own: a batch that comes
+    twice is merged twice, which changes no record.
     """
+    own = uuid.uuid4().hex
 
     def step(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            stream = json.loads(store.read_text(batch.sparkSession, f"{checkpoint}/metadata"))["id"] if checkpoint else "batch"
+            stream = json.loads(store.read_text(batch.sparkSession, f"{checkpoint}/metadata"))["id"] if checkpoint else own
             merge_into(batch, root, f"{stream}-{batch_id}", engagement(batch) if engagement else None)
 
     return step
