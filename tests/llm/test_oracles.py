@@ -10,7 +10,8 @@ from tidelog.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{DATA}/{table}.parquet'")
     mine = queries.queries()[name](spark, DATA).toPandas()
     other = con.execute(queries.oracle_sql()[name]).df()
     assert sorted(mine.columns) == sorted(other.columns)
