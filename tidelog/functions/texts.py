@@ -107,13 +107,24 @@ def _outside_quotes(tags: Column) -> Column:
 
 
 def html_to_text(source: Column) -> Column:
-    """Plain text of a post's HTML: inline quotes go, ends of blocks break lines, blanks run together, lines are trimmed, and at most one empty line stays between two others."""
-    html_ = F.coalesce(source, F.lit(""))
-    tags = let(_tags(html_), lambda t: F.when(html_.contains(QUOTE_CLASS), _outside_quotes(t)).otherwise(t))
+    """Plain text of a post's HTML: inline quotes go, ends of blocks break lines, blanks run together, lines are trimmed, and at most one empty line stays between two others.
+
+    Tags that break lines are nearly always written plainly and are replaced as
+    they stand; only texts with others of them, or with an inline quote, are
+    read tag by tag.
+    """
+    plain = F.coalesce(source, F.lit(""))
+    for name in LINE_ENDS:
+        for end in (">", "/>", " />") if name == "br" else (">",):
+            plain = F.replace(plain, F.lit(f"<{name}{end}"), F.lit("\n"))
     broken = lambda x: F.when(F.lower(F.rtrim(x["tag"], F.lit(" \t\n\r\f/"))).isin(*LINE_ENDS), F.concat(x["text"], F.lit("\n"))).otherwise(x["text"])
-    bare = F.array_join(F.transform(tags, broken), "")
+    odd = quoted = plain.contains(QUOTE_CLASS)
+    tags = let(_tags(plain), lambda t: F.when(quoted, _outside_quotes(t)).otherwise(t))
+    for name in LINE_ENDS:
+        odd = odd | F.lower(plain).contains(f"<{name}")
+    bare = F.when(odd, F.array_join(F.transform(tags, broken), "")).otherwise(F.regexp_replace(plain, "<[^>]+>", ""))
     text = F.translate(decoded(bare), "\xa0\r\t\f\x0b", "     ")
-    lines = F.transform(F.split(text, "\n"), lambda x: F.btrim(F.array_join(F.filter(F.split(x, " "), lambda w: w != ""), " "), F.lit(BLANKS)))
+    lines = F.transform(F.split(text, "\n"), lambda x: F.btrim(F.regexp_replace(x, "  +", " "), F.lit(BLANKS)))
     # of empty lines in a row the first stays, at the ends none
     kept = let(lines, lambda all_: F.filter(all_, lambda x, i: (x != "") | (F.get(all_, i - 1) != "")))
     return F.btrim(F.array_join(kept, "\n"), F.lit("\n"))
