@@ -118,10 +118,8 @@ def html_to_text(source: Column) -> Column:
         for end in (">", "/>", " />") if name == "br" else (">",):
             plain = F.replace(plain, F.lit(f"<{name}{end}"), F.lit("\n"))
     broken = lambda x: F.when(F.lower(F.rtrim(x["tag"], F.lit(" \t\n\r\f/"))).isin(*LINE_ENDS), F.concat(x["text"], F.lit("\n"))).otherwise(x["text"])
-    odd = quoted = plain.contains(QUOTE_CLASS)
+    quoted, odd = plain.contains(QUOTE_CLASS), F.lower(plain).rlike("|".join([QUOTE_CLASS, *(f"<{name}" for name in LINE_ENDS)]))
     tags = let(_tags(plain), lambda t: F.when(quoted, _outside_quotes(t)).otherwise(t))
-    for name in LINE_ENDS:
-        odd = odd | F.lower(plain).contains(f"<{name}")
     bare = F.when(odd, F.array_join(F.transform(tags, broken), "")).otherwise(F.regexp_replace(plain, "<[^>]+>", ""))
     text = F.translate(decoded(bare), "\xa0\r\t\f\x0b", "     ")
     lines = F.transform(F.split(text, "\n"), lambda x: F.btrim(F.regexp_replace(x, "  +", " "), F.lit(BLANKS)))
