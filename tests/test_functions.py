@@ -59,6 +59,13 @@ def test_html_to_text(spark):
     assert apply(spark, more, texts.html_to_text)[0] == "café — it’s … &lt; <x A &"
 
 
+def test_references_cut_off_by_tags(spark):
+    cases = {
+        "a &amp</title><style>p{x}</style>": "a &ampp{x}", "b &am</title>p{x}": "b &amp{x}", "c &lt<br>d": "c &lt\nd", "d &</b>lt e &amp;&copy f": "d &lt e &© f", "e &am<i>p;</i> &<b>#39;</b>": "e & '", "f &amp;lt<b>;</b>": "f &lt;",
+    }
+    assert apply(spark, list(cases), texts.html_to_text) == list(cases.values())
+
+
 def test_links_and_media(spark):
     assert apply(spark, ["https://WWW.Example.com:80/a", "http://x.org/?u=y.png", "nope", None], texts.card_domain) == ["example.com", "x.org", None, None]
     assert apply(spark, ["a.MP4", "b.jpeg?x=.mov", "c", "d.qt", "e.gif"], texts.media_type_of) == ["video", "image", "unknown", "video", "image"]
