@@ -66,6 +66,13 @@ def test_references_cut_off_by_tags(spark):
     assert apply(spark, list(cases), texts.html_to_text) == list(cases.values())
 
 
+def test_html_is_read_once_by_tags(spark):
+    cases = {"<<br/>x": "x", 'a<i title="<br>b': "ab", "a <> b": "a <> b", 'x<span class="quote-inline">y<br>z': "xy\nz", "a<b" * 20_000: "a<b" * 20_000}
+    assert apply(spark, list(cases), texts.html_to_text) == list(cases.values())
+    plan = spark.sql("SELECT '<p>x</p>' AS s FROM range(1)").select(texts.html_to_text(F.col("s")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") <= 1 and "lambdafunction" not in plan
+
+
 def test_links_and_media(spark):
     assert apply(spark, ["https://WWW.Example.com:80/a", "http://x.org/?u=y.png", "nope", None], texts.card_domain) == ["example.com", "x.org", None, None]
     assert apply(spark, ["a.MP4", "b.jpeg?x=.mov", "c", "d.qt", "e.gif"], texts.media_type_of) == ["video", "image", "unknown", "video", "image"]
