@@ -88,25 +88,34 @@ def run_merge(stream: DataFrame, root: str, checkpoint: str, engagement: Callabl
     return stream.writeStream.foreachBatch(merge_batch(root, engagement, checkpoint)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+#: Groups of posts that a stream's throttle keeps state for; a checkpoint holds on to it.
+BUCKETS = 1024
+
+
 def throttled(stream: DataFrame, gap_seconds: int = throttle.GAP_SECONDS) -> DataFrame:
-    """Kept engagement snapshots (ts_id, observed_at, favourites) of a stream: state by post is the last kept instant.
+    """Kept engagement snapshots (ts_id, observed_at, favourites) of a stream: state is the last kept instant of each post.
 
+    Posts are dealt into BUCKETS groups, for a group costs milliseconds however
+    few rows it has; the state of one is its posts with their instants, as JSON.
     Rows of a post in one batch are taken in order of time.
     """
+    gap = gap_seconds * 1_000_000
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
+        last = {post: us for post, us in json.loads(state.get[0])} if state.exists else {}
         rows = pd.concat(list(frames)).sort_values("observed_at", kind="stable")
         keep = []
-        for at in rows["observed_at"]:
-            ok = last is None or (at - last).total_seconds() >= gap_seconds
+        for post, missing, us in zip(rows["ts_id"], rows["observed_at"].isna(), rows["observed_at"].astype("datetime64[us]").astype("int64").tolist()):
+            stood = last.get(post)
+            ok = stood is None or not missing and us - stood >= gap
             keep.append(ok)
-            last = at if ok else last
-        if last is not None:
-            state.update((int(last.value // 1000),))
-        yield rows[keep]
+            if ok and not missing:
+                last[post] = us
+        state.update((json.dumps(list(last.items())),))
+        yield rows.loc[keep, ["ts_id", "observed_at", "favourites"]]
 
-    return stream.groupBy("ts_id").applyInPandasWithState(step, "ts_id string, observed_at timestamp_ntz, favourites bigint", "last bigint", "append", GroupStateTimeout.NoTimeout)
+    dealt = stream.withColumn("bucket", F.pmod(F.xxhash64("ts_id"), F.lit(BUCKETS)))
+    return dealt.groupBy("bucket").applyInPandasWithState(step, "ts_id string, observed_at timestamp_ntz, favourites bigint", "last string", "append", GroupStateTimeout.NoTimeout)
 
 
 def event_counts(stream: DataFrame, at: str = "ts", window: str = "1 day", late: str = "1 day") -> DataFrame:
