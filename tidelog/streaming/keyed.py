@@ -32,6 +32,8 @@ from tidelog.sources import store
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 LOG = "records"
+#: Groups of posts that a stream keeps state for; a checkpoint holds on to it.
+BUCKETS = 1024
 _OUT = "ts_id string, version bigint, record string"
 
 
@@ -94,24 +96,29 @@ def fold(rec: dict | None, o: dict) -> dict:
 
 
 class Upsert(StatefulProcessor):
-    """State of a post: its record and how often it has changed, as JSON."""
+    """State of a bucket of posts: by post its record and how often it has changed, as JSON; only the posts of a batch are read and written."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("record", "version bigint, record string")
+        self.state = handle.getMapState("records", "ts_id string", "version bigint, record string")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        version, before = self.state.get() if self.state.exists() else (0, None)
-        seen = pd.concat(list(rows)).sort_values("seq", kind="stable")["o"].map(json.loads).tolist()
-        rec = json.loads(before) if before else None
-        known = {k: rec.pop(k) for k in ("updated_at", "updated_run_id")} if rec else {}
-        bare = json.dumps(rec, sort_keys=True) if rec else None
-        for o in seen:
-            rec = fold(rec, o)
-        if json.dumps(rec, sort_keys=True) != bare:
-            known = {"updated_at": seen[-1]["observed_at"], "updated_run_id": seen[-1].get("run_id")}
-            text = json.dumps(rec | known, sort_keys=True)
-            self.state.update((version + 1, text))
-            yield pd.DataFrame({"ts_id": [key[0]], "version": [version + 1], "record": [text]})
+        out = []
+        for ts_id, seen in pd.concat(list(rows)).sort_values("seq", kind="stable").groupby("ts_id", sort=False)["o"]:
+            post = (ts_id,)
+            version, before = self.state.getValue(post) or (0, None)
+            rec = json.loads(before) if before else None
+            known = {k: rec.pop(k) for k in ("updated_at", "updated_run_id")} if rec else {}
+            bare = json.dumps(rec, sort_keys=True) if rec else None
+            for text in seen:
+                o = json.loads(text)
+                rec = fold(rec, o)
+            if json.dumps(rec, sort_keys=True) != bare:
+                known = {"updated_at": o["observed_at"], "updated_run_id": o.get("run_id")}
+                text = json.dumps(rec | known, sort_keys=True)
+                self.state.updateValue(post, (version + 1, text))
+                out.append((ts_id, version + 1, text))
+        if out:
+            yield pd.DataFrame(out, columns=["ts_id", "version", "record"])
 
     def close(self) -> None:
         pass
@@ -121,7 +128,8 @@ def upserts(stream: DataFrame) -> DataFrame:
     """Changed records (ts_id, version, record as JSON) of a stream of observations; version counts a post's changes."""
     fields = [F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name) for f in OBSERVATION.fields if f.name not in ("ts_id", "seq")]
     rows = stream.select("ts_id", "seq", F.to_json(F.struct(*fields)).alias("o"))
-    return rows.groupBy("ts_id").transformWithStateInPandas(Upsert(), _OUT, "Update", "None")
+    # posts are dealt into buckets, for a group costs milliseconds however few rows it has
+    return rows.withColumn("bucket", F.pmod(F.xxhash64("ts_id"), F.lit(BUCKETS))).groupBy("bucket").transformWithStateInPandas(Upsert(), _OUT, "Update", "None")
 
 
 def run_upserts(stream: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
