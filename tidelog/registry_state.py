@@ -701,11 +701,11 @@ def collect_observation_times(spark, d):
 
 @query("SELECT doc_id AS id, length(text) AS size, md5(coalesce(text, '')) AS digest, lang FROM documents")
 def json_array_by_splits(spark, d):
-    """Whole texts in one JSON array, written as one line and read by splits of a quarter of a megabyte."""
+    """Whole texts in JSON arrays, each task's written as one line of a file, and read by splits of a quarter of a megabyte."""
     docs, root = table(spark, d, "documents"), sinks.scratch(spark)
     quoted = F.concat(F.col("text"), F.lit('{"\\\\}')).alias("text")
     rows = docs.select(F.to_json(F.struct("doc_id", F.struct(F.when(F.col("text").isNotNull(), quoted).alias("body"), "lang").alias("of"))).alias("value")).withColumn("value", F.concat(F.lit(","), "value"))
-    rows.coalesce(1).write.option("lineSep", " ").text(f"{root}/array")
+    rows.write.option("lineSep", " ").text(f"{root}/array")
     before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     for k in before:
         spark.conf.set(k, str(1 << 18))
