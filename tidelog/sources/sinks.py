@@ -118,9 +118,15 @@ def append_engagement(rows: DataFrame, root: str) -> None:
 
 
 def write_engagement(rows: DataFrame, path: str) -> None:
-    """Snapshots by month of observation, CSV with header, blank for null."""
-    some = rows.drop("ingest_seq").withColumn("month", month_of(F.col("observed_at")))
-    textual(some).repartition("month").write.mode("append").partitionBy("month").option("header", True).option("nullValue", "").csv(path)
+    """Snapshots by month of observation, CSV with header, blank for null.
+
+    A month lies in as many files as its size asks for.  Those of a post at one
+    instant are in one file, in order of ingest, so readers find the last.
+    """
+    order = F.col("ingest_seq") if "ingest_seq" in rows.columns else F.monotonically_increasing_id()
+    some = rows.withColumns({"month": month_of(F.col("observed_at")), "__order": order})
+    dealt = some.repartitionByRange("month", "observed_at", "ts_id").sortWithinPartitions("month", "__order").drop("__order", "ingest_seq")
+    textual(dealt).write.mode("append").partitionBy("month").option("header", True).option("nullValue", "").csv(path)
 
 
 def save_state(state: dict, path: str) -> None:
