@@ -5,7 +5,7 @@ import os
 from tests.fixture import U
 
 from pyspark.sql import functions as F
-from tidelog import registry_state
+from tidelog import registry, registry_state
 from tidelog.plans import views
 from tidelog.schema import ENGAGEMENT
 from tidelog.sources import landed, sinks
@@ -39,3 +39,18 @@ def test_arrays_are_written_by_all_tasks(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.files.openCostInBytes")
     assert len([f for f in os.listdir(tmp_path / "s" / "array") if f.startswith("part-")]) == 4
     assert sorted((r["id"], r["size"]) for r in found) == [(i, len(f"text {i} {{")) for i in range(40)]
+
+
+def test_costly_rows_are_dealt_to_all_cores(spark, tmp_path):
+    spark.sql("SELECT id AS o_orderkey, '1-URGENT' AS o_orderpriority, timestamp_ntz'2024-01-01' AS o_orderdate FROM range(100)").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.sql("SELECT id AS event_id, timestamp_ntz'2024-01-01' AS ts FROM range(100)").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    for made in (registry_state.tracker_status_pages, registry_state.check_record_rules):
+        assert made(spark, str(tmp_path)).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_media_between_makes_no_arrays(spark, tmp_path):
+    spark.sql("SELECT id AS o_orderkey, 1 AS o_custkey, 'F' AS o_orderstatus, '1-URGENT' AS o_orderpriority, timestamp_ntz'1997-02-01' AS o_orderdate FROM range(3)").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.sql("SELECT id % 4 AS l_orderkey, 1 AS l_linenumber, if(id % 4 = 1, 'A', 'N') AS l_returnflag, timestamp_ntz'1997-02-01' AS l_shipdate FROM range(8)").write.parquet(str(tmp_path / "lineitem.parquet"))
+    found = registry.media_join_between(spark, str(tmp_path))
+    assert {(r["type"], r["n"]) for r in found.collect()} == {("image", 2), ("video", 4)}
+    assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
