@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog import cli, collect, report
-from tidelog.adapters import event_observations, event_posts, event_snapshots, table
+from tidelog.adapters import event_observations, event_posts, event_snapshots, spread, table
 from tidelog.functions import texts, times
 from tidelog.operators import checks, merge, throttle
 from tidelog.plans import functions, views
@@ -337,7 +337,7 @@ def bulk_rows(spark, d):
 
 def _cards(spark, d) -> DataFrame:
     """A tracker page of one card for each order, with the marks that its number asks for."""
-    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("n"), F.col("o_orderpriority").alias("p"), times.to_iso(F.col("o_orderdate")).alias("at"))
+    o = spread(table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")).select(F.col("o_orderkey").alias("n"), F.col("o_orderpriority").alias("p"), times.to_iso(F.col("o_orderdate")).alias("at"))
     card = lambda n, handle: F.concat(
         F.lit('<div class="status" data-status-url="https://tracker.example/statuses/'), n.cast("string"), F.lit(f'"><a class="status-info__meta-item">@{handle}</a><time datetime="'), F.col("at"), F.lit('">x</time><a href="https://truthsocial.com/@'),
         F.lit(handle), F.lit("/"), n.cast("string"), F.lit('" class="status__external-link">o</a><div class="status__content"><p>'), F.col("p"), F.lit(" &amp; more</p></div>"))
