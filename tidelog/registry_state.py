@@ -233,7 +233,7 @@ SELECT CASE code WHEN 'bad_ts_id' THEN '12' ELSE CAST(110000000000000000 + event
   JOIN c ON event_id % 17 = i""")
 def check_record_rules(spark, d):
     """JSON records, each 17th of a kind with one fault: every rule on records, by value."""
-    e = table(spark, d, "events")
+    e = spread(table(spark, d, "events").select("event_id", "ts"))
     number, at = F.col("event_id") % 17, times.to_iso(times.to_second(F.col("ts")))
     sound = {f: F.lit("null") for f in FIELDS} | {
         "ts_id": F.concat(F.lit('"'), (F.lit(110000000000000000) + F.col("event_id")).cast("string"), F.lit('"')), "created_at_et": F.lit('"2024-01-01T00:00:00-05:00"'), "et_hour": F.lit("3"), "et_dow": F.lit("0"), "kind": F.lit('"original"'),
