@@ -1,11 +1,14 @@
 """No task gets a whole month, array or table."""
 
 import os
+from collections import Counter
 
-from tests.fixture import U
+from tests import fixture
+from tests.fixture import U, post
 
 from pyspark.sql import functions as F
 from tidelog import registry, registry_state
+from tidelog.operators import checks
 from tidelog.plans import views
 from tidelog.schema import ENGAGEMENT
 from tidelog.sources import landed, sinks
@@ -54,3 +57,12 @@ def test_media_between_makes_no_arrays(spark, tmp_path):
     found = registry.media_join_between(spark, str(tmp_path))
     assert {(r["type"], r["n"]) for r in found.collect()} == {("image", 2), ("video", 4)}
     assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ids_of_a_check_are_dealt_to_many_tasks(spark):
+    rows = [post(i, "2026-07-01 00:00") for i in range(400)]
+    none = spark.createDataFrame([], "ts_id string, source string, observed_at timestamp_ntz")
+    found = checks.run(fixture.posts(spark, rows + rows), none, none, fixture.runs(spark), F.lit("2026-09-11 12:00:00").cast("timestamp_ntz"))
+    # the parts of the union are small: by bytes, all ids would go to one task
+    by_task = Counter(r["p"] for r in found.select("code", F.spark_partition_id().alias("p")).collect() if r["code"] == "duplicate_id")
+    assert sum(by_task.values()) == 400 and max(by_task.values()) < 100

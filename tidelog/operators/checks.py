@@ -91,7 +91,7 @@ def duplicate_keys(df: DataFrame, keys: list[str], code: str = "duplicate_id", s
 
 
 def unknown_keys(df: DataFrame, posts: DataFrame, key: str, code: str, detail: str) -> DataFrame:
-    return _rows(df.join(posts.select(key).distinct(), key, "left_anti"), "hard", code, F.col(key), F.col(detail))
+    return _rows(df.join(posts.select(key), key, "left_anti"), "hard", code, F.col(key), F.col(detail))
 
 
 def created_after_upper(posts: DataFrame) -> DataFrame:
@@ -139,12 +139,18 @@ def _sampled(ids: DataFrame, code: str) -> DataFrame:
     return _rows(n.filter("n > 0").join(F.broadcast(few)), "soft", code, F.lit(None), F.col("n"), F.col("ids"))
 
 
+def _dealt(df: DataFrame, *columns: str) -> DataFrame:
+    """Columns of df dealt by ts_id to so many tasks, whatever their bytes: ids pack well, and adaptive execution would give the parts of a union by packed size, many millions of ids to one task."""
+    return df.select("ts_id", *columns).repartition(4 * df.sparkSession.sparkContext.defaultParallelism, "ts_id")
+
+
 def run(posts: DataFrame, deletion_log: DataFrame, engagement: DataFrame, runs: DataFrame, now: Column, *, lines: DataFrame | None = None, filed: DataFrame | None = None, run_id: str | None = None, statuses_count: int | None = None, tracker_total: int | None = None) -> DataFrame:
     """All violations.  lines: raw JSON lines; filed: posts with file_month and line_no."""
+    ids, logged, shots = _dealt(posts), _dealt(deletion_log, "source"), _dealt(engagement, "observed_at")
     found = [
-        duplicate_keys(filed if filed is not None else posts, ["ts_id"], listed="file_month" if filed is not None else None), created_after_upper(posts), inverted_bounds(posts),
-        unknown_keys(deletion_log, posts, "ts_id", "deletion_unknown_post", "source"), duplicate_keys(deletion_log, ["ts_id", "source"], "duplicate_deletion_event"),
-        unknown_keys(engagement, posts, "ts_id", "engagement_unknown_post", "observed_at"), too_close(engagement),
+        duplicate_keys(_dealt(filed, "file_month"), ["ts_id"], listed="file_month") if filed is not None else duplicate_keys(ids, ["ts_id"]), created_after_upper(posts), inverted_bounds(posts),
+        unknown_keys(logged, ids, "ts_id", "deletion_unknown_post", "source"), duplicate_keys(logged, ["ts_id", "source"], "duplicate_deletion_event"),
+        unknown_keys(shots, ids, "ts_id", "engagement_unknown_post", "observed_at"), too_close(shots),
         _sampled(single_source_recent(posts, now), "single_source_recent_posts"),
     ]
     newest = posts.agg(F.max("created_at_utc").alias("created_at_utc"))
