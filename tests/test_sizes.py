@@ -3,6 +3,7 @@
 import os
 from collections import Counter
 
+import pytest
 from tests import fixture
 from tests.fixture import U, post
 
@@ -66,3 +67,29 @@ def test_ids_of_a_check_are_dealt_to_many_tasks(spark):
     # the parts of the union are small: by bytes, all ids would go to one task
     by_task = Counter(r["p"] for r in found.select("code", F.spark_partition_id().alias("p")).collect() if r["code"] == "duplicate_id")
     assert sum(by_task.values()) == 400 and max(by_task.values()) < 100
+
+
+class _Landed(Exception):
+    pass
+
+
+def _stop(*_, **__):
+    raise _Landed
+
+
+def _events(spark, tmp_path, monkeypatch, n: int):
+    spark.sql(f"SELECT id AS event_id, id % 20 AS user_id, timestamp_ntz'2024-01-01' AS ts, 'view' AS event_type, '{{\"k\": 50}}' AS props FROM range({n})").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(registry_state.sinks, "scratch", lambda spark: str(tmp_path / "s"))
+    return str(tmp_path)
+
+
+def test_a_stream_lands_in_files_of_all_tasks(spark, tmp_path, monkeypatch):
+    d = _events(spark, tmp_path, monkeypatch, 1200)
+    monkeypatch.setattr(registry_state.micro, "run_merge", _stop)
+    with pytest.raises(_Landed):
+        registry_state.stream_merge(spark, d)
+    found = spark.read.parquet(f"{d}/s/in").select("ts_id", "seq", F.input_file_name().alias("file")).collect()
+    for part in ([r for r in found if r["seq"] < 600], [r for r in found if r["seq"] >= 600]):
+        files = {r["ts_id"]: {x["file"] for x in part if x["ts_id"] == r["ts_id"]} for r in part}
+        # many files, and all rows of a post in one of them
+        assert len(part) == 600 and {len(f) for f in files.values()} == {1} and len({f for s in files.values() for f in s}) > 4

@@ -578,15 +578,25 @@ def report_baseline(spark, d):
 # -- streams -----------------------------------------------------------------
 
 
-def _landing(df: DataFrame, *parts: str) -> str:
-    """df as files landed one after another: what each condition names, then all the rest."""
+def _landing(df: DataFrame, *parts: str, files: int = 1) -> str:
+    """df as files landed one after another: what each condition names, then all the rest.
+
+    Of several files for a part, each has all rows of its posts (ts_id): where
+    files of the next part come into a batch, those of a post stay in order.
+    """
     path, rest = sinks.scratch(df.sparkSession) + "/in", df
     for part in (*parts, "true"):
-        rest.filter(part).coalesce(1).write.mode("append").parquet(path)
+        some = rest.filter(part)
+        (some.coalesce(1) if files == 1 else some.repartition(files, "ts_id")).write.mode("append").parquet(path)
         rest = rest.filter(f"not ({part})")
     return path
 
 
+def _files(spark) -> int:
+    """Files of a part of a landing, and of a batch of its stream: all cores write and read them."""
+    return 4 * spark.sparkContext.defaultParallelism
+
+
 def _drained(stream: DataFrame, mode: str) -> DataFrame:
     """What a stream writes until the landed files are used up."""
     root = sinks.scratch(stream.sparkSession)
@@ -636,9 +646,9 @@ def stream_throttle(spark, d):
   coalesce(kind, '') AS kind FROM (""" + _STATE + ")")
 def stream_merge(spark, d):
     """Landed observations merged batch by batch into a stored data set."""
-    path = _landing(_signals(event_observations(spark, d)), "seq < 600")
-    root = sinks.scratch(spark)
-    stream = spark.readStream.schema(OBSERVATION).option("maxFilesPerTrigger", 1).parquet(path)
+    files, root = _files(spark), sinks.scratch(spark)
+    path = _landing(_signals(event_observations(spark, d)), "seq < 600", files=files)
+    stream = spark.readStream.schema(OBSERVATION).option("maxFilesPerTrigger", files).parquet(path)
     micro.run_merge(stream, f"{root}/data", f"{root}/mark").awaitTermination()
     some = landed.posts(spark, f"{root}/data").select("ts_id", "status", "deleted_source", "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at", "first_seen_source", F.array_join("seen_sources", ",").alias("seen_sources"), "kind")
     return _instants(some, "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at")
@@ -723,8 +733,9 @@ def json_array_by_splits(spark, d):
   coalesce(kind, '') AS kind FROM (""" + _STATE + ")")
 def stream_keyed_state(spark, d):
     """Landed observations folded batch by batch into one record a post, held in state: no stored month is read or written."""
-    path, root = _landing(_signals(event_observations(spark, d)), "seq < 600"), sinks.scratch(spark)
-    keyed.run_upserts(spark.readStream.schema(OBSERVATION).option("maxFilesPerTrigger", 1).parquet(path), f"{root}/data", f"{root}/mark").awaitTermination()
+    files, root = _files(spark), sinks.scratch(spark)
+    path = _landing(_signals(event_observations(spark, d)), "seq < 600", files=files)
+    keyed.run_upserts(spark.readStream.schema(OBSERVATION).option("maxFilesPerTrigger", files).parquet(path), f"{root}/data", f"{root}/mark").awaitTermination()
     some = keyed.records(spark, f"{root}/data").select("ts_id", "status", "deleted_source", "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at", "first_seen_source", F.array_join("seen_sources", ",").alias("seen_sources"), "kind")
     return _instants(some, "last_verified_live_at", "deleted_lower", "deleted_upper", "first_seen_at")
 
