@@ -1,5 +1,6 @@
 """No task gets a whole month, array or table."""
 
+import json
 import os
 from collections import Counter
 
@@ -93,3 +94,13 @@ def test_a_stream_lands_in_files_of_all_tasks(spark, tmp_path, monkeypatch):
         files = {r["ts_id"]: {x["file"] for x in part if x["ts_id"] == r["ts_id"]} for r in part}
         # many files, and all rows of a post in one of them
         assert len(part) == 600 and {len(f) for f in files.values()} == {1} and len({f for s in files.values() for f in s}) > 4
+
+
+def test_more_events_land_as_more_pages(spark, tmp_path, monkeypatch):
+    d = _events(spark, tmp_path, monkeypatch, 400)
+    monkeypatch.setattr(registry_state, "PAGE", 20, raising=False)
+    monkeypatch.setattr(registry_state.collect, "ingest", _stop)
+    with pytest.raises(_Landed):
+        registry_state.collect_observation_times(spark, d)
+    pages = [len(json.loads(p.read_text())) for p in (tmp_path / "s" / "inbox" / "primary").glob("*.json")]
+    assert sum(pages) == 400 + 134 + 67 and max(pages) <= 40

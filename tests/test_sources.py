@@ -202,3 +202,21 @@ def test_posts_moved_aside_are_still_there(spark, tmp_path):
 def test_unprocessed_removals(spark):
     hits = spark.createDataFrame([(1, True), (2, False), (3, True), (3, True), (None, True)], "tracker_id int, removed boolean")
     assert [r[0] for r in landed.unprocessed(hits, spark.createDataFrame([(1,)], "tracker_id int")).collect()] == [3]
+
+
+def test_statuses_and_verifications_in_one_pass(spark):
+    from tidelog.functions.times import parse_instant
+
+    raws = [
+        '{"id": "1", "created_at": "2026-07-01T00:00:00Z", "content": "<p>a</p>", "account": {"acct": "own", "statuses_count": 3}, "favourites_count": 2}', '{"id": "2", "error": "Record not found"}', '{"id": "3", "error": ""}',
+        '{"id": "4", "error": null, "created_at": "2026-07-01 00:00:00+02:00", "card": {"url": "https://www.a.example/x", "title": "t"}}', '{"id": "", "error": "x"}', '{"error": "x"}', '{"id": "5", "favourites_count": "many", "error": {"code": 1}}', "{}", "7", "null", '{"id": 6}', '{"id": "8", "reblog": {"id": "9", "content": "r"}, "error": 404, "created_at": "2026-07-01T00:00:00Z"}',
+    ]
+    raw = spark.createDataFrame([(i, r) for i, r in enumerate(raws)], "n int, raw string")
+    apart = landed.primary_partials(raw, ("n",)).unionByName(landed.gone(raw, ("n",)), allowMissingColumns=True)
+    once = landed.primary_rows(raw, ("n",)).select(*apart.columns)
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, apart.collect())) and once.count() == 7
+    # a text is parsed by one expression of the plan
+    assert landed.primary_rows(raw, ("n",))._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+    texts = ["2026-07-01T00:00:00Z", " 2026-07-01T00:00:00Z", "2026-07-01T00:00:00Z\n", "2026-02-30T00:00:00Z", "2026-07-01T24:00:00Z", "2026-07-01T02:00:00+02:00", "2026-07-01T00:00:00.5Z", "2026-07-01", None]
+    found = [str(r[0]) for r in spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1).select(parse_instant(F.col("t"))).collect()]
+    assert found == ["2026-07-01 00:00:00", "2026-07-01 00:00:00", "None", "None", "None", "2026-07-01 00:00:00", "2026-07-01 00:00:00.500000", "None", "None"]

@@ -47,7 +47,7 @@ def _wholes(spark: SparkSession, paths: list[str]) -> DataFrame:
 def _primary(spark: SparkSession, paths: list[str]) -> list[DataFrame]:
     array = F.when(F.ltrim("value").startswith("["), F.col("value")).otherwise(F.concat(F.lit("["), "value", F.lit("]")))
     raw = _wholes(spark, paths).select("observed_at", "file", F.posexplode(F.from_json(array, "array<string>")).alias("pos", "raw")).withColumn("line", F.struct(F.lit(0).cast("bigint").alias("block"), F.col("pos").cast("bigint").alias("turn")))
-    return [landed.primary_partials(raw, _CARRY), landed.gone(raw, _CARRY)]
+    return [landed.primary_rows(raw, _CARRY)]
 
 
 def _tracked(spark: SparkSession, paths: list[str], handle: str) -> list[DataFrame]:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Shapes of an ISO instant, every digit as 9: date and clock, and what may stand behind the decimals.
 ISO_SHAPES, ZONE_SHAPES = ("9999-99-99T99:99:99", "9999-99-99 99:99:99"), ("", "Z", "+99:99", "-99:99", "+9999", "-9999")
+#: What this library writes itself, and what most sources give.
+ISO_Z = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z\z"
 RFC = r"^(?:[A-Za-z]{3},\s*)?(\d{1,2})\s+([A-Za-z]{3})\s+(\d{4})\s+(\d{2}:\d{2}(?::\d{2})?)\s*([+-]\d{4}|GMT|UTC|UT|Z)?$"
 EASTERN = "America/New_York"
 # Month names start with these.
@@ -74,14 +76,17 @@ def _iso(s: Column) -> Column:
 
 
 def parse_instant(text: Column) -> Column:
-    """ISO-8601 (blank or T, up to 9 decimals cut to 6, Z, an offset or none for UTC) or RFC-2822; else null."""
+    """ISO-8601 (blank or T, up to 9 decimals cut to 6, Z, an offset or none for UTC) or RFC-2822; else null.
+
+    The plain form is cast as it stands; only other texts are taken apart.
+    """
     s = F.trim(text)
     part = lambda i, rx: F.regexp_extract(s, rx, i)
     clock = F.when(F.length(part(4, RFC)) == 5, F.concat(part(4, RFC), F.lit(":00"))).otherwise(part(4, RFC))
     month = F.lpad(_month(part(2, RFC)).cast("string"), 2, "0")
     rfc = F.concat(part(3, RFC), F.lit("-"), month, F.lit("-"), F.lpad(part(1, RFC), 2, "0"), F.lit(" "), clock).try_cast("timestamp_ntz")
     rfc = F.timestamp_add("MINUTE", -_offset_minutes(part(5, RFC)), rfc)
-    return F.coalesce(_iso(s), F.when(s.rlike(RFC), rfc))
+    return F.when(text.rlike(ISO_Z), F.substring(text, 1, 19).try_cast("timestamp_ntz")).when(text.isNotNull(), F.coalesce(_iso(s), F.when(s.rlike(RFC), rfc)))
 
 
 def eastern(t: Column) -> Column:

@@ -682,6 +682,8 @@ def _landed_pages(pages: DataFrame, folder: str, at: dt.datetime) -> None:
         fs.setTimes(where, int(at.replace(tzinfo=dt.UTC).timestamp() * 1000), -1)
 
 
+#: Events of a landed page, about: with more of them there are more pages, not larger ones.
+PAGE = 1 << 15
 _SLOTS = {10: "true", 11: "event_id % 3 = 0", 12: "event_id % 6 = 0"}
 
 
@@ -694,9 +696,10 @@ def collect_observation_times(spark, d):
     ts_id = (F.lit(110000000000000000) + F.col("event_id")).cast("string")
     status = F.to_json(F.struct(ts_id.alias("id"), F.lit("2024-02-29T00:00:00Z").alias("created_at"), F.lit("<p>x</p>").alias("content"), F.col("event_id").alias("favourites_count")))
     missing = F.to_json(F.struct(ts_id.alias("id"), F.lit("Record not found").alias("error")))
+    count = max(8, e.count() // PAGE)
     for hour, some in _SLOTS.items():
         array = F.concat(F.lit("["), F.array_join(F.collect_list(missing if hour == 11 else status), ","), F.lit("]")).alias("value")
-        pages = e.filter(some).groupBy((F.col("event_id") % 8).alias("page")).agg(array).select("value")
+        pages = e.filter(some).groupBy((F.col("event_id") % count).alias("page")).agg(array).select("value")
         folder = f"{root}/landing/{hour}"
         _landed_pages(pages, folder, dt.datetime(2024, 3, 1, hour))
         inbox, fs = store._fs(spark, f"{root}/inbox/primary")

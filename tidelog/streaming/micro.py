@@ -57,7 +57,8 @@ def merge_into(batch: DataFrame, root: str, name: str, snapshots: DataFrame | No
     gave["deletions_found"] = events.select("ts_id").distinct().count()
     made.append("deletions", lambda path: sinks.append_log(new, path))
     if snapshots is not None:
-        kept = throttle.filter_engagement(snapshots, landed.engagement(spark, root, made.base).drop("ingest_seq"), landed.posts(spark, root, made.pending()))
+        # written once, for dealing by range reads its rows twice
+        kept = made.staged(throttle.filter_engagement(snapshots, landed.engagement(spark, root, made.base).drop("ingest_seq"), landed.posts(spark, root, made.pending())), "kept")
         made.append("engagement", lambda path: sinks.write_engagement(kept, path))
     made.append("anomalies", lambda path: sinks.append_log(merged.anomalies, path))
     if files is not None:
