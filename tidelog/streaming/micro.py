@@ -57,9 +57,15 @@ def merge_into(batch: DataFrame, root: str, name: str, snapshots: DataFrame | No
     gave["deletions_found"] = events.select("ts_id").distinct().count()
     made.append("deletions", lambda path: sinks.append_log(new, path))
     if snapshots is not None:
-        # written once, for dealing by range reads its rows twice
-        kept = made.staged(throttle.filter_engagement(snapshots, landed.engagement(spark, root, made.base).drop("ingest_seq"), landed.posts(spark, root, made.pending())), "kept")
-        made.append("engagement", lambda path: sinks.write_engagement(kept, path))
+        kept = throttle.filter_engagement(snapshots, landed.engagement(spark, root, made.base).drop("ingest_seq"), landed.posts(spark, root, made.pending()))
+
+        def write(path: str) -> None:
+            # written once as they are, for dealing by range reads its rows twice
+            once = made.path("staging/kept")
+            kept.write.mode("overwrite").parquet(once)
+            sinks.write_engagement(spark.read.schema(kept.schema).parquet(once), path)
+
+        made.append("engagement", write)
     made.append("anomalies", lambda path: sinks.append_log(merged.anomalies, path))
     if files is not None:
         made.append("files", lambda path: sinks.append_log(files, path))
